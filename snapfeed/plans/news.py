@@ -1 +1,387 @@
-"""placeholder"""
+"""News generator as Spark jobs: listing links -> articles -> cleaned, filtered feed items,
+plus the keyword, advert, dedup and join operators it is made of (W-1, W-3, J-1, J-3,
+F-1, F-4..F-7, A-1, TTL, BODY, EXC, STR-8..10, STR-15, U-1/2, SRC-7)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import cleaners, html as H, rules, text as T, urls as U
+from ..functions.entities import HTML4, decode_entities
+from ..operators import article as A
+from ..operators import terms as K
+from ..operators.dedup import first_seen
+from ..sources.snapshots import load_table
+from . import sqlgen as S
+from .catalog import register
+
+# Parameters of the registered news queries.  The corpus is invented text, so the terms
+# are corpus words (see SURVEY section 5), written in the generator's keyword grammar.
+NEWS_SPEC = 'thor,mentel,ation,"der ",-shwh,-blesh,except("que","ier")'
+NEWS_TERMS = K.Terms(include=("thor", "mentel", "ation", "der "), exclude=("shwh", "blesh"),
+                     overrides=(("que", "ier"),))
+DOC_TERMS = K.Terms(include=("thor", "mentel", "ation"), exclude=("shwh", "euxen"), overrides=(("ing",),))
+# Pages carry no fetch time; the feed's clock is an explicit parameter.
+NEWS_AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
+EXCERPT_LENGTH = rules.DEFAULT_EXCERPT_LENGTH
+FEED_NAME = "news"
+
+
+# ----------------------------------------------------------------------------------- article job
+
+def article_items(pages: DataFrame, terms: K.Terms = NEWS_TERMS, excerpt_length: int = EXCERPT_LENGTH,
+                  semantics: str = T.DOCUMENTED, feed: str = FEED_NAME, as_of=NEWS_AS_OF,
+                  advert_terms: dict | None = None) -> DataFrame:
+    """Articles (one page row each, already de-duplicated) -> feed items.
+
+    Stages, all row-local: title (TTL-1) -> live suffix (TTL-2) -> advert drop (F-6) ->
+    body cascade (BODY-1) -> excerpt (EXC-1, EXC-3) -> keyword filter (F-4/5) ->
+    clean (STR-8..10) -> render (STR-15).  The expensive cleaner runs after the filter."""
+    if excerpt_length is None or int(excerpt_length) == 0:
+        excerpt_length = EXCERPT_LENGTH
+    n = int(excerpt_length)
+    advert_terms = advert_terms or {}
+    content = H.content_html("html")
+    staged = pages.select(
+        "page_id", "url",
+        H.first_tag_inner("html", "h1").alias("h1"),
+        F.coalesce(F.col("link_text") if "link_text" in pages.columns else H.first_tag_text("html", "title"),
+                   F.lit("")).alias("link_text"),
+        T.strip_tags(content).alias("page_text"),
+        A.paragraphs("html").alias("paras"),
+    )
+    titled = staged.withColumn("title", A.title_choice(F.col("h1"), F.col("link_text"), semantics)) \
+        .where(F.col("title").isNotNull())
+    titled = titled.withColumn("title", A.live_title(F.col("title"), F.lit(None).cast("string")))
+    kept = titled.where(~K.is_advert("title", "page_text", **advert_terms))
+    body = A.body_cascade(F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string"),
+                          F.col("paras"))
+    with_body = kept.withColumn("body_html", body)
+    body_texts = H.paragraph_texts(F.coalesce(F.col("body_html"), F.lit("")))
+    excerpt = F.when(F.col("body_html").isNotNull(), A.excerpt_from_texts(body_texts, n)).otherwise(F.lit(""))
+    fallback = A.fallback_excerpt(F.transform("paras", lambda p: p["text"]), n)
+    ex = with_body.withColumn("excerpt", excerpt)
+    ex = ex.withColumn("excerpt", F.when(F.col("body_html").isNull() & (F.col("excerpt") == ""), fallback)
+                       .otherwise(F.col("excerpt")))
+    ex = ex.withColumn("excerpt", A.decode_excerpt(F.col("excerpt")))
+    matched = ex.where(K.match_literal("title", "excerpt", terms, semantics))
+    cleaned = matched.withColumn("clean", decode_entities(cleaners.clean_content(F.coalesce("body_html", F.lit("")),
+                                                                               T.OBSERVED), HTML4))
+    summary_box = F.when(F.length("excerpt") > 0, F.concat(
+        F.lit('<div class="summary"><strong>Summary:</strong> '), T.html_escape(F.col("excerpt")), F.lit("</div>")))
+    return cleaned.select(
+        F.lit(feed).alias("feed"),
+        F.col("title"),
+        F.col("url").alias("uri"),
+        T.strip_tags("clean").alias("content"),
+        F.concat(F.coalesce(summary_box, F.lit("")), F.col("clean")).alias("content_html"),
+        F.unix_timestamp(F.lit(as_of).cast("timestamp")).alias("timestamp"),
+        F.col("excerpt").alias("summary"),
+        F.col("page_id"),
+    )
+
+
+def article_feed(spark, sf):
+    """E2E news feed over every stored page: first snapshot per canonical URL (W-1),
+    URL block (F-1), then the article job."""
+    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
+    firsts = first_seen(pages.withColumn("canon", U.canonical_url("url")), "canon", "page_id")
+    articles = firsts.where(~F.lower("url").contains(rules.URL_BLOCK_TERM))
+    return article_items(articles)
+
+
+def _article_feed_sql() -> str:
+    n = EXCERPT_LENGTH
+    h1_pat = r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>"
+    title_pat = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
+    canon = "regexp_replace(regexp_replace(url, '[?#].*$', ''), '(/|\\.html)$', '')"
+    raw_title = (f"CASE WHEN regexp_matches(html, {S.q(h1_pat)}) THEN "
+                 f"{S.trim_all(S.strip_tags(f'regexp_extract(html, {S.q(h1_pat)}, 1)'))} "
+                 f"ELSE {S.trim_all(S.strip_tags(f'regexp_extract(html, {S.q(title_pat)}, 1)'))} END")
+    page_text = S.strip_tags(S.content_html("html"))
+    lt, lc = "lower(title)", f"lower(page_text)"
+    advert = (f"(({S.count_hits(lt, rules.SUBSCRIPTION_TERMS)} >= 1 AND {S.count_hits(lc, rules.SUBSCRIPTION_TERMS)} >= 3)"
+              f" OR (contains({lt}, 'subscription') AND {S.contains_any(lt, rules.TITLE_OFFER_WORDS)})"
+              f" OR {S.count_hits(lc, rules.STRONG_CONTENT_INDICATORS)} >= 2)")
+    texts = "list_transform(kept, lambda k: k.text)"
+    body_html = (f"CASE WHEN length(array_to_string({texts}, '')) > 100 THEN "
+                 f"array_to_string(list_transform(kept, lambda k: '<p>' || k.html || '</p>'), '') END")
+    body_texts = S.paragraph_text_list("coalesce(body_html, '')")
+    excerpt = f"CASE WHEN body_html IS NOT NULL THEN {S.excerpt_from_texts(body_texts, n)} ELSE '' END"
+    fallback = S.fallback_excerpt("list_transform(ps, lambda p: p.text)", n)
+    text = "lower(title || ' ' || excerpt)"
+    excluded = S.contains_any(text, NEWS_TERMS.exclude)
+    overridden = " OR ".join(S.contains_any(text, g) for g in NEWS_TERMS.overrides) or "false"
+    included = S.contains_any(text, NEWS_TERMS.include)
+    clean = S.decode_corpus_entities(
+        S.normalise_residue(S.drop_script_lines(S.apply_rules("coalesce(body_html, '')", rules.CLEAN_RULES_OBSERVED))))
+    clean = f"(CASE WHEN coalesce(body_html, '') = '' THEN '' ELSE {clean} END)"
+    as_of = int(NEWS_AS_OF.replace(tzinfo=dt.timezone.utc).timestamp())
+    return f"""
+WITH firsts AS (
+  SELECT * FROM (SELECT page_id, url, html, row_number() OVER (PARTITION BY {canon} ORDER BY page_id) AS rn FROM pages)
+  WHERE rn = 1 AND NOT contains(lower(url), 'advertisement')),
+st AS (SELECT page_id, url, {raw_title} AS raw, {page_text} AS page_text,
+              {S.paragraph_struct_list('html')} AS ps FROM firsts),
+ti AS (SELECT *, {S.trim_all(S.strip_tags(S.decode_corpus_entities('raw')))} AS title FROM st
+       WHERE raw IS NOT NULL AND raw <> ''),
+ad AS (SELECT * FROM ti WHERE NOT {advert}),
+bo AS (SELECT *, {S.body_paragraphs('ps')} AS kept FROM ad),
+b2 AS (SELECT *, {body_html} AS body_html FROM bo),
+e1 AS (SELECT *, {excerpt} AS ex0 FROM b2),
+e2 AS (SELECT *, CASE WHEN body_html IS NULL AND ex0 = '' THEN {fallback} ELSE ex0 END AS ex1 FROM e1),
+e3 AS (SELECT *, CASE WHEN length(ex1) > 0 THEN {S.decode_corpus_entities('ex1')} ELSE ex1 END AS excerpt FROM e2),
+m AS (SELECT * FROM e3 WHERE NOT ({excluded} AND NOT ({overridden})) AND {included}),
+c AS (SELECT *, {clean} AS clean FROM m)
+SELECT '{FEED_NAME}' AS feed, title, url AS uri, {S.strip_tags('clean')} AS content,
+       coalesce(CASE WHEN length(excerpt) > 0 THEN '<div class="summary"><strong>Summary:</strong> ' || {S.html_escape('excerpt')} || '</div>' END, '') || clean AS content_html,
+       CAST({as_of} AS BIGINT) AS "timestamp", excerpt AS summary, page_id
+FROM c
+"""
+
+
+register("article_feed", _article_feed_sql())(article_feed)
+
+
+# ----------------------------------------------------------------------------------- documents as items
+
+def doc_items(spark, sf):
+    """Documents as feed candidates: first line = title, 200-char excerpt = summary."""
+    docs = load_table(spark, sf, "documents", ["doc_id", "text"])
+    return docs.select("doc_id", T.trim_all(F.substring_index("text", "\n", 1)).alias("title"),
+                       T.truncate_words("text", EXCERPT_LENGTH).alias("summary"), "text")
+
+
+def _doc_items_sql() -> str:
+    title = S.trim_all("split_part(text, chr(10), 1)")
+    return (f"SELECT doc_id, {title} AS title, "
+            f"{S.truncate('text', EXCERPT_LENGTH)} AS summary, text FROM documents")
+
+
+def _match_sql(terms: K.Terms, documented: bool) -> str:
+    text = "lower(title || ' ' || summary)"
+    excluded = S.contains_any(text, terms.exclude)
+    overridden = (" OR ".join(S.contains_any(text, g) for g in terms.overrides) or "false") if documented else "false"
+    included = S.contains_any(text, terms.include) if terms.include else "true"
+    return f"(NOT ({excluded} AND NOT ({overridden})) AND {included})"
+
+
+@register("keyword_match", f"WITH d AS ({_doc_items_sql()}) SELECT doc_id FROM d WHERE {_match_sql(DOC_TERMS, True)}")
+def keyword_match(spark, sf):
+    d = doc_items(spark, sf)
+    return d.where(K.match_literal("title", "summary", DOC_TERMS, T.DOCUMENTED)).select("doc_id")
+
+
+@register("keyword_match_observed",
+          f"WITH d AS ({_doc_items_sql()}) SELECT doc_id FROM d WHERE {_match_sql(DOC_TERMS, False)}")
+def keyword_match_observed(spark, sf):
+    d = doc_items(spark, sf)
+    return d.where(K.match_literal("title", "summary", DOC_TERMS, T.OBSERVED)).select("doc_id")
+
+
+_OVR_TEXT = "lower(title || ' ' || summary)"
+
+
+@register("keyword_override", f"""
+WITH d AS ({_doc_items_sql()})
+SELECT doc_id, {S.contains_any(_OVR_TEXT, DOC_TERMS.exclude)} AS excluded,
+       {" OR ".join(S.contains_any(_OVR_TEXT, g) for g in DOC_TERMS.overrides)} AS overridden,
+       {_match_sql(DOC_TERMS, True)} AS accepted_documented,
+       {_match_sql(DOC_TERMS, False)} AS accepted_observed
+FROM d
+""")
+def keyword_override(spark, sf):
+    d = doc_items(spark, sf)
+    text = K.match_text("title", "summary")
+    excluded = F.exists(K._lit_array(DOC_TERMS.exclude), lambda t: text.contains(t))
+    overridden = F.lit(False)
+    for g in DOC_TERMS.overrides:
+        overridden = overridden | F.exists(K._lit_array(g), lambda t: text.contains(t))
+    return d.select("doc_id", excluded.alias("excluded"), overridden.alias("overridden"),
+                    K.match_literal("title", "summary", DOC_TERMS, T.DOCUMENTED).alias("accepted_documented"),
+                    K.match_literal("title", "summary", DOC_TERMS, T.OBSERVED).alias("accepted_observed"))
+
+
+# Subscriptions of the many-feeds query (parameters, compiled by F-3 on the cluster).
+FEED_SPECS = [
+    (1, 'thor,mentel,ation,-shwh,-euxen,except(ing)'),
+    (2, '"the ",-"and ",except("ther","tion")'),
+    (3, '-euxen,-shwh'),
+    (4, "ouch,blesh,quel"),
+]
+
+
+def _feeds_df(spark):
+    return spark.createDataFrame(FEED_SPECS, "feed_id long, spec string")
+
+
+def _many_feeds_sql() -> str:
+    # Compiled (documented grammar) forms of FEED_SPECS, written out by hand.
+    compiled = {
+        1: K.Terms(("thor", "mentel", "ation"), ("shwh", "euxen"), (("ing",),)),
+        2: K.Terms(("the ",), ("and ",), (("ther", "tion"),)),
+        3: K.Terms((), ("euxen", "shwh"), ()),
+        4: K.Terms(("ouch", "blesh", "quel"), (), ()),
+    }
+    parts = [f"SELECT CAST({fid} AS BIGINT) AS feed_id, doc_id FROM d WHERE {_match_sql(t, True)}"
+             for fid, t in compiled.items()]
+    return f"WITH d AS ({_doc_items_sql()}) " + " UNION ALL ".join(parts)
+
+
+@register("match_many_feeds", _many_feeds_sql())
+def match_many_feeds(spark, sf):
+    feeds = K.collect_terms(_feeds_df(spark), semantics=T.DOCUMENTED)
+    d = doc_items(spark, sf)
+    return K.match_feeds(d, feeds, semantics=T.DOCUMENTED).select("feed_id", "doc_id")
+
+
+# Corpus stand-ins for the advert term lists (the source lists do not occur in the corpus).
+ADVERT_TERMS = dict(
+    subscription_terms=["the ", "ing", "thor", "ation", "tion", "ther", "and ", "der "],
+    offer_words=["que", "ier", "ment"],
+    strong_terms=["shwh", "euxen", "mentel", "blesh", "ouch"],
+)
+
+
+@register("advert_flag", f"""
+WITH d AS ({_doc_items_sql()})
+SELECT doc_id,
+  CAST({S.count_hits('lower(title)', ADVERT_TERMS['subscription_terms'])} AS BIGINT) AS title_hits,
+  CAST({S.count_hits('lower(text)', ADVERT_TERMS['subscription_terms'])} AS BIGINT) AS content_hits,
+  CAST({S.count_hits('lower(text)', ADVERT_TERMS['strong_terms'])} AS BIGINT) AS strong_hits,
+  (({S.count_hits('lower(title)', ADVERT_TERMS['subscription_terms'])} >= 1
+     AND {S.count_hits('lower(text)', ADVERT_TERMS['subscription_terms'])} >= 3)
+   OR (contains(lower(title), 'the ') AND {S.contains_any('lower(title)', ADVERT_TERMS['offer_words'])})
+   OR {S.count_hits('lower(text)', ADVERT_TERMS['strong_terms'])} >= 2) AS is_advert
+FROM d
+""")
+def advert_flag(spark, sf):
+    d = doc_items(spark, sf)
+    lt, lc = F.lower("title"), F.lower("text")
+    return d.select("doc_id",
+                    K.term_hits(lt, ADVERT_TERMS["subscription_terms"]).cast("bigint").alias("title_hits"),
+                    K.term_hits(lc, ADVERT_TERMS["subscription_terms"]).cast("bigint").alias("content_hits"),
+                    K.term_hits(lc, ADVERT_TERMS["strong_terms"]).cast("bigint").alias("strong_hits"),
+                    K.is_advert("title", "text", **ADVERT_TERMS).alias("is_advert"))
+
+
+@register("term_hits", f"""
+SELECT doc_id,
+  CAST({S.count_hits('lower(text)', rules.SUBSCRIPTION_TERMS + ADVERT_TERMS['subscription_terms'])} AS BIGINT) AS content_hits,
+  CAST({S.count_hits('lower(text)', rules.STRONG_CONTENT_INDICATORS + ADVERT_TERMS['strong_terms'])} AS BIGINT) AS strong_hits
+FROM documents
+""")
+def term_hits_q(spark, sf):
+    docs = load_table(spark, sf, "documents", ["doc_id", "text"])
+    lc = F.lower("text")
+    return docs.select(
+        "doc_id",
+        K.term_hits(lc, rules.SUBSCRIPTION_TERMS + ADVERT_TERMS["subscription_terms"]).cast("bigint").alias("content_hits"),
+        K.term_hits(lc, rules.STRONG_CONTENT_INDICATORS + ADVERT_TERMS["strong_terms"]).cast("bigint").alias("strong_hits"))
+
+
+# ----------------------------------------------------------------------------------- dedup, joins, unions
+
+_CANON_SQL = "regexp_replace(regexp_replace(url, '[?#].*$', ''), '(/|\\.html)$', '')"
+
+
+@register("first_seen_url", f"""
+SELECT canon, page_id, url FROM (
+  SELECT {_CANON_SQL} AS canon, page_id, url, row_number() OVER (PARTITION BY {_CANON_SQL} ORDER BY page_id) AS rn
+  FROM pages) WHERE rn = 1
+""")
+def first_seen_url(spark, sf):
+    pages = load_table(spark, sf, "pages", ["page_id", "url"])
+    return first_seen(pages.withColumn("canon", U.canonical_url("url")), "canon", "page_id")
+
+
+@register("first_seen_text", """
+SELECT text, doc_id FROM (
+  SELECT text, doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1
+""")
+def first_seen_text(spark, sf):
+    docs = load_table(spark, sf, "documents", ["doc_id", "text"])
+    return first_seen(docs, "text", "doc_id")
+
+
+def listing_links(pages: DataFrame) -> DataFrame:
+    """Listing pages -> (listing_id, pos, href, link_text, url) with resolved URLs."""
+    c = H.content_html("html")
+    pairs = F.arrays_zip(H.link_hrefs(c).alias("href"), H.link_texts(c).alias("text"))
+    df = pages.select(F.col("page_id").alias("listing_id"), U.origin_of("url").alias("origin"),
+                      U.base_dir_of("url").alias("base_dir"), F.posexplode(pairs).alias("pos", "l"))
+    return df.where(F.col("l.href") != "").select(
+        "listing_id", F.col("pos").cast("bigint").alias("pos"),
+        T.trim_all(T.strip_tags(F.col("l.text"))).alias("link_text"),
+        U.resolve_host_relative(F.col("l.href"), F.col("origin"), F.col("base_dir")).alias("url"))
+
+
+_LINKS_RESOLVED_SQL = f"""
+  SELECT page_id AS listing_id, pos, {S.trim_all(S.strip_tags('link_text'))} AS link_text,
+         CASE WHEN starts_with(href, 'http') THEN href WHEN starts_with(href, '/') THEN origin || href
+              ELSE rtrim(base_dir, '/') || '/' || ltrim(href, '/') END AS url
+  FROM (SELECT page_id, origin, base_dir, CAST(unnest(range(0, len(hrefs))) AS BIGINT) AS pos,
+               unnest(hrefs) AS href, unnest(texts) AS link_text
+        FROM (SELECT page_id,
+                     regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS origin,
+                     regexp_replace(regexp_replace(url, '[?#].*$', ''), '/[^/]*$', '') AS base_dir,
+                     regexp_extract_all({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 1) AS hrefs,
+                     regexp_extract_all({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 2) AS texts
+              FROM pages))
+  WHERE href <> ''
+"""
+
+
+@register("listing_join", f"""
+WITH l AS ({_LINKS_RESOLVED_SQL}),
+canon AS (SELECT page_id, {_CANON_SQL} AS canon FROM pages)
+SELECT l.listing_id, l.pos, l.url, c.page_id AS article_id
+FROM l JOIN canon c ON regexp_replace(regexp_replace(l.url, '[?#].*$', ''), '(/|\\.html)$', '') = c.canon
+""")
+def listing_join(spark, sf):
+    """J-1: every listing link joined to the stored article with the same canonical URL
+    (inner: a missing article drops the link).  Shuffle join on the URL key; AQE splits a
+    hot URL (a nav link present on every listing) with its skew-join handling."""
+    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
+    links = listing_links(pages).withColumn("canon", U.canonical_url("url"))
+    arts = load_table(spark, sf, "pages", ["page_id", "url"]).select(
+        F.col("page_id").alias("article_id"), U.canonical_url("url").alias("canon"))
+    return links.join(arts, "canon", "inner").select("listing_id", "pos", "url", "article_id")
+
+
+@register("listing_left", f"""
+WITH l AS ({_LINKS_RESOLVED_SQL}),
+canon AS (SELECT page_id, {_CANON_SQL} AS canon FROM pages)
+SELECT l.listing_id, l.pos, l.url, c.page_id AS article_id
+FROM l LEFT JOIN canon c ON regexp_replace(regexp_replace(l.url, '[?#].*$', ''), '(/|\\.html)$', '') = c.canon
+""")
+def listing_left(spark, sf):
+    """J-3: listing links kept without enrichment when the detail page is missing."""
+    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
+    links = listing_links(pages).withColumn("canon", U.canonical_url("url"))
+    arts = load_table(spark, sf, "pages", ["page_id", "url"]).select(
+        F.col("page_id").alias("article_id"), U.canonical_url("url").alias("canon"))
+    return links.join(arts, "canon", "left").select("listing_id", "pos", "url", "article_id")
+
+
+@register("combine_feeds", f"""
+WITH a AS (SELECT 'news' AS feed, {S.trim_all(S.strip_tags("regexp_extract(html, '(?is)<h1(?:\\s[^>]*)?>(.*?)</h1\\s*>', 1)"))} AS title,
+                  url AS uri, CAST(NULL AS VARCHAR) AS author FROM pages),
+     b AS (SELECT 'models' AS feed, p_name AS title,
+                  'https://www.printables.com/model/' || CAST(p_partkey AS VARCHAR) || '-' || replace(lower(p_name), ' ', '-') AS uri,
+                  p_brand AS author FROM part)
+SELECT * FROM a UNION ALL SELECT * FROM b
+""")
+def combine_feeds_q(spark, sf):
+    """U-1: items of two generators in one shape (unionByName with missing columns)."""
+    from ..operators.dedup import combine_feeds
+    pages = load_table(spark, sf, "pages", ["url", "html"])
+    part = load_table(spark, sf, "part", ["p_partkey", "p_name", "p_brand"])
+    a = pages.select(F.lit("news").alias("feed"), H.first_tag_text("html", "h1").alias("title"), F.col("url").alias("uri"))
+    b = part.select(F.lit("models").alias("feed"), F.col("p_name").alias("title"),
+                    U.model_uri("p_partkey", F.replace(F.lower("p_name"), F.lit(" "), F.lit("-"))).alias("uri"),
+                    F.col("p_brand").alias("author"))
+    return combine_feeds([a, b]).select("feed", "title", "uri", "author")
