@@ -1 +1,182 @@
-"""placeholder"""
+"""Freshness, carry-forward, dates, ordered collection, chain following, positions and
+limit-eligible filtering (SRC-2, W-2, DATE-1..3, A-2, A-3, SRC-7, U-2, W-3, F-10)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions import dates as D
+from ..functions import html as H, text as T, urls as U
+from ..operators.ranking import clamp_limit
+from ..sources.snapshots import TTL_NEWS, follow_chain, fresh_snapshot, load_table
+from . import sqlgen as S
+from .catalog import register
+
+_TS_FMT_SPARK = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+_TS_FMT_DUCK = "%Y-%m-%d %H:%M:%S.%f"
+
+
+@register("fresh_snapshot", f"""
+WITH a AS (SELECT max(ts) AS as_of FROM events),
+w AS (SELECT * FROM events WHERE ts <= (SELECT as_of FROM a) AND ts >= (SELECT as_of FROM a) - INTERVAL {TTL_NEWS} SECOND)
+SELECT user_id, strftime(max(ts), '{_TS_FMT_DUCK}') AS ts, arg_max(value, ts) AS value, arg_max(event_id, ts) AS event_id
+FROM w GROUP BY user_id
+""")
+def fresh_snapshot_q(spark, sf):
+    """SRC-2: newest event per user inside the TTL window ending at the newest event."""
+    ev = load_table(spark, sf, "events", ["event_id", "ts", "user_id", "value"])
+    as_of = ev.agg(F.max("ts")).scalar()
+    fresh = fresh_snapshot(ev, "user_id", "ts", as_of, TTL_NEWS, ["value", "event_id"])
+    return fresh.select("user_id", F.date_format("ts", _TS_FMT_SPARK).alias("ts"), "value", "event_id")
+
+
+_IMG_SQL = ("CASE WHEN event_type = 'view' THEN 'img' || CAST(event_id AS VARCHAR) "
+            "WHEN event_type = 'error' THEN '' END")
+
+
+@register("carry_forward", f"""
+SELECT event_id, {_IMG_SQL} AS img_documented,
+       last_value({_IMG_SQL} IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS img_observed
+FROM events
+""")
+def carry_forward(spark, sf):
+    """W-2: ``observed`` carries the last image forward inside each partition (an empty
+    string blocks it); ``documented`` keeps each row's own value."""
+    ev = load_table(spark, sf, "events", ["event_id", "ts", "user_id", "event_type"])
+    img = (F.when(F.col("event_type") == "view", F.concat(F.lit("img"), F.col("event_id").cast("string")))
+           .when(F.col("event_type") == "error", F.lit("")))
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    e = ev.withColumn("img", img)
+    return e.select("event_id", F.col("img").alias("img_documented"),
+                    F.last("img", ignorenulls=True).over(w).alias("img_observed"))
+
+
+def _date_text_spark():
+    k = F.col("event_id") % 5
+    return (F.when(k == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+            .when(k == 1, F.date_format("ts", "MMM d, yyyy"))
+            .when(k == 2, F.concat((F.col("event_id") % 9).cast("string"), F.lit(" days ago")))
+            .when(k == 3, F.lit("soon"))
+            .otherwise(F.date_format("ts", "yyyy/MM/dd")))
+
+
+@register("parse_dates", """
+WITH a AS (SELECT max(ts) AS as_of FROM events),
+t AS (SELECT event_id, event_id % 5 AS k, ts FROM events)
+SELECT event_id,
+  CAST(epoch(CASE WHEN k = 0 THEN date_trunc('second', ts) ELSE (SELECT as_of FROM a) END) AS BIGINT) AS iso_epoch,
+  CAST(epoch(CASE WHEN k = 0 THEN date_trunc('second', ts)
+                  WHEN k = 1 THEN date_trunc('day', ts)
+                  WHEN k = 2 THEN (SELECT as_of FROM a) - to_days(CAST(event_id % 9 AS INTEGER))
+                  WHEN k = 4 THEN date_trunc('day', ts)
+                  ELSE (SELECT as_of FROM a) END) AS BIGINT) AS multi_epoch
+FROM t
+""")
+def parse_dates(spark, sf):
+    """DATE-1 (ISO or default) and DATE-2 (ISO, format list, 'n units ago', default) on
+    date texts rendered from the event timestamps in five shapes."""
+    ev = load_table(spark, sf, "events", ["event_id", "ts"])
+    as_of = ev.agg(F.max("ts")).scalar()
+    t = ev.withColumn("txt", _date_text_spark())
+    return t.select("event_id",
+                    F.unix_timestamp(D.parse_iso("txt", as_of)).alias("iso_epoch"),
+                    F.unix_timestamp(D.parse_multi("txt", as_of)).alias("multi_epoch"))
+
+
+@register("display_date", "SELECT o_orderkey, strftime(o_orderdate, '%b %-d, %Y') AS shown FROM orders")
+def display_date(spark, sf):
+    orders = load_table(spark, sf, "orders", ["o_orderkey", "o_orderdate"])
+    return orders.select("o_orderkey", D.display_date("o_orderdate").alias("shown"))
+
+
+@register("ordered_collect", f"""
+SELECT conv_id, array_to_string(list(role ORDER BY turn) FILTER (WHERE {S.trim_all('role')} <> ''), ',') AS roles,
+       CAST(count(*) AS BIGINT) AS turns
+FROM conversations GROUP BY conv_id
+""")
+def ordered_collect(spark, sf):
+    """A-2: per conversation, roles in turn order with blanks dropped.  The group is one
+    conversation (a single document's turns), collected as (turn, role) pairs and sorted."""
+    conv = load_table(spark, sf, "conversations", ["conv_id", "turn", "role"])
+    g = conv.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.when(T.trim_all("role") != "", F.struct("turn", "role")))).alias("pairs"),
+        F.count(F.lit(1)).alias("turns"))
+    return g.select("conv_id", F.array_join(F.transform("pairs", lambda p: p["role"]), ",").alias("roles"), "turns")
+
+
+@register("ordered_concat", """
+SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS transcript FROM conversations GROUP BY conv_id
+""")
+def ordered_concat(spark, sf):
+    """A-3: per conversation, turn texts joined in order."""
+    conv = load_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
+    g = conv.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("pairs"))
+    return g.select("conv_id", F.array_join(F.transform("pairs", lambda p: p["text"]), "\n").alias("transcript"))
+
+
+# ------------------------------------------------------------------------------------- SRC-7 / U-2
+
+_FIRST_LINK = f"regexp_extract({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 1)"
+_CANON = "regexp_replace(regexp_replace({u}, '[?#].*$', ''), '(/|\\.html)$', '')"
+_NEXT_SQL = (f"CASE WHEN {_FIRST_LINK} = '' THEN NULL WHEN starts_with({_FIRST_LINK}, 'http') THEN {_FIRST_LINK} "
+             f"WHEN starts_with({_FIRST_LINK}, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || {_FIRST_LINK} "
+             f"ELSE rtrim(regexp_replace(regexp_replace(url, '[?#].*$', ''), '/[^/]*$', ''), '/') || '/' || ltrim({_FIRST_LINK}, '/') END")
+MAX_HOPS = 3
+
+
+@register("follow_chain", f"""
+WITH RECURSIVE p AS (SELECT page_id, url, {_CANON.format(u='url')} AS canon, {_NEXT_SQL} AS nxt FROM pages),
+chain(chain, hop, page_id, nxt) AS (
+  SELECT s.canon, 1, p.page_id, p.nxt FROM (SELECT DISTINCT canon FROM p) s JOIN p ON s.canon = p.canon
+  UNION ALL
+  SELECT c.chain, c.hop + 1, p.page_id, p.nxt FROM chain c JOIN p ON {_CANON.format(u='c.nxt')} = p.canon
+  WHERE c.hop < {MAX_HOPS} AND c.nxt IS NOT NULL AND c.nxt <> '')
+SELECT chain, CAST(hop AS INTEGER) AS hop, page_id FROM chain
+""")
+def follow_chain_q(spark, sf):
+    """SRC-7 + U-2: from every page follow its first link (resolved, matched on canonical
+    URL) for up to MAX_HOPS pages; the union of hops is the crawl."""
+    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"]).withColumn("canon", U.canonical_url("url"))
+    first = F.element_at(H.link_hrefs(H.content_html("html")), 1)
+    nxt = F.when(first.isNull() | (first == ""), F.lit(None).cast("string")).otherwise(
+        U.resolve_host_relative(first, U.origin_of("url"), U.base_dir_of("url")))
+    keyed = pages.select("page_id", F.col("canon").alias("url"), U.canonical_url(nxt).alias("next_canon"))
+    hopped = follow_chain(keyed, keyed.select("url").distinct(), F.col("next_canon"), MAX_HOPS)
+    return hopped.select("chain", F.col("hop").cast("int").alias("hop"), "page_id")
+
+
+# ------------------------------------------------------------------------------------- W-3 / F-10
+
+LINK_LIMIT = 3
+
+
+@register("feed_position", f"""
+SELECT page_id AS listing_id, CAST(unnest(range(0, len(h))) AS BIGINT) AS pos, unnest(h) AS href
+FROM (SELECT page_id, list_filter(regexp_extract_all({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 1), lambda x: x <> '') AS h FROM pages)
+""")
+def feed_position(spark, sf):
+    """W-3: append position of each usable link inside its listing page (row-local
+    ``posexplode``; no global window)."""
+    pages = load_table(spark, sf, "pages", ["page_id", "html"])
+    hrefs = F.filter(H.link_hrefs(H.content_html("html")), lambda h: h != "")
+    return pages.select(F.col("page_id").alias("listing_id"), F.posexplode(hrefs).alias("pos", "href")) \
+        .select("listing_id", F.col("pos").cast("bigint").alias("pos"), "href")
+
+
+@register("limit_nonblank", f"""
+WITH l AS (SELECT page_id,
+  list_filter(list_transform(regexp_extract_all({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 2),
+                             lambda t: {S.trim_all(S.strip_tags('t'))}), lambda t: t <> '') AS ts FROM pages),
+k AS (SELECT page_id, ts[1:{LINK_LIMIT}] AS ts FROM l)
+SELECT page_id, CAST(unnest(range(0, len(ts))) AS BIGINT) AS pos, unnest(ts) AS title FROM k
+""")
+def limit_nonblank(spark, sf):
+    """F-10 + T-3: the first ``limit`` links with a non-blank title per listing page; blank
+    titles do not use up the limit.  Row-local ``filter`` + ``slice``: no window, no shuffle."""
+    pages = load_table(spark, sf, "pages", ["page_id", "html"])
+    titles = F.transform(H.link_texts(H.content_html("html")), lambda t: T.trim_all(T.strip_tags(t)))
+    kept = F.slice(F.filter(titles, lambda t: t != ""), 1, clamp_limit(LINK_LIMIT))
+    return pages.select("page_id", F.posexplode(kept).alias("pos", "title")) \
+        .select("page_id", F.col("pos").cast("bigint").alias("pos"), "title")

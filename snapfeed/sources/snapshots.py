@@ -65,14 +65,16 @@ def follow_chain(pages: DataFrame, seeds: DataFrame, next_url: Column, max_pages
     cols = pages.columns
     if n <= 0:
         return pages.limit(0).select(F.lit(None).cast("string").alias("chain"), F.lit(0).alias("hop"), *cols)
-    pages_next = pages.withColumn("_next", next_url)
+    pages_next = pages.withColumn("_next", next_url).alias("pn")
     frontier = seeds.select(F.col(url_col).alias("chain"), F.col(url_col).alias("_want"))
     hops = []
     for hop in range(1, n + 1):
-        found = frontier.join(pages_next, F.col("_want") == pages_next[url_col], "inner")
-        step = found.select("chain", F.lit(hop).alias("hop"), *[pages_next[c] for c in cols], "_next")
+        found = frontier.alias("fr").join(pages_next, F.col("fr._want") == F.col(f"pn.{url_col}"), "inner")
+        step = found.select(F.col("fr.chain").alias("chain"), F.lit(hop).alias("hop"),
+                            *[F.col(f"pn.{c}").alias(c) for c in cols], F.col("pn._next").alias("_next"))
         hops.append(step.drop("_next"))
-        frontier = step.where(F.col("_next").isNotNull() & (F.col("_next") != "")).select("chain", F.col("_next").alias("_want"))
+        frontier = step.where(F.col("_next").isNotNull() & (F.col("_next") != "")) \
+            .select("chain", F.col("_next").alias("_want"))
     out = hops[0]
     for h in hops[1:]:
         out = out.unionByName(h)
