@@ -139,7 +139,7 @@ def follow_chain_q(spark, sf):
     """SRC-7 + U-2: from every page follow its first link (resolved, matched on canonical
     URL) for up to MAX_HOPS pages; the union of hops is the crawl."""
     pages = load_table(spark, sf, "pages", ["page_id", "url", "html"]).withColumn("canon", U.canonical_url("url"))
-    first = F.element_at(H.link_hrefs(H.content_html("html")), 1)
+    first = F.try_element_at(H.link_hrefs(H.content_html("html")), F.lit(1))
     nxt = F.when(first.isNull() | (first == ""), F.lit(None).cast("string")).otherwise(
         U.resolve_host_relative(first, U.origin_of("url"), U.base_dir_of("url")))
     keyed = pages.select("page_id", F.col("canon").alias("url"), U.canonical_url(nxt).alias("next_canon"))

@@ -1 +1,96 @@
-"""placeholder"""
+"""Queries on the node table of NODE-1 (rows-only checks: the DOM tree rules are not
+expressible in the SQL oracle) and the URL-level image block-list (IMG-2, oracle)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import rules, urls as U
+from ..operators import images as I
+from ..operators import nodes as N
+from ..sources.snapshots import load_table
+from . import sqlgen as S
+from .catalog import register
+
+
+def _nodes(spark, sf, keep=None):
+    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
+    return N.page_nodes(pages, keep=keep)
+
+
+@register("page_nodes")
+def page_nodes(spark, sf):
+    """NODE-1: every element of every page with position, ancestors and text."""
+    nodes = _nodes(spark, sf)
+    e = nodes.select("page_id", F.explode("nodes").alias("n"))
+    return e.select("page_id", F.col("n.node_id").alias("node_id"), F.col("n.tag").alias("tag"),
+                    F.col("n.elem_id").alias("elem_id"), F.array_join("n.classes", " ").alias("classes"),
+                    F.size("n.path").alias("depth"), F.col("n.text").alias("text"))
+
+
+@register("selector_fallback")
+def selector_fallback(spark, sf):
+    """NODE-4 + NODE-5: listing candidates from the first selector that matches, then the
+    link of each candidate (itself if ``a``, else its first descendant ``a``)."""
+    nodes = _nodes(spark, sf)
+    fb = nodes.select("page_id", "url", "nodes", N.first_nonempty(F.col("nodes"), rules.LISTING_SELECTORS).alias("fb"))
+    e = fb.select("page_id", "url", "nodes", F.col("fb.rank").alias("rank"), F.posexplode("fb.matches").alias("pos", "m"))
+    link = N.descendant_link(F.col("nodes"), F.col("m"))
+    return e.select("page_id", "rank", "pos", F.col("m.tag").alias("tag"), link["attrs"]["href"].alias("href"))
+
+
+@register("selector_path")
+def selector_path(spark, sf):
+    """NODE-2 with descendant and child chains: article paragraphs and nav links."""
+    nodes = _nodes(spark, sf)
+    return nodes.select(
+        "page_id",
+        F.size(N.select(F.col("nodes"), "article p")).alias("article_paragraphs"),
+        F.size(N.select(F.col("nodes"), "nav > ul > li > a")).alias("nav_links"),
+        F.size(N.select(F.col("nodes"), "div.ad, footer")).alias("ad_or_footer"),
+        N.first(F.col("nodes"), "h1")["text"].alias("h1_text"))
+
+
+@register("hero_image")
+def hero_image(spark, sf):
+    """IMG-3 on every page (null where the page has no usable image)."""
+    nodes = _nodes(spark, sf, keep=None)
+    return I.hero_image(nodes, "nodes", U.origin_of("url"), U.base_dir_of("url")).select("page_id", "image")
+
+
+@register("srcset_best")
+def srcset_best(spark, sf):
+    """IMG-1 over every ``img[srcset]`` of every page."""
+    nodes = _nodes(spark, sf, keep=["img"])
+    imgs = nodes.select("page_id", F.explode(N.select(F.col("nodes"), "img[srcset]")).alias("n"))
+    return imgs.select("page_id", F.col("n.node_id").alias("node_id"), I.best_srcset(F.col("n.attrs")["srcset"]).alias("best"))
+
+
+@register("coverage_report")
+def coverage_report(spark, sf):
+    """A-4: per diagnostic selector, pages where it is found / missing and the average
+    text length when found; plus image counters.  Per-page flags are computed row-locally,
+    then one small grouped aggregate (7 + 3 keys, combined map-side)."""
+    nodes = _nodes(spark, sf)
+    n = F.col("nodes")
+    probes = [F.struct(F.lit(sel).alias("selector"), F.lit(desc).alias("label"),
+                       F.length(F.btrim(N.first(n, sel)["text"])).alias("len"))
+              for sel, desc in rules.COVERAGE_SELECTORS]
+    counters = [("img[srcset]", "Images with srcset"), ("img[src]", "Images with src"),
+                ("#subscription-content img, .article-body img, .mar-article-image img", "Content area images")]
+    probes += [F.struct(F.lit(sel).alias("selector"), F.lit(desc).alias("label"),
+                        F.size(N.select(n, sel)).alias("len")) for sel, desc in counters]
+    e = nodes.select(F.explode(F.array(*probes)).alias("p"))
+    return e.groupBy(F.col("p.selector").alias("selector"), F.col("p.label").alias("label")).agg(
+        F.count_if(F.col("p.len").isNotNull()).alias("pages_found"),
+        F.count_if(F.col("p.len").isNull()).alias("pages_missing"),
+        F.round(F.avg("p.len"), 2).alias("avg_len"))
+
+
+@register("image_url_block", f"""
+SELECT page_id, url, NOT {S.contains_any('lower(url)', rules.IMAGE_URL_BLOCKLIST)} AS valid FROM pages
+""")
+def image_url_block(spark, sf):
+    """IMG-2 applied to every stored URL."""
+    pages = load_table(spark, sf, "pages", ["page_id", "url"])
+    return pages.select("page_id", "url", I.valid_image("url").alias("valid"))
