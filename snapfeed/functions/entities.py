@@ -26,12 +26,29 @@ def entity_table(table: str) -> tuple[tuple[str, str], ...]:
     raise ValueError(f"unknown entity table {table!r}")
 
 
+def _sql_string(text: str) -> str:
+    """Spark SQL string literal with every non-alphanumeric UTF-16 unit escaped."""
+    out = []
+    for ch in text:
+        if ch.isascii() and ch.isalnum():
+            out.append(ch)
+        else:
+            data = ch.encode("utf-16-be")
+            for i in range(0, len(data), 2):
+                out.append("\\u%04X" % int.from_bytes(data[i:i + 2], "big"))
+    return "'" + "".join(out) + "'"
+
+
+@lru_cache(maxsize=None)
+def _map_sql(table: str) -> str:
+    names = ", ".join(_sql_string(n) for n, _ in entity_table(table))
+    values = ", ".join(_sql_string(v) for _, v in entity_table(table))
+    return f"map_from_arrays(array({names}), array({values}))"
+
+
 def _map_literal(table: str) -> Column:
-    args = []
-    for name, value in entity_table(table):
-        args.append(F.lit(name))
-        args.append(F.lit(value))
-    return F.create_map(*args)
+    # One parsed expression (a single JVM call); the optimizer folds it to a map literal.
+    return F.expr(_map_sql(table))
 
 
 def _code_point_char(cp: Column) -> Column:

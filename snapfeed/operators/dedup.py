@@ -35,3 +35,14 @@ def feed_position(df: DataFrame, partition: str | None, order: list[Column], nam
 def combine_feeds(frames: list[DataFrame]) -> DataFrame:
     """U-1: one item shape for all generators (missing columns become null)."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Evaluate every column of ``df`` once, in its own projection.
+
+    Catalyst pushes a filter below the projection that defines the filtered columns and
+    substitutes their definitions, so a filter on an expensive derived column (a regex
+    chain over a whole page) recomputes it.  A one-element ``inline`` is a Generate node:
+    predicates on its output are not pushed below it, so downstream filters read the
+    computed values instead.  It adds no shuffle and no copy beyond the projection."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))

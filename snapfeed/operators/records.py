@@ -87,7 +87,7 @@ def describe_model(m: dict) -> Column:
     summary = trim_all(strip_tags(m["summary"]))
     p_summary = F.when(~is_blank(m["summary"]) & ~is_blank(summary),
                        F.concat(F.lit("<p>"), html_escape(summary), F.lit("</p>")))
-    desc = clean_description(m["description"])
+    desc = m["description_clean"] if "description_clean" in m else clean_description(m["description"])
     p_desc = F.when(~is_blank(m["description"]) & ~is_blank(desc), desc)
     stats = F.concat_ws(", ",
                         F.when(m["likes"] > 0, F.concat(format_int(m["likes"]), F.lit(" likes"))),
@@ -106,7 +106,7 @@ def describe_model(m: dict) -> Column:
                        F.when(m["user"].isNotNull(), F.concat(F.lit("Creator: "), creator)))
     p_meta = F.when(meta != "", F.concat(F.lit("<p>"), meta, F.lit("</p>")))
     body = F.concat_ws("", p_summary, p_desc, p_stats, p_meta)
-    return F.when(body == "", F.lit(rules.MODEL_FALLBACK_SENTENCE)).otherwise(body)
+    return F.coalesce(F.nullif(body, F.lit("")), F.lit(rules.MODEL_FALLBACK_SENTENCE))
 
 
 def render_model(name, image_path, description_html) -> Column:

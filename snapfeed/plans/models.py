@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules, text as T, urls as U
+from ..functions.cleaners import clean_description
+from ..operators.dedup import materialize
 from ..operators import ranking as R
 from ..operators import records as M
 from ..sources.snapshots import load_table
@@ -128,7 +130,9 @@ def describe_model(spark, sf):
     rec = model_records(spark, sf)
     docs = load_table(spark, sf, "documents", ["doc_id", "text"])
     d = rec.join(docs, rec.id == docs.doc_id, "left").withColumnRenamed("text", "description")
-    return d.select("id", M.render_model("name", "image", M.describe_model(_describe_cols(d))).alias("content"))
+    d = materialize(d.withColumn("description_clean", clean_description(F.col("description"))))
+    cols = dict(_describe_cols(d), description_clean=F.col("description_clean"))
+    return d.select("id", M.render_model("name", "image", M.describe_model(cols)).alias("content"))
 
 
 # ------------------------------------------------------------------------------------- STR-13/14, URL-4, ARR

@@ -13,7 +13,7 @@ from ..functions import cleaners, html as H, rules, text as T, urls as U
 from ..functions.entities import HTML4, decode_entities
 from ..operators import article as A
 from ..operators import terms as K
-from ..operators.dedup import first_seen
+from ..operators.dedup import first_seen, materialize
 from ..sources.snapshots import load_table
 from . import sqlgen as S
 from .catalog import register
@@ -53,20 +53,20 @@ def article_items(pages: DataFrame, terms: K.Terms = NEWS_TERMS, excerpt_length:
         T.strip_tags(content).alias("page_text"),
         A.paragraphs("html").alias("paras"),
     )
-    titled = staged.withColumn("title", A.title_choice(F.col("h1"), F.col("link_text"), semantics)) \
-        .where(F.col("title").isNotNull())
+    staged = materialize(staged.withColumn("title", A.title_choice(F.col("h1"), F.col("link_text"), semantics)))
+    titled = staged.where(F.col("title").isNotNull())
     titled = titled.withColumn("title", A.live_title(F.col("title"), F.lit(None).cast("string")))
     kept = titled.where(~K.is_advert("title", "page_text", **advert_terms))
     body = A.body_cascade(F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string"),
                           F.col("paras"))
-    with_body = kept.withColumn("body_html", body)
+    with_body = materialize(kept.withColumn("body_html", body))
     body_texts = H.paragraph_texts(F.coalesce(F.col("body_html"), F.lit("")))
     excerpt = F.when(F.col("body_html").isNotNull(), A.excerpt_from_texts(body_texts, n)).otherwise(F.lit(""))
     fallback = A.fallback_excerpt(F.transform("paras", lambda p: p["text"]), n)
     ex = with_body.withColumn("excerpt", excerpt)
     ex = ex.withColumn("excerpt", F.when(F.col("body_html").isNull() & (F.col("excerpt") == ""), fallback)
                        .otherwise(F.col("excerpt")))
-    ex = ex.withColumn("excerpt", A.decode_excerpt(F.col("excerpt")))
+    ex = materialize(ex.withColumn("excerpt", A.decode_excerpt(F.col("excerpt"))))
     matched = ex.where(K.match_literal("title", "excerpt", terms, semantics))
     cleaned = matched.withColumn("clean", decode_entities(cleaners.clean_content(F.coalesce("body_html", F.lit("")),
                                                                                T.OBSERVED), HTML4))
