@@ -134,10 +134,14 @@ def match_feeds(items: DataFrame, feeds: list[tuple[object, Terms]], title="titl
                 semantics: str = DOCUMENTED, feed_col: str = "feed_id") -> DataFrame:
     """F-7 / J-5: every feed's spec against every item in one map-side projection; emits
     one row per accepted (item, feed).  Work is linear in items, no shuffle."""
-    text = match_text(title, summary)
+    from .dedup import materialize
+    # The match text is computed once per item, before the lambda that probes every term
+    # (a column referenced inside a lambda is otherwise re-evaluated per element).
+    staged = materialize(items.withColumn("_text", match_text(title, summary)))
+    text = F.col("_text")
     vocab = sorted({t for _, tm in feeds for t in (*tm.include, *tm.exclude, *(x for g in tm.overrides for x in g))})
     hits = F.filter(_lit_array(vocab), lambda t: text.contains(t)) if vocab else F.array().cast("array<string>")
-    staged = items.withColumn("_hits", hits)
+    staged = staged.withColumn("_hits", hits).drop("_text")
     h = F.col("_hits")
     accepted = []
     for fid, tm in feeds:

@@ -343,3 +343,43 @@ def payload_gate(spark, sf):
     good, bad = M.split_payloads(_payloads(spark, sf))
     bad = bad.select("event_id", F.regexp_replace("reason", r"^errors: .*$", "errors").alias("reason"))
     return good.select("event_id", F.lit(None).cast("string").alias("reason")).unionByName(bad)
+
+
+# ------------------------------------------------------------------------------------- JSON generator E2E
+
+def _models_feed_sql() -> str:
+    inner = _describe_sql().strip()
+    return f"""
+WITH {_records_sql()},
+top AS (SELECT id, likes_7d, name, slug, "user", published, path,
+               row_number() OVER (ORDER BY likes_7d DESC, id ASC) - 1 AS pos
+        FROM rec ORDER BY likes_7d DESC, id ASC LIMIT {TOP_N}),
+described AS ({inner})
+SELECT 'models' AS feed, top.name AS title,
+       'https://www.printables.com/model/' || CAST(top.id AS VARCHAR) || '-' || top.slug AS uri,
+       described.content AS content, coalesce(top."user", 'Unknown') AS author,
+       CAST(epoch(top.published) AS BIGINT) AS "timestamp", 'printables_' || CAST(top.id AS VARCHAR) AS uid,
+       array_to_string(top.path, '|') AS categories, CAST(top.pos AS BIGINT) AS pos
+FROM top JOIN described ON described.id = top.id
+"""
+
+
+@register("models_feed", _models_feed_sql())
+def models_feed(spark, sf):
+    """JSON models generator end to end: trending rank (T-1) and clamped limit (T-3) on the
+    list records *before* the detail join (J-2), so only ``limit`` details are joined and
+    rendered (STR-15/16, URL-4, JSON-1, ARR-1)."""
+    from pyspark.sql.window import Window
+    rec = model_records(spark, sf)
+    top = R.top_n(rec, R.metric_for("trending", R.JSON_METRICS), "id", TOP_N)
+    top = top.withColumn("pos", (F.row_number().over(Window.orderBy(F.col("likes_7d").desc(), F.col("id"))) - 1)
+                         .cast("bigint"))  # window over the <= 50 kept rows only
+    docs = load_table(spark, sf, "documents", ["doc_id", "text"])
+    d = top.join(docs, top.id == docs.doc_id, "left").withColumnRenamed("text", "description")
+    d = materialize(d.withColumn("description_clean", clean_description(F.col("description"))))
+    cols = dict(_describe_cols(d), description_clean=F.col("description_clean"))
+    return d.select(
+        F.lit("models").alias("feed"), F.col("name").alias("title"), U.model_uri("id", "slug").alias("uri"),
+        M.render_model("name", "image", M.describe_model(cols)).alias("content"),
+        M.with_default(F.col("user")).alias("author"), F.unix_timestamp("published").alias("timestamp"),
+        U.model_uid("id").alias("uid"), F.array_join(M.names_of("path_s"), "|").alias("categories"), "pos")

@@ -149,10 +149,11 @@ register("article_feed", _article_feed_sql())(article_feed)
 # ----------------------------------------------------------------------------------- documents as items
 
 def doc_items(spark, sf):
-    """Documents as feed candidates: first line = title, 200-char excerpt = summary."""
+    """Documents as feed candidates: first line = title, 200-char excerpt = summary
+    (materialised, so term tests inside lambdas read the computed values)."""
     docs = load_table(spark, sf, "documents", ["doc_id", "text"])
-    return docs.select("doc_id", T.trim_all(F.substring_index("text", "\n", 1)).alias("title"),
-                       T.truncate_words("text", EXCERPT_LENGTH).alias("summary"), "text")
+    return materialize(docs.select("doc_id", T.trim_all(F.substring_index("text", "\n", 1)).alias("title"),
+                                   T.truncate_words("text", EXCERPT_LENGTH).alias("summary"), "text"))
 
 
 def _doc_items_sql() -> str:
