@@ -94,3 +94,61 @@ def image_url_block(spark, sf):
     """IMG-2 applied to every stored URL."""
     pages = load_table(spark, sf, "pages", ["page_id", "url"])
     return pages.select("page_id", "url", I.valid_image("url").alias("valid"))
+
+
+def html_model_items(pages, limit: int = 20, as_of=None):
+    """HTML models generator end to end over stored pages: listing links ``h3 a, h2 a``
+    with a non-blank title, first ``limit`` per listing (F-10, T-3), URI resolution (URL-2)
+    and a left join to the detail page on canonical URL (J-3), then image (IMG-4),
+    description (STR-12), author, tags (A-2), date (DATE-2) and the view link (STR-15).
+    One node table serves both sides; every per-page step is row-local."""
+    from ..functions import cleaners, dates, text as T
+    from ..functions.entities import HTML4, decode_entities
+    from ..operators.dedup import materialize
+    from ..operators.ranking import clamp_limit
+    site = F.lit(rules.HTML_SITE)
+    nodes = materialize(N.page_nodes(pages))
+    links = F.filter(F.transform(N.select(F.col("nodes"), rules.MODEL_LINK_SELECTOR),
+                                 lambda n: F.struct(T.trim_all(n["text"]).alias("title"),
+                                                    F.coalesce(n["attrs"]["href"], F.lit("")).alias("href"))),
+                     lambda l: l["title"] != "")
+    items = nodes.select(F.col("page_id").alias("listing_id"),
+                         F.posexplode(F.slice(links, 1, clamp_limit(limit))).alias("pos", "l"))
+    items = items.select("listing_id", F.col("pos").cast("bigint").alias("pos"), F.col("l.title").alias("title"),
+                         decode_entities(U.resolve_protocol_relative(F.col("l.href"), site), HTML4).alias("uri"))
+    n = F.col("d_nodes")
+    detail = nodes.select(U.canonical_url("url").alias("d_canon"), F.col("nodes").alias("d_nodes"))
+    joined = items.join(detail, U.canonical_url(F.col("uri")) == F.col("d_canon"), "left")
+    desc_el = N.first(n, rules.MODEL_DESCRIPTION_SELECTOR)
+    meta_desc = N.first(n, "meta[name=description]")
+    raw = (F.when(desc_el.isNotNull(), desc_el["inner_html"])
+           .when(meta_desc.isNotNull(), F.concat(F.lit("<p>"), F.coalesce(meta_desc["attrs"]["content"], F.lit("")), F.lit("</p>")))
+           .otherwise(F.lit("")))
+    date_el = N.first(n, rules.MODEL_DATE_SELECTOR)
+    date_txt = F.coalesce(F.nullif(date_el["attrs"]["datetime"], F.lit("")), date_el["text"])
+    as_of_col = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
+    staged = materialize(joined.select(
+        "listing_id", "pos", "title", "uri", F.col("d_nodes").isNotNull().alias("has_detail"),
+        I.page_image(n, site).alias("image"), cleaners.blocks_to_paragraphs(raw).alias("desc"),
+        T.trim_all(N.first(n, rules.MODEL_AUTHOR_SELECTOR)["text"]).alias("author"),
+        F.filter(F.transform(N.select(n, rules.MODEL_TAG_SELECTOR), lambda t: T.trim_all(t["text"])),
+                 lambda t: t != "").alias("categories"),
+        F.when(F.length(F.coalesce(date_txt, F.lit(""))) > 0, dates.parse_multi(date_txt, as_of_col)).alias("ts")))
+    img_html = F.when(F.col("image").isNotNull(), F.concat(F.lit('<img src="'), F.col("image"), F.lit('"><br>')))
+    content = F.concat(F.coalesce(img_html, F.lit("")), F.coalesce(F.col("desc"), F.lit("")),
+                       F.lit('<p><a href="'), F.col("uri"), F.lit('">View on MakerWorld</a></p>'))
+    return staged.select(
+        F.lit("models_html").alias("feed"), "title", "uri", content.alias("content"),
+        F.coalesce(F.col("author"), F.lit("")).alias("author"),
+        F.coalesce(F.col("categories"), F.array().cast("array<string>")).alias("categories"),
+        F.when(F.col("image").isNotNull(), F.array("image")).otherwise(F.array().cast("array<string>")).alias("enclosures"),
+        F.coalesce(F.col("ts"), as_of_col).alias("timestamp"), "listing_id", "pos")
+
+
+@register("models_html_feed")
+def models_html_feed(spark, sf):
+    """HTML models generator over every stored page (pages without ``h3 a``/``h2 a`` links
+    contribute no items)."""
+    import datetime as dt
+    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
+    return html_model_items(pages, limit=20, as_of=dt.datetime(2024, 2, 1))

@@ -85,3 +85,25 @@ def test_scale_plan_shapes(spark):
     assert "PushedFilters: [IsNotNull(p_type), EqualTo(p_type,PROMO)]" in scan
     feeds = _plan(q["match_many_feeds"](spark, SF_SMALL))
     assert "Exchange" not in feeds and "NestedLoop" not in feeds  # no shuffle, no pair join
+
+
+def test_html_models_feed_on_fixture(spark):
+    import datetime as dt
+    from snapfeed.plans.nodes_queries import html_model_items
+    listing = ("<html><body><h3><a href='//makerworld.com/m/1'>First</a></h3><h2><a href='/m/2'> </a></h2>"
+               "<h2><a href='https://makerworld.com/m/3'>Third</a></h2></body></html>")
+    detail = ("<html><head><meta property='og:image' content='//img/x.jpg'></head><body>"
+              "<div class='model-description'><p>Line one</p><div>Two</div></div>"
+              "<span class='author-name'><a> Ann </a></span><div class='tag-list'><a>pla</a><a> </a><a>toy</a></div>"
+              "<time datetime='2024-01-05T00:00:00Z'>x</time></body></html>")
+    pages = spark.createDataFrame([(1, "https://makerworld.com/en/3d-models", listing),
+                                   (2, "https://makerworld.com/m/1", detail)], "page_id long, url string, html string")
+    rows = {r["title"]: r for r in html_model_items(pages, limit=20, as_of=dt.datetime(2024, 2, 1)).collect()}
+    assert set(rows) == {"First", "Third"}
+    first = rows["First"]
+    assert first["uri"] == "https://makerworld.com/m/1"
+    assert first["author"] == "Ann" and list(first["categories"]) == ["pla", "toy"]
+    assert list(first["enclosures"]) == ["https://img/x.jpg"]
+    assert first["content"] == ('<img src="https://img/x.jpg"><br><p>Line one</p><p>Two</p><p><a href="https://makerworld.com/m/1">View on MakerWorld</a></p>')
+    assert first["timestamp"] == dt.datetime(2024, 1, 5)
+    assert rows["Third"]["author"] == "" and rows["Third"]["timestamp"] == dt.datetime(2024, 2, 1)
