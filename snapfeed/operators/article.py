@@ -61,7 +61,7 @@ def paragraphs(html) -> Column:
     """array<struct<html, text>> of the page's paragraphs, document order."""
     return F.transform(
         H.paragraph_html(H.content_html(html)),
-        lambda p: F.struct(p.alias("html"), trim_all(strip_tags(p)).alias("text")),
+        lambda p: F.struct(p.alias("html"), trim_all(strip_tags(p)).alias("text"), F.lit(False).alias("lead")),
     )
 
 
@@ -80,6 +80,11 @@ def paragraph_body_html(paras: Column) -> Column:
 
 # --- EXC-1 / EXC-3 --------------------------------------------------------------------------------
 
+def excerpt_join(texts: Column) -> Column:
+    """EXC-1 selection: paragraphs of 20+ characters without junk, joined with spaces."""
+    return F.array_join(F.filter(texts, lambda t: (F.length(t) >= 20) & ~excerpt_junk(t)), " ")
+
+
 def excerpt_from_texts(texts: Column, n: int) -> Column:
     """EXC-1: keep paragraphs of 20+ characters without junk, join with spaces, truncate.
     Returns '' for an empty selection."""
@@ -127,6 +132,22 @@ def body_cascade(live_inner: Column, live_summary_inner: Column, main_inner: Col
             .otherwise(paragraph_body_html(paras)))
 
 
+def body_choice(live_inner: Column, live_summary_inner: Column, main_inner: Column, paras: Column) -> Column:
+    """BODY-1 with the chosen branch: struct<branch int (1 live summary, 2 live content,
+    3 main container, 4 paragraphs, null none), html string>."""
+    def tlen(c):
+        return F.coalesce(F.length(trim_all(strip_tags(c))), F.lit(0))
+    live = tlen(live_inner) > 50
+    para_html = paragraph_body_html(paras)
+    branch = (F.when(live & (tlen(live_summary_inner) > 50), F.lit(1))
+              .when(live & (tlen(live_inner) > 100), F.lit(2))
+              .when(tlen(main_inner) > 100, F.lit(3))
+              .when(para_html.isNotNull(), F.lit(4)))
+    html = (F.when(branch == 1, live_summary_inner).when(branch == 2, live_inner)
+            .when(branch == 3, main_inner).when(branch == 4, para_html))
+    return F.struct(branch.alias("branch"), html.alias("html"))
+
+
 def lead_prepend(text: Column, lead_text: Column, semantics: str = OBSERVED) -> Column:
     """EXC-2: prepend a clean lead paragraph.  ``documented`` skips the lead when the text
     already starts with it."""

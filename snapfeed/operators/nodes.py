@@ -161,7 +161,8 @@ def page_nodes(pages: DataFrame, keep: list[str] | None = None, id_col: str = "p
             res["nodes"] = out
             yield res
 
-    return pages.select(id_col, *extras, "html").mapInPandas(run, schema)
+    in_cols = [id_col] + [c for c in extras if c != "html"] + ["html"]
+    return pages.select(*in_cols).mapInPandas(run, schema)
 
 
 # ---------------------------------------------------------------------------------------- NODE-2 selectors

@@ -9,7 +9,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import cleaners, html as H, rules, text as T, urls as U
+from ..functions import cleaners, dates as D, html as H, rules, text as T, urls as U
 from ..functions.entities import HTML4, decode_entities
 from ..operators import article as A
 from ..operators import terms as K
@@ -32,54 +32,128 @@ FEED_NAME = "news"
 
 # ----------------------------------------------------------------------------------- article job
 
+# Pages carrying any of these markers need the node table (containers by id, images, tags,
+# time, lead paragraph); every other page takes the native (codegen) path.
+DOM_MARKERS = (r"(?i)id\s*=\s*[\"']?(?:liveArticleContent|live-article-content__livefeed-summary|"
+               r"subscription-replace-entire-article)|<img[\s/>]|<time[\s/>]|mar-article__article-tags|"
+               r"article-first-paragraph")
+
+
+def _null():
+    return F.lit(None).cast("string")
+
+
+def native_front(pages: DataFrame) -> DataFrame:
+    """Article fields from raw HTML with codegen expressions only (flat targets)."""
+    link = F.col("link_text") if "link_text" in pages.columns else H.first_tag_text("html", "title")
+    return pages.select(
+        "page_id", "url",
+        H.first_tag_inner("html", "h1").alias("h1"),
+        F.coalesce(link, F.lit("")).alias("link_text"),
+        T.strip_tags(H.content_html("html")).alias("page_text"),
+        A.paragraphs("html").alias("paras"),
+        _null().alias("live"), _null().alias("live_summary"), _null().alias("main"),
+        _null().alias("lead_live_summary"), _null().alias("lead_live"), _null().alias("lead_main"),
+        _null().alias("image"), F.array().cast("array<string>").alias("categories"), _null().alias("time_attr"))
+
+
+def dom_front(pages: DataFrame, semantics: str = T.OBSERVED) -> DataFrame:
+    """Article fields from the node table (NODE-1): containers by id, lead paragraph,
+    hero image (IMG-3), tags (A-2 via NODE-11), first ``time``."""
+    from ..operators import images as I
+    from ..operators import nodes as N
+    cols = ["page_id", "url", "html"] + (["link_text"] if "link_text" in pages.columns else [])
+    nodes = materialize(N.page_nodes(pages.select(*cols), extra_cols=tuple(c for c in cols if c != "page_id")))
+    n = F.col("nodes")
+    lead_sel = ".article-first-paragraph"
+
+    def lead_in(container):
+        hit = F.try_element_at(N.within(n, container, lead_sel), F.lit(1))
+        return T.trim_all(hit["text"])
+
+    live_c = N.first(n, rules.LIVE_CONTENT_SELECTOR)
+    summ_c = N.first(n, rules.LIVE_SUMMARY_SELECTOR)
+    main_c = N.first(n, rules.MAIN_CONTENT_SELECTOR)
+    tags_c = N.first(n, rules.TAGS_CONTAINER_SELECTOR)
+    link = F.col("link_text") if "link_text" in pages.columns else T.trim_all(N.first(n, "title")["text"])
+    paras = F.transform(N.select(n, "p"), lambda p: F.struct(
+        p["inner_html"].alias("html"), T.trim_all(p["text"]).alias("text"),
+        F.coalesce(F.array_contains(p["classes"], "article-first-paragraph"), F.lit(False)).alias("lead")))
+    tags = F.filter(F.transform(N.within(n, tags_c, rules.TAG_SELECTOR), lambda t: T.trim_all(t["text"])),
+                    lambda t: t != "")
+    staged = nodes.select(
+        "page_id", "url", "nodes",
+        N.first(n, "h1")["inner_html"].alias("h1"),
+        F.coalesce(link, F.lit("")).alias("link_text"),
+        T.strip_tags(H.content_html("html")).alias("page_text"),
+        paras.alias("paras"),
+        live_c["inner_html"].alias("live"), summ_c["inner_html"].alias("live_summary"),
+        main_c["inner_html"].alias("main"),
+        lead_in(summ_c).alias("lead_live_summary"), lead_in(live_c).alias("lead_live"),
+        lead_in(main_c).alias("lead_main"),
+        F.when(tags_c.isNotNull(), tags).otherwise(F.array().cast("array<string>")).alias("categories"),
+        N.first(n, "time")["attrs"]["datetime"].alias("time_attr"))
+    with_img = I.hero_image(staged, "nodes", U.origin_of("url"), U.base_dir_of("url"), semantics=semantics)
+    return with_img.select("page_id", "url", "h1", "link_text", "page_text", "paras", "live", "live_summary", "main",
+                           "lead_live_summary", "lead_live", "lead_main", "image", "categories", "time_attr")
+
+
 def article_items(pages: DataFrame, terms: K.Terms = NEWS_TERMS, excerpt_length: int = EXCERPT_LENGTH,
                   semantics: str = T.DOCUMENTED, feed: str = FEED_NAME, as_of=NEWS_AS_OF,
-                  advert_terms: dict | None = None) -> DataFrame:
+                  advert_terms: dict | None = None, source_tz: str = "UTC") -> DataFrame:
     """Articles (one page row each, already de-duplicated) -> feed items.
 
-    Stages, all row-local: title (TTL-1) -> live suffix (TTL-2) -> advert drop (F-6) ->
-    body cascade (BODY-1) -> excerpt (EXC-1, EXC-3) -> keyword filter (F-4/5) ->
-    clean (STR-8..10) -> render (STR-15).  The expensive cleaner runs after the filter."""
+    Pages with DOM markers go through the node table, the rest through native extraction;
+    both fronts produce the same fields and share one back-end:
+    title (TTL-1) -> live suffix (TTL-2) -> advert drop (F-6) -> body cascade (BODY-1) ->
+    excerpt with lead paragraph (EXC-1, EXC-2) or fallback (EXC-3) -> keyword filter
+    (F-4/5) -> clean (STR-8..10) -> render (STR-15).  The cleaner runs after the filter."""
     if excerpt_length is None or int(excerpt_length) == 0:
         excerpt_length = EXCERPT_LENGTH
     n = int(excerpt_length)
     advert_terms = advert_terms or {}
-    content = H.content_html("html")
-    staged = pages.select(
-        "page_id", "url",
-        H.first_tag_inner("html", "h1").alias("h1"),
-        F.coalesce(F.col("link_text") if "link_text" in pages.columns else H.first_tag_text("html", "title"),
-                   F.lit("")).alias("link_text"),
-        T.strip_tags(content).alias("page_text"),
-        A.paragraphs("html").alias("paras"),
-    )
-    staged = materialize(staged.withColumn("title", A.title_choice(F.col("h1"), F.col("link_text"), semantics)))
+    needs_dom = F.coalesce(F.col("html").rlike(DOM_MARKERS), F.lit(False))
+    fronts = native_front(pages.where(~needs_dom)).unionByName(dom_front(pages.where(needs_dom)))
+    staged = materialize(fronts.withColumn("title", A.title_choice(F.col("h1"), F.col("link_text"), semantics)))
     titled = staged.where(F.col("title").isNotNull())
-    titled = titled.withColumn("title", A.live_title(F.col("title"), F.lit(None).cast("string")))
+    titled = titled.withColumn("title", A.live_title(F.col("title"), F.col("live")))
     kept = titled.where(~K.is_advert("title", "page_text", **advert_terms))
-    body = A.body_cascade(F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string"),
-                          F.col("paras"))
-    with_body = materialize(kept.withColumn("body_html", body))
-    body_texts = H.paragraph_texts(F.coalesce(F.col("body_html"), F.lit("")))
-    excerpt = F.when(F.col("body_html").isNotNull(), A.excerpt_from_texts(body_texts, n)).otherwise(F.lit(""))
+    body = A.body_choice(F.col("live"), F.col("live_summary"), F.col("main"), F.col("paras"))
+    with_body = materialize(kept.withColumn("body", body))
+    lead = (F.when(F.col("body.branch") == 1, F.col("lead_live_summary"))
+            .when(F.col("body.branch") == 2, F.col("lead_live"))
+            .when(F.col("body.branch") == 3, F.col("lead_main"))
+            .when(F.col("body.branch") == 4, F.try_element_at(F.transform(F.filter(
+                A.body_paragraphs(F.col("paras")), lambda p: p["lead"]), lambda p: p["text"]), F.lit(1))))
+    joined = A.excerpt_join(H.paragraph_texts(F.coalesce(F.col("body.html"), F.lit(""))))
+    excerpt = F.when(F.col("body.html").isNotNull(),
+                     T.truncate_words(A.lead_prepend(joined, lead, semantics), n)).otherwise(F.lit(""))
     fallback = A.fallback_excerpt(F.transform("paras", lambda p: p["text"]), n)
     ex = with_body.withColumn("excerpt", excerpt)
-    ex = ex.withColumn("excerpt", F.when(F.col("body_html").isNull() & (F.col("excerpt") == ""), fallback)
+    ex = ex.withColumn("excerpt", F.when(F.col("body.html").isNull() & (F.col("excerpt") == ""), fallback)
                        .otherwise(F.col("excerpt")))
     ex = materialize(ex.withColumn("excerpt", A.decode_excerpt(F.col("excerpt"))))
     matched = ex.where(K.match_literal("title", "excerpt", terms, semantics))
-    cleaned = matched.withColumn("clean", decode_entities(cleaners.clean_content(F.coalesce("body_html", F.lit("")),
+    cleaned = matched.withColumn("clean", decode_entities(cleaners.clean_content(F.coalesce("body.html", F.lit("")),
                                                                                T.OBSERVED), HTML4))
     summary_box = F.when(F.length("excerpt") > 0, F.concat(
         F.lit('<div class="summary"><strong>Summary:</strong> '), T.html_escape(F.col("excerpt")), F.lit("</div>")))
+    figure = F.when(F.col("image").isNotNull(), F.concat(
+        F.lit('<figure><img src="'), T.html_escape(F.col("image")), F.lit('" alt="'), T.html_escape(F.col("title")),
+        F.lit('"></figure>')))
+    as_of_col = F.lit(as_of).cast("timestamp")
+    ts = F.when(F.col("time_attr").isNotNull() & (F.col("time_attr") != ""),
+                D.parse_iso(F.col("time_attr"), as_of_col, source_tz)).otherwise(as_of_col)
     return cleaned.select(
         F.lit(feed).alias("feed"),
         F.col("title"),
         F.col("url").alias("uri"),
         T.strip_tags("clean").alias("content"),
-        F.concat(F.coalesce(summary_box, F.lit("")), F.col("clean")).alias("content_html"),
-        F.unix_timestamp(F.lit(as_of).cast("timestamp")).alias("timestamp"),
+        F.concat(F.coalesce(figure, F.lit("")), F.coalesce(summary_box, F.lit("")), F.col("clean")).alias("content_html"),
+        F.unix_timestamp(ts).alias("timestamp"),
         F.col("excerpt").alias("summary"),
+        F.coalesce(F.col("image"), F.lit("")).alias("enclosures"),
+        F.array_join("categories", "|").alias("categories"),
         F.col("page_id"),
     )
 
@@ -138,7 +212,7 @@ m AS (SELECT * FROM e3 WHERE NOT ({excluded} AND NOT ({overridden})) AND {includ
 c AS (SELECT *, {clean} AS clean FROM m)
 SELECT '{FEED_NAME}' AS feed, title, url AS uri, {S.strip_tags('clean')} AS content,
        coalesce(CASE WHEN length(excerpt) > 0 THEN '<div class="summary"><strong>Summary:</strong> ' || {S.html_escape('excerpt')} || '</div>' END, '') || clean AS content_html,
-       CAST({as_of} AS BIGINT) AS "timestamp", excerpt AS summary, page_id
+       CAST({as_of} AS BIGINT) AS "timestamp", excerpt AS summary, '' AS enclosures, '' AS categories, page_id
 FROM c
 """
 

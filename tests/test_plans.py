@@ -107,3 +107,35 @@ def test_html_models_feed_on_fixture(spark):
     assert first["content"] == ('<img src="https://img/x.jpg"><br><p>Line one</p><p>Two</p><p><a href="https://makerworld.com/m/1">View on MakerWorld</a></p>')
     assert first["timestamp"] == dt.datetime(2024, 1, 5)
     assert rows["Third"]["author"] == "" and rows["Third"]["timestamp"] == dt.datetime(2024, 2, 1)
+
+
+LIVE = ("<html><head><title>T</title></head><body><h1>Storm &amp; flood</h1>"
+        "<div id='liveArticleContent'><p>" + "live update text " * 5 + "</p>"
+        "<div id='live-article-content__livefeed-summary'><p class='article-first-paragraph'>Lead para about the flood here</p>"
+        "<p>" + "summary words flood " * 4 + "</p></div></div>"
+        "<time datetime='2024-01-03T10:00:00+01:00'>x</time></body></html>")
+MAIN = ("<html><body><h1>Main story</h1><div id='article'><div class='mar-article'><div>"
+        "<div class='mar-article__article-tags'><div class='article-tags'>Flood</div><div class='article-tags'>Essex</div></div>"
+        "</div></div></div><div class='article-hero'><img srcset='/a.jpg 320w, /b.jpg 800w'></div>"
+        "<div id='subscription-replace-entire-article'><p>" + "main body words about flood " * 5 + "</p>"
+        "<script>var x = 1;</script><p>Read more posts</p></div></body></html>")
+
+
+def test_article_items_dom_branches(spark):
+    import datetime as dt
+    from snapfeed.operators.terms import Terms
+    pages = spark.createDataFrame([(1, "https://news.example/a/1", LIVE), (2, "https://news.example/a/2", MAIN)],
+                                  "page_id long, url string, html string")
+    rows = {r["page_id"]: r for r in article_items(pages, terms=Terms(), as_of=dt.datetime(2024, 2, 1)).collect()}
+    live = rows[1]
+    assert live["title"] == "Storm & flood - LIVE FEED"
+    # summary branch; the lead is prepended (observed duplicate is dropped in documented mode)
+    assert live["summary"].startswith("Lead para about the flood here summary words flood")
+    assert live["timestamp"] == int(dt.datetime(2024, 1, 3, 9, 0, tzinfo=dt.timezone.utc).timestamp())
+    main = rows[2]
+    assert main["title"] == "Main story"
+    assert main["categories"] == "Flood|Essex"
+    assert main["enclosures"] == "https://news.example/b.jpg"
+    assert main["content_html"].startswith('<figure><img src="https://news.example/b.jpg"')
+    assert "Read more posts" not in main["content"] and "var x" not in main["content"]
+    assert main["summary"].startswith("main body words about flood")
