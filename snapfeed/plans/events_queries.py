@@ -4,7 +4,6 @@ limit-eligible filtering (SRC-2, W-2, DATE-1..3, A-2, A-3, SRC-7, U-2, W-3, F-10
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import dates as D
 from ..functions import html as H, text as T, urls as U
@@ -42,15 +41,16 @@ SELECT event_id, {_IMG_SQL} AS img_documented,
 FROM events
 """)
 def carry_forward(spark, sf):
-    """W-2: ``observed`` carries the last image forward inside each partition (an empty
-    string blocks it); ``documented`` keeps each row's own value."""
+    """W-2: ``observed`` carries the last image forward per user in time order (an empty
+    string blocks it); ``documented`` keeps each row's own value.  Computed as a range-
+    partitioned prefix scan (``operators.sequence``), so a hot user is split across tasks."""
+    from ..operators.sequence import carry_forward_auto as scan
     ev = load_table(spark, sf, "events", ["event_id", "ts", "user_id", "event_type"])
     img = (F.when(F.col("event_type") == "view", F.concat(F.lit("img"), F.col("event_id").cast("string")))
            .when(F.col("event_type") == "error", F.lit("")))
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    e = ev.withColumn("img", img)
-    return e.select("event_id", F.col("img").alias("img_documented"),
-                    F.last("img", ignorenulls=True).over(w).alias("img_observed"))
+    e = ev.select("event_id", "ts", "user_id", img.alias("img"))
+    filled = scan(e, "user_id", ["ts", "event_id"], "img", "img_observed")
+    return filled.select("event_id", F.col("img").alias("img_documented"), "img_observed")
 
 
 def _date_text_spark():
