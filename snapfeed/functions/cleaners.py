@@ -42,15 +42,16 @@ def drop_script_lines(col, semantics: str = OBSERVED) -> Column:
     markers = [m.lower() for m in rules.SCRIPT_LINE_MARKERS]
     blank = {OBSERVED: ["", "0"], DOCUMENTED: [""]}[check_semantics(semantics)]
 
-    def keep(line: Column) -> Column:
-        low = F.lower(line)
+    def keep(p: Column) -> Column:
         hit = F.lit(False)
         for m in markers:
-            hit = hit | low.contains(m)
-        return ~line.isin(*blank) & ~hit
+            hit = hit | p["l"].contains(m)
+        return ~p["t"].isin(*blank) & ~hit
 
+    # Each line is trimmed and lower-cased once (lambda bodies get no subexpression reuse).
     lines = F.transform(F.split(_c(col), "\n"), lambda x: F.btrim(x, F.lit(TRIM_SET)))
-    return F.array_join(F.filter(lines, keep), "\n")
+    pairs = F.transform(lines, lambda t: F.struct(t.alias("t"), F.lower(t).alias("l")))
+    return F.array_join(F.transform(F.filter(pairs, keep), lambda p: p["t"]), "\n")
 
 
 # Residue and whitespace normaliser (STR-10), in order, as in the source.

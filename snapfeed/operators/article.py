@@ -80,24 +80,50 @@ def paragraph_body_html(paras: Column) -> Column:
 
 # --- EXC-1 / EXC-3 --------------------------------------------------------------------------------
 
+def _excerpt_junk_pair(p: Column) -> Column:
+    hit = _contains_any_lowered(p["l"], rules.EXCERPT_JUNK_TERMS)
+    for pat in rules.EXCERPT_JUNK_PATTERNS:
+        hit = hit | p["t"].rlike(pat)
+    return hit
+
+
 def excerpt_join(texts: Column) -> Column:
     """EXC-1 selection: paragraphs of 20+ characters without junk, joined with spaces."""
-    return F.array_join(F.filter(texts, lambda t: (F.length(t) >= 20) & ~excerpt_junk(t)), " ")
+    kept = F.filter(_with_lower(texts), lambda p: (F.length(p["t"]) >= 20) & ~_excerpt_junk_pair(p))
+    return F.array_join(F.transform(kept, lambda p: p["t"]), " ")
 
 
 def excerpt_from_texts(texts: Column, n: int) -> Column:
     """EXC-1: keep paragraphs of 20+ characters without junk, join with spaces, truncate.
     Returns '' for an empty selection."""
-    kept = F.filter(texts, lambda t: (F.length(t) >= 20) & ~excerpt_junk(t))
-    return truncate_words(F.array_join(kept, " "), n)
+    return truncate_words(excerpt_join(texts), n)
+
+
+def _with_lower(texts: Column) -> Column:
+    """Pair each text with its lower-cased form once; lambda bodies are evaluated without
+    common-subexpression elimination, so term tests read the stored form."""
+    return F.transform(texts, lambda t: F.struct(t.alias("t"), F.lower(t).alias("l")))
+
+
+def _contains_any_lowered(low: Column, terms) -> Column:
+    hit = F.lit(False)
+    for term in terms:
+        hit = hit | low.contains(term.lower())
+    return hit
 
 
 def fallback_excerpt(texts: Column, n: int) -> Column:
     """EXC-3: paragraphs over 30 characters without fallback junk, appended with a space
-    until the running text is longer than ``n``; then truncated."""
-    kept = F.filter(texts, lambda t: (F.length(t) > 30) & ~fallback_junk(t))
+    until the running text is longer than ``n``; then truncated.
+
+    Every appended paragraph adds at least 32 characters, so the running text is longer
+    than ``n`` after ``n // 32 + 1`` of them: folding over the first ``n // 32 + 2`` kept
+    paragraphs gives exactly the same text with bounded work per page."""
+    kept = F.filter(_with_lower(texts),
+                    lambda p: (F.length(p["t"]) > 30) & ~_contains_any_lowered(p["l"], rules.FALLBACK_JUNK_TERMS))
+    head = F.slice(F.transform(kept, lambda p: p["t"]), 1, n // 32 + 2)
     acc = F.aggregate(
-        kept, F.lit(""),
+        head, F.lit(""),
         lambda a, x: F.when(F.length(a) > n, a).otherwise(F.concat(a, x, F.lit(" "))),
     )
     return truncate_words(acc, n)
