@@ -26,30 +26,22 @@ def entity_table(table: str) -> tuple[tuple[str, str], ...]:
     raise ValueError(f"unknown entity table {table!r}")
 
 
-def _sql_string(text: str) -> str:
-    """Spark SQL string literal with every non-alphanumeric UTF-16 unit escaped."""
-    out = []
-    for ch in text:
-        if ch.isascii() and ch.isalnum():
-            out.append(ch)
-        else:
-            data = ch.encode("utf-16-be")
-            for i in range(0, len(data), 2):
-                out.append("\\u%04X" % int.from_bytes(data[i:i + 2], "big"))
-    return "'" + "".join(out) + "'"
+_PAIR_SEP, _KV_SEP = "\x02", "\x01"
 
 
 @lru_cache(maxsize=None)
-def _map_sql(table: str) -> str:
-    names = ", ".join(_sql_string(n) for n, _ in entity_table(table))
-    values = ", ".join(_sql_string(v) for _, v in entity_table(table))
-    return f"map_from_arrays(array({names}), array({values}))"
+def _map_text(table: str) -> str:
+    pairs = entity_table(table)
+    for name, value in pairs:
+        if _PAIR_SEP in name + value or _KV_SEP in name + value:
+            raise ValueError("entity table contains a separator character")
+    return _PAIR_SEP.join(f"{name}{_KV_SEP}{value}" for name, value in pairs)
 
 
-@lru_cache(maxsize=None)
 def _map_literal(table: str) -> Column:
-    # One parsed expression (a single JVM call); the optimizer folds it to a map literal.
-    return F.expr(_map_sql(table))
+    # One string literal split into a map by str_to_map; the optimizer folds it to a map
+    # constant, so the table costs one literal, not thousands of expression nodes.
+    return F.str_to_map(F.lit(_map_text(table)), F.lit(_PAIR_SEP), F.lit(_KV_SEP))
 
 
 def _code_point_char(cp: Column) -> Column:

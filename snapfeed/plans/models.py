@@ -28,7 +28,7 @@ def model_records(spark, sf) -> DataFrame:
     The lineitem aggregation is partial before its shuffle; the part side is then joined on
     the same key."""
     part = load_table(spark, sf, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"])
-    li = load_table(spark, sf, "lineitem", ["l_partkey", "l_quantity", "l_shipdate", "l_returnflag"])
+    li = load_table(spark, sf, "lineitem", ["l_partkey", "l_orderkey", "l_quantity", "l_shipdate", "l_returnflag"])
     as_of = li.agg(F.max("l_shipdate")).scalar()
     stats = (
         li.groupBy("l_partkey").agg(
@@ -36,6 +36,7 @@ def model_records(spark, sf) -> DataFrame:
             F.sum("l_quantity").cast("bigint").alias("downloads"),
             F.count_if(F.col("l_shipdate") > as_of - F.make_interval(days=F.lit(7))).alias("likes_7d"),
             F.min("l_shipdate").alias("published"),
+            F.count_distinct("l_orderkey").alias("collected"),
             F.array_sort(F.collect_set("l_returnflag")).alias("tags")))
     rec = part.join(stats, part.p_partkey == stats.l_partkey, "left")
     likes = F.coalesce("likes", F.lit(0))
@@ -45,6 +46,7 @@ def model_records(spark, sf) -> DataFrame:
         F.col("p_type").alias("category"), F.col("p_brand").alias("user"),
         likes.alias("likes"), F.coalesce("downloads", F.lit(0)).alias("downloads"),
         F.coalesce("likes_7d", F.lit(0)).alias("likes_7d"), F.col("published"),
+        F.coalesce("likes_7d", F.lit(0)).alias("hot_score"), F.coalesce("collected", F.lit(0)).alias("collected"),
         F.coalesce("tags", F.array().cast("array<string>")).alias("tags"),
         (((likes * 7 + F.col("p_size")) % 51).cast("decimal(10,0)") / 10).cast("decimal(10,1)").alias("rating"),
         (F.col("p_size") % 3 == 0).alias("verified"), (F.col("p_size") % 7).alias("level"),
@@ -65,11 +67,13 @@ def _records_sql() -> str:
 asof_t AS (SELECT max(l_shipdate) AS a FROM lineitem),
 stats AS (SELECT l_partkey, count(*) AS likes, CAST(sum(l_quantity) AS BIGINT) AS downloads,
                  count(*) FILTER (WHERE l_shipdate > (SELECT a FROM asof_t) - INTERVAL 7 DAY) AS likes_7d,
-                 min(l_shipdate) AS published, list_sort(list_distinct(list(l_returnflag))) AS tags
+                 min(l_shipdate) AS published, count(DISTINCT l_orderkey) AS collected,
+                 list_sort(list_distinct(list(l_returnflag))) AS tags
           FROM lineitem GROUP BY l_partkey),
 rec AS (SELECT p_partkey AS id, p_name AS name, replace(lower(p_name), ' ', '-') AS slug, p_type AS category,
                p_brand AS "user", coalesce(likes, 0) AS likes, coalesce(downloads, 0) AS downloads,
                coalesce(likes_7d, 0) AS likes_7d, published, coalesce(tags, []::VARCHAR[]) AS tags,
+               coalesce(likes_7d, 0) AS hot_score, coalesce(collected, 0) AS collected,
                ((coalesce(likes, 0) * 7 + p_size) % 51) AS rating10,
                (p_size % 3 = 0) AS verified, (p_size % 7) AS level, {flags} AS flags,
                [p_type, p_brand] AS path,
@@ -128,9 +132,12 @@ def _describe_cols(df: DataFrame) -> dict:
 @register("describe_model", _describe_sql())
 def describe_model(spark, sf):
     rec = model_records(spark, sf)
+    # Clean every detail description where the detail rows already are (spread over all
+    # cores), then join: the join output may sit on few partitions (a small list side).
     docs = load_table(spark, sf, "documents", ["doc_id", "text"])
-    d = rec.join(docs, rec.id == docs.doc_id, "left").withColumnRenamed("text", "description")
-    d = materialize(d.withColumn("description_clean", clean_description(F.col("description"))))
+    details = materialize(docs.select("doc_id", F.col("text").alias("description"),
+                                      clean_description(F.col("text")).alias("description_clean")))
+    d = rec.join(details, rec.id == details.doc_id, "left")
     cols = dict(_describe_cols(d), description_clean=F.col("description_clean"))
     return d.select("id", M.render_model("name", "image", M.describe_model(cols)).alias("content"))
 
@@ -383,3 +390,32 @@ def models_feed(spark, sf):
         M.render_model("name", "image", M.describe_model(cols)).alias("content"),
         M.with_default(F.col("user")).alias("author"), F.unix_timestamp("published").alias("timestamp"),
         U.model_uid("id").alias("uid"), F.array_join(M.names_of("path_s"), "|").alias("categories"), "pos")
+
+
+HTML_ORDERINGS = ["hotScore", "latest", "mostLiked", "mostDownloaded", "mostCollected"]
+HTML_TOP = 5
+
+
+def _ranked_html_sql() -> str:
+    parts = []
+    for name in HTML_ORDERINGS:
+        metric = R.metric_for(name, R.HTML_METRICS)
+        parts.append(f"""SELECT '{name}' AS order_by, CAST(row_number() OVER (ORDER BY {metric} DESC NULLS LAST, id ASC) - 1 AS BIGINT) AS pos, id
+  FROM (SELECT * FROM rec ORDER BY {metric} DESC NULLS LAST, id ASC LIMIT {HTML_TOP})""")
+    return f"WITH {_records_sql()} " + " UNION ALL ".join(parts)
+
+
+@register("ranked_html", _ranked_html_sql())
+def ranked_html(spark, sf):
+    """T-2: every HTML-generator ordering (hot score = trailing 7-day likes, latest, most
+    liked / downloaded / collected) as its own top-n over the same records."""
+    from functools import reduce
+    from pyspark.sql.window import Window
+    rec = model_records(spark, sf)
+    frames = []
+    for name in HTML_ORDERINGS:
+        metric = R.metric_for(name, R.HTML_METRICS)
+        top = R.top_n(rec, metric, "id", HTML_TOP)
+        w = Window.orderBy(F.col(metric).desc_nulls_last(), F.col("id").asc())  # over <= 50 kept rows
+        frames.append(top.select(F.lit(name).alias("order_by"), (F.row_number().over(w) - 1).cast("bigint").alias("pos"), "id"))
+    return reduce(lambda a, b: a.unionByName(b), frames)

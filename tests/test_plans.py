@@ -140,3 +140,18 @@ def test_article_items_dom_branches(spark):
     assert main["content_html"].startswith('<figure><img src="https://news.example/b.jpg"')
     assert "Read more posts" not in main["content"] and "var x" not in main["content"]
     assert main["summary"].startswith("main body words about flood")
+
+
+def test_write_feed_and_nonempty(spark, tmp_path):
+    import pytest
+    from snapfeed.sources.snapshots import assert_nonempty, write_feed
+    items = spark.createDataFrame([("news", "a", 0), ("news", "b", 1), ("models", "c", 0)],
+                                  "feed string, title string, pos long")
+    out = str(tmp_path / "feed")
+    write_feed(items, out)
+    back = spark.read.parquet(out)
+    assert sorted((r["feed"], r["pos"], r["title"]) for r in back.collect()) == \
+        [("models", 0, "c"), ("news", 0, "a"), ("news", 1, "b")]
+    assert assert_nonempty(items, "x") is items
+    with pytest.raises(RuntimeError, match="No listing nodes"):
+        assert_nonempty(items.where("false"), "No listing nodes found. Update selectors.")
