@@ -144,7 +144,8 @@ def page_nodes(pages: DataFrame, keep: list[str] | None = None, id_col: str = "p
     stage: predicates are not pushed through a Python stage."""
     extras = [c for c in extra_cols if c in pages.columns]
     keep_set = set(keep) if keep else None
-    schema = f"{id_col} long, " + "".join(f"{c} string, " for c in extras) + f"nodes array<{NODE_STRUCT}>"
+    types = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
+    schema = f"{id_col} long, " + "".join(f"{c} {types[c]}, " for c in extras) + f"nodes array<{NODE_STRUCT}>"
 
     def run(batches):
         import pandas as pd

@@ -43,11 +43,11 @@ def _null():
     return F.lit(None).cast("string")
 
 
-def native_front(pages: DataFrame) -> DataFrame:
+def native_front(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Article fields from raw HTML with codegen expressions only (flat targets)."""
     link = F.col("link_text") if "link_text" in pages.columns else H.first_tag_text("html", "title")
     return pages.select(
-        "page_id", "url",
+        "page_id", "url", *carry,
         H.first_tag_inner("html", "h1").alias("h1"),
         F.coalesce(link, F.lit("")).alias("link_text"),
         T.strip_tags(H.content_html("html")).alias("page_text"),
@@ -57,12 +57,12 @@ def native_front(pages: DataFrame) -> DataFrame:
         _null().alias("image"), F.array().cast("array<string>").alias("categories"), _null().alias("time_attr"))
 
 
-def dom_front(pages: DataFrame, semantics: str = T.OBSERVED) -> DataFrame:
+def dom_front(pages: DataFrame, semantics: str = T.OBSERVED, carry: tuple[str, ...] = ()) -> DataFrame:
     """Article fields from the node table (NODE-1): containers by id, lead paragraph,
     hero image (IMG-3), tags (A-2 via NODE-11), first ``time``."""
     from ..operators import images as I
     from ..operators import nodes as N
-    cols = ["page_id", "url", "html"] + (["link_text"] if "link_text" in pages.columns else [])
+    cols = ["page_id", "url", "html"] + (["link_text"] if "link_text" in pages.columns else []) + list(carry)
     nodes = materialize(N.page_nodes(pages.select(*cols), extra_cols=tuple(c for c in cols if c != "page_id")))
     n = F.col("nodes")
     lead_sel = ".article-first-paragraph"
@@ -82,7 +82,7 @@ def dom_front(pages: DataFrame, semantics: str = T.OBSERVED) -> DataFrame:
     tags = F.filter(F.transform(N.within(n, tags_c, rules.TAG_SELECTOR), lambda t: T.trim_all(t["text"])),
                     lambda t: t != "")
     staged = nodes.select(
-        "page_id", "url", "nodes",
+        "page_id", "url", *carry, "nodes",
         N.first(n, "h1")["inner_html"].alias("h1"),
         F.coalesce(link, F.lit("")).alias("link_text"),
         T.strip_tags(H.content_html("html")).alias("page_text"),
@@ -94,13 +94,14 @@ def dom_front(pages: DataFrame, semantics: str = T.OBSERVED) -> DataFrame:
         F.when(tags_c.isNotNull(), tags).otherwise(F.array().cast("array<string>")).alias("categories"),
         N.first(n, "time")["attrs"]["datetime"].alias("time_attr"))
     with_img = I.hero_image(staged, "nodes", U.origin_of("url"), U.base_dir_of("url"), semantics=semantics)
-    return with_img.select("page_id", "url", "h1", "link_text", "page_text", "paras", "live", "live_summary", "main",
+    return with_img.select("page_id", "url", *carry, "h1", "link_text", "page_text", "paras", "live", "live_summary", "main",
                            "lead_live_summary", "lead_live", "lead_main", "image", "categories", "time_attr")
 
 
 def article_items(pages: DataFrame, terms: K.Terms = NEWS_TERMS, excerpt_length: int = EXCERPT_LENGTH,
                   semantics: str = T.DOCUMENTED, feed: str = FEED_NAME, as_of=NEWS_AS_OF,
-                  advert_terms: dict | None = None, source_tz: str = "UTC") -> DataFrame:
+                  advert_terms: dict | None = None, source_tz: str = "UTC",
+                  carry: tuple[str, ...] = ()) -> DataFrame:
     """Articles (one page row each, already de-duplicated) -> feed items.
 
     Pages with DOM markers go through the node table, the rest through native extraction;
@@ -113,7 +114,9 @@ def article_items(pages: DataFrame, terms: K.Terms = NEWS_TERMS, excerpt_length:
     n = int(excerpt_length)
     advert_terms = advert_terms or {}
     needs_dom = F.coalesce(F.col("html").rlike(DOM_MARKERS), F.lit(False))
-    fronts = native_front(pages.where(~needs_dom)).unionByName(dom_front(pages.where(needs_dom)))
+    carry = tuple(carry)
+    fronts = native_front(pages.where(~needs_dom), carry).unionByName(
+        dom_front(pages.where(needs_dom), carry=carry))
     staged = materialize(fronts.withColumn("title", A.title_choice(F.col("h1"), F.col("link_text"), semantics)))
     titled = staged.where(F.col("title").isNotNull())
     titled = titled.withColumn("title", A.live_title(F.col("title"), F.col("live")))
@@ -155,6 +158,7 @@ def article_items(pages: DataFrame, terms: K.Terms = NEWS_TERMS, excerpt_length:
         F.coalesce(F.col("image"), F.lit("")).alias("enclosures"),
         F.array_join("categories", "|").alias("categories"),
         F.col("page_id"),
+        *carry,
     )
 
 
@@ -460,3 +464,68 @@ def combine_feeds_q(spark, sf):
                     U.model_uri("p_partkey", F.replace(F.lower("p_name"), F.lit(" "), F.lit("-"))).alias("uri"),
                     F.col("p_brand").alias("author"))
     return combine_feeds([a, b]).select("feed", "title", "uri", "author")
+
+
+# ----------------------------------------------------------------------------------- listing-driven crawl
+
+def news_crawl_items(pages: DataFrame, seeds: DataFrame, max_pages: int | None = 1, strict: bool = False,
+                     **article_kwargs) -> DataFrame:
+    """The news generator as the source runs it, for many seeds at once.
+
+    Listing chain (SRC-7): from each seed URL, up to ``max_pages`` listing pages, following
+    the first ``a.pagination__next``; a missing listing ends the chain (SRC-5).  Each hop
+    parses only the pages it reached.  Candidates (NODE-4) -> link (NODE-5) -> resolved URL
+    (URL-1) -> first occurrence per URL across the seed's crawl (W-1) -> URL block (F-1) ->
+    inner join to the stored article (J-1) -> article job; ``pos`` is the append order.
+    ``strict`` raises, as the source does, when a seed's first listing has no candidates
+    (SRC-6); otherwise such seeds yield no items.  Seeds: a DataFrame with ``url``."""
+    from ..operators import nodes as N
+    n_pages = int(max_pages or 0)
+    keyed = pages.select("page_id", "url", "html", U.canonical_url("url").alias("canon"))
+    frontier = seeds.select(F.col("url").alias("seed"), U.canonical_url("url").alias("want"))
+    hops = []
+    for hop in range(1, n_pages + 1):
+        found = frontier.join(keyed, frontier.want == keyed.canon, "inner").select("seed", "page_id", "url", "html")
+        parsed = materialize(N.page_nodes(found, extra_cols=("seed", "url")).withColumn("hop", F.lit(hop)))
+        nxt = N.first(F.col("nodes"), rules.NEXT_PAGE_SELECTOR)["attrs"]["href"]
+        hops.append(parsed)
+        frontier = parsed.where(nxt.isNotNull() & (nxt != "")).select(
+            "seed", U.canonical_url(U.resolve_host_relative(nxt, U.origin_of("url"), U.base_dir_of("url"))).alias("want"))
+    if not hops:
+        return article_items(pages.limit(0), **article_kwargs).withColumn("seed", _null()) \
+            .withColumn("hop", F.lit(0)).withColumn("pos", F.lit(0).cast("bigint"))
+    listings = hops[0]
+    for h in hops[1:]:
+        listings = listings.unionByName(h)
+    fb = listings.select("seed", "hop", "url", "nodes",
+                         N.first_nonempty(F.col("nodes"), rules.LISTING_SELECTORS).alias("fb"))
+    if strict:
+        fb = fb.withColumn("fb", F.when((F.col("hop") == 1) & F.col("fb.rank").isNull(),
+                                        F.raise_error(F.lit("No listing nodes found. Update selectors.")))
+                           .otherwise(F.col("fb")))
+    cands = fb.select("seed", "hop", "url", "nodes", F.posexplode("fb.matches").alias("pos", "m"))
+    link = N.descendant_link(F.col("nodes"), F.col("m"))
+    links = materialize(cands.select(
+        "seed", "hop", "pos", link["attrs"]["href"].alias("href"), T.trim_all(link["text"]).alias("link_text"),
+        U.origin_of("url").alias("origin"), U.base_dir_of("url").alias("base_dir")))
+    links = links.where(F.col("href").isNotNull() & (F.col("href") != ""))
+    links = links.select("seed", "hop", "pos", "link_text",
+                         U.resolve_host_relative(F.col("href"), F.col("origin"), F.col("base_dir")).alias("url"))
+    firsts = first_seen(links.withColumn("key", F.concat_ws("\u0001", "seed", "url")), "key", ["hop", "pos"]).drop("key")
+    allowed = firsts.where(~F.lower("url").contains(rules.URL_BLOCK_TERM))
+    arts = keyed.select(F.col("page_id"), F.col("html"), F.col("canon").alias("a_canon"))
+    joined = allowed.join(arts, U.canonical_url(F.col("url")) == F.col("a_canon"), "inner")
+    art_rows = joined.select("page_id", "url", "html", "link_text", "seed", "hop", "pos")
+    out = article_items(art_rows, carry=("seed", "hop", "pos"), **article_kwargs)
+    # Feeds are bounded (max_pages listing pages); positions are numbered per seed.
+    from pyspark.sql.window import Window
+    w = Window.partitionBy("seed").orderBy("hop", "pos")
+    return out.withColumn("pos", (F.row_number().over(w) - 1).cast("bigint"))
+
+
+@register("news_crawl_feed")
+def news_crawl_feed(spark, sf):
+    """Every stored page taken as a listing seed, one listing page each (the source's
+    default ``maxpages``); items appear where listings link to stored articles."""
+    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
+    return news_crawl_items(pages, pages.select("url"), max_pages=1)

@@ -155,3 +155,48 @@ def test_write_feed_and_nonempty(spark, tmp_path):
     assert assert_nonempty(items, "x") is items
     with pytest.raises(RuntimeError, match="No listing nodes"):
         assert_nonempty(items.where("false"), "No listing nodes found. Update selectors.")
+
+
+LISTING1 = ("<html><body><ul class='listing'><li><a href='/news/a1'>One</a></li>"
+            "<li><a href='/news/advertisement-x'>Ad</a></li><li><a href=''>Empty</a></li>"
+            "<li><a href='https://news.example/news/a2'>Two</a></li></ul>"
+            "<a class='pagination__next' href='/news?page=2'>next</a></body></html>")
+LISTING2 = ("<html><body><article><p>x</p><a href='/news/a2'>Two again</a></article>"
+            "<article><a href='/news/a3'>Three</a></article></body></html>")
+ARTICLE = "<html><body><h1>{t}</h1><p>{b}</p></body></html>"
+
+
+def test_news_crawl_items(spark):
+    from snapfeed.operators.terms import Terms
+    from snapfeed.plans.news import news_crawl_items
+    body = "flood words in this article body text " * 4
+    pages = spark.createDataFrame([
+        (1, "https://news.example/news", LISTING1), (2, "https://news.example/news?page=2", LISTING2),
+        (3, "https://news.example/news/a1", ARTICLE.format(t="Article one", b=body)),
+        (4, "https://news.example/news/a2", ARTICLE.format(t="Article two", b=body)),
+        (5, "https://news.example/news/advertisement-x", ARTICLE.format(t="Ad", b=body)),
+    ], "page_id long, url string, html string")
+    seeds = spark.createDataFrame([("https://news.example/news",)], "url string")
+    one = news_crawl_items(pages, seeds, max_pages=1, terms=Terms()).orderBy("pos").collect()
+    assert [r["title"] for r in one] == ["Article one", "Article two"]
+    two = news_crawl_items(pages, seeds, max_pages=2, terms=Terms()).orderBy("pos").collect()
+    # a2 is seen on page 1 first; a3 has no stored article (dropped); page 2 uses the article fallback
+    assert [(r["title"], r["pos"]) for r in two] == [("Article one", 0), ("Article two", 1)]
+    zero = news_crawl_items(pages, seeds, max_pages=0, terms=Terms())
+    assert zero.count() == 0
+
+
+def test_news_crawl_two_seeds_share_articles(spark):
+    from snapfeed.operators.terms import Terms
+    from snapfeed.plans.news import news_crawl_items
+    body = "flood words in this article body text " * 4
+    pages = spark.createDataFrame([
+        (1, "https://news.example/news", LISTING1),
+        (6, "https://news.example/other", "<html><body><main id='content'><a href='/news/a1'>x</a></main></body></html>"),
+        (3, "https://news.example/news/a1", ARTICLE.format(t="Article one", b=body)),
+        (4, "https://news.example/news/a2", ARTICLE.format(t="Article two", b=body)),
+    ], "page_id long, url string, html string")
+    seeds = spark.createDataFrame([("https://news.example/news",), ("https://news.example/other",)], "url string")
+    got = sorted((r["seed"], r["pos"], r["title"]) for r in news_crawl_items(pages, seeds, 1, terms=Terms()).collect())
+    assert got == [("https://news.example/news", 0, "Article one"), ("https://news.example/news", 1, "Article two"),
+                   ("https://news.example/other", 0, "Article one")]
