@@ -130,6 +130,26 @@ def validate_json_feeds(feeds: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tagged.where(F.col("reason").isNull()).drop("reason"), tagged.where(F.col("reason").isNotNull())
 
 
+def validate_html_feeds(feeds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """PRM-1 for the HTML generator: category/days/orderBy enums (defaults 300 / 7 /
+    hotScore when null), limit clamp; '' means "all" for category and days."""
+    cats = [c for _, c in rules.HTML_CATEGORIES]
+    days = [d for _, d in rules.HTML_DAYS]
+    orders = [o for _, o in rules.HTML_SORTS]
+    out = feeds.select(
+        "*",
+        F.coalesce(F.col("category"), F.lit("300")).alias("category_v"),
+        F.coalesce(F.col("days"), F.lit("7")).alias("days_v"),
+        F.coalesce(F.col("orderBy"), F.lit("hotScore")).alias("order_v"),
+        clamp_limit_col("limit").alias("limit_v"),
+    )
+    reason = (F.when(~F.col("category_v").isin(cats), F.lit("unknown category"))
+              .when(~F.col("days_v").isin(days), F.lit("unknown days"))
+              .when(~F.col("order_v").isin(orders), F.lit("unknown orderBy")))
+    tagged = out.withColumn("reason", reason)
+    return tagged.where(F.col("reason").isNull()).drop("reason"), tagged.where(F.col("reason").isNotNull())
+
+
 def json_feed_name(category, days, sort=None, semantics: str = "observed") -> Column:
     """NAME-1 (JSON): always 'Trending' in ``observed``; the sort label in ``documented``."""
     cat = _c(category)

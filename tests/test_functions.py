@@ -158,3 +158,22 @@ def test_dates_multi(spark):
     got = [r[0] for r in df.select(dates.parse_multi("t", as_of)).collect()]
     assert got == [dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 7),
                    dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 7)]
+
+
+def test_validate_html_feeds(spark):
+    feeds = spark.createDataFrame([("a", None, None, None, None), ("b", "", "", "mostLiked", "0"),
+                                   ("c", "999", "7", "hotScore", "5"), ("d", "301", "2", None, "5")],
+                                  "name string, category string, days string, orderBy string, limit string")
+    ok, bad = R.validate_html_feeds(feeds)
+    got = {r["name"]: (r["category_v"], r["days_v"], r["order_v"], r["limit_v"]) for r in ok.collect()}
+    assert got == {"a": ("300", "7", "hotScore", 1), "b": ("", "", "mostLiked", 1)}
+    assert {r["name"]: r["reason"] for r in bad.collect()} == {"c": "unknown category", "d": "unknown days"}
+
+
+def test_iso_dates_with_source_zone(spark):
+    as_of = F.lit(dt.datetime(2024, 2, 1)).cast("timestamp")
+    df = spark.createDataFrame([("2024-07-01T12:00:00",), ("2024-07-01T12:00:00+02:00",), ("bogus",)], "t string")
+    london = [r[0] for r in df.select(dates.parse_iso("t", as_of, "Europe/London")).collect()]
+    assert london == [dt.datetime(2024, 7, 1, 11, 0), dt.datetime(2024, 7, 1, 10, 0), dt.datetime(2024, 2, 1)]
+    utc = [r[0] for r in df.select(dates.parse_iso("t", as_of)).collect()]
+    assert utc[0] == dt.datetime(2024, 7, 1, 12, 0)
