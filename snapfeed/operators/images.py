@@ -43,20 +43,48 @@ def valid_image(url, blocklist=None) -> Column:
     return ~hit
 
 
-def hero_candidates(nodes: Column, semantics: str = OBSERVED) -> Column:
+def _best_srcset_sql(s: str) -> str:
+    pat = "r'" + _SRCSET_PAIR + "'"
+    urls, widths = f"regexp_extract_all({s}, {pat}, 1)", f"regexp_extract_all({s}, {pat}, 2)"
+    zipped = f"zip_with({urls}, {widths}, (u, w) -> named_struct('u', u, 'w', w))"
+    ranked = f"transform({zipped}, (x, i) -> named_struct('nw', -cast(x.w AS BIGINT), 'i', i, 'u', x.u))"
+    return f"try_element_at(array_sort({ranked}), 1).u"
+
+
+def image_url_sql(v: str, semantics: str = OBSERVED) -> str:
+    srcset, src = f"{v}.attrs['srcset']", f"{v}.attrs['src']"
+    best = _best_srcset_sql(srcset)
+    if check_semantics(semantics) == DOCUMENTED:
+        best = f"coalesce({best}, CASE WHEN {src} <> '' THEN {src} END)"
+    return (f"CASE WHEN {srcset} IS NOT NULL AND {srcset} <> '' THEN {best} "
+            f"WHEN {src} IS NOT NULL AND {src} <> '' THEN {src} END")
+
+
+def valid_image_sql(u: str, blocklist=None) -> str:
+    terms = blocklist if blocklist is not None else rules.IMAGE_URL_BLOCKLIST
+    return "NOT (" + " OR ".join(f"contains(lower({u}), {N.sql_str(t)})" for t in terms) + ")"
+
+
+def no_ad_ancestor_sql(v: str, semantics: str = OBSERVED) -> str:
+    a = N._fresh("a")
+    if semantics == OBSERVED:
+        return f"NOT exists({v}.path, {a} -> contains(lower(array_join({a}.classes, ' ')), 'ad'))"
+    c = N._fresh("c")
+    return f"NOT exists({v}.path, {a} -> exists({a}.classes, {c} -> lower({c}) rlike r'^(ad|ads|advert.*|ad-.*)$'))"
+
+
+def hero_candidates(nodes, semantics: str = OBSERVED) -> Column:
     """Per ``img`` node: its URL, validity, clean ancestry and which hero/content selector
-    it matches.  Computed once per image so the choice below works on small structs."""
+    it matches.  Computed once per image so the choice below works on small structs.
+    ``nodes`` is a column name (SQL path)."""
     sels = rules.HERO_IMAGE_SELECTORS + rules.CONTENT_IMAGE_SELECTORS
-    preds = [N.selector_predicate(s) for s in sels]
-
-    def one(n):
-        u = image_url(n, semantics)
-        fields = [n["node_id"].alias("node_id"), u.alias("url"),
-                  (u.isNotNull() & (u != "") & valid_image(u)).alias("ok"),
-                  N.no_ancestor_class_like(n, "ad", semantics).alias("clean")]
-        fields += [preds[i](n).alias(f"m{i}") for i in range(len(sels))]
-        return F.struct(*fields)
-    return F.transform(F.filter(nodes, lambda n: n["tag"] == "img"), one)
+    v, w = N._fresh("n"), N._fresh("m")
+    url = image_url_sql(v, semantics)
+    fields = [f"'node_id', {v}.node_id", f"'url', {url}",
+              f"'ok', coalesce({url} <> '' AND {valid_image_sql(url)}, false)",
+              f"'clean', {no_ad_ancestor_sql(v, semantics)}"]
+    fields += [f"'m{i}', {N.selector_sql(sel, v)}" for i, sel in enumerate(sels)]
+    return F.expr(f"transform(filter({nodes}, {w} -> {w}.tag = 'img'), {v} -> named_struct({', '.join(fields)}))")
 
 
 def pick_hero(cands: Column, origin: Column, base_dir: Column, semantics: str = OBSERVED) -> Column:
@@ -78,14 +106,14 @@ def pick_hero(cands: Column, origin: Column, base_dir: Column, semantics: str =
 def hero_image(df, nodes_col: str, origin: Column, base_dir: Column, out: str = "image",
                semantics: str = OBSERVED):
     """IMG-3 as a DataFrame step: candidates are materialised in their own projection."""
-    staged = df.withColumn("_hero", hero_candidates(F.col(nodes_col), semantics))
+    staged = df.withColumn("_hero", hero_candidates(nodes_col, semantics))
     return staged.withColumn(out, pick_hero(F.col("_hero"), origin, base_dir, semantics)).drop("_hero")
 
 
 def page_image(nodes: Column, origin: Column, semantics: str = OBSERVED) -> Column:
     """IMG-4: ``og:image`` meta content, else the first media/gallery image (``src`` then
     ``data-src``); made absolute with the protocol-relative rules."""
-    og = N.first(nodes, "meta[property=og:image]")
+    og = N.first(nodes, "meta[property=og:image]")  # nodes: column name (SQL path) or Column
     img = N.first(nodes, rules.MODEL_IMAGE_SELECTOR)
     raw = F.when(og.isNotNull(), og["attrs"]["content"]).when(img.isNotNull(), N.attr_fallback(img, "src", "data-src"))
     return F.when(raw.isNotNull() & (raw != ""), resolve_image(raw, origin))

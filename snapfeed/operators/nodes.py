@@ -265,18 +265,104 @@ def selector_predicate(selector: str):
     return pred
 
 
-def select(nodes: Column, selector: str) -> Column:
+# ---- SQL-text form: one parsed expression per selection (a few JVM calls instead of hundreds).
+
+def sql_str(text: str) -> str:
+    """Spark SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_VAR = [0]
+
+
+def _fresh(prefix: str) -> str:
+    _VAR[0] += 1
+    return f"{prefix}{_VAR[0]}"
+
+
+def _compound_sql(v: str, comp: dict, own: bool) -> str:
+    parts = []
+    if comp["tag"]:
+        parts.append(f"{v}.tag = {sql_str(comp['tag'])}")
+    if comp["id"]:
+        parts.append(f"coalesce({v}.elem_id, '') = {sql_str(comp['id'])}")
+    for c in comp["classes"]:
+        parts.append(f"coalesce(array_contains({v}.classes, {sql_str(c)}), false)")
+    for k, val in comp["attrs"]:
+        if not own:
+            raise ValueError("attribute tests on ancestors are not supported")
+        if val is None:
+            parts.append(f"coalesce(map_contains_key({v}.attrs, {sql_str(k)}), false)")
+        else:
+            parts.append(f"coalesce({v}.attrs[{sql_str(k)}] = {sql_str(val)}, false)")
+    return "(" + (" AND ".join(parts) or "true") + ")"
+
+
+def _chain_sql(v: str, chain) -> str:
+    last = _compound_sql(v, chain[-1][1], own=True)
+    ancestors = chain[:-1]
+    if not ancestors:
+        return last
+    combs = {c for c, _ in chain[1:]}
+    if combs == {">"}:
+        k = len(ancestors)
+        conds = [f"size({v}.path) >= {k}"]
+        for i, (_, comp) in enumerate(ancestors):
+            conds.append(_compound_sql(f"try_element_at(slice({v}.path, -{k}, {k}), {i + 1})", comp, own=False))
+        return "(" + last + " AND " + " AND ".join(conds) + ")"
+    if combs == {" "}:
+        comps = [comp for _, comp in ancestors]
+        st, anc = _fresh("st"), _fresh("an")
+        case = " ".join(f"WHEN {st} = {i} AND {_compound_sql(anc, comps[i], own=False)} THEN {i + 1}"
+                        for i in range(len(comps)))
+        return f"({last} AND aggregate({v}.path, 0, ({st}, {anc}) -> CASE {case} ELSE {st} END) = {len(comps)})"
+    raise NotImplementedError("mixed child/descendant chains are not used by the generators")
+
+
+def selector_sql(selector: str, v: str) -> str:
+    """NODE-2 as SQL text over the lambda variable ``v``."""
+    return "(" + " OR ".join(_chain_sql(v, ch) for ch in parse_selector(selector)) + ")"
+
+
+def select_sql(nodes: str, selector: str) -> str:
+    v = _fresh("n")
+    return f"filter({nodes}, {v} -> {selector_sql(selector, v)})"
+
+
+def first_sql(nodes: str, selector: str) -> str:
+    return f"try_element_at({select_sql(nodes, selector)}, 1)"
+
+
+def within_sql(nodes: str, container: str, selector: str) -> str:
+    v, a = _fresh("n"), _fresh("a")
+    return (f"filter({nodes}, {v} -> {selector_sql(selector, v)} AND "
+            f"exists({v}.path, {a} -> {a}.node_id = ({container}).node_id))")
+
+
+# ---- Column API (a str ``nodes`` is a column name or SQL expression and takes the SQL path).
+
+def select(nodes, selector: str) -> Column:
     """All matches, in document order."""
+    if isinstance(nodes, str):
+        return F.expr(select_sql(nodes, selector))
     return F.filter(nodes, selector_predicate(selector))
 
 
-def first(nodes: Column, selector: str) -> Column:
+def first(nodes, selector: str) -> Column:
     """NODE-3: first match (``find(sel, 0)``) or null."""
+    if isinstance(nodes, str):
+        return F.expr(first_sql(nodes, selector))
     return F.try_element_at(select(nodes, selector), F.lit(1))
 
 
-def first_nonempty(nodes: Column, selectors: list[str]) -> Column:
+def first_nonempty(nodes, selectors: list[str]) -> Column:
     """NODE-4: all matches of the first selector that has any (with its 1-based rank)."""
+    if isinstance(nodes, str):
+        matches = [select_sql(nodes, s) for s in selectors]
+        rank = " ".join(f"WHEN size({m}) > 0 THEN {i + 1}" for i, m in enumerate(matches))
+        pick = " ".join(f"WHEN size({m}) > 0 THEN {m}" for m in matches)
+        empty = f"filter({nodes}, {_fresh('n')} -> false)"
+        return F.expr(f"named_struct('rank', CASE {rank} END, 'matches', CASE {pick} ELSE {empty} END)")
     out = F.array().cast(f"array<{NODE_STRUCT}>")
     rank = F.lit(None).cast("int")
     for i in range(len(selectors) - 1, -1, -1):
@@ -286,17 +372,25 @@ def first_nonempty(nodes: Column, selectors: list[str]) -> Column:
     return F.struct(rank.alias("rank"), out.alias("matches"))
 
 
-def within(nodes: Column, container: Column, selector: str) -> Column:
-    """NODE-11: matches of ``selector`` inside the subtree of ``container`` (a node struct)."""
+def within(nodes, container, selector: str) -> Column:
+    """NODE-11: matches of ``selector`` inside the subtree of ``container`` (a node struct;
+    SQL text when ``nodes`` is SQL text)."""
+    if isinstance(nodes, str):
+        return F.expr(within_sql(nodes, container, selector))
     pred = selector_predicate(selector)
     cid = container["node_id"]
     return F.filter(nodes, lambda n: pred(n) & F.exists(n["path"], lambda a: a["node_id"] == cid))
 
 
-def descendant_link(nodes: Column, node: Column) -> Column:
+def descendant_link(nodes, node) -> Column:
     """NODE-5: the node itself if it is an ``a``, else its first descendant ``a``."""
+    if isinstance(nodes, str):
+        v, a = _fresh("n"), _fresh("a")
+        inner = (f"try_element_at(filter({nodes}, {v} -> {v}.tag = 'a' AND "
+                 f"exists({v}.path, {a} -> {a}.node_id = ({node}).node_id)), 1)")
+        return F.expr(f"CASE WHEN ({node}).tag = 'a' THEN {node} ELSE {inner} END")
     inner = F.try_element_at(F.filter(nodes, lambda n: (n["tag"] == "a") &
-                                  F.exists(n["path"], lambda a: a["node_id"] == node["node_id"])), F.lit(1))
+                                      F.exists(n["path"], lambda a: a["node_id"] == node["node_id"])), F.lit(1))
     return F.when(node["tag"] == "a", node).otherwise(inner)
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleaners, dates as D, html as H, rules, text as T, urls as U
@@ -64,35 +64,35 @@ def dom_front(pages: DataFrame, semantics: str = T.OBSERVED, carry: tuple[str, .
     from ..operators import nodes as N
     cols = ["page_id", "url", "html"] + (["link_text"] if "link_text" in pages.columns else []) + list(carry)
     nodes = materialize(N.page_nodes(pages.select(*cols), extra_cols=tuple(c for c in cols if c != "page_id")))
-    n = F.col("nodes")
     lead_sel = ".article-first-paragraph"
-
-    def lead_in(container):
-        hit = F.try_element_at(N.within(n, container, lead_sel), F.lit(1))
-        return T.trim_all(hit["text"])
-
-    live_c = N.first(n, rules.LIVE_CONTENT_SELECTOR)
-    summ_c = N.first(n, rules.LIVE_SUMMARY_SELECTOR)
-    main_c = N.first(n, rules.MAIN_CONTENT_SELECTOR)
-    tags_c = N.first(n, rules.TAGS_CONTAINER_SELECTOR)
-    link = F.col("link_text") if "link_text" in pages.columns else T.trim_all(N.first(n, "title")["text"])
-    paras = F.transform(N.select(n, "p"), lambda p: F.struct(
-        p["inner_html"].alias("html"), T.trim_all(p["text"]).alias("text"),
-        F.coalesce(F.array_contains(p["classes"], "article-first-paragraph"), F.lit(False)).alias("lead")))
-    tags = F.filter(F.transform(N.within(n, tags_c, rules.TAG_SELECTOR), lambda t: T.trim_all(t["text"])),
+    live_c = N.first_sql("nodes", rules.LIVE_CONTENT_SELECTOR)
+    summ_c = N.first_sql("nodes", rules.LIVE_SUMMARY_SELECTOR)
+    main_c = N.first_sql("nodes", rules.MAIN_CONTENT_SELECTOR)
+    tags_c = N.first_sql("nodes", rules.TAGS_CONTAINER_SELECTOR)
+
+    def lead_in(container: str) -> Column:
+        return T.trim_all(F.expr(f"try_element_at({N.within_sql('nodes', container, lead_sel)}, 1).text"))
+
+    link = F.col("link_text") if "link_text" in pages.columns else T.trim_all(N.first("nodes", "title")["text"])
+    p = N._fresh("p")
+    paras = F.expr(f"transform({N.select_sql('nodes', 'p')}, {p} -> named_struct('html', {p}.inner_html, "
+                   f"'text', {p}.text, 'lead', coalesce(array_contains({p}.classes, 'article-first-paragraph'), false)))")
+    paras = F.transform(paras, lambda x: F.struct(x["html"].alias("html"), T.trim_all(x["text"]).alias("text"),
+                                                  x["lead"].alias("lead")))
+    tags = F.filter(F.transform(N.within("nodes", tags_c, rules.TAG_SELECTOR), lambda t: T.trim_all(t["text"])),
                     lambda t: t != "")
     staged = nodes.select(
         "page_id", "url", *carry, "nodes",
-        N.first(n, "h1")["inner_html"].alias("h1"),
+        N.first("nodes", "h1")["inner_html"].alias("h1"),
         F.coalesce(link, F.lit("")).alias("link_text"),
         T.strip_tags(H.content_html("html")).alias("page_text"),
         paras.alias("paras"),
-        live_c["inner_html"].alias("live"), summ_c["inner_html"].alias("live_summary"),
-        main_c["inner_html"].alias("main"),
+        F.expr(live_c)["inner_html"].alias("live"), F.expr(summ_c)["inner_html"].alias("live_summary"),
+        F.expr(main_c)["inner_html"].alias("main"),
         lead_in(summ_c).alias("lead_live_summary"), lead_in(live_c).alias("lead_live"),
         lead_in(main_c).alias("lead_main"),
-        F.when(tags_c.isNotNull(), tags).otherwise(F.array().cast("array<string>")).alias("categories"),
-        N.first(n, "time")["attrs"]["datetime"].alias("time_attr"))
+        F.when(F.expr(tags_c).isNotNull(), tags).otherwise(F.array().cast("array<string>")).alias("categories"),
+        N.first("nodes", "time")["attrs"]["datetime"].alias("time_attr"))
     with_img = I.hero_image(staged, "nodes", U.origin_of("url"), U.base_dir_of("url"), semantics=semantics)
     return with_img.select("page_id", "url", *carry, "h1", "link_text", "page_text", "paras", "live", "live_summary", "main",
                            "lead_live_summary", "lead_live", "lead_main", "image", "categories", "time_attr")
@@ -487,7 +487,7 @@ def news_crawl_items(pages: DataFrame, seeds: DataFrame, max_pages: int | None =
     for hop in range(1, n_pages + 1):
         found = frontier.join(keyed, frontier.want == keyed.canon, "inner").select("seed", "page_id", "url", "html")
         parsed = materialize(N.page_nodes(found, extra_cols=("seed", "url")).withColumn("hop", F.lit(hop)))
-        nxt = N.first(F.col("nodes"), rules.NEXT_PAGE_SELECTOR)["attrs"]["href"]
+        nxt = N.first("nodes", rules.NEXT_PAGE_SELECTOR)["attrs"]["href"]
         hops.append(parsed)
         frontier = parsed.where(nxt.isNotNull() & (nxt != "")).select(
             "seed", U.canonical_url(U.resolve_host_relative(nxt, U.origin_of("url"), U.base_dir_of("url"))).alias("want"))
@@ -498,13 +498,13 @@ def news_crawl_items(pages: DataFrame, seeds: DataFrame, max_pages: int | None =
     for h in hops[1:]:
         listings = listings.unionByName(h)
     fb = listings.select("seed", "hop", "url", "nodes",
-                         N.first_nonempty(F.col("nodes"), rules.LISTING_SELECTORS).alias("fb"))
+                         N.first_nonempty("nodes", rules.LISTING_SELECTORS).alias("fb"))
     if strict:
         fb = fb.withColumn("fb", F.when((F.col("hop") == 1) & F.col("fb.rank").isNull(),
                                         F.raise_error(F.lit("No listing nodes found. Update selectors.")))
                            .otherwise(F.col("fb")))
     cands = fb.select("seed", "hop", "url", "nodes", F.posexplode("fb.matches").alias("pos", "m"))
-    link = N.descendant_link(F.col("nodes"), F.col("m"))
+    link = N.descendant_link("nodes", "m")
     links = materialize(cands.select(
         "seed", "hop", "pos", link["attrs"]["href"].alias("href"), T.trim_all(link["text"]).alias("link_text"),
         U.origin_of("url").alias("origin"), U.base_dir_of("url").alias("base_dir")))

@@ -33,9 +33,9 @@ def selector_fallback(spark, sf):
     """NODE-4 + NODE-5: listing candidates from the first selector that matches, then the
     link of each candidate (itself if ``a``, else its first descendant ``a``)."""
     nodes = _nodes(spark, sf)
-    fb = nodes.select("page_id", "url", "nodes", N.first_nonempty(F.col("nodes"), rules.LISTING_SELECTORS).alias("fb"))
+    fb = nodes.select("page_id", "url", "nodes", N.first_nonempty("nodes", rules.LISTING_SELECTORS).alias("fb"))
     e = fb.select("page_id", "url", "nodes", F.col("fb.rank").alias("rank"), F.posexplode("fb.matches").alias("pos", "m"))
-    link = N.descendant_link(F.col("nodes"), F.col("m"))
+    link = N.descendant_link("nodes", "m")
     return e.select("page_id", "rank", "pos", F.col("m.tag").alias("tag"), link["attrs"]["href"].alias("href"))
 
 
@@ -45,10 +45,10 @@ def selector_path(spark, sf):
     nodes = _nodes(spark, sf)
     return nodes.select(
         "page_id",
-        F.size(N.select(F.col("nodes"), "article p")).alias("article_paragraphs"),
-        F.size(N.select(F.col("nodes"), "nav > ul > li > a")).alias("nav_links"),
-        F.size(N.select(F.col("nodes"), "div.ad, footer")).alias("ad_or_footer"),
-        N.first(F.col("nodes"), "h1")["text"].alias("h1_text"))
+        F.size(N.select("nodes", "article p")).alias("article_paragraphs"),
+        F.size(N.select("nodes", "nav > ul > li > a")).alias("nav_links"),
+        F.size(N.select("nodes", "div.ad, footer")).alias("ad_or_footer"),
+        N.first("nodes", "h1")["text"].alias("h1_text"))
 
 
 @register("hero_image")
@@ -62,7 +62,7 @@ def hero_image(spark, sf):
 def srcset_best(spark, sf):
     """IMG-1 over every ``img[srcset]`` of every page."""
     nodes = _nodes(spark, sf, keep=["img"])
-    imgs = nodes.select("page_id", F.explode(N.select(F.col("nodes"), "img[srcset]")).alias("n"))
+    imgs = nodes.select("page_id", F.explode(N.select("nodes", "img[srcset]")).alias("n"))
     return imgs.select("page_id", F.col("n.node_id").alias("node_id"), I.best_srcset(F.col("n.attrs")["srcset"]).alias("best"))
 
 
@@ -72,7 +72,7 @@ def coverage_report(spark, sf):
     text length when found; plus image counters.  Per-page flags are computed row-locally,
     then one small grouped aggregate (7 + 3 keys, combined map-side)."""
     nodes = _nodes(spark, sf)
-    n = F.col("nodes")
+    n = "nodes"
     probes = [F.struct(F.lit(sel).alias("selector"), F.lit(desc).alias("label"),
                        F.length(F.btrim(N.first(n, sel)["text"])).alias("len"))
               for sel, desc in rules.COVERAGE_SELECTORS]
@@ -108,7 +108,7 @@ def html_model_items(pages, limit: int = 20, as_of=None):
     from ..operators.ranking import clamp_limit
     site = F.lit(rules.HTML_SITE)
     nodes = materialize(N.page_nodes(pages))
-    links = F.filter(F.transform(N.select(F.col("nodes"), rules.MODEL_LINK_SELECTOR),
+    links = F.filter(F.transform(N.select("nodes", rules.MODEL_LINK_SELECTOR),
                                  lambda n: F.struct(T.trim_all(n["text"]).alias("title"),
                                                     F.coalesce(n["attrs"]["href"], F.lit("")).alias("href"))),
                      lambda l: l["title"] != "")
@@ -116,7 +116,7 @@ def html_model_items(pages, limit: int = 20, as_of=None):
                          F.posexplode(F.slice(links, 1, clamp_limit(limit))).alias("pos", "l"))
     items = items.select("listing_id", F.col("pos").cast("bigint").alias("pos"), F.col("l.title").alias("title"),
                          decode_entities(U.resolve_protocol_relative(F.col("l.href"), site), HTML4).alias("uri"))
-    n = F.col("d_nodes")
+    n = "d_nodes"
     detail = nodes.select(U.canonical_url("url").alias("d_canon"), F.col("nodes").alias("d_nodes"))
     joined = items.join(detail, U.canonical_url(F.col("uri")) == F.col("d_canon"), "left")
     desc_el = N.first(n, rules.MODEL_DESCRIPTION_SELECTOR)
