@@ -36,38 +36,12 @@ def is_blank(col, semantics: str = DOCUMENTED) -> Column:
     return c.isNull() | (c == "")
 
 
-def not_blank(col, semantics: str = DOCUMENTED) -> Column:
-    return ~is_blank(col, semantics)
-
-
 # --- STR-1 trim ---------------------------------------------------------------------------
 
 def trim_all(col) -> Column:
     return F.btrim(_c(col), F.lit(TRIM_SET))
 
 
-# --- STR-2 case-insensitive contains --------------------------------------------------------
-
-def icontains(col, needle: str) -> Column:
-    return F.lower(_c(col)).contains(needle.lower())
-
-
-def contains_any(lowered_col, needles) -> Column:
-    """True when a lower-cased column contains any needle (short-circuit OR chain)."""
-    cond = F.lit(False)
-    for n in needles:
-        cond = cond | lowered_col.contains(n.lower())
-    return cond
-
-
-def count_hits(lowered_col, needles) -> Column:
-    """Number of distinct needles found (overlapping needles count separately)."""
-    total = F.lit(0)
-    for n in needles:
-        total = total + lowered_col.contains(n.lower()).cast("int")
-    return total
-
-
 # --- NODE-6 / NODE-7 tag stripping ------------------------------------------------------------
 
 def strip_tags(col) -> Column:

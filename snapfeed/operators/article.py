@@ -145,19 +145,6 @@ def live_title(title: Column, live_inner: Column) -> Column:
     return F.when(is_live, F.concat(title, F.lit(rules.LIVE_SUFFIX))).otherwise(title)
 
 
-def body_cascade(live_inner: Column, live_summary_inner: Column, main_inner: Column,
-                 paras: Column) -> Column:
-    """BODY-1: live summary (>50) when live (>50) -> live content (>100) -> main container
-    (>100) -> joined clean paragraphs (>100) -> null.  Returns the body's inner HTML."""
-    def tlen(c):
-        return F.coalesce(F.length(trim_all(strip_tags(c))), F.lit(0))
-    live = tlen(live_inner) > 50
-    return (F.when(live & (tlen(live_summary_inner) > 50), live_summary_inner)
-            .when(live & (tlen(live_inner) > 100), live_inner)
-            .when(tlen(main_inner) > 100, main_inner)
-            .otherwise(paragraph_body_html(paras)))
-
-
 def body_choice(live_inner: Column, live_summary_inner: Column, main_inner: Column, paras: Column) -> Column:
     """BODY-1 with the chosen branch: struct<branch int (1 live summary, 2 live content,
     3 main container, 4 paragraphs, null none), html string>."""

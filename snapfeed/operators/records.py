@@ -24,9 +24,6 @@ def decode_payload(col, schema: str) -> Column:
     return F.from_json(_c(col), schema, {"mode": "PERMISSIVE"})
 
 
-LIST_ENVELOPE = "struct<data:struct<models:struct<cursor:string,items:string>>,errors:string>"
-
-
 def split_payloads(df: DataFrame, payload: str = "payload", strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """SRC-4: (good, bad) payloads.  Bad: invalid JSON, a non-null ``errors`` key, or
     ``data.models.items`` missing or not an array.  ``strict`` raises on the first bad row

@@ -8,7 +8,6 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import rules
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -113,7 +112,3 @@ def follow_chain(pages: DataFrame, seeds: DataFrame, next_url: Column, max_pages
 def write_feed(items: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK-1: feed items partitioned by feed; order is kept in the ``pos`` column."""
     items.write.mode(mode).partitionBy("feed").parquet(path)
-
-
-def listing_seed_url() -> str:
-    return rules.NEWS_LISTING

@@ -177,3 +177,10 @@ def test_iso_dates_with_source_zone(spark):
     assert london == [dt.datetime(2024, 7, 1, 11, 0), dt.datetime(2024, 7, 1, 10, 0), dt.datetime(2024, 2, 1)]
     utc = [r[0] for r in df.select(dates.parse_iso("t", as_of)).collect()]
     assert utc[0] == dt.datetime(2024, 7, 1, 12, 0)
+
+
+def test_json_listing_key(spark):
+    df = spark.createDataFrame([("14",), ("",), (None,)], "c string")
+    assert [r[0] for r in df.select(U.json_listing_key("c")).collect()] == [
+        "https://www.printables.com/search/models?category=14", "https://www.printables.com/search/models",
+        "https://www.printables.com/search/models"]

@@ -102,3 +102,16 @@ def test_term_hits_overlapping_terms_count_separately(spark):
     df = spark.createDataFrame([("monthly subscription",)], "t string")
     n = df.select(K.term_hits(F.lower("t"), ["subscription", "monthly subscription"]).alias("n")).first()["n"]
     assert n == 2
+
+
+def test_registered_spec_compiles_to_its_terms(spark):
+    from snapfeed.plans.news import NEWS_SPEC, NEWS_TERMS
+    inc, exc, ovr = compile_one(spark, NEWS_SPEC, DOCUMENTED)
+    assert (tuple(inc), tuple(exc), tuple(tuple(g) for g in ovr)) == \
+        (NEWS_TERMS.include, NEWS_TERMS.exclude, NEWS_TERMS.overrides)
+
+
+def test_feed_specs_compile_to_oracle_terms(spark):
+    from snapfeed.plans.news import FEED_SPECS, FEED_TERMS, _feeds_df
+    got = dict(K.collect_terms(_feeds_df(spark), semantics=DOCUMENTED))
+    assert got == FEED_TERMS and len(FEED_SPECS) == len(FEED_TERMS)
