@@ -39,7 +39,18 @@ def selector_fallback(spark, sf):
     return e.select("page_id", "rank", "pos", F.col("m.tag").alias("tag"), link["attrs"]["href"].alias("href"))
 
 
-@register("selector_path")
+_SELECTOR_PATH_SQL = r"""
+SELECT page_id,
+  CAST(len(regexp_extract_all(regexp_extract(html, '(?s)<article[^>]*>(.*)</article>', 1), '<p[\s>]')) AS INTEGER) AS article_paragraphs,
+  CAST(len(regexp_extract_all(regexp_extract(html, '(?s)<nav[^>]*>(.*?)</nav>', 1), '<a[\s>]')) AS INTEGER) AS nav_links,
+  CAST(len(regexp_extract_all(html, '<div class="ad"[\s>]|<footer[\s>]')) AS INTEGER) AS ad_or_footer,
+  CASE WHEN regexp_matches(html, '(?s)<h1[\s>]')
+       THEN regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g') END AS h1_text
+FROM pages
+"""
+
+
+@register("selector_path", _SELECTOR_PATH_SQL)
 def selector_path(spark, sf):
     """NODE-2 with descendant and child chains: article paragraphs and nav links."""
     nodes = _nodes(spark, sf)
