@@ -107,12 +107,13 @@ def image_url_block(spark, sf):
     return pages.select("page_id", "url", I.valid_image("url").alias("valid"))
 
 
-def html_model_items(pages, limit: int = 20, as_of=None):
+def html_model_items(pages, limit: int = 20, as_of=None, dedup: bool = False):
     """HTML models generator end to end over stored pages: listing links ``h3 a, h2 a``
     with a non-blank title, first ``limit`` per listing (F-10, T-3), URI resolution (URL-2)
     and a left join to the detail page on canonical URL (J-3), then image (IMG-4),
     description (STR-12), author, tags (A-2), date (DATE-2) and the view link (STR-15).
-    One node table serves both sides; every per-page step is row-local."""
+    One node table serves both sides; every per-page step is row-local.  ``dedup`` (Q17,
+    off by default as in the source) drops repeated hrefs of a listing before the limit."""
     from ..functions import cleaners, dates, text as T
     from ..functions.entities import HTML4, decode_entities
     from ..operators.dedup import materialize
@@ -123,6 +124,9 @@ def html_model_items(pages, limit: int = 20, as_of=None):
                                  lambda n: F.struct(T.trim_all(n["text"]).alias("title"),
                                                     F.coalesce(n["attrs"]["href"], F.lit("")).alias("href"))),
                      lambda l: l["title"] != "")
+    if dedup:
+        # Q17 documented: keep the first link per href of each listing page (row-local).
+        links = F.filter(links, lambda l, i: ~F.exists(F.slice(links, 1, i), lambda e: e["href"] == l["href"]))
     items = nodes.select(F.col("page_id").alias("listing_id"),
                          F.posexplode(F.slice(links, 1, clamp_limit(limit))).alias("pos", "l"))
     items = items.select("listing_id", F.col("pos").cast("bigint").alias("pos"), F.col("l.title").alias("title"),

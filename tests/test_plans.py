@@ -200,3 +200,14 @@ def test_news_crawl_two_seeds_share_articles(spark):
     got = sorted((r["seed"], r["pos"], r["title"]) for r in news_crawl_items(pages, seeds, 1, terms=Terms()).collect())
     assert got == [("https://news.example/news", 0, "Article one"), ("https://news.example/news", 1, "Article two"),
                    ("https://news.example/other", 0, "Article one")]
+
+
+def test_html_models_dedup_option(spark):
+    import datetime as dt
+    from snapfeed.plans.nodes_queries import html_model_items
+    listing = ("<html><body><h3><a href='/m/1'>A</a></h3><h2><a href='/m/1'>A again</a></h2>"
+               "<h3><a href='/m/2'>B</a></h3></body></html>")
+    pages = spark.createDataFrame([(1, "https://makerworld.com/en/3d-models", listing)], "page_id long, url string, html string")
+    raw = [r["title"] for r in html_model_items(pages, limit=2, as_of=dt.datetime(2024, 2, 1)).orderBy("pos").collect()]
+    dd = [r["title"] for r in html_model_items(pages, limit=2, as_of=dt.datetime(2024, 2, 1), dedup=True).orderBy("pos").collect()]
+    assert raw == ["A", "A again"] and dd == ["A", "B"]
