@@ -183,6 +183,11 @@ DESCRIPTION_CAP = 800
 DEFAULT_EXCERPT_LENGTH = 200
 LIVE_SUFFIX = " - LIVE FEED"
 MODEL_FALLBACK_SENTENCE = "<p>3D model available for download from Printables.com</p>"
+JSON_FEED_NAME_PREFIX = "Printables.com - "
+JSON_CONTENT_CLASS = "printables-model"
+JSON_UID_PREFIX = "printables_"
+HTML_FEED_NAME = "MakerWorld"
+HTML_VIEW_LINK_TEXT = "View on MakerWorld"
 
 # Category lookup tables (label, code), in source order.
 JSON_CATEGORIES = [

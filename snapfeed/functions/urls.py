@@ -90,7 +90,7 @@ def model_uri(model_id, slug) -> Column:
 
 
 def model_uid(model_id) -> Column:
-    return F.concat(F.lit("printables_"), _c(model_id).cast("string"))
+    return F.concat(F.lit(rules.JSON_UID_PREFIX), _c(model_id).cast("string"))
 
 
 def media_url(file_path) -> Column:

@@ -157,7 +157,7 @@ def json_feed_name(category, days, sort=None, semantics: str = "observed") -> Co
     verb = F.lit("Trending")
     if semantics == "documented" and sort is not None:
         verb = F.coalesce(_label_map(rules.JSON_SORTS)[_c(sort)], F.lit("Trending"))
-    return F.concat(F.lit("Printables.com - "), verb, F.lit(" in "), label, F.lit(" (Last "),
+    return F.concat(F.lit(rules.JSON_FEED_NAME_PREFIX), verb, F.lit(" in "), label, F.lit(" (Last "),
                     F.coalesce(_c(days).cast("string"), F.lit("")), F.lit(" days)"))
 
 
@@ -168,4 +168,4 @@ def html_feed_name(category, days) -> Column:
     part_cat = (F.when(cat.isNull() | (cat == ""), F.lit(" - All Categories"))
                 .when(label.isNotNull(), F.concat(F.lit(" - "), label)).otherwise(F.lit("")))
     part_days = F.when(d.isNotNull() & (d != ""), F.concat(F.lit(" (Last "), d, F.lit(" days)"))).otherwise(F.lit(""))
-    return F.concat(F.lit("MakerWorld"), part_cat, part_days)
+    return F.concat(F.lit(rules.HTML_FEED_NAME), part_cat, part_days)

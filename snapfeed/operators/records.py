@@ -110,5 +110,5 @@ def render_model(name, image_path, description_html) -> Column:
     """STR-15 (JSON models): wrapper, optional image, description."""
     img = F.when(~is_blank(image_path), F.concat(
         F.lit('<img src="'), html_escape(media_url(image_path)), F.lit('" alt="'), html_escape(_c(name)), F.lit('">')))
-    return F.concat(F.lit('<div class="printables-model">'), F.coalesce(img, F.lit("")),
+    return F.concat(F.lit(f'<div class="{rules.JSON_CONTENT_CLASS}">'), F.coalesce(img, F.lit("")),
                     F.coalesce(_c(description_html), F.lit("")), F.lit("</div>"))

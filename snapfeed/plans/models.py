@@ -118,7 +118,7 @@ def _describe_sql() -> str:
     return f"""
 WITH {_records_sql()},
 d AS (SELECT rec.*, documents.text AS description FROM rec LEFT JOIN documents ON documents.doc_id = rec.id)
-SELECT id, '<div class="printables-model">' || {img} || (CASE WHEN ({body}) = '' THEN {S.q(rules.MODEL_FALLBACK_SENTENCE)} ELSE ({body}) END) || '</div>' AS content
+SELECT id, '<div class="{rules.JSON_CONTENT_CLASS}">' || {img} || (CASE WHEN ({body}) = '' THEN {S.q(rules.MODEL_FALLBACK_SENTENCE)} ELSE ({body}) END) || '</div>' AS content
 FROM d
 """
 
@@ -163,8 +163,8 @@ def format_stats(spark, sf):
 
 @register("item_uri", f"""
 WITH {_records_sql()}
-SELECT id, 'https://www.printables.com/model/' || CAST(id AS VARCHAR) || '-' || slug AS uri,
-       'printables_' || CAST(id AS VARCHAR) AS uid,
+SELECT id, {S.q(rules.JSON_SITE + '/model/')} || CAST(id AS VARCHAR) || '-' || slug AS uri,
+       {S.q(rules.JSON_UID_PREFIX)} || CAST(id AS VARCHAR) AS uid,
        CASE WHEN image IS NOT NULL THEN {S.q(rules.JSON_MEDIA)} || image END AS image_url
 FROM rec
 """)
@@ -364,9 +364,9 @@ top AS (SELECT id, likes_7d, name, slug, "user", published, path,
         FROM rec ORDER BY likes_7d DESC, id ASC LIMIT {TOP_N}),
 described AS ({inner})
 SELECT 'models' AS feed, top.name AS title,
-       'https://www.printables.com/model/' || CAST(top.id AS VARCHAR) || '-' || top.slug AS uri,
+       {S.q(rules.JSON_SITE + '/model/')} || CAST(top.id AS VARCHAR) || '-' || top.slug AS uri,
        described.content AS content, coalesce(top."user", 'Unknown') AS author,
-       CAST(epoch(top.published) AS BIGINT) AS "timestamp", 'printables_' || CAST(top.id AS VARCHAR) AS uid,
+       CAST(epoch(top.published) AS BIGINT) AS "timestamp", {S.q(rules.JSON_UID_PREFIX)} || CAST(top.id AS VARCHAR) AS uid,
        array_to_string(top.path, '|') AS categories, CAST(top.pos AS BIGINT) AS pos
 FROM top JOIN described ON described.id = top.id
 """

@@ -453,7 +453,7 @@ def listing_left(spark, sf):
 WITH a AS (SELECT 'news' AS feed, {S.trim_all(S.strip_tags("regexp_extract(html, '(?is)<h1(?:\\s[^>]*)?>(.*?)</h1\\s*>', 1)"))} AS title,
                   url AS uri, CAST(NULL AS VARCHAR) AS author FROM pages),
      b AS (SELECT 'models' AS feed, p_name AS title,
-                  'https://www.printables.com/model/' || CAST(p_partkey AS VARCHAR) || '-' || replace(lower(p_name), ' ', '-') AS uri,
+                  {S.q(rules.JSON_SITE + '/model/')} || CAST(p_partkey AS VARCHAR) || '-' || replace(lower(p_name), ' ', '-') AS uri,
                   p_brand AS author FROM part)
 SELECT * FROM a UNION ALL SELECT * FROM b
 """)

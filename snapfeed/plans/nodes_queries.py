@@ -151,7 +151,7 @@ def html_model_items(pages, limit: int = 20, as_of=None, dedup: bool = False):
         F.when(F.length(F.coalesce(date_txt, F.lit(""))) > 0, dates.parse_multi(date_txt, as_of_col)).alias("ts")))
     img_html = F.when(F.col("image").isNotNull(), F.concat(F.lit('<img src="'), F.col("image"), F.lit('"><br>')))
     content = F.concat(F.coalesce(img_html, F.lit("")), F.coalesce(F.col("desc"), F.lit("")),
-                       F.lit('<p><a href="'), F.col("uri"), F.lit('">View on MakerWorld</a></p>'))
+                       F.lit('<p><a href="'), F.col("uri"), F.lit(f'">{rules.HTML_VIEW_LINK_TEXT}</a></p>'))
     return staged.select(
         F.lit("models_html").alias("feed"), "title", "uri", content.alias("content"),
         F.coalesce(F.col("author"), F.lit("")).alias("author"),
