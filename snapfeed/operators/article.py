@@ -139,10 +139,15 @@ def title_choice(h1_inner: Column, link_text: Column, semantics: str = OBSERVED)
     return F.when(~is_blank(raw, semantics), cleaned)
 
 
+def is_live(live_inner: Column) -> Column:
+    """TTL-2 flag: the live container holds more than 50 characters of text (Q14: the
+    source sets this flag and never reads it; ``with_live_flag`` exposes it)."""
+    return F.coalesce(F.length(trim_all(strip_tags(live_inner))) > 50, F.lit(False))
+
+
 def live_title(title: Column, live_inner: Column) -> Column:
     """TTL-2: append the live suffix when the live container holds more than 50 chars."""
-    is_live = F.coalesce(F.length(trim_all(strip_tags(live_inner))) > 50, F.lit(False))
-    return F.when(is_live, F.concat(title, F.lit(rules.LIVE_SUFFIX))).otherwise(title)
+    return F.when(is_live(live_inner), F.concat(title, F.lit(rules.LIVE_SUFFIX))).otherwise(title)
 
 
 def body_choice(live_inner: Column, live_summary_inner: Column, main_inner: Column, paras: Column) -> Column:

@@ -101,7 +101,7 @@ def dom_front(pages: DataFrame, semantics: str = T.OBSERVED, carry: tuple[str, .
 def article_items(pages: DataFrame, terms: K.Terms = NEWS_TERMS, excerpt_length: int = EXCERPT_LENGTH,
                   semantics: str = T.DOCUMENTED, feed: str = FEED_NAME, as_of=NEWS_AS_OF,
                   advert_terms: dict | None = None, source_tz: str = "UTC",
-                  carry: tuple[str, ...] = ()) -> DataFrame:
+                  carry: tuple[str, ...] = (), with_live_flag: bool = False) -> DataFrame:
     """Articles (one page row each, already de-duplicated) -> feed items.
 
     Pages with DOM markers go through the node table, the rest through native extraction;
@@ -119,7 +119,8 @@ def article_items(pages: DataFrame, terms: K.Terms = NEWS_TERMS, excerpt_length:
         dom_front(pages.where(needs_dom), carry=carry))
     staged = materialize(fronts.withColumn("title", A.title_choice(F.col("h1"), F.col("link_text"), semantics)))
     titled = staged.where(F.col("title").isNotNull())
-    titled = titled.withColumn("title", A.live_title(F.col("title"), F.col("live")))
+    titled = titled.withColumn("is_live", A.is_live(F.col("live"))) \
+        .withColumn("title", A.live_title(F.col("title"), F.col("live")))
     kept = titled.where(~K.is_advert("title", "page_text", **advert_terms))
     body = A.body_choice(F.col("live"), F.col("live_summary"), F.col("main"), F.col("paras"))
     with_body = materialize(kept.withColumn("body", body))
@@ -159,6 +160,7 @@ def article_items(pages: DataFrame, terms: K.Terms = NEWS_TERMS, excerpt_length:
         F.array_join("categories", "|").alias("categories"),
         F.col("page_id"),
         *carry,
+        *([F.col("is_live")] if with_live_flag else []),
     )
 
 

@@ -54,6 +54,20 @@ def publish_once(events: DataFrame, uid_col: str, ts_col: str, delay: str) -> Da
     return events.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([uid_col])
 
 
+def item_uid(uid_col: str | None, uri_col: str = "uri"):
+    """Stable item id: the item's own uid, else the SHA-256 of its URI."""
+    sha = F.sha2(F.col(uri_col), 256)
+    return F.coalesce(F.col(uid_col), sha) if uid_col else sha
+
+
+def publish_items_once(items: DataFrame, delay: str = "1 hour", uid_col: str | None = None,
+                       epoch_col: str = "timestamp") -> DataFrame:
+    """ST-2 for feed items: event time from the item's epoch seconds, one row per stable id
+    while it is inside the watermark."""
+    keyed = items.withColumn("item_uid", item_uid(uid_col)).withColumn("event_time", F.timestamp_seconds(epoch_col))
+    return publish_once(keyed, "item_uid", "event_time", delay)
+
+
 def trailing_popularity(events: DataFrame, key: str, ts_col: str, delay: str = "1 day",
                         length: str = "7 days", slide: str = "1 day") -> DataFrame:
     """ST-3: sliding-window counts per key (streaming form of A-5)."""

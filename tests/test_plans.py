@@ -211,3 +211,31 @@ def test_html_models_dedup_option(spark):
     raw = [r["title"] for r in html_model_items(pages, limit=2, as_of=dt.datetime(2024, 2, 1)).orderBy("pos").collect()]
     dd = [r["title"] for r in html_model_items(pages, limit=2, as_of=dt.datetime(2024, 2, 1), dedup=True).orderBy("pos").collect()]
     assert raw == ["A", "A again"] and dd == ["A", "B"]
+
+
+def test_live_flag_and_publish_once_keys(spark):
+    import datetime as dt
+    from snapfeed.operators.terms import Terms
+    from snapfeed.streaming.incremental import item_uid
+    pages = spark.createDataFrame([(1, "https://news.example/a/1", LIVE), (2, "https://news.example/a/2", MAIN)],
+                                  "page_id long, url string, html string")
+    rows = {r["page_id"]: r["is_live"] for r in
+            article_items(pages, terms=Terms(), as_of=dt.datetime(2024, 2, 1), with_live_flag=True).collect()}
+    assert rows == {1: True, 2: False}
+    df = spark.createDataFrame([("u1", "x"), (None, "x")], "uid string, uri string")
+    got = [r[0] for r in df.select(item_uid("uid")).collect()]
+    assert got[0] == "u1" and len(got[1]) == 64
+
+
+def test_publish_items_once_stream(spark, tmp_path):
+    from snapfeed.streaming.incremental import publish_items_once, run_available
+    src = tmp_path / "items"
+    a = spark.createDataFrame([("https://x/1", 1704067200), ("https://x/2", 1704067260)], "uri string, timestamp long")
+    b = spark.createDataFrame([("https://x/1", 1704067300), ("https://x/3", 1704067320)], "uri string, timestamp long")
+    a.write.parquet(str(src / "f1"))
+    b.write.parquet(str(src / "f2"))
+    stream = spark.readStream.schema(a.schema).option("recursiveFileLookup", "true").parquet(str(src))
+    sink, ckpt = str(tmp_path / "sink"), str(tmp_path / "ckpt")
+    run_available(publish_items_once(stream, "1 day").select("uri", "item_uid"), sink, ckpt)
+    got = sorted(r["uri"] for r in spark.read.parquet(sink).collect())
+    assert got == ["https://x/1", "https://x/2", "https://x/3"]
