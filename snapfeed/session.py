@@ -25,6 +25,16 @@ _DEFAULTS = {
 }
 
 
+def _default_driver_memory() -> str:
+    """60% of physical memory, capped at 16g (local mode runs everything in the driver)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    gib = max(1, min(16, int(total * 0.6) >> 30))
+    return f"{gib}g"
+
+
 def get_spark(master: str | None = None, app: str = "snapfeed", shuffle_partitions: int | None = None) -> SparkSession:
     """Local/test session builder. Cluster jobs should call ``configure`` on their own session."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
@@ -32,7 +42,7 @@ def get_spark(master: str | None = None, app: str = "snapfeed", shuffle_partitio
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("SNAPFEED_DRIVER_MEMORY", "16g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("SNAPFEED_DRIVER_MEMORY") or _default_driver_memory())
     spark = builder.getOrCreate()
     configure(spark)
     return spark
