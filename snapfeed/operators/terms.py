@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.text import DOCUMENTED, OBSERVED, TRIM_SET, check_semantics, trim_all
+from ..functions.text import DOCUMENTED, OBSERVED, check_semantics, trim_all
 
 _QUOTES = "\"'"
 # Parameter-table bounds for inlining feeds into the plan.
