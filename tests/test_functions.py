@@ -184,3 +184,22 @@ def test_json_listing_key(spark):
     assert [r[0] for r in df.select(U.json_listing_key("c")).collect()] == [
         "https://www.printables.com/search/models?category=14", "https://www.printables.com/search/models",
         "https://www.printables.com/search/models"]
+
+
+def test_title_choice_rules(spark):
+    df = spark.createDataFrame([("<b>Big &amp; bold</b>", "link"), ("  ", "link"), (None, " Link text "), ("0", "x")],
+                               "h1 string, link string")
+    doc = [r[0] for r in df.select(A.title_choice(F.col("h1"), F.col("link"), T.DOCUMENTED)).collect()]
+    obs = [r[0] for r in df.select(A.title_choice(F.col("h1"), F.col("link"), T.OBSERVED)).collect()]
+    # an empty h1 drops the item (no fallback); a missing h1 falls back to the link text
+    assert doc == ["Big & bold", None, "Link text", "0"]
+    assert obs == ["Big & bold", None, "Link text", None]
+
+
+def test_lead_prepend_modes(spark):
+    df = spark.createDataFrame([("Lead line here rest of text", "Lead line here"), ("", "Lead"),
+                                ("text", "var x = function")], "t string, lead string")
+    doc = [r[0] for r in df.select(A.lead_prepend(F.col("t"), F.col("lead"), T.DOCUMENTED)).collect()]
+    obs = [r[0] for r in df.select(A.lead_prepend(F.col("t"), F.col("lead"), T.OBSERVED)).collect()]
+    assert doc == ["Lead line here rest of text", "Lead", "text"]
+    assert obs == ["Lead line here Lead line here rest of text", "Lead", "text"]
