@@ -173,7 +173,7 @@ def article_feed(spark, sf):
     return article_items(articles)
 
 
-def _article_feed_sql() -> str:
+def _article_feed_sql(first_seen_and_block: bool = True) -> str:
     n = EXCERPT_LENGTH
     h1_pat = r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>"
     title_pat = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
@@ -200,10 +200,11 @@ def _article_feed_sql() -> str:
         S.normalise_residue(S.drop_script_lines(S.apply_rules("coalesce(body_html, '')", rules.CLEAN_RULES_OBSERVED))))
     clean = f"(CASE WHEN coalesce(body_html, '') = '' THEN '' ELSE {clean} END)"
     as_of = int(NEWS_AS_OF.replace(tzinfo=dt.timezone.utc).timestamp())
+    firsts = (f"SELECT * FROM (SELECT page_id, url, html, row_number() OVER (PARTITION BY {canon} ORDER BY page_id) "
+              f"AS rn FROM pages) WHERE rn = 1 AND NOT contains(lower(url), 'advertisement')"
+              if first_seen_and_block else "SELECT page_id, url, html FROM pages")
     return f"""
-WITH firsts AS (
-  SELECT * FROM (SELECT page_id, url, html, row_number() OVER (PARTITION BY {canon} ORDER BY page_id) AS rn FROM pages)
-  WHERE rn = 1 AND NOT contains(lower(url), 'advertisement')),
+WITH firsts AS ({firsts}),
 st AS (SELECT page_id, url, {raw_title} AS raw, {page_text} AS page_text,
               {S.paragraph_struct_list('html')} AS ps FROM firsts),
 ti AS (SELECT *, {S.trim_all(S.strip_tags(S.decode_corpus_entities('raw')))} AS title FROM st

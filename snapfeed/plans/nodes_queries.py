@@ -69,12 +69,24 @@ def hero_image(spark, sf):
     return I.hero_image(nodes, "nodes", U.origin_of("url"), U.base_dir_of("url")).select("page_id", "image")
 
 
-@register("srcset_best")
+_SRCSET_SQL = r"""
+WITH s AS (SELECT page_id, regexp_extract_all(html, '(?is)<img\s[^>]*srcset="([^"]*)"', 1) AS sets FROM pages),
+e AS (SELECT page_id, CAST(unnest(range(0, len(sets))) AS INTEGER) AS pos, unnest(sets) AS srcset FROM s)
+SELECT page_id, pos,
+  (list_sort(list_transform(list_zip(regexp_extract_all(srcset, '(\S+)\s+(\d+)w', 1),
+                                     regexp_extract_all(srcset, '(\S+)\s+(\d+)w', 2),
+                                     range(0, len(regexp_extract_all(srcset, '(\S+)\s+(\d+)w', 1)))),
+                            lambda x: {'nw': -CAST(x[2] AS BIGINT), 'i': x[3], 'u': x[1]})))[1].u AS best
+FROM e
+"""
+
+
+@register("srcset_best", _SRCSET_SQL)
 def srcset_best(spark, sf):
-    """IMG-1 over every ``img[srcset]`` of every page."""
+    """IMG-1 over every ``img[srcset]`` of every page (``pos``: order among them)."""
     nodes = _nodes(spark, sf, keep=["img"])
-    imgs = nodes.select("page_id", F.explode(N.select("nodes", "img[srcset]")).alias("n"))
-    return imgs.select("page_id", F.col("n.node_id").alias("node_id"), I.best_srcset(F.col("n.attrs")["srcset"]).alias("best"))
+    imgs = nodes.select("page_id", F.posexplode(N.select("nodes", "img[srcset]")).alias("pos", "n"))
+    return imgs.select("page_id", "pos", I.best_srcset(F.col("n.attrs")["srcset"]).alias("best"))
 
 
 @register("coverage_report")

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ..streaming import incremental as ST
 from .catalog import register
-from .news import article_items
+from .news import _article_feed_sql, article_items
 
 
-@register("stream_feed")
+@register("stream_feed", _article_feed_sql(first_seen_and_block=False))
 def stream_feed(spark, sf):
     """ST-1: page snapshots arriving as files -> article job -> parquet sink.  Equal to the
     batch article job over the same pages (checked in tests)."""
