@@ -180,3 +180,98 @@ def is_advert(title, page_text, subscription_terms=None, offer_words=None, stron
     return (((term_hits(lt, sub) >= 1) & (term_hits(lc, sub) >= 3))
             | (lt.contains(first) & offer_hit)
             | (term_hits(lc, strong) >= 2))
+
+
+# --- F-7 at subscription scale ------------------------------------------------------------------------
+
+# Vocabulary bound for one automaton; larger vocabularies are matched in shards.
+VOCAB_SHARD = 200_000
+
+
+def feed_terms(feeds: DataFrame, id_col: str = "feed_id", spec_col: str = "spec",
+               semantics: str = DOCUMENTED) -> DataFrame:
+    """Compiled feeds as rows (feed_id, term, role, grp): role include / exclude / override."""
+    c = feeds.select(F.col(id_col).alias("feed_id"), compile_terms(spec_col, semantics).alias("t"))
+    inc = c.select("feed_id", F.explode("t.include").alias("term"), F.lit("include").alias("role"), F.lit(-1).alias("grp"))
+    exc = c.select("feed_id", F.explode("t.exclude").alias("term"), F.lit("exclude").alias("role"), F.lit(-1).alias("grp"))
+    ovr = c.select("feed_id", F.posexplode("t.overrides").alias("grp", "g")) \
+        .select("feed_id", F.explode("g").alias("term"), F.lit("override").alias("role"), "grp")
+    return inc.unionByName(exc).unionByName(ovr)
+
+
+def term_hits_scan(items: DataFrame, key: str, text: Column, vocab: list[str]) -> DataFrame:
+    """(key, term) for every vocabulary term contained in the item's text: Aho-Corasick over
+    Arrow batches (one automaton per task, built from the broadcast vocabulary), so the work
+    is one pass over each text whatever the vocabulary size; only hits are emitted.  The
+    empty term (possible in ``observed`` specs) is contained in every text."""
+    spark = items.sparkSession
+    words = sorted({t for t in vocab if t != ""})
+    staged = items.select(F.col(key).alias("_k"), text.alias("_text"))
+    key_type = staged.schema["_k"].dataType.simpleString()
+    frames = []
+    for start in range(0, max(len(words), 1), VOCAB_SHARD):
+        shard = spark.sparkContext.broadcast(words[start:start + VOCAB_SHARD])
+
+        def scan(batches, shard=shard):
+            import ahocorasick
+            import pandas as pd
+            auto = ahocorasick.Automaton()
+            for i, w in enumerate(shard.value):
+                auto.add_word(w, w)
+            ready = len(shard.value) > 0
+            if ready:
+                auto.make_automaton()
+            for pdf in batches:
+                keys, terms = [], []
+                if ready:
+                    for k, t in zip(pdf["_k"], pdf["_text"]):
+                        if t is None:
+                            continue
+                        for w in {hit for _, hit in auto.iter(t)}:
+                            keys.append(k)
+                            terms.append(w)
+                if keys:  # empty frames carry no types for Arrow; skip them
+                    yield pd.DataFrame({"_k": keys, "term": terms})
+
+        if words[start:start + VOCAB_SHARD]:
+            frames.append(staged.mapInPandas(scan, f"_k {key_type}, term string"))
+    if "" in vocab:
+        frames.append(staged.select("_k", F.lit("").alias("term")))
+    if not frames:
+        return staged.limit(0).select(F.col("_k").alias(key), F.lit("").alias("term"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out.withColumnRenamed("_k", key)
+
+
+def match_feeds_scaled(items: DataFrame, feeds: DataFrame, key: str, title="title", summary="summary",
+                       semantics: str = DOCUMENTED, id_col: str = "feed_id", spec_col: str = "spec") -> DataFrame:
+    """F-7 / J-5 for large subscription tables: (key, feed_id) for every accepted pair.
+
+    Hits come from one scan per item over the distinct vocabulary (``term_hits_scan``); they
+    join the exploded (term -> feed, role) table and are reduced to per-(item, feed) flags
+    with a combining aggregate.  Feeds without include terms accept every item not
+    excluded: those pairs are the output itself and are produced by a row-local explode of
+    the (bounded) list of such feeds, minus the excluded pairs (anti join)."""
+    terms = feed_terms(feeds, id_col, spec_col, semantics)
+    vocab = [r["term"] for r in terms.select("term").distinct().collect()]
+    hits = term_hits_scan(items, key, match_text(title, summary), vocab)
+    fh = hits.join(terms, "term")
+    flags = fh.groupBy(key, "feed_id").agg(
+        F.max((F.col("role") == "include").cast("int")).alias("inc"),
+        F.max((F.col("role") == "exclude").cast("int")).alias("exc"),
+        F.max((F.col("role") == "override").cast("int")).alias("ovr"))
+    if check_semantics(semantics) == DOCUMENTED:
+        rejected = (F.col("exc") == 1) & (F.col("ovr") == 0)
+    else:
+        rejected = F.col("exc") == 1
+    with_inc = flags.where((F.col("inc") == 1) & ~rejected).select(key, "feed_id")
+    has_inc = terms.where(F.col("role") == "include").select("feed_id").distinct()
+    no_inc_ids = [r["feed_id"] for r in feeds.select(F.col(id_col).alias("feed_id")).join(has_inc, "feed_id", "left_anti").collect()]
+    if not no_inc_ids:
+        return with_inc
+    excluded = flags.where(rejected).select(key, "feed_id")
+    all_pairs = items.select(key, F.explode(F.array(*[F.lit(i) for i in no_inc_ids])).alias("feed_id"))
+    open_pairs = all_pairs.join(excluded, [key, "feed_id"], "left_anti")
+    return with_inc.unionByName(open_pairs)

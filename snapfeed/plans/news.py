@@ -323,6 +323,14 @@ def match_many_feeds(spark, sf):
     return K.match_feeds(d, feeds, semantics=T.DOCUMENTED).select("feed_id", "doc_id")
 
 
+@register("match_many_feeds_scaled", _many_feeds_sql())
+def match_many_feeds_scaled(spark, sf):
+    """F-7 for large subscription tables: Aho-Corasick term hits per item, joined to the
+    exploded feed terms and reduced per (item, feed); same answer as ``match_many_feeds``."""
+    d = doc_items(spark, sf)
+    return K.match_feeds_scaled(d, _feeds_df(spark), "doc_id", semantics=T.DOCUMENTED).select("feed_id", "doc_id")
+
+
 # Corpus stand-ins for the advert term lists (the source lists do not occur in the corpus).
 ADVERT_TERMS = dict(
     subscription_terms=["the ", "ing", "thor", "ation", "tion", "ther", "and ", "der "],

@@ -115,3 +115,25 @@ def test_feed_specs_compile_to_oracle_terms(spark):
     from snapfeed.plans.news import FEED_SPECS, FEED_TERMS, _feeds_df
     got = dict(K.collect_terms(_feeds_df(spark), semantics=DOCUMENTED))
     assert got == FEED_TERMS and len(FEED_SPECS) == len(FEED_TERMS)
+
+
+def test_match_feeds_scaled_equals_inline(spark):
+    import random
+    rnd = random.Random(7)
+    words = ["flood", "road", "museum", "park", "canvey", "rain", "tide", "bus"]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 6))), "") for i in range(300)]
+    items = spark.createDataFrame(rows, "id long, title string, summary string")
+    specs = [(1, "flood,road,-canvey,except(museum)"), (2, "-rain,-tide"), (3, '"park road",bus'),
+             (4, "-bus,except(park, flood)"), (5, "")]
+    feeds = spark.createDataFrame(specs, "feed_id long, spec string")
+    for sem in (DOCUMENTED, OBSERVED):
+        inline = {(r["feed_id"], r["id"]) for r in
+                  K.match_feeds(items, K.collect_terms(feeds, semantics=sem), semantics=sem).collect()}
+        scaled = {(r["feed_id"], r["id"]) for r in K.match_feeds_scaled(items, feeds, "id", semantics=sem).collect()}
+        assert scaled == inline
+
+
+def test_term_hits_scan_empty_term(spark):
+    items = spark.createDataFrame([(1, "Abc"), (2, None)], "id long, t string")
+    got = {(r["id"], r["term"]) for r in K.term_hits_scan(items, "id", F.lower("t"), ["", "ab", "zz"]).collect()}
+    assert got == {(1, ""), (1, "ab"), (2, "")}
