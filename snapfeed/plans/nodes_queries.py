@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import rules, urls as U
 from ..operators import images as I
 from ..operators import nodes as N
+from ..session import checkpoint_dir
 from ..sources.snapshots import load_table
 from . import sqlgen as S
 from .catalog import register
@@ -124,43 +125,50 @@ def html_model_items(pages, limit: int = 20, as_of=None, dedup: bool = False):
     with a non-blank title, first ``limit`` per listing (F-10, T-3), URI resolution (URL-2)
     and a left join to the detail page on canonical URL (J-3), then image (IMG-4),
     description (STR-12), author, tags (A-2), date (DATE-2) and the view link (STR-15).
-    One node table serves both sides; every per-page step is row-local.  ``dedup`` (Q17,
+    Each page is parsed once and serves both roles; every per-page step is row-local.  ``dedup`` (Q17,
     off by default as in the source) drops repeated hrefs of a listing before the limit."""
     from ..functions import cleaners, dates, text as T
     from ..functions.entities import HTML4, decode_entities
     from ..operators.dedup import materialize
     from ..operators.ranking import clamp_limit
     site = F.lit(rules.HTML_SITE)
-    nodes = materialize(N.page_nodes(pages))
-    links = F.filter(F.transform(N.select("nodes", rules.MODEL_LINK_SELECTOR),
-                                 lambda n: F.struct(T.trim_all(n["text"]).alias("title"),
-                                                    F.coalesce(n["attrs"]["href"], F.lit("")).alias("href"))),
+    n = "nodes"
+    links = F.filter(F.transform(N.select(n, rules.MODEL_LINK_SELECTOR),
+                                 lambda x: F.struct(T.trim_all(x["text"]).alias("title"),
+                                                    F.coalesce(x["attrs"]["href"], F.lit("")).alias("href"))),
                      lambda l: l["title"] != "")
     if dedup:
         # Q17 documented: keep the first link per href of each listing page (row-local).
         links = F.filter(links, lambda l, i: ~F.exists(F.slice(links, 1, i), lambda e: e["href"] == l["href"]))
-    items = nodes.select(F.col("page_id").alias("listing_id"),
-                         F.posexplode(F.slice(links, 1, clamp_limit(limit))).alias("pos", "l"))
-    items = items.select("listing_id", F.col("pos").cast("bigint").alias("pos"), F.col("l.title").alias("title"),
-                         decode_entities(U.resolve_protocol_relative(F.col("l.href"), site), HTML4).alias("uri"))
-    n = "d_nodes"
-    detail = nodes.select(U.canonical_url("url").alias("d_canon"), F.col("nodes").alias("d_nodes"))
-    joined = items.join(detail, U.canonical_url(F.col("uri")) == F.col("d_canon"), "left")
     desc_el = N.first(n, rules.MODEL_DESCRIPTION_SELECTOR)
     meta_desc = N.first(n, "meta[name=description]")
     raw = (F.when(desc_el.isNotNull(), desc_el["inner_html"])
            .when(meta_desc.isNotNull(), F.concat(F.lit("<p>"), F.coalesce(meta_desc["attrs"]["content"], F.lit("")), F.lit("</p>")))
            .otherwise(F.lit("")))
     date_el = N.first(n, rules.MODEL_DATE_SELECTOR)
-    date_txt = F.coalesce(F.nullif(date_el["attrs"]["datetime"], F.lit("")), date_el["text"])
-    as_of_col = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
-    staged = materialize(joined.select(
-        "listing_id", "pos", "title", "uri", F.col("d_nodes").isNotNull().alias("has_detail"),
+    # Every page is parsed once: its outgoing model links (listing role) and its detail
+    # fields (detail role) come out of one projection of the node table, and that compact
+    # per-page table is checkpointed to the shared folder before the self-join, so the
+    # Python stage is not run again for the second side of the join.
+    per_page = materialize(N.page_nodes(pages)).select(
+        F.col("page_id"), U.canonical_url("url").alias("canon"), F.slice(links, 1, clamp_limit(limit)).alias("links"),
         I.page_image(n, site).alias("image"), cleaners.blocks_to_paragraphs(raw).alias("desc"),
         T.trim_all(N.first(n, rules.MODEL_AUTHOR_SELECTOR)["text"]).alias("author"),
         F.filter(F.transform(N.select(n, rules.MODEL_TAG_SELECTOR), lambda t: T.trim_all(t["text"])),
                  lambda t: t != "").alias("categories"),
-        F.when(F.length(F.coalesce(date_txt, F.lit(""))) > 0, dates.parse_multi(date_txt, as_of_col)).alias("ts")))
+        F.coalesce(F.nullif(date_el["attrs"]["datetime"], F.lit("")), date_el["text"]).alias("date_txt"))
+    checkpoint_dir(pages.sparkSession)
+    per_page = per_page.checkpoint(eager=True)
+    items = per_page.select(F.col("page_id").alias("listing_id"), F.posexplode("links").alias("pos", "l"))
+    items = items.select("listing_id", F.col("pos").cast("bigint").alias("pos"), F.col("l.title").alias("title"),
+                         decode_entities(U.resolve_protocol_relative(F.col("l.href"), site), HTML4).alias("uri"))
+    detail = per_page.select(F.col("canon").alias("d_canon"), "image", "desc", "author", "categories", "date_txt")
+    joined = items.join(detail, U.canonical_url(F.col("uri")) == F.col("d_canon"), "left")
+    as_of_col = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
+    staged = materialize(joined.select(
+        "listing_id", "pos", "title", "uri", "image", "desc", "author", "categories",
+        F.when(F.length(F.coalesce(F.col("date_txt"), F.lit(""))) > 0,
+               dates.parse_multi(F.col("date_txt"), as_of_col)).alias("ts")))
     img_html = F.when(F.col("image").isNotNull(), F.concat(F.lit('<img src="'), F.col("image"), F.lit('"><br>')))
     content = F.concat(F.coalesce(img_html, F.lit("")), F.coalesce(F.col("desc"), F.lit("")),
                        F.lit('<p><a href="'), F.col("uri"), F.lit(f'">{rules.HTML_VIEW_LINK_TEXT}</a></p>'))
