@@ -107,8 +107,27 @@ def match_terms(text: Column, include: Column, exclude: Column, overrides: Colum
     return ~rejected & included
 
 
+def _sql_lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _any_contains_sql(text_sql: str, terms) -> str:
+    return "(" + " OR ".join(f"contains({text_sql}, {_sql_lit(t)})" for t in terms) + ")" if terms else "false"
+
+
 def match_literal(title, summary, terms: Terms, semantics: str = DOCUMENTED) -> Column:
-    """F-4/F-5 with literal term lists (one feed)."""
+    """F-4/F-5 with literal term lists (one feed).  With column names the test is plain
+    boolean SQL (codegen, one parsed expression); otherwise array lambdas."""
+    if isinstance(title, str) and isinstance(summary, str):
+        text = f"lower(concat(coalesce(`{title}`, ''), ' ', coalesce(`{summary}`, '')))"
+        excluded = _any_contains_sql(text, terms.exclude)
+        if check_semantics(semantics) == DOCUMENTED and terms.overrides:
+            overridden = " OR ".join(_any_contains_sql(text, g) for g in terms.overrides)
+            rejected = f"({excluded} AND NOT ({overridden}))"
+        else:
+            rejected = excluded
+        included = _any_contains_sql(text, terms.include) if terms.include else "true"
+        return F.expr(f"(NOT {rejected}) AND {included}")
     text = match_text(title, summary)
     ovr = F.array(*[_lit_array(g) for g in terms.overrides]).cast("array<array<string>>")
     return match_terms(text, _lit_array(terms.include), _lit_array(terms.exclude), ovr, semantics)
@@ -172,6 +191,16 @@ def is_advert(title, page_text, subscription_terms=None, offer_words=None, stron
     sub = list(subscription_terms if subscription_terms is not None else rules.SUBSCRIPTION_TERMS)
     offer = list(offer_words if offer_words is not None else rules.TITLE_OFFER_WORDS)
     strong = list(strong_terms if strong_terms is not None else rules.STRONG_CONTENT_INDICATORS)
+    if isinstance(title, str) and isinstance(page_text, str):
+        lt, lc = f"lower(`{title}`)", f"lower(`{page_text}`)"
+
+        def hits(text_sql, terms):
+            return "(" + " + ".join(f"CAST(contains({text_sql}, {_sql_lit(t.lower())}) AS INT)" for t in terms) + ")" \
+                if terms else "0"
+        first = _sql_lit(sub[0] if sub else "subscription")
+        offer_hit = _any_contains_sql(lt, [w.lower() for w in offer])
+        return F.expr(f"(({hits(lt, sub)} >= 1 AND {hits(lc, sub)} >= 3) OR (contains({lt}, {first}) AND {offer_hit})"
+                      f" OR {hits(lc, strong)} >= 2)")
     lt, lc = F.lower(_c(title)), F.lower(_c(page_text))
     first = sub[0] if sub else "subscription"
     offer_hit = F.lit(False)
