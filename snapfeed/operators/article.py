@@ -71,7 +71,9 @@ def body_paragraphs(paras: Column) -> Column:
 
 
 def paragraph_body_html(paras: Column) -> Column:
-    """Joined outer HTML of the kept paragraphs, or null when its text is 100 chars or less."""
+    """Joined outer HTML of the kept paragraphs, or null when its text is 100 chars or less.
+    Each paragraph is rebuilt as ``<p>inner</p>`` (the cleaner removes attributes later
+    anyway); the length test uses the trimmed paragraph texts."""
     kept = body_paragraphs(paras)
     joined = F.array_join(F.transform(kept, lambda p: F.concat(F.lit("<p>"), p["html"], F.lit("</p>"))), "")
     text_len = F.length(F.array_join(F.transform(kept, lambda p: p["text"]), ""))

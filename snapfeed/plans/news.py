@@ -44,7 +44,10 @@ def _null():
 
 
 def native_front(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Article fields from raw HTML with codegen expressions only (flat targets)."""
+    """Article fields from raw HTML with codegen expressions only (flat targets).
+
+    The link text (TTL-1 fallback) comes from the listing when the page was reached through
+    one (crawl); a page taken as an article on its own falls back to its ``<title>``."""
     link = F.col("link_text") if "link_text" in pages.columns else H.first_tag_text("html", "title")
     return pages.select(
         "page_id", "url", *carry,
