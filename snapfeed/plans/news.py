@@ -119,7 +119,7 @@ def article_items(pages: DataFrame, terms: K.Terms = NEWS_TERMS, excerpt_length:
     needs_dom = F.coalesce(F.col("html").rlike(DOM_MARKERS), F.lit(False))
     carry = tuple(carry)
     fronts = native_front(pages.where(~needs_dom), carry).unionByName(
-        dom_front(pages.where(needs_dom), carry=carry))
+        dom_front(pages.where(needs_dom), semantics=semantics, carry=carry))
     staged = materialize(fronts.withColumn("title", A.title_choice(F.col("h1"), F.col("link_text"), semantics)))
     titled = staged.where(F.col("title").isNotNull())
     titled = titled.withColumn("is_live", A.is_live(F.col("live"))) \
@@ -142,7 +142,7 @@ def article_items(pages: DataFrame, terms: K.Terms = NEWS_TERMS, excerpt_length:
     ex = materialize(ex.withColumn("excerpt", A.decode_excerpt(F.col("excerpt"))))
     matched = ex.where(K.match_literal("title", "excerpt", terms, semantics))
     cleaned = matched.withColumn("clean", decode_entities(cleaners.clean_content(F.coalesce("body.html", F.lit("")),
-                                                                               T.OBSERVED), HTML4))
+                                                                               semantics), HTML4))
     summary_box = F.when(F.length("excerpt") > 0, F.concat(
         F.lit('<div class="summary"><strong>Summary:</strong> '), T.html_escape(F.col("excerpt")), F.lit("</div>")))
     figure = F.when(F.col("image").isNotNull(), F.concat(
@@ -176,7 +176,7 @@ def article_feed(spark, sf):
     return article_items(articles)
 
 
-def _article_feed_sql(first_seen_and_block: bool = True) -> str:
+def _article_feed_sql(first_seen_and_block: bool = True, semantics: str = T.DOCUMENTED) -> str:
     n = EXCERPT_LENGTH
     h1_pat = r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>"
     title_pat = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
@@ -197,10 +197,14 @@ def _article_feed_sql(first_seen_and_block: bool = True) -> str:
     fallback = S.fallback_excerpt("list_transform(ps, lambda p: p.text)", n)
     text = "lower(title || ' ' || excerpt)"
     excluded = S.contains_any(text, NEWS_TERMS.exclude)
-    overridden = " OR ".join(S.contains_any(text, g) for g in NEWS_TERMS.overrides) or "false"
+    overridden = (" OR ".join(S.contains_any(text, g) for g in NEWS_TERMS.overrides) or "false") \
+        if semantics == T.DOCUMENTED else "false"
     included = S.contains_any(text, NEWS_TERMS.include)
-    clean = S.decode_corpus_entities(
-        S.normalise_residue(S.drop_script_lines(S.apply_rules("coalesce(body_html, '')", rules.CLEAN_RULES_OBSERVED))))
+    blank = "('', '0')" if semantics == T.OBSERVED else "('')"
+    observed = semantics == T.OBSERVED
+    rule_table = rules.CLEAN_RULES_OBSERVED if observed else rules.CLEAN_RULES_DOCUMENTED
+    clean = S.decode_corpus_entities(S.normalise_residue(S.drop_script_lines(
+        S.apply_rules("coalesce(body_html, '')", rule_table), observed=observed)))
     clean = f"(CASE WHEN coalesce(body_html, '') = '' THEN '' ELSE {clean} END)"
     as_of = int(NEWS_AS_OF.replace(tzinfo=dt.timezone.utc).timestamp())
     firsts = (f"SELECT * FROM (SELECT page_id, url, html, row_number() OVER (PARTITION BY {canon} ORDER BY page_id) "
@@ -211,7 +215,7 @@ WITH firsts AS ({firsts}),
 st AS (SELECT page_id, url, {raw_title} AS raw, {page_text} AS page_text,
               {S.paragraph_struct_list('html')} AS ps FROM firsts),
 ti AS (SELECT *, {S.trim_all(S.strip_tags(S.decode_corpus_entities('raw')))} AS title FROM st
-       WHERE raw IS NOT NULL AND raw <> ''),
+       WHERE raw IS NOT NULL AND raw NOT IN {blank}),
 ad AS (SELECT * FROM ti WHERE NOT {advert}),
 bo AS (SELECT *, {S.body_paragraphs('ps')} AS kept FROM ad),
 b2 AS (SELECT *, {body_html} AS body_html FROM bo),
@@ -230,6 +234,18 @@ FROM c
 register("article_feed", _article_feed_sql())(article_feed)
 
 
+def article_feed_observed(spark, sf):
+    """The flagship with ``observed`` semantics throughout (source behaviour as written:
+    no override, '0' titles dropped, verbatim clean rules, substring ad-ancestor test)."""
+    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
+    firsts = first_seen(pages.withColumn("canon", U.canonical_url("url")), "canon", "page_id")
+    articles = firsts.where(~F.lower("url").contains(rules.URL_BLOCK_TERM))
+    return article_items(articles, semantics=T.OBSERVED)
+
+
+register("article_feed_observed", _article_feed_sql(semantics=T.OBSERVED))(article_feed_observed)
+
+
 # ----------------------------------------------------------------------------------- documents as items
 
 def doc_items(spark, sf):
