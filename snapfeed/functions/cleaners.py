@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from . import rules
 from .entities import HTML5, decode_entities
-from .text import (DOCUMENTED, OBSERVED, TRIM_SET, cap_description, check_semantics,
+from .text import (DOCUMENTED, OBSERVED, TRIM_SET, cap_description, check_semantics, let,
                    strip_tags, strip_tags_keep_p_br, trim_all)
 
 
@@ -105,4 +105,4 @@ def blocks_to_paragraphs(col) -> Column:
     c = F.regexp_replace(trim_all(c), r"\n{3,}", "\n\n")
     c = F.regexp_replace(c, r"\n\n+", "</p><p>")
     c = F.regexp_replace(c, r"\n", "<br>")
-    return F.when(trim_all(c) != "", F.concat(F.lit("<p>"), c, F.lit("</p>"))).otherwise(F.lit(""))
+    return let(c, lambda v: F.when(trim_all(v) != "", F.concat(F.lit("<p>"), v, F.lit("</p>"))).otherwise(F.lit("")))

@@ -13,6 +13,8 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 HTML4 = "html4"
 HTML5 = "html5"
 
@@ -75,5 +77,7 @@ def decode_entities(col, table: str = HTML4) -> Column:
             .otherwise(p)
         )
 
-    decoded = F.array_join(F.transform(F.split(c, r"(?=&)"), piece), "")
-    return F.when(c.contains("&"), decoded).otherwise(c)
+    def body(v: Column) -> Column:
+        decoded = F.array_join(F.transform(F.split(v, r"(?=&)"), piece), "")
+        return F.when(v.contains("&"), decoded).otherwise(v)
+    return let(c, body)

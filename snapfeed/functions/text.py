@@ -20,6 +20,13 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def let(value, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` (a one-element ``transform``).  Column
+    expressions that use an input several times otherwise copy the whole input expression
+    into each use."""
+    return F.transform(F.array(_c(value)), fn)[0]
+
+
 def check_semantics(semantics: str) -> str:
     if semantics not in (DOCUMENTED, OBSERVED):
         raise ValueError(f"semantics must be 'documented' or 'observed', got {semantics!r}")
@@ -75,18 +82,24 @@ def truncate_words(col, n: int) -> Column:
     """Trim; if longer than ``n`` cut to ``n``, back to the last space, and append ``...``."""
     if n is None or int(n) < 1:
         raise ValueError("truncate length must be >= 1")
-    t = trim_all(col)
-    cut = cut_at_last_space(F.substring(t, 1, int(n)))
-    return F.when(F.length(t) <= int(n), t).otherwise(F.concat(cut, F.lit("...")))
+    n = int(n)
+
+    def body(t: Column) -> Column:
+        cut = cut_at_last_space(F.substring(t, 1, n))
+        return F.when(F.length(t) <= n, t).otherwise(F.concat(cut, F.lit("...")))
+    return let(trim_all(col), body)
 
 
 def cap_description(html_col, n: int = 800) -> Column:
     """If the tag-free text is longer than ``n``, replace the whole value by one escaped
     paragraph cut at a word boundary; otherwise keep the HTML as is (no trim)."""
-    plain = strip_tags(html_col)
-    cut = cut_at_last_space(F.substring(plain, 1, n))
-    capped = F.concat(F.lit("<p>"), html_escape(cut), F.lit("...</p>"))
-    return F.when(F.length(plain) > n, capped).otherwise(_c(html_col))
+    def body(h: Column) -> Column:
+        def inner(plain: Column) -> Column:
+            cut = cut_at_last_space(F.substring(plain, 1, n))
+            capped = F.concat(F.lit("<p>"), html_escape(cut), F.lit("...</p>"))
+            return F.when(F.length(plain) > n, capped).otherwise(h)
+        return let(strip_tags(h), inner)
+    return let(html_col, body)
 
 
 # --- STR-13 / STR-14 formatting ---------------------------------------------------------------------

@@ -141,8 +141,10 @@ def article_items(pages: DataFrame, terms: K.Terms = NEWS_TERMS, excerpt_length:
                        .otherwise(F.col("excerpt")))
     ex = materialize(ex.withColumn("excerpt", A.decode_excerpt(F.col("excerpt"))))
     matched = ex.where(K.match_literal("title", "excerpt", terms, semantics))
-    cleaned = matched.withColumn("clean", decode_entities(cleaners.clean_content(F.coalesce("body.html", F.lit("")),
-                                                                               semantics), HTML4))
+    # The 33-rule chain is evaluated once (materialised) before decoding reads it.
+    cleaned = materialize(matched.withColumn("clean", cleaners.clean_content(F.coalesce("body.html", F.lit("")),
+                                                                             semantics)))
+    cleaned = cleaned.withColumn("clean", decode_entities(F.col("clean"), HTML4))
     summary_box = F.when(F.length("excerpt") > 0, F.concat(
         F.lit('<div class="summary"><strong>Summary:</strong> '), T.html_escape(F.col("excerpt")), F.lit("</div>")))
     figure = F.when(F.col("image").isNotNull(), F.concat(
