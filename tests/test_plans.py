@@ -239,3 +239,12 @@ def test_publish_items_once_stream(spark, tmp_path):
     run_available(publish_items_once(stream, "1 day").select("uri", "item_uid"), sink, ckpt)
     got = sorted(r["uri"] for r in spark.read.parquet(sink).collect())
     assert got == ["https://x/1", "https://x/2", "https://x/3"]
+
+
+def test_spread_small_only_below_bound(spark):
+    from snapfeed.sources.snapshots import spread_small
+    df = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "html")
+    small = spread_small(df)._jdf.queryExecution().executedPlan().toString()
+    large = spread_small(df, max_bytes=0)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in small
+    assert "Exchange" not in large  # above the bound the scan's own splits are kept
