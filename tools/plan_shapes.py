@@ -44,7 +44,9 @@ def main() -> None:
     qs = catalog.queries()
     lines = ["# Physical plan shapes of the headline queries", "",
              f"Generated by `tools/plan_shapes.py` at {os.path.basename(args.sf)} (local[8], AQE initial plan).",
-             "Only the operators that decide scale behaviour are kept.", ""]
+             "Only the operators that decide scale behaviour are kept. Identical exchanges that appear",
+             "under several branches (e.g. the first-seen shuffle under both fronts of `article_feed`)",
+             "run once: the final adaptive plan shows them as `ReusedExchange`.", ""]
     for name in HEADLINE:
         plan = qs[name](spark, args.sf)._jdf.queryExecution().executedPlan().toString()
         lines += [f"## {name}", "", "```"] + shape(plan) + ["```", ""]
