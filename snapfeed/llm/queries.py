@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import langid, merkle, simhash, tokencount
 from .common import prepare, table
 
 
+def tokenizer_path(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers; never copied into this package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of ``documents``: 4-word shingles, 4 bits."""
     docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
@@ -19,8 +26,32 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"))
 
 
+def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE token counts of ``documents``, against a limit of 512."""
+    docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    return tokencount.token_counts(docs, tokenizer_path("byte_bpe_50k.json")).select(
+        F.col("key").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of ``documents``, learnt from those that are not held out (5,000 of each language at most)."""
+    docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text", "lang")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))), most_per_language=5000)
+    return langid.predict(docs, model).select(
+        F.col("key").alias("doc_id"), langid.held_out(F.col("key")).alias("held_out"), "lang_pred", "score")
+
+
+def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprints of ``documents`` and of their edited texts."""
+    docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    return merkle.compare_with_next(docs).withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op5_tokens": op5_tokens,
+    "op6_language": op6_language,
+    "op9_merkle": op9_merkle,
 }
 
 SQL: dict[str, str] = {}
