@@ -95,3 +95,28 @@ def runs_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     return starts, np.diff(np.append(starts, len(keys)))
+
+
+#: Bits of a membership bitmap: 8 MB, whatever the number of keys.
+BITMAP_BITS = 26
+
+
+def bitmap(keys: DataFrame, key: str) -> np.ndarray:
+    """A Bloom filter of 64-bit hashes with two bits each, built by key in tasks.  Its size is fixed, so at most 2^20 words of
+    it reach the driver; the more keys, the more others pass it as well, and an exact join must follow."""
+    mask = F.lit((1 << BITMAP_BITS) - 1)
+    bits = F.explode(F.array(F.col(key).bitwiseAND(mask), F.shiftrightunsigned(F.col(key), 32).bitwiseAND(mask)))
+    at = keys.select(bits.alias("at")).select(F.shiftright("at", 6).cast("int").alias("word"), F.col("at").bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+    words = at.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
+    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the uint64 ``keys`` may be among those of the bitmap."""
+    mask = np.uint64((1 << BITMAP_BITS) - 1)
+    out = np.ones(len(keys), bool)
+    for at in (keys & mask, (keys >> np.uint64(32)) & mask):
+        out &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return out

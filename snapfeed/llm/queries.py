@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, merkle, simhash, tokencount
-from .common import prepare, table
+from . import decontaminate, hosts, langid, lattice, merkle, pii, simhash, tokencount, warc
+from .common import fresh_path, prepare, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -18,6 +18,29 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+RULES = [
+    hosts.Rule("allow", "org", "/"), hosts.Rule("block", "example.org", "/es/"), hosts.Rule("block", "example.org", "/en/1"),
+    hosts.Rule("allow", "com", "/fr/"), hosts.Rule("block", "com", "/de/"),
+]
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each of ``documents`` against ``benchmark``: passages with 0.8 of an item's five-word shingles."""
+    docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    items = table(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontaminate.judge(docs, items, least=0.8).withColumnRenamed("key", "doc_id")
+
+
+def op2_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each url of ``pages``, with the pages in ``labels`` (by id) as outcomes: bad if of low quality or toxic."""
+    pages = table(prepare(spark), sf_dir, "pages", "page_id", "url")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    return hosts.judge(pages, labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")), RULES).select(
+        F.col("key").alias("page_id"), "host", "path", "rule", "verdict",
+        F.round("bad_share", 4).alias("bad_share"), F.round("bad_bound", 4).alias("bad_bound"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of ``documents``: 4-word shingles, 4 bits."""
     docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
@@ -26,6 +49,13 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in ``documents``, and the terms that disclose over 0.8 of an entity's information content."""
+    docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    return pii.find(docs, threshold=0.8, least_docs=2).select(
+        F.col("key").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", "base_sha256", pii.all_spans().alias("spans"))
+
+
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE token counts of ``documents``, against a limit of 512."""
     docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
@@ -41,17 +71,39 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), langid.held_out(F.col("key")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` written as archives without repeated payloads, and what reading them back gives for each page."""
+    pages = table(prepare(spark), sf_dir, "pages", "page_id", "url", "html")
+    path = fresh_path(spark, "warc")
+    warc.write(warc.records(pages), path)
+    return warc.resolve(warc.read(spark, path)).select(
+        F.col("key").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+        "record_type", F.col("refers_to_key").alias("refers_to"))
+
+
 def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle fingerprints of ``documents`` and of their edited texts."""
     docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
     return merkle.compare_with_next(docs).withColumnRenamed("key", "doc_id")
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two segmentations of each of ``documents``, sampled without replacement, as piece ids."""
+    docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    path = tokenizer_path("piece_bpe_32k.model")
+    return lattice.encode(docs, path, k=2).withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_hosts": op2_hosts,
     "op3_simhash": op3_simhash,
+    "op4_pii": op4_pii,
     "op5_tokens": op5_tokens,
     "op6_language": op6_language,
+    "op8_warc": op8_warc,
     "op9_merkle": op9_merkle,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 SQL: dict[str, str] = {}
