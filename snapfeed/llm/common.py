@@ -50,6 +50,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``df`` has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 def partitions(spark: SparkSession, rows: int, per_task: int) -> int:
     """Tasks for ``rows`` rows of which one task holds ``per_task`` at once; never fewer than the
     session's shuffle partitions, so the number of rows in one task stays bounded."""

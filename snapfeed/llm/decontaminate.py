@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import mix64, prepare
+from .common import mix64, prepare, unused
 
 SHINGLE = 5
 LARGEST_WINDOW = 200
@@ -312,5 +312,6 @@ def judge(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str =
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` whose key has no match; a row with a null key goes if any null-key row matches."""
-    found = matches(docs, benchmark, text=text, key=key, **options).select(F.col("key").alias("_hit")).distinct()
-    return docs.join(found, F.col(key).eqNullSafe(F.col("_hit")), "left_anti")
+    (name,) = unused(docs, "_hit")
+    found = matches(docs, benchmark, text=text, key=key, **options).select(F.col("key").alias(name)).distinct()
+    return docs.join(found, F.col(key).eqNullSafe(F.col(name)), "left_anti")

@@ -147,6 +147,11 @@ def log_scores(texts: list[str], model: Model) -> np.ndarray:
     return out
 
 
+def best(joint: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The most probable language's number (of equals the first) and its posterior probability."""
+    return joint.argmax(axis=1), 1 / np.exp(joint - joint.max(axis=1, keepdims=True)).sum(axis=1)
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and any(c.isalpha() for c in text)
 
@@ -167,10 +172,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_i
             names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
             at = [i for i, t in enumerate(texts) if m.languages and has_letter(t)]
             if at:
-                joint = log_scores([texts[i] for i in at], m)
-                joint -= joint.max(axis=1, keepdims=True)
-                scores[at] = 1 / np.exp(joint).sum(axis=1)
-                for i, j in zip(at, joint.argmax(axis=1).tolist(), strict=True):
+                found, scores[at] = best(log_scores([texts[i] for i in at], m))
+                for i, j in zip(at, found.tolist(), strict=True):
                     names[i] = m.languages[j]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), pa.array(scores)],
                                              names=["key", "lang_pred", "score"])
@@ -178,3 +181,25 @@ def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_i
     kind = docs.schema[key].dataType.simpleString()
     return (docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
             .mapInArrow(run, f"key {kind}, lang_pred string, score double"))
+
+
+def keep(docs: DataFrame, model: Model, above: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is found with a posterior probability over ``above``: null texts and texts
+    without a letter go.  Under a model without languages every text with a letter stays.  Rows pass through their
+    tasks whole, so neither keys nor other columns matter."""
+    spark = prepare(docs.sparkSession)
+    shared = spark.sparkContext.broadcast(model)
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            texts = b.column(place).to_pylist()
+            good = [i for i, t in enumerate(texts) if has_letter(t)]
+            if good and m.languages:
+                _, score = best(log_scores([texts[i] for i in good], m))
+                good = [i for i, s in zip(good, score.tolist(), strict=True) if s > above]
+            if good:
+                yield b.take(pa.array(good, pa.int32()))
+
+    return docs.mapInArrow(run, docs.schema)

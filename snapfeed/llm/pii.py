@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import bitmap, checkpoint, in_bitmap, prepare
+from .common import bitmap, checkpoint, in_bitmap, prepare, unused
 from .decontaminate import hash_words
 
 KINDS = ("email", "ip", "card", "phone")
@@ -189,9 +189,10 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """``docs`` with the text redacted, for tables with unique keys; rows with a null text or without spans come back as they are."""
-    found = find(docs, text=text, key=key, **options).select(F.col("key").alias("_key"), all_spans().alias("_spans")).where("_spans != ''")
-    joined = docs.join(found, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
-    place, spans = joined.columns.index(text), joined.columns.index("_spans")
+    own, extra = unused(docs, "_key", "_spans")
+    found = find(docs, text=text, key=key, **options).select(F.col("key").alias(own), all_spans().alias(extra)).where(F.col(extra) != "")
+    joined = docs.join(found, F.col(key).eqNullSafe(F.col(own)), "left").drop(own)
+    place, spans = joined.columns.index(text), joined.columns.index(extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hosts, langid, lattice, merkle, pii, simhash, tokencount, warc
+from . import decontaminate, hosts, langid, lattice, lines, merkle, pii, simhash, tokencount, warc
 from .common import fresh_path, prepare, table
 
 
@@ -71,6 +71,12 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), langid.held_out(F.col("key")).alias("held_out"), "lang_pred", "score")
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` without the lines that repeat an earlier one, up to a Jaccard similarity of 0.8."""
+    docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    return lines.dedup(docs, least=0.8, counts=("n_lines", "n_kept"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` written as archives without repeated payloads, and what reading them back gives for each page."""
     pages = table(prepare(spark), sf_dir, "pages", "page_id", "url", "html")
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op5_tokens": op5_tokens,
     "op6_language": op6_language,
+    "op7_lines": op7_lines,
     "op8_warc": op8_warc,
     "op9_merkle": op9_merkle,
     "op10_sentencepiece": op10_sentencepiece,

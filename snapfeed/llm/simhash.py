@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, heavy_keys, mix64, partitions, prepare, runs_of, word_chunks
+from .common import checkpoint, heavy_keys, mix64, partitions, prepare, runs_of, unused, word_chunks
 from .graph import components
 
 SEED = 42
@@ -242,5 +242,6 @@ def keep_one(docs: DataFrame, k: int = 4, max_bits: int = 4, text: str = "text",
     Only the keys to drop are joined with the documents.  Rows with a null key are kept unless the
     group has another key; of rows that repeat the smallest key all are kept."""
     found = near_duplicates(docs, k, max_bits, text, key)
-    drop = checkpoint(found.where(F.col("key") != F.col("component")).select(F.col("key").alias("_drop")).distinct())
-    return docs.join(drop, F.col(key) == F.col("_drop"), "left_anti")
+    (name,) = unused(docs, "_drop")
+    drop = checkpoint(found.where(F.col("key") != F.col("component")).select(F.col("key").alias(name)).distinct())
+    return docs.join(drop, F.col(key) == F.col(name), "left_anti")
