@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import mix64, prepare
 
@@ -462,7 +463,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     with open(path, "rb") as f:
         shared = spark.sparkContext.broadcast(f.read())
     places = rows.columns.index(ids)
-    schema = rows.schema.add("decoded", "string")
+    schema = StructType([*rows.schema.fields, StructField("decoded", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = sentencepiece.SentencePieceProcessor(model_proto=shared.value)

@@ -99,7 +99,7 @@ def count_symbols(words: list[bytes], vocab: Vocabulary) -> np.ndarray:
     sym = vocab.byte_symbol[np.frombuffer(b"".join(words), np.uint8)].astype(np.int64)
     own = np.repeat(np.arange(len(words)), lens)
     out = lens.copy()
-    while len(sym) > 1:
+    while len(sym):
         starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
         inside = np.flatnonzero(own[1:] == own[:-1])
         rank = np.full(len(sym), NONE, np.int32)
