@@ -46,12 +46,12 @@ def records(pages: DataFrame, payload: str = "html", url: str = "url", key: str
     smaller than any other; a null url is allowed.  The key is an integer column."""
     own = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload"))
     own = own.withColumn("digest", digest_of(F.col("payload"))).withColumn("bytes", F.octet_length("payload").cast("long"))
-    heads = checkpoint(own.select("key", "url", "digest").distinct())
+    # one join column that tells nulls apart, so that join and numbering share one shuffle of the payloads
+    own = own.withColumn("_row", F.concat_ws("|", "digest", F.coalesce(F.col("key").cast("string"), F.lit("-")), F.concat(F.lit("u"), F.col("url"))))
+    heads = checkpoint(own.select("_row", "key", "url", "digest").distinct())
     first = checkpoint(heads.groupBy("digest").agg(F.max(F.struct("key", "url")).alias("_of")))
-    heads = heads.join(first, "digest").select(F.col("key").alias("_k"), F.col("url").alias("_u"), F.col("digest").alias("_d"), "_of")
-    same = (F.col("key").eqNullSafe(F.col("_k"))) & (F.col("url").eqNullSafe(F.col("_u"))) & (F.col("digest") == F.col("_d"))
-    turn = F.row_number().over(Window.partitionBy("_k", "_u", "_d").orderBy("_k"))
-    found = own.join(heads, same).withColumn("_turn", turn)
+    heads = heads.join(first, "digest").select("_row", "_of")
+    found = own.join(heads, "_row").withColumn("_turn", F.row_number().over(Window.partitionBy("_row").orderBy("_row")))
     response = (F.col("_turn") == 1) & F.col("key").eqNullSafe(F.col("_of.key")) & F.col("url").eqNullSafe(F.col("_of.url"))
     found = found.withColumn("record_type", F.when(response, "response").otherwise("revisit"))
     again = F.col("record_type") == "revisit"
