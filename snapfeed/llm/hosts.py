@@ -4,7 +4,7 @@ Labelled pages count as good or bad outcomes of their host.  The share of bad pa
 levels, each a beta-binomial with the level above as prior: suffix (around the share of all pages), registered
 domain (around its suffix), host (around its domain).  The strength of a level's prior comes from the data by
 moments: the less its members differ beyond chance, the more they are shrunk.  A host is blocked if the lower
-posterior bound of its bad share exceeds a threshold, so few labelled pages never block a host by themselves.
+posterior bound of its bad share exceeds a threshold, so a few bad pages do not block a host of a good domain.
 Explicit rules (host and path prefix) come first; the longest that fits decides.
 
 Everything is DataFrame expressions; only three pairs of sums reach the driver.
@@ -80,10 +80,10 @@ def _strength(members: DataFrame, mean: str) -> float:
         F.sum("n").alias("n"),
         F.sum(F.col("n") * (F.col("bad") / F.col("n") - m) * (F.col("bad") / F.col("n") - m)).alias("spread"),
         F.sum(m * (1 - m)).alias("chance"), F.sum(F.col("n") * m * (1 - m)).alias("most")).first()
-    if not row["n"] or not row["most"]:
-        return STRONGEST
+    if not row["n"]:
+        return 1.0  # nothing is known
     beyond = (row["spread"] - row["chance"]) / row["n"]
-    if beyond <= 0:
+    if beyond <= 0 or not row["most"]:
         return STRONGEST
     return min(STRONGEST, max(1.0, row["most"] / row["n"] / beyond - 1))
 

@@ -113,7 +113,61 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-SQL: dict[str, str] = {}
+def _level(name: str, members: str) -> str:
+    """SQL of one level of the host posterior: ``members`` has (name, n, bad, prior)."""
+    return f"""
+{name}_rows AS ({members}),
+{name}_sums AS (SELECT sum(n) AS n, sum(n * pow(bad / n - prior, 2)) AS spread, sum(prior * (1 - prior)) AS chance,
+                       sum(n * prior * (1 - prior)) AS most FROM {name}_rows WHERE n > 0),
+{name}_strength AS (SELECT CASE WHEN coalesce(n, 0) = 0 THEN 1.0 WHEN most = 0 OR spread <= chance THEN {hosts.STRONGEST}
+                       ELSE least({hosts.STRONGEST}, greatest(1.0, most / (spread - chance) - 1)) END AS s FROM {name}_sums),
+{name}s AS (SELECT {name}_rows.*, s, (prior * s + bad) / (s + n) AS mean FROM {name}_rows, {name}_strength)"""
+
+
+def _hosts_sql() -> str:
+    doubles = ", ".join(f"'{x}'" for x in hosts.DOUBLE_SUFFIXES)
+    ordered = sorted(RULES, key=lambda r: (len(r.text), r.text), reverse=True)
+    fits = [(f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')", r) for r in ordered]
+    rule = "CASE " + " ".join(f"WHEN {c} THEN '{r.text}'" for c, r in fits) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {c} THEN '{r.verdict}'" for c, r in fits) + " WHEN bound > 0.3 THEN 'block' ELSE 'allow' END"
+    return f"""
+WITH urls AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{hosts.UPPER}', '{hosts.LOWER}') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+counted AS (
+  SELECT host, count(quality = 0 OR toxic = 1)::DOUBLE AS n, (count(*) FILTER (quality = 0 OR toxic = 1))::DOUBLE AS bad
+  FROM urls LEFT JOIN labels ON doc_id = page_id GROUP BY host),
+labelled AS (SELECT *, string_split(host, '.') AS l FROM counted),
+domained AS (
+  SELECT host, n, bad, array_to_string(l[-(CASE WHEN array_to_string(l[-2:], '.') IN ({doubles}) THEN 3 ELSE 2 END):], '.') AS domain FROM labelled),
+named AS (SELECT *, CASE WHEN contains(domain, '.') THEN domain[strpos(domain, '.') + 1:] ELSE domain END AS suffix FROM domained),
+{_level("suffix", "SELECT suffix AS name, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 0.5) / (sum(n) + 1) FROM named) AS prior FROM named GROUP BY suffix")},
+{_level("domain", "SELECT domain AS name, sum(named.n) AS n, sum(named.bad) AS bad, any_value(mean) AS prior FROM named JOIN suffixs ON suffixs.name = suffix GROUP BY domain")},
+{_level("host", "SELECT host AS name, named.n, named.bad, mean AS prior FROM named JOIN domains ON domains.name = domain")},
+judged AS (
+  SELECT page_id, host, path, mean, mean - 1.645 * sqrt(mean * (1 - mean) / (s + n + 1)) AS bound FROM urls JOIN hosts ON hosts.name = host)
+SELECT page_id, host, path, {rule} AS rule, {verdict} AS verdict, round(mean, 4) AS bad_share, round(bound, 4) AS bad_bound FROM judged"""
+
+
+WARC_SQL = f"""
+WITH hashed AS (
+  SELECT page_id, url, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+digested AS (
+  SELECT page_id, url, strlen(payload)::BIGINT AS payload_bytes,
+         array_to_string(list_transform(range(8), lambda i: translate(to_base(('0x' || substr(h, (i * 5 + 1)::INT, 5))::BIGINT, 32, 4),
+           '{warc.DIGITS}', '{warc.BASE32}')), '') AS payload_digest FROM hashed),
+ordered AS (
+  SELECT *, row_number() OVER w AS turn, first_value(page_id) OVER w AS of
+  FROM digested WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST))
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN turn = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN turn > 1 THEN of END AS refers_to FROM ordered"""
+
+#: The other operators - fingerprint components, token merges, fitted models, fuzzy groups, trees, lattices - have
+#: no SQL form; the tests hold them against brute force.
+SQL: dict[str, str] = {
+    "op2_hosts": _hosts_sql(),
+    "op8_warc": WARC_SQL,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
