@@ -38,7 +38,7 @@ from .common import mix64, prepare
 
 SPACE = "▁"
 #: Characters of the texts taken up at once (a single text may be longer).
-CHARS = 6_000_000
+CHARS = 1_500_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 PRIME = np.uint64(0x100000001B3)
 
@@ -133,13 +133,12 @@ class Lattice:
 
     start: np.ndarray  # (words) first place
     left: np.ndarray  # (places) characters to the word's end
-    total: np.ndarray  # (places) log of the sum over the rest of the word
     at: np.ndarray  # (places) first edge
     many: np.ndarray  # (places) edges
     place: np.ndarray  # (edges) place
     piece: np.ndarray  # (edges) piece, or -1 - code point for a character unknown to the model
     length: np.ndarray  # (edges)
-    weight: np.ndarray  # (edges) log weight
+    log_p: np.ndarray  # (edges) log-probability at the place; 0 for an only edge
     cum: np.ndarray  # (edges) cumulative probabilities of the place's edges; 2 at the last
 
 
@@ -182,7 +181,7 @@ def build(words: list[str], m: Pieces) -> Lattice:
     for at, slot, step, p, w in found:
         e = first[at] + slot
         place[e], piece[e], length[e], weight[e] = at, p, step, w
-    total, prob = np.zeros(n + 1), np.empty(n_edges)
+    total, log_p = np.zeros(n + 1), np.empty(n_edges)
     ends = np.append(0, np.cumsum(np.bincount(left, minlength=1)[1:]))
     over = length == left[place]  # edges to the word's end
     for r in range(1, len(ends)):
@@ -195,11 +194,12 @@ def build(words: list[str], m: Pieces) -> Lattice:
         begin = first[at] - lo
         top = np.maximum.reduceat(s, begin)
         total[at] = top + np.log(np.add.reduceat(np.exp(s - np.repeat(top, many[at])), begin))
-        prob[lo:hi] = np.exp(s - total[own])
+        log_p[lo:hi] = s - total[own]
+    prob = np.exp(log_p)
     cum = np.cumsum(prob)
     cum -= (cum[first] - prob[first])[place]
     cum[first + many - 1] = 2.0  # a random number below 1 never passes the last edge
-    return Lattice(start, left, total[:n], first, many, place, piece, length, weight, cum)
+    return Lattice(start, left, first, many, place, piece, length, log_p, cum)
 
 
 def _uniform(base: np.ndarray, step: int) -> np.ndarray:
@@ -213,7 +213,7 @@ def draw(lat: Lattice, which: np.ndarray, base: np.ndarray) -> tuple[np.ndarray,
     """For each word occurrence (number of its lattice, random stream): the edges drawn, in order of occurrence,
     their number and the log-probability."""
     at, own = lat.start[which].copy(), np.arange(len(which))
-    log_p, n = -lat.total[at], np.zeros(len(which), np.int64)
+    log_p, n = np.zeros(len(which)), np.zeros(len(which), np.int64)
     steps, streams, step = [], base, 0
     while len(own):
         u = _uniform(streams, step)
@@ -222,7 +222,7 @@ def draw(lat: Lattice, which: np.ndarray, base: np.ndarray) -> tuple[np.ndarray,
             open_ = open_[lat.cum[edge[open_]] <= u[open_]]
             edge[open_] += 1
         steps.append((own, edge))
-        log_p[own] += lat.weight[edge]
+        log_p[own] += lat.log_p[edge]
         n[own] += 1
         length = lat.length[edge]
         going = lat.left[at] > length
@@ -288,19 +288,17 @@ def sample(texts: list[str], seeds: np.ndarray, k: int, m: Pieces, sp: sentencep
         edges, n, log_p = draw(lat, which[sel], base)
         edge_end = np.cumsum(n)
         bounds = np.searchsorted(of[sel], np.arange(len(texts) + 1))
-        before = np.zeros(len(texts))
+        sofar = np.empty(len(sel))
         for i, (_, prefix) in begin.items():
             lo, hi = bounds[i], bounds[i + 1]
             new = (edges[(edge_end[lo - 1] if lo else 0): (edge_end[hi - 1] if hi else 0)], n[lo:hi], log_p[lo:hi])
             path = new if prefix is None else tuple(np.concatenate([p, q]) for p, q in zip(prefix, new, strict=True))
             paths[i].append(path)
-            before[i] = 0.0 if prefix is None else prefix[2].sum()
-            out[i].append((path, float(path[2].sum()), float(value[i])))
+            run = np.cumsum(path[2])  # of this text alone: sums must not depend on the other rows
+            sofar[lo:hi] = run[len(run) - (hi - lo):] - log_p[lo:hi]
+            out[i].append((path, float(run[-1]) if len(run) else 0.0, float(value[i])))
         # what leaves the path first at each of the new words, as one node a word
         if len(sel):
-            run = np.cumsum(log_p)
-            lo = bounds[:-1][of[sel]]
-            sofar = run - log_p - np.where(lo > 0, run[lo - 1], 0.0) + before[of[sel]]
             phi = sofar + _log_rest(log_p)
             g = _cut_gumbel(phi, value[of[sel]], _uniform(base ^ np.uint64(0x5851F42D4C957F2D), 1 << 20))
             starts = bounds[:-1][bounds[:-1] < bounds[1:]]
@@ -323,9 +321,9 @@ def sample(texts: list[str], seeds: np.ndarray, k: int, m: Pieces, sp: sentencep
             if q:
                 if rngs[i] is None:
                     rngs[i] = random.Random(int(seeds[i]))
-                begin[i] = _open(q, lat, which[first[i]: first[i] + per_text[i]], paths[i], rngs[i])
-                value[i] = begin[i][2]
-                begin[i] = begin[i][:2]
+                found = _open(q, lat, paths[i], rngs[i])
+                if found is not None:
+                    begin[i], value[i] = found[:2], found[2]
     result: list[list[tuple[np.ndarray, float, float, float]]] = []
     for i, found in enumerate(out):
         limit = -queues[i][0][0] if queues[i] else -math.inf
@@ -338,9 +336,9 @@ def sample(texts: list[str], seeds: np.ndarray, k: int, m: Pieces, sp: sentencep
     return result
 
 
-def _open(q: list, lat: Lattice, which: np.ndarray, paths: list, rng: random.Random) -> tuple[int, tuple, float]:
+def _open(q: list, lat: Lattice, paths: list, rng: random.Random) -> tuple[int, tuple, float] | None:
     """Take the best node off a text's queue and follow it to the end of its word.  What is left of it goes back to
-    the queue.  Gives the next word, the pieces up to there and the node's value."""
+    the queue.  Gives the next word, the pieces up to there and the node's value; nothing if no node is left."""
     def probs(place: int) -> list[float]:
         c = lat.cum[lat.at[place]: lat.at[place] + lat.many[place]].tolist()
         c[-1] = 1.0
@@ -370,6 +368,8 @@ def _open(q: list, lat: Lattice, which: np.ndarray, paths: list, rng: random.Ran
             options.append((phi + log(sum(x for s, x in enumerate(p) if s != slot)), (own[:j], place, (slot,), phi)))
             phi += log(p[slot])
         highest = max(o[0] for o in options)
+        if highest == -math.inf:  # what leaves the path here is below the smallest number
+            return _open(q, lat, paths, rng) if q else None
         mass = [math.exp(o[0] - highest) for o in options]
         pick = rng.choices(range(len(options)), mass)[0]
         for j, (phi, rest) in enumerate(options):
@@ -392,7 +392,7 @@ def _open(q: list, lat: Lattice, which: np.ndarray, paths: list, rng: random.Ran
         edge = int(lat.at[place]) + slot
         head = [*head, edge]
         phi += log(p[slot])
-    own_log = float(sum(lat.weight[e] for e in head) - lat.total[lat.start[which[word]]])
+    own_log = float(sum(lat.log_p[e] for e in head))
     prefix = (np.append(edges[:at], np.array(head, np.int64)), np.append(counts[:word], len(head)), np.append(log_p[:word], own_log))
     return word + 1, prefix, top
 
