@@ -54,6 +54,11 @@ def paragraph_html(content) -> Column:
     return F.transform(pieces, lambda p: F.regexp_replace(p, P_END_PATTERN, ""))
 
 
+def paragraph_openers(content) -> Column:
+    """Start tag of every paragraph, in document order."""
+    return F.regexp_extract_all(_c(content), F.lit(P_OPEN_PATTERN), 0)
+
+
 def paragraph_texts(content) -> Column:
     """NODE-10: trimmed tag-free text of every paragraph, in document order."""
     return F.transform(paragraph_html(content), lambda p: trim_all(strip_tags(p)))

@@ -120,9 +120,9 @@ EXCERPT_JUNK_TERMS = [
     "function", "var ", "const ", "ExCoPlayer", "PARSELY", "getElementById",
     "addEventListener", "terms and conditions",
 ]
-EXCERPT_JUNK_PATTERNS = [r"(?is)we're now on.*?whatsapp", r"(?is)whatsapp.*?bit\.ly", r"(?s)\(function|\{.\}|var\s+\w+\s="]
+EXCERPT_JUNK_PATTERNS = [r"(?i)we're now on.*?whatsapp", r"(?i)whatsapp.*?bit\.ly", r"\(function|\{.\}|var\s+\w+\s="]
 LEAD_JUNK_TERMS = ["whatsapp", "function", "var ", "ExCoPlayer"]
-LEAD_JUNK_PATTERN = r"(?s)\(function|\{.*\}"
+LEAD_JUNK_PATTERN = r"\(function|\{.*\}"
 
 # Image URL block-list (IMG-2).
 IMAGE_URL_BLOCKLIST = [

@@ -52,12 +52,13 @@ def trim_all(col) -> Column:
 # --- NODE-6 / NODE-7 tag stripping ------------------------------------------------------------
 
 def strip_tags(col) -> Column:
-    return F.regexp_replace(_c(col), r"<[^>]*>", "")
+    """Drop tags, closing tags, comments and declarations; a ``<`` before anything else is text."""
+    return F.regexp_replace(_c(col), r"<[A-Za-z/!?][^>]*>", "")
 
 
 def strip_tags_keep_p_br(col) -> Column:
     """Strip every tag except ``<p>`` and ``<br>`` (open, close, self-closing; any case)."""
-    return F.regexp_replace(_c(col), r"(?i)<(?!/?(?:p|br)[\s/>])[^>]*>", "")
+    return F.regexp_replace(_c(col), r"(?i)<(?=[a-z/!?])(?!/?(?:p|br)[\s/>])[^>]*>", "")
 
 
 # --- STR-5 escape -------------------------------------------------------------------------------

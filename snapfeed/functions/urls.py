@@ -21,9 +21,10 @@ def origin_of(url_col) -> Column:
 
 
 def base_dir_of(url_col) -> Column:
-    """Absolute URL of the directory holding the document (no trailing slash)."""
+    """Absolute URL of the directory holding the document (no trailing slash); the origin
+    when the URL has no path."""
     u = F.regexp_replace(_c(url_col), r"[?#].*$", "")
-    return F.regexp_replace(u, r"/[^/]*$", "")
+    return F.when(u.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*$"), u).otherwise(F.regexp_replace(u, r"/[^/]*$", ""))
 
 
 def resolve_host_relative(href, origin, base_dir, semantics: str = OBSERVED) -> Column:
@@ -54,10 +55,18 @@ def resolve_image(src, origin) -> Column:
             .otherwise(F.concat(_c(origin), s)))
 
 
+# Query parameters that only say where a visit came from; pages differ by any other one.
+TRACKING_PARAMETER = r"^(utm_[A-Za-z0-9_]*|gclid|fbclid|ref)(=|$)"
+
+
 def canonical_url(url_col) -> Column:
-    """Dedup key: drop query and fragment, then one trailing ``/`` or ``.html``."""
-    u = F.regexp_replace(_c(url_col), r"[?#].*$", "")
-    return F.regexp_replace(u, r"(/|\.html)$", "")
+    """URL identity: the URL without its fragment and without tracking parameters.  All other
+    parameters (paging, ids) stay, in order; an empty query loses its ``?``."""
+    u = F.regexp_replace(_c(url_col), r"#.*$", "")
+    base = F.regexp_extract(u, r"^[^?]*", 0)
+    query = F.regexp_extract(u, r"^[^?]*\?(.*)$", 1)
+    kept = F.array_join(F.filter(F.split(query, "&"), lambda p: ~p.rlike(TRACKING_PARAMETER)), "&")
+    return F.when(kept == "", base).otherwise(F.concat(base, F.lit("?"), kept))
 
 
 def url_encode(col) -> Column:

@@ -58,10 +58,12 @@ def lead_junk(text) -> Column:
 # --- paragraphs ----------------------------------------------------------------------------------
 
 def paragraphs(html) -> Column:
-    """array<struct<html, text>> of the page's paragraphs, document order."""
+    """array<struct<open, html, text, lead>> of the page's paragraphs, document order."""
+    content = H.content_html(html)
     return F.transform(
-        H.paragraph_html(H.content_html(html)),
-        lambda p: F.struct(p.alias("html"), trim_all(strip_tags(p)).alias("text"), F.lit(False).alias("lead")),
+        F.arrays_zip(H.paragraph_openers(content).alias("open"), H.paragraph_html(content).alias("html")),
+        lambda p: F.struct(p["open"].alias("open"), p["html"].alias("html"), trim_all(strip_tags(p["html"])).alias("text"),
+                           F.lit(False).alias("lead")),
     )
 
 
@@ -71,13 +73,15 @@ def body_paragraphs(paras: Column) -> Column:
 
 
 def paragraph_body_html(paras: Column) -> Column:
-    """Joined outer HTML of the kept paragraphs, or null when its text is 100 chars or less.
-    Each paragraph is rebuilt as ``<p>inner</p>`` (the cleaner removes attributes later
-    anyway); the length test uses the trimmed paragraph texts."""
-    kept = body_paragraphs(paras)
-    joined = F.array_join(F.transform(kept, lambda p: F.concat(F.lit("<p>"), p["html"], F.lit("</p>"))), "")
-    text_len = F.length(F.array_join(F.transform(kept, lambda p: p["text"]), ""))
-    return F.when(text_len > 100, joined)
+    """Joined outer HTML of the kept paragraphs (start tags as written), or null when its
+    tag-free text, untrimmed, is 100 characters or less."""
+    return F.when(body_text_length(paras) > 100, F.array_join(
+        F.transform(body_paragraphs(paras), lambda p: F.concat(p["open"], p["html"], F.lit("</p>"))), ""))
+
+
+def body_text_length(paras: Column) -> Column:
+    """Characters of the kept paragraphs' joined text, blanks at their ends included."""
+    return F.length(strip_tags(F.array_join(F.transform(body_paragraphs(paras), lambda p: p["html"]), "")))
 
 
 # --- EXC-1 / EXC-3 --------------------------------------------------------------------------------

@@ -22,14 +22,18 @@ def first_seen(df: DataFrame, key: str, order_by: str | list[str]) -> DataFrame:
     return agg.select(key, *[F.col("_first")[c].alias(c) for c in cols])
 
 
-def feed_position(df: DataFrame, partition: str | None, order: list[Column], name: str = "pos") -> DataFrame:
-    """W-3: 0-based append position inside each feed.
-
-    Feeds are bounded (limit <= 50 items per feed after T-3), so the window partition is
-    small by construction."""
-    from pyspark.sql.window import Window
-    w = Window.partitionBy(partition).orderBy(*order) if partition else Window.orderBy(*order)
-    return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
+def newest(df: DataFrame, key: Column, name: str, id_col: str) -> DataFrame:
+    """(name, id_col): the newest row (largest id) of each key.  Only the key and the id are
+    shuffled, combined map-side."""
+    return df.select(key.alias(name), id_col).groupBy(name).agg(F.max(id_col).alias(id_col))
+
+
+def first_rows(df: DataFrame, key: Column, id_col: str, last: bool = False) -> DataFrame:
+    """Whole rows of the first (or last) id of each key: the choice is made on narrow (key, id)
+    rows; the wide rows are then kept by a semi join on the id, which must be unique."""
+    pick = F.max if last else F.min
+    ids = df.select(key.alias("_key"), id_col).groupBy("_key").agg(pick(id_col).alias("_id")).select("_id")
+    return df.join(ids, F.col(id_col) == F.col("_id"), "left_semi")
 
 
 def combine_feeds(frames: list[DataFrame]) -> DataFrame:

@@ -20,15 +20,16 @@ from html.parser import HTMLParser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.html import BLOCK_TAGS
+
 NODE_STRUCT = ("struct<node_id:int,tag:string,elem_id:string,classes:array<string>,attrs:map<string,string>,"
                "path:array<struct<node_id:int,tag:string,elem_id:string,classes:array<string>>>,"
-               "text:string,inner_html:string>")
+               "text:string,inner_html:string,open_tag:string>")
 
-# Void elements, and block tags that close an open paragraph.
+# Void elements.  The tags that close an open paragraph are shared with the native extraction.
 VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
              "track", "wbr"}
-P_CLOSERS = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2",
-             "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
+P_CLOSERS = {*BLOCK_TAGS, "p"}
 RAW_TEXT = {"script", "style"}
 
 
@@ -51,17 +52,21 @@ class _TreeBuilder(HTMLParser):
         node["inner_end"] = end_offset
         node["text_end"] = self.text_len
 
+    def _close_paragraph(self, end_offset: int) -> None:
+        """End the open paragraph, if no block lies between it and here."""
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i]["tag"] == "p":
+                for n in self.stack[i:]:
+                    self._close(n, end_offset)
+                del self.stack[i:]
+                return
+            if self.stack[i]["tag"] in P_CLOSERS:
+                return
+
     def handle_starttag(self, tag, attrs):
         start = self._offset()
         if tag in P_CLOSERS:
-            for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i]["tag"] == "p":
-                    for n in self.stack[i:]:
-                        self._close(n, start)
-                    del self.stack[i:]
-                    break
-                if self.stack[i]["tag"] not in ("b", "i", "em", "strong", "span", "a", "small", "u"):
-                    break
+            self._close_paragraph(start)
         raw = self.get_starttag_text() or ""
         amap = {}
         for k, v in attrs:
@@ -72,7 +77,7 @@ class _TreeBuilder(HTMLParser):
             "classes": [c for c in (amap.get("class") or "").split() if c], "attrs": amap,
             "path": [{"node_id": a["node_id"], "tag": a["tag"], "elem_id": a["elem_id"], "classes": a["classes"]}
                      for a in self.stack],
-            "inner_start": start + len(raw), "inner_end": None, "text_start": self.text_len, "text_end": None,
+            "open_tag": raw, "inner_start": start + len(raw), "inner_end": None, "text_start": self.text_len, "text_end": None,
         }
         self.nodes.append(node)
         if tag in VOID_TAGS or raw.endswith("/>"):
@@ -84,6 +89,8 @@ class _TreeBuilder(HTMLParser):
 
     def handle_endtag(self, tag):
         start = self._offset()
+        if tag in P_CLOSERS and tag != "p":
+            self._close_paragraph(start)
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i]["tag"] == tag:
                 for n in self.stack[i:]:
@@ -121,7 +128,7 @@ class _TreeBuilder(HTMLParser):
                 "node_id": n["node_id"], "tag": n["tag"], "elem_id": n["elem_id"], "classes": n["classes"],
                 "attrs": n["attrs"], "path": n["path"],
                 "text": full[n["text_start"]:n["text_end"]],
-                "inner_html": self.src[n["inner_start"]:n["inner_end"]],
+                "inner_html": self.src[n["inner_start"]:n["inner_end"]], "open_tag": n["open_tag"],
             })
         return out
 

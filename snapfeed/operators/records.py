@@ -26,16 +26,17 @@ def decode_payload(col, schema: str) -> Column:
 
 def split_payloads(df: DataFrame, payload: str = "payload", strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """SRC-4: (good, bad) payloads.  Bad: invalid JSON, a non-null ``errors`` key, or
-    ``data.models.items`` missing or not an array.  ``strict`` raises on the first bad row
+    ``data.models.items`` missing, null or a scalar (an object is an array of the source's decoder).  The
+    tests go by JSON type, not by text.  ``strict`` raises on the first bad row
     (the source aborts the whole run); otherwise bad rows are quarantined with a reason."""
     p = _c(payload)
-    valid = F.get_json_object(p, "$").isNotNull() & p.rlike(r"^\s*[\[{]")
-    errors = F.get_json_object(p, "$.errors")
-    items = F.get_json_object(p, "$.data.models.items")
-    reason = (F.when(~valid | p.isNull(), F.lit("invalid json"))
-              .when(errors.isNotNull() & (errors != "null"), F.concat(F.lit("errors: "), errors))
-              .when(items.isNull() | ~items.startswith("["), F.lit("unexpected format"))
-              )
+    # inside brackets, text behind the value makes the whole invalid or a second element
+    decoded = F.try_parse_json(F.concat(F.lit("["), p, F.lit("]")))
+    part = lambda path: F.try_variant_get(decoded, path, "variant")
+    errors, items = (F.schema_of_variant(part(f"$[0].{path}")) for path in ("errors", "data.models.items"))
+    reason = (F.when(part("$[0]").isNull() | part("$[1]").isNotNull(), F.lit("invalid json"))
+              .when(errors.isNotNull() & (errors != "VOID"), F.concat(F.lit("errors: "), F.get_json_object(p, "$.errors")))
+              .when(items.isNull() | ~items.rlike("^(ARRAY|OBJECT)<"), F.lit("unexpected format")))
     tagged = df.withColumn("reason", reason)
     bad = tagged.where(F.col("reason").isNotNull())
     good = tagged.where(F.col("reason").isNull()).drop("reason")

@@ -1,120 +1,43 @@
-"""Ordered carry-forward without a per-key window (W-2 at scale).
+"""Ordered carry-forward without a per-key window (W-2).
 
 ``last(value, ignorenulls) over (partition by key order by ...)`` puts every row of a key in
 one task; a key holding a third of the data makes that task a third of the job.  This is the
-same result computed as a parallel prefix scan:
+same result as a prefix scan in Spark operators:
 
-1. range-partition on (key, order) and sort inside partitions: a hot key is cut into many
-   contiguous ranges on different partitions;
-2. checkpoint to the shared checkpoint folder (both passes read identical partitions and
-   the lineage is cut);
-3. one summary row per partition (first key, last key, last non-null value of the last
-   key): the summary has as many rows as partitions, independent of data size;
-4. carry-in per partition = last non-null value of its first key in earlier partitions;
-5. one Arrow pass per partition: forward-fill inside each key, seeding the first key with
-   its carry-in.
+1. range-partition on (key, order): a hot key is cut into contiguous ranges; the range's number
+   becomes a column, and a checkpoint in the shared folder fixes it;
+2. inside each (range, key) the window carries values forward: no window partition is larger
+   than a range;
+3. one row per (range, key) holds its last non-null value; a window over a key's ranges, as
+   many as the key was cut into, gives what it carries into each later range;
+4. a join on (range, key) fills the rows before the range's first value.
 
-Only the summary (one row per partition) reaches the driver.
+Nothing reaches the driver, and types are Spark's own throughout.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import checkpoint_dir
 
-MAX_PARTITIONS = 100_000
-# Largest key (in rows) still handled by a plain window: one task sorts and scans it.
-WINDOW_MAX_ROWS_PER_KEY = 2_000_000
-
-
-def carry_forward_window(df: DataFrame, key: str, order_cols: list[str], value_col: str, out_col: str) -> DataFrame:
-    from pyspark.sql.window import Window
-    w = Window.partitionBy(key).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w))
-
-
-def carry_forward_auto(df: DataFrame, key: str, order_cols: list[str], value_col: str, out_col: str,
-                       max_rows_per_key: int = WINDOW_MAX_ROWS_PER_KEY, num_partitions: int | None = None) -> DataFrame:
-    """Pick the plan from the data: one grouped count over the key column (partial
-    aggregation, one result row) finds the largest key; below ``max_rows_per_key`` the
-    window is cheaper, above it the range-partitioned scan keeps every task bounded."""
-    top = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc()).limit(1).collect()
-    if not top or top[0]["n"] <= max_rows_per_key:
-        return carry_forward_window(df, key, order_cols, value_col, out_col)
-    return carry_forward(df, key, order_cols, value_col, out_col, num_partitions)
-
 
 def carry_forward(df: DataFrame, key: str, order_cols: list[str], value_col: str, out_col: str,
                   num_partitions: int | None = None) -> DataFrame:
+    """W-2: ``out_col`` is the last non-null ``value_col`` of the same key up to each row, in order
+    of ``order_cols``.  Rows with a null key form one group."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = int(num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if n > MAX_PARTITIONS:
-        raise ValueError("too many partitions for the carry-in summary")
-    ordered = (df.repartitionByRange(n, key, *order_cols).sortWithinPartitions(key, *order_cols)
-               .withColumn("_part", F.spark_partition_id()))
-    ordered = ordered.checkpoint(eager=True)
-
-    key_type = ordered.schema[key].dataType
-    val_type = ordered.schema[value_col].dataType
-    summary_schema = T.StructType([
-        T.StructField("_part", T.IntegerType()), T.StructField("first_key", key_type),
-        T.StructField("last_key", key_type), T.StructField("last_val", val_type),
-        T.StructField("has_val", T.BooleanType())])
-
-    def summarize(batches):
-        import pandas as pd
-        part = first = last = None
-        last_val, has_val = None, False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if part is None:
-                part, first = int(pdf["_part"].iloc[0]), pdf[key].iloc[0]
-            ks = pdf[key]
-            if last is not None and ks.iloc[-1] != last:
-                last_val, has_val = None, False
-            last = ks.iloc[-1]
-            tail = pdf.loc[(ks == last) & pdf[value_col].notna(), value_col]
-            if len(tail):
-                last_val, has_val = tail.iloc[-1], True
-        if part is not None:
-            yield pd.DataFrame({"_part": [part], "first_key": [first], "last_key": [last],
-                                "last_val": [last_val], "has_val": [has_val]})
-
-    rows = sorted(ordered.mapInPandas(summarize, summary_schema).collect(), key=lambda r: r["_part"])
-    carry = {}
-    seen: dict = {}  # key -> last non-null value seen in earlier partitions
-    for r in rows:
-        carry[r["_part"]] = (r["first_key"], seen.get(r["first_key"]))
-        if r["has_val"]:
-            seen = {r["last_key"]: r["last_val"]}
-        elif r["last_key"] not in seen:
-            seen = {}
-    bc = spark.sparkContext.broadcast(carry)
-    out_schema = T.StructType(ordered.schema.fields + [T.StructField(out_col, val_type)])
-
-    def fill(batches):
-        state_key, state_val, started = None, None, False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if not started:
-                first_key, seed = bc.value.get(int(pdf["_part"].iloc[0]), (None, None))
-                state_key, state_val, started = first_key, seed, True
-            ks = pdf[key]
-            out = pdf[value_col].groupby(ks, sort=False).ffill()
-            seed_mask = out.isna() & (ks == state_key)
-            if state_val is not None and seed_mask.any():
-                out = out.astype(object)
-                out[seed_mask] = state_val
-            pdf[out_col] = out
-            state_key = ks.iloc[-1]
-            last_vals = out[(ks == state_key) & out.notna()]
-            state_val = last_vals.iloc[-1] if len(last_vals) else None
-            yield pdf
-
-    return ordered.mapInPandas(fill, out_schema).drop("_part")
+    n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, key, *order_cols).withColumn("_part", F.spark_partition_id())
+    ranged = ranged.checkpoint(eager=True)
+    inside = Window.partitionBy("_part", key).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = ranged.withColumn(out_col, F.last(value_col, ignorenulls=True).over(inside))
+    at = F.when(F.col(value_col).isNotNull(), F.struct(*order_cols))
+    ends = ranged.groupBy("_part", key).agg(F.max_by(value_col, at).alias("_end"))
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(F.col("_part").alias("_of"), F.col(key).alias("_key"), F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
+    carried = carried.where(F.col("_carry").isNotNull())
+    joined = filled.join(carried, (F.col("_part") == F.col("_of")) & F.col(key).eqNullSafe(F.col("_key")), "left")
+    return joined.select(*df.columns, F.coalesce(F.col(out_col), F.col("_carry")).alias(out_col))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import html as H, text as T, urls as U
+from ..operators.dedup import first_rows
 from ..operators.ranking import clamp_limit
+from ..session import checkpoint_dir
 from ..sources.snapshots import TTL_NEWS, follow_chain, fresh_snapshot, load_table
 from . import sqlgen as S
 from .catalog import register
@@ -44,7 +46,7 @@ def carry_forward(spark, sf):
     """W-2: ``observed`` carries the last image forward per user in time order (an empty
     string blocks it); ``documented`` keeps each row's own value.  Computed as a range-
     partitioned prefix scan (``operators.sequence``), so a hot user is split across tasks."""
-    from ..operators.sequence import carry_forward_auto as scan
+    from ..operators.sequence import carry_forward as scan
     ev = load_table(spark, sf, "events", ["event_id", "ts", "user_id", "event_type"])
     img = (F.when(F.col("event_type") == "view", F.concat(F.lit("img"), F.col("event_id").cast("string")))
            .when(F.col("event_type") == "error", F.lit("")))
@@ -119,30 +121,34 @@ def ordered_concat(spark, sf):
 # ------------------------------------------------------------------------------------- SRC-7 / U-2
 
 _FIRST_LINK = f"regexp_extract({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 1)"
-_CANON = "regexp_replace(regexp_replace({u}, '[?#].*$', ''), '(/|\\.html)$', '')"
 _NEXT_SQL = (f"CASE WHEN {_FIRST_LINK} = '' THEN NULL WHEN starts_with({_FIRST_LINK}, 'http') THEN {_FIRST_LINK} "
              f"WHEN starts_with({_FIRST_LINK}, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || {_FIRST_LINK} "
-             f"ELSE rtrim(regexp_replace(regexp_replace(url, '[?#].*$', ''), '/[^/]*$', ''), '/') || '/' || ltrim({_FIRST_LINK}, '/') END")
+             f"ELSE rtrim({S.base_dir('url')}, '/') || '/' || ltrim({_FIRST_LINK}, '/') END")
 MAX_HOPS = 3
 
 
 @register("follow_chain", f"""
-WITH RECURSIVE p AS (SELECT page_id, url, {_CANON.format(u='url')} AS canon, {_NEXT_SQL} AS nxt FROM pages),
+WITH RECURSIVE n AS (SELECT max(page_id) AS page_id FROM pages GROUP BY {S.canonical('url')}),
+p AS (SELECT page_id, url, {S.canonical('url')} AS canon, {_NEXT_SQL} AS nxt FROM pages SEMI JOIN n USING (page_id)),
 chain(chain, hop, page_id, nxt) AS (
   SELECT s.canon, 1, p.page_id, p.nxt FROM (SELECT DISTINCT canon FROM p) s JOIN p ON s.canon = p.canon
   UNION ALL
-  SELECT c.chain, c.hop + 1, p.page_id, p.nxt FROM chain c JOIN p ON {_CANON.format(u='c.nxt')} = p.canon
+  SELECT c.chain, c.hop + 1, p.page_id, p.nxt FROM chain c JOIN p ON {S.canonical('c.nxt')} = p.canon
   WHERE c.hop < {MAX_HOPS} AND c.nxt IS NOT NULL AND c.nxt <> '')
 SELECT chain, CAST(hop AS INTEGER) AS hop, page_id FROM chain
 """)
 def follow_chain_q(spark, sf):
-    """SRC-7 + U-2: from every page follow its first link (resolved, matched on canonical
-    URL) for up to MAX_HOPS pages; the union of hops is the crawl."""
-    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"]).withColumn("canon", U.canonical_url("url"))
+    """SRC-7 + U-2: from the newest snapshot of every URL follow its first link (resolved) for
+    up to MAX_HOPS pages; the union of hops is the crawl.  The narrow link table is
+    checkpointed, so every page is parsed once however many hops follow."""
+    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
+    pages = first_rows(pages, U.canonical_url("url"), "page_id", last=True).withColumn("canon", U.canonical_url("url"))
     first = F.try_element_at(H.link_hrefs(H.content_html("html")), F.lit(1))
     nxt = F.when(first.isNull() | (first == ""), F.lit(None).cast("string")).otherwise(
         U.resolve_host_relative(first, U.origin_of("url"), U.base_dir_of("url")))
     keyed = pages.select("page_id", F.col("canon").alias("url"), U.canonical_url(nxt).alias("next_canon"))
+    checkpoint_dir(spark)
+    keyed = keyed.checkpoint(eager=True)
     hopped = follow_chain(keyed, keyed.select("url").distinct(), F.col("next_canon"), MAX_HOPS)
     return hopped.select("chain", F.col("hop").cast("int").alias("hop"), "page_id")
 

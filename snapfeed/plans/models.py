@@ -343,7 +343,7 @@ WITH p AS (SELECT event_id, CASE
 SELECT event_id, CASE
     WHEN NOT json_valid(payload) THEN 'invalid json'
     WHEN json_extract(payload, '$.errors') IS NOT NULL AND json_type(payload, '$.errors') <> 'NULL' THEN 'errors'
-    WHEN json_type(payload, '$.data.models.items') IS NULL OR json_type(payload, '$.data.models.items') <> 'ARRAY' THEN 'unexpected format'
+    WHEN json_type(payload, '$.data.models.items') IS NULL OR json_type(payload, '$.data.models.items') NOT IN ('ARRAY', 'OBJECT') THEN 'unexpected format'
   END AS reason
 FROM p
 """)

@@ -13,7 +13,7 @@ from ..functions import cleaners, dates as D, html as H, rules, text as T, urls
 from ..functions.entities import HTML4, decode_entities
 from ..operators import article as A
 from ..operators import terms as K
-from ..operators.dedup import first_seen, materialize
+from ..operators.dedup import first_rows, first_seen, materialize, newest
 from ..sources.snapshots import load_table
 from . import sqlgen as S
 from .catalog import register
@@ -78,9 +78,9 @@ def dom_front(pages: DataFrame, semantics: str = T.OBSERVED, carry: tuple[str, .
 
     link = F.col("link_text") if "link_text" in pages.columns else T.trim_all(N.first("nodes", "title")["text"])
     p = N._fresh("p")
-    paras = F.expr(f"transform({N.select_sql('nodes', 'p')}, {p} -> named_struct('html', {p}.inner_html, "
+    paras = F.expr(f"transform({N.select_sql('nodes', 'p')}, {p} -> named_struct('open', {p}.open_tag, 'html', {p}.inner_html, "
                    f"'text', {p}.text, 'lead', coalesce(array_contains({p}.classes, 'article-first-paragraph'), false)))")
-    paras = F.transform(paras, lambda x: F.struct(x["html"].alias("html"), T.trim_all(x["text"]).alias("text"),
+    paras = F.transform(paras, lambda x: F.struct(x["open"].alias("open"), x["html"].alias("html"), T.trim_all(x["text"]).alias("text"),
                                                   x["lead"].alias("lead")))
     tags = F.filter(F.transform(N.within("nodes", tags_c, rules.TAG_SELECTOR), lambda t: T.trim_all(t["text"])),
                     lambda t: t != "")
@@ -173,8 +173,7 @@ def article_feed(spark, sf):
     """E2E news feed over every stored page: first snapshot per canonical URL (W-1),
     URL block (F-1), then the article job."""
     pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
-    firsts = first_seen(pages.withColumn("canon", U.canonical_url("url")), "canon", "page_id")
-    articles = firsts.where(~F.lower("url").contains(rules.URL_BLOCK_TERM))
+    articles = first_rows(pages, U.canonical_url("url"), "page_id").where(~F.lower("url").contains(rules.URL_BLOCK_TERM))
     return article_items(articles)
 
 
@@ -182,7 +181,7 @@ def _article_feed_sql(first_seen_and_block: bool = True, semantics: str = T.DOCU
     n = EXCERPT_LENGTH
     h1_pat = r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>"
     title_pat = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
-    canon = "regexp_replace(regexp_replace(url, '[?#].*$', ''), '(/|\\.html)$', '')"
+    canon = S.canonical("url")
     raw_title = (f"CASE WHEN regexp_matches(html, {S.q(h1_pat)}) THEN "
                  f"{S.trim_all(S.strip_tags(f'regexp_extract(html, {S.q(h1_pat)}, 1)'))} "
                  f"ELSE {S.trim_all(S.strip_tags(f'regexp_extract(html, {S.q(title_pat)}, 1)'))} END")
@@ -191,9 +190,8 @@ def _article_feed_sql(first_seen_and_block: bool = True, semantics: str = T.DOCU
     advert = (f"(({S.count_hits(lt, rules.SUBSCRIPTION_TERMS)} >= 1 AND {S.count_hits(lc, rules.SUBSCRIPTION_TERMS)} >= 3)"
               f" OR (contains({lt}, 'subscription') AND {S.contains_any(lt, rules.TITLE_OFFER_WORDS)})"
               f" OR {S.count_hits(lc, rules.STRONG_CONTENT_INDICATORS)} >= 2)")
-    texts = "list_transform(kept, lambda k: k.text)"
-    body_html = (f"CASE WHEN length(array_to_string({texts}, '')) > 100 THEN "
-                 f"array_to_string(list_transform(kept, lambda k: '<p>' || k.html || '</p>'), '') END")
+    body_html = (f"CASE WHEN {S.body_text_length('kept')} > 100 THEN "
+                 f"array_to_string(list_transform(kept, lambda k: k.open || k.html || '</p>'), '') END")
     body_texts = S.paragraph_text_list("coalesce(body_html, '')")
     excerpt = f"CASE WHEN body_html IS NOT NULL THEN {S.excerpt_from_texts(body_texts, n)} ELSE '' END"
     fallback = S.fallback_excerpt("list_transform(ps, lambda p: p.text)", n)
@@ -240,8 +238,7 @@ def article_feed_observed(spark, sf):
     """The flagship with ``observed`` semantics throughout (source behaviour as written:
     no override, '0' titles dropped, verbatim clean rules, substring ad-ancestor test)."""
     pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
-    firsts = first_seen(pages.withColumn("canon", U.canonical_url("url")), "canon", "page_id")
-    articles = firsts.where(~F.lower("url").contains(rules.URL_BLOCK_TERM))
+    articles = first_rows(pages, U.canonical_url("url"), "page_id").where(~F.lower("url").contains(rules.URL_BLOCK_TERM))
     return article_items(articles, semantics=T.OBSERVED)
 
 
@@ -399,7 +396,7 @@ def term_hits_q(spark, sf):
 
 # ----------------------------------------------------------------------------------- dedup, joins, unions
 
-_CANON_SQL = "regexp_replace(regexp_replace(url, '[?#].*$', ''), '(/|\\.html)$', '')"
+_CANON_SQL = S.canonical("url")
 
 
 @register("first_seen_url", f"""
@@ -441,7 +438,7 @@ _LINKS_RESOLVED_SQL = f"""
                unnest(hrefs) AS href, unnest(texts) AS link_text
         FROM (SELECT page_id,
                      regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS origin,
-                     regexp_replace(regexp_replace(url, '[?#].*$', ''), '/[^/]*$', '') AS base_dir,
+                     {S.base_dir('url')} AS base_dir,
                      regexp_extract_all({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 1) AS hrefs,
                      regexp_extract_all({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 2) AS texts
               FROM pages))
@@ -451,9 +448,9 @@ _LINKS_RESOLVED_SQL = f"""
 
 @register("listing_join", f"""
 WITH l AS ({_LINKS_RESOLVED_SQL}),
-canon AS (SELECT page_id, {_CANON_SQL} AS canon FROM pages)
+canon AS (SELECT max(page_id) AS page_id, {_CANON_SQL} AS canon FROM pages GROUP BY canon)
 SELECT l.listing_id, l.pos, l.url, c.page_id AS article_id
-FROM l JOIN canon c ON regexp_replace(regexp_replace(l.url, '[?#].*$', ''), '(/|\\.html)$', '') = c.canon
+FROM l JOIN canon c ON {S.canonical('l.url')} = c.canon
 """)
 def listing_join(spark, sf):
     """J-1: every listing link joined to the stored article with the same canonical URL
@@ -461,23 +458,23 @@ def listing_join(spark, sf):
     hot URL (a nav link present on every listing) with its skew-join handling."""
     pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
     links = listing_links(pages).withColumn("canon", U.canonical_url("url"))
-    arts = load_table(spark, sf, "pages", ["page_id", "url"]).select(
-        F.col("page_id").alias("article_id"), U.canonical_url("url").alias("canon"))
+    arts = newest(load_table(spark, sf, "pages", ["page_id", "url"]), U.canonical_url("url"), "canon", "page_id") \
+        .withColumnRenamed("page_id", "article_id")
     return links.join(arts, "canon", "inner").select("listing_id", "pos", "url", "article_id")
 
 
 @register("listing_left", f"""
 WITH l AS ({_LINKS_RESOLVED_SQL}),
-canon AS (SELECT page_id, {_CANON_SQL} AS canon FROM pages)
+canon AS (SELECT max(page_id) AS page_id, {_CANON_SQL} AS canon FROM pages GROUP BY canon)
 SELECT l.listing_id, l.pos, l.url, c.page_id AS article_id
-FROM l LEFT JOIN canon c ON regexp_replace(regexp_replace(l.url, '[?#].*$', ''), '(/|\\.html)$', '') = c.canon
+FROM l LEFT JOIN canon c ON {S.canonical('l.url')} = c.canon
 """)
 def listing_left(spark, sf):
     """J-3: listing links kept without enrichment when the detail page is missing."""
     pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
     links = listing_links(pages).withColumn("canon", U.canonical_url("url"))
-    arts = load_table(spark, sf, "pages", ["page_id", "url"]).select(
-        F.col("page_id").alias("article_id"), U.canonical_url("url").alias("canon"))
+    arts = newest(load_table(spark, sf, "pages", ["page_id", "url"]), U.canonical_url("url"), "canon", "page_id") \
+        .withColumnRenamed("page_id", "article_id")
     return links.join(arts, "canon", "left").select("listing_id", "pos", "url", "article_id")
 
 
@@ -504,7 +501,7 @@ def combine_feeds_q(spark, sf):
 # ----------------------------------------------------------------------------------- listing-driven crawl
 
 def news_crawl_items(pages: DataFrame, seeds: DataFrame, max_pages: int | None = 1, strict: bool = False,
-                     **article_kwargs) -> DataFrame:
+                     semantics: str = T.DOCUMENTED, **article_kwargs) -> DataFrame:
     """The news generator as the source runs it, for many seeds at once.
 
     Listing chain (SRC-7): from each seed URL, up to ``max_pages`` listing pages, following
@@ -516,6 +513,7 @@ def news_crawl_items(pages: DataFrame, seeds: DataFrame, max_pages: int | None =
     (SRC-6); otherwise such seeds yield no items.  Seeds: a DataFrame with ``url``."""
     from ..operators import nodes as N
     n_pages = int(max_pages or 0)
+    pages = first_rows(pages, U.canonical_url("url"), "page_id", last=True)  # one snapshot per URL
     keyed = pages.select("page_id", "url", "html", U.canonical_url("url").alias("canon"))
     frontier = seeds.select(F.col("url").alias("seed"), U.canonical_url("url").alias("want"))
     hops = []
@@ -525,9 +523,9 @@ def news_crawl_items(pages: DataFrame, seeds: DataFrame, max_pages: int | None =
         nxt = N.first("nodes", rules.NEXT_PAGE_SELECTOR)["attrs"]["href"]
         hops.append(parsed)
         frontier = parsed.where(nxt.isNotNull() & (nxt != "")).select(
-            "seed", U.canonical_url(U.resolve_host_relative(nxt, U.origin_of("url"), U.base_dir_of("url"))).alias("want"))
+            "seed", U.canonical_url(U.resolve_host_relative(nxt, U.origin_of("url"), U.base_dir_of("url"), semantics)).alias("want"))
     if not hops:
-        return article_items(pages.limit(0), **article_kwargs).withColumn("seed", _null()) \
+        return article_items(pages.limit(0), semantics=semantics, **article_kwargs).withColumn("seed", _null()) \
             .withColumn("hop", F.lit(0)).withColumn("pos", F.lit(0).cast("bigint"))
     listings = hops[0]
     for h in hops[1:]:
@@ -545,13 +543,14 @@ def news_crawl_items(pages: DataFrame, seeds: DataFrame, max_pages: int | None =
         U.origin_of("url").alias("origin"), U.base_dir_of("url").alias("base_dir")))
     links = links.where(F.col("href").isNotNull() & (F.col("href") != ""))
     links = links.select("seed", "hop", "pos", "link_text",
-                         U.resolve_host_relative(F.col("href"), F.col("origin"), F.col("base_dir")).alias("url"))
-    firsts = first_seen(links.withColumn("key", F.concat_ws("\u0001", "seed", "url")), "key", ["hop", "pos"]).drop("key")
+                         U.resolve_host_relative(F.col("href"), F.col("origin"), F.col("base_dir"), semantics).alias("url"))
+    links = links.withColumn("canon", U.canonical_url("url"))
+    firsts = first_seen(links.withColumn("key", F.concat_ws("\u0001", "seed", "canon")), "key", ["hop", "pos"]).drop("key")
     allowed = firsts.where(~F.lower("url").contains(rules.URL_BLOCK_TERM))
     arts = keyed.select(F.col("page_id"), F.col("html"), F.col("canon").alias("a_canon"))
-    joined = allowed.join(arts, U.canonical_url(F.col("url")) == F.col("a_canon"), "inner")
+    joined = allowed.join(arts, F.col("canon") == F.col("a_canon"), "inner")
     art_rows = joined.select("page_id", "url", "html", "link_text", "seed", "hop", "pos")
-    out = article_items(art_rows, carry=("seed", "hop", "pos"), **article_kwargs)
+    out = article_items(art_rows, carry=("seed", "hop", "pos"), semantics=semantics, **article_kwargs)
     # Feeds are bounded (max_pages listing pages); positions are numbered per seed.
     from pyspark.sql.window import Window
     w = Window.partitionBy("seed").orderBy("hop", "pos")

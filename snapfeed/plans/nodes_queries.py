@@ -46,7 +46,7 @@ SELECT page_id,
   CAST(len(regexp_extract_all(regexp_extract(html, '(?s)<nav[^>]*>(.*?)</nav>', 1), '<a[\s>]')) AS INTEGER) AS nav_links,
   CAST(len(regexp_extract_all(html, '<div class="ad"[\s>]|<footer[\s>]')) AS INTEGER) AS ad_or_footer,
   CASE WHEN regexp_matches(html, '(?s)<h1[\s>]')
-       THEN regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g') END AS h1_text
+       THEN regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[A-Za-z/!?][^>]*>', '', 'g') END AS h1_text
 FROM pages
 """
 
@@ -162,7 +162,8 @@ def html_model_items(pages, limit: int = 20, as_of=None, dedup: bool = False):
     items = per_page.select(F.col("page_id").alias("listing_id"), F.posexplode("links").alias("pos", "l"))
     items = items.select("listing_id", F.col("pos").cast("bigint").alias("pos"), F.col("l.title").alias("title"),
                          decode_entities(U.resolve_protocol_relative(F.col("l.href"), site), HTML4).alias("uri"))
-    detail = per_page.select(F.col("canon").alias("d_canon"), "image", "desc", "author", "categories", "date_txt")
+    newest_page = F.max_by(F.struct("image", "desc", "author", "categories", "date_txt"), F.col("page_id"))
+    detail = per_page.groupBy(F.col("canon").alias("d_canon")).agg(newest_page.alias("d")).select("d_canon", "d.*")
     joined = items.join(detail, U.canonical_url(F.col("uri")) == F.col("d_canon"), "left")
     as_of_col = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
     staged = materialize(joined.select(

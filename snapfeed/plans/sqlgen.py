@@ -27,7 +27,21 @@ def trim_all(x: str) -> str:
 
 
 def strip_tags(x: str) -> str:
-    return rx(x, "<[^>]*>")
+    return rx(x, "<[A-Za-z/!?][^>]*>")
+
+
+def canonical(url: str) -> str:
+    """URL identity: fragment and tracking parameters dropped, other parameters kept."""
+    bare = f"regexp_replace({url}, '#.*$', '')"
+    kept = (f"array_to_string(list_filter(string_split(regexp_extract({bare}, '^[^?]*\\?(.*)$', 1), '&'), "
+            "lambda p: NOT regexp_matches(p, '^(utm_[A-Za-z0-9_]*|gclid|fbclid|ref)(=|$)')), '&')")
+    return f"(regexp_extract({bare}, '^[^?]*', 0) || CASE WHEN {kept} = '' THEN '' ELSE '?' || {kept} END)"
+
+
+def base_dir(url: str) -> str:
+    bare = f"regexp_replace({url}, '[?#].*$', '')"
+    return (f"CASE WHEN regexp_matches({bare}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*$') THEN {bare} "
+            f"ELSE regexp_replace({bare}, '/[^/]*$', '') END")
 
 
 def content_html(x: str) -> str:
@@ -44,8 +58,15 @@ def paragraph_text_list(content: str) -> str:
 
 
 def paragraph_struct_list(html: str) -> str:
-    return (f"list_transform({paragraph_html_list(content_html(html))}, "
-            f"lambda p: struct_pack(html := p, text := {trim_all(strip_tags('p'))}))")
+    content = content_html(html)
+    openers = f"regexp_extract_all({content}, {q(H.P_OPEN_PATTERN)}, 0)"
+    return (f"list_transform({paragraph_html_list(content)}, "
+            f"lambda p, i: struct_pack(open := ({openers})[i], html := p, text := {trim_all(strip_tags('p'))}))")
+
+
+def body_text_length(kept: str) -> str:
+    joined = f"array_to_string(list_transform({kept}, lambda k: k.html), '')"
+    return f"length({strip_tags(joined)})"
 
 
 def cut_last_space(x: str) -> str:

@@ -234,7 +234,7 @@ _EXCERPT_SQL = f"""
 WITH p AS (SELECT page_id, {S.paragraph_struct_list('html')} AS ps FROM pages),
 b AS (SELECT page_id, {S.body_paragraphs('ps')} AS kept FROM p)
 SELECT page_id,
-  CASE WHEN length(array_to_string(list_transform(kept, lambda k: k.text), '')) > 100
+  CASE WHEN {S.body_text_length('kept')} > 100
        THEN {S.excerpt_from_texts("list_transform(kept, lambda k: k.text)", 200)} ELSE '' END AS excerpt
 FROM b
 """
@@ -243,9 +243,9 @@ FROM b
 @register("article_excerpt", _EXCERPT_SQL)
 def article_excerpt(spark, sf):
     pages = load_table(spark, sf, "pages", ["page_id", "html"])
-    kept = A.body_paragraphs(A.paragraphs("html"))
-    texts = F.transform(kept, lambda p: p["text"])
-    has_body = F.length(F.array_join(texts, "")) > 100
+    paras = A.paragraphs("html")
+    texts = F.transform(A.body_paragraphs(paras), lambda p: p["text"])
+    has_body = A.body_text_length(paras) > 100
     return pages.select("page_id", F.when(has_body, A.excerpt_from_texts(texts, 200)).otherwise(F.lit("")).alias("excerpt"))
 
 

@@ -22,39 +22,18 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-# Tables whose rows carry whole documents: per-row CPU work dominates, so small inputs are
-# spread over all cores (see ``spread_small``).
-TEXT_TABLES = {"pages", "documents", "conversations"}
-SPREAD_MAX_BYTES = 1 << 30
-
-
-def spread_small(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    """Round-robin small inputs over the cluster's cores before CPU-heavy row-local work.
-
-    A small parquet file is often a single row group, which cannot be split: every row lands
-    in one task.  When the optimizer's size estimate (file sizes, no job) is below
-    ``max_bytes`` the rows are spread with a cheap shuffle; large inputs already arrive as
-    many balanced splits and are left alone, so no full shuffle is added at scale."""
-    spark = df.sparkSession
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - statistics are an optimisation hint only
-        return df
-    cores = spark.sparkContext.defaultParallelism
-    if size <= max_bytes and cores > 1:
-        return df.repartition(cores * 2)
-    return df
+# Session setting that deals every scan out over this many partitions; unset by default.  For
+# local runs over files of a single row group, which a scan cannot split.
+INPUT_PARTITIONS = "snapfeed.input.partitions"
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               spread: bool | None = None) -> DataFrame:
-    """SRC-1: parquet scan; selecting columns here lets the scan read only those.  Text
-    tables are spread over all cores when small (``spread_small``)."""
+def load_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """SRC-1: parquet scan; selecting columns here lets the scan read only those.  The scan's own
+    splits are kept unless the caller sets ``snapfeed.input.partitions``."""
     df = spark.read.parquet(table_path(sf_dir, name))
     df = df.select(*columns) if columns else df
-    if spread if spread is not None else name in TEXT_TABLES:
-        df = spread_small(df)
-    return df
+    parts = spark.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(parts)) if parts else df
 
 
 def load_pages(spark: SparkSession, sf_dir: str, columns=("page_id", "url", "html")) -> DataFrame:

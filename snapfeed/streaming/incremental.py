@@ -27,11 +27,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def read_table_stream(spark: SparkSession, directory: str, table: str, max_files: int = 1) -> DataFrame:
-    """File stream of one table's parquet files in ``directory`` (schema from the batch read)."""
+def read_table_stream(spark: SparkSession, directory: str, table: str, max_files: int | None = None) -> DataFrame:
+    """File stream of one table's parquet files in ``directory`` (schema from the batch read).
+    ``max_files`` bounds the files of one micro-batch; unset, a batch takes all that are there."""
     schema = spark.read.parquet(os.path.join(directory, f"{table}.parquet")).schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{table}*.parquet")
-            .option("maxFilesPerTrigger", max_files).parquet(directory))
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}*.parquet")
+    return (stream.option("maxFilesPerTrigger", max_files) if max_files else stream).parquet(directory)
 
 
 def run_available(df: DataFrame, sink: str, checkpoint: str, mode: str = "append") -> None:

@@ -134,6 +134,49 @@ def test_payload_gate(spark):
         2: "invalid json", 3: "errors: [1]", 5: "unexpected format", 6: "unexpected format"}
 
 
+def test_payload_gate_goes_by_type(spark):
+    cases = {'{"data":{"models":{"items":[]}}} junk': "invalid json", '{"data":{"models":{"items":"[x]"}}}': "unexpected format",
+             '{"errors":"null","data":{"models":{"items":[]}}}': "errors: null", '{"data":{"models":{"items":{"k":1}}}}': None,
+             '{"data":{"models":{"items":null}}}': "unexpected format", '1, 2': "invalid json", "": "invalid json", "[]": "unexpected format", '{"a":1}}': "invalid json"}
+    df = spark.createDataFrame([(p,) for p in cases], "payload string")
+    good, bad = M.split_payloads(df)
+    got = {r["payload"]: None for r in good.collect()} | {r["payload"]: r["reason"] for r in bad.collect()}
+    assert got == cases
+
+
+def test_url_identity(spark):
+    from snapfeed.functions import urls as U
+    cases = {"https://h/story?id=1": "https://h/story?id=1", "https://h/story?id=2#x": "https://h/story?id=2", "https://h/a/?utm_source=f&page=2&ref=x": "https://h/a/?page=2",
+             "https://h/a?utm_source=f": "https://h/a", "https://h/a?": "https://h/a", "https://h/a.html": "https://h/a.html", "https://h/a?reference=1": "https://h/a?reference=1"}
+    for url, key in cases.items():
+        assert one(spark, U.canonical_url("v"), url) == key
+
+
+def test_base_of_a_bare_origin(spark):
+    from snapfeed.functions import urls as U
+    for url, base in {"https://host": "https://host", "https://host?q=/x": "https://host", "https://host/": "https://host", "https://host/a/b": "https://host/a"}.items():
+        assert one(spark, U.base_dir_of("v"), url) == base
+        assert one(spark, U.resolve_host_relative(F.lit("rel/x"), U.origin_of("v"), U.base_dir_of("v")), url) == base + "/rel/x"
+
+
+def test_less_than_is_text(spark):
+    from snapfeed.functions.text import strip_tags
+    assert one(spark, strip_tags("v"), "sizes 5 < 10 and 12 > 11 <b>ok</b><!-- c --></p>") == "sizes 5 < 10 and 12 > 11 ok"
+
+
+def test_body_gate_counts_untrimmed_text(spark):
+    from snapfeed.operators import article as A
+    for blanks, letters, kept in ((60, 45, True), (55, 45, False), (56, 45, True), (0, 100, False), (0, 101, True)):
+        html = f"<p class='x'>{' ' * blanks}{'w' * letters}</p>"
+        assert one(spark, A.paragraph_body_html(A.paragraphs("v")), html) == (html if kept else None)
+
+
+def test_junk_patterns_stop_at_line_ends(spark):
+    from snapfeed.operators import article as A
+    assert one(spark, A.lead_junk(F.col("v")), "a { b\n} c") is False
+    assert one(spark, A.lead_junk(F.col("v")), "a { b } c") is True
+
+
 def test_describe_fallback_sentence(spark):
     df = spark.createDataFrame([(None,)], "x string")
     m = dict(summary=F.lit(None).cast("string"), description=F.lit(None).cast("string"), likes=F.lit(0),

@@ -241,10 +241,45 @@ def test_publish_items_once_stream(spark, tmp_path):
     assert got == ["https://x/1", "https://x/2", "https://x/3"]
 
 
-def test_spread_small_only_below_bound(spark):
-    from snapfeed.sources.snapshots import spread_small
-    df = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "html")
-    small = spread_small(df)._jdf.queryExecution().executedPlan().toString()
-    large = spread_small(df, max_bytes=0)._jdf.queryExecution().executedPlan().toString()
-    assert "RoundRobinPartitioning" in small
-    assert "Exchange" not in large  # above the bound the scan's own splits are kept
+def test_input_partitions_only_if_set(spark):
+    """The scan's own splits are kept unless the caller asks for another number."""
+    from snapfeed.sources import snapshots
+    assert snapshots.load_table(spark, SF_SMALL, "pages").rdd.getNumPartitions() == 1
+    spark.conf.set(snapshots.INPUT_PARTITIONS, "5")
+    try:
+        assert snapshots.load_table(spark, SF_SMALL, "pages").rdd.getNumPartitions() == 5
+    finally:
+        spark.conf.unset(snapshots.INPUT_PARTITIONS)
+
+
+def test_crawl_pages_apart_by_query_and_one_snapshot_each(spark):
+    """Paging by a query parameter; an article stored twice is one item, its newest snapshot."""
+    from snapfeed.operators.terms import Terms
+    from snapfeed.plans.news import news_crawl_items
+    body = "flood words in this article body text " * 4
+    listing = "<html><body><main id='content'><a href='/news/{a}'>x</a></main>{n}</body></html>"
+    nxt = "<a class='pagination__next' href='/news?page=2&utm_source=x#top'>next</a>"
+    pages = spark.createDataFrame([
+        (1, "https://news.example/news", listing.format(a="a1?utm_medium=y", n=nxt)), (2, "https://news.example/news?page=2", listing.format(a="a3", n="")),
+        (3, "https://news.example/news/a1", ARTICLE.format(t="Old one", b=body)), (7, "https://news.example/news/a1#x", ARTICLE.format(t="Article one", b=body)),
+        (5, "https://news.example/news/a3", ARTICLE.format(t="Article three", b=body)),
+    ], "page_id long, url string, html string")
+    seeds = spark.createDataFrame([("https://news.example/news",)], "url string")
+    got = [[r["title"] for r in news_crawl_items(pages, seeds, max_pages=n, terms=Terms()).orderBy("pos").collect()] for n in (1, 2, 3)]
+    assert got == [["Article one"], ["Article one", "Article three"], ["Article one", "Article three"]]
+
+
+def test_fronts_agree(spark):
+    """Native and node-table extraction give the same paragraphs, on the corpus and on awkward markup."""
+    from snapfeed.operators import nodes as N
+    from snapfeed.operators.article import paragraphs
+    awkward = ["<p class=a id='b'>one<li>item</li><p>two</p>three<p title=x>four</div>five</p>", "<div><p>a<b>b</b><br>c</div>d<p>e<h2>f</h2><p >g",
+               "<P>up<table><tr><td><p>in</p></td></tr></table>", "x < 3 <p>5 < 10 and 12 > 11</p>", "<p><p><p>last", "", "no paragraph"]
+    rows = [(i, "u", h) for i, h in enumerate(awkward)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").union(
+        spark.read.parquet(f"{SF_SMALL}/pages.parquet").selectExpr("page_id + 1000", "url", "html"))
+    native = {r[0]: [(p["open"], p["html"]) for p in r[1]] for r in pages.select("page_id", paragraphs("html")).collect()}
+    from snapfeed.functions import html as H
+    dom = N.page_nodes(pages.withColumn("html", H.content_html("html")), keep=["p"])
+    found = {r["page_id"]: [(n["open_tag"], n["inner_html"]) for n in r["nodes"]] for r in dom.collect()}
+    assert found == native

@@ -34,13 +34,19 @@ def test_carry_forward_leading_nulls_stay_null(spark):
     assert got == {1: None, 2: "a", 3: None, 4: None}
 
 
-def test_auto_picks_scan_for_hot_key(spark):
-    from snapfeed.operators.sequence import carry_forward_auto
-    rows = [(i, 1 if i % 5 else 2, i, None if i % 4 else f"v{i}") for i in range(400)]
-    df = spark.createDataFrame(rows, "id long, k long, t long, v string")
-    scan = carry_forward_auto(df, "k", ["t", "id"], "v", "got", max_rows_per_key=100, num_partitions=6)
-    win = carry_forward_auto(df, "k", ["t", "id"], "v", "got")
-    assert "_part" not in scan.columns
-    a = {r["id"]: r["got"] for r in scan.collect()}
-    b = {r["id"]: r["got"] for r in win.collect()}
-    assert a == b
+def test_carry_forward_types_and_null_keys(spark):
+    """Null keys form one group; bigints, doubles and timestamps keep their values."""
+    big = 9007199254740993
+    rows = [(i, None if i % 2 else 1, i, big + i if i % 5 == 0 else None, i / 3 if i % 7 == 0 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, k long, t long, v long, d double").withColumn("at", F.when(F.col("v").isNotNull(), F.timestamp_millis("t")))
+    for value in ("v", "d", "at"):
+        w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        want = {r["id"]: r["w"] for r in df.withColumn("w", F.last(value, ignorenulls=True).over(w)).collect()}
+        got = {r["id"]: r["got"] for r in carry_forward(df, "k", ["t", "id"], value, "got", num_partitions=7).collect()}
+        assert got == want
+
+
+def test_carry_forward_has_one_native_plan(spark):
+    df = spark.createDataFrame([(1, 1, 1, "a")], "id long, k long, t long, v string")
+    plan = carry_forward(df, "k", ["t", "id"], "v", "got")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
