@@ -2,9 +2,8 @@
 
 ``compile_terms`` runs over a whole ``feeds`` table (one spec per row) as column
 expressions.  Matching a single feed uses literal arrays; matching many feeds at once
-(``match_feeds``) evaluates every feed in one projection per item: first the distinct
-terms found in the item (one pass over a literal term array), then per-feed array tests.
-There is no join and no shuffle, and only accepted (item, feed) pairs are emitted.
+(``match_feeds``) joins the items' 3-grams with the terms' rarest ones, verifies what meets and
+reduces the hits to flags per (item, feed).
 """
 
 from __future__ import annotations
@@ -18,9 +17,6 @@ from ..functions import rules
 from ..functions.text import DOCUMENTED, OBSERVED, check_semantics, trim_all
 
 _QUOTES = "\"'"
-# Parameter-table bounds for inlining feeds into the plan.
-MAX_FEEDS = 5_000
-MAX_TERMS = 50_000
 
 
 def _c(col) -> Column:
@@ -133,49 +129,6 @@ def match_literal(title, summary, terms: Terms, semantics: str = DOCUMENTED) ->
     return match_terms(text, _lit_array(terms.include), _lit_array(terms.exclude), ovr, semantics)
 
 
-def collect_terms(feeds: DataFrame, id_col: str = "feed_id", spec_col: str = "spec",
-                  semantics: str = DOCUMENTED) -> list[tuple[object, Terms]]:
-    """Compile a feeds parameter table and bring it to the driver, after a size check.
-    The table holds subscriptions (parameters), not data; its size is bounded by MAX_FEEDS."""
-    compiled = feeds.select(F.col(id_col).alias("id"), compile_terms(spec_col, semantics).alias("t"))
-    rows = compiled.limit(MAX_FEEDS + 1).collect()
-    if len(rows) > MAX_FEEDS:
-        raise ValueError(f"more than {MAX_FEEDS} feeds: shard the feeds table and call match_feeds per shard")
-    out = [(r["id"], Terms(tuple(r["t"]["include"]), tuple(r["t"]["exclude"]),
-                           tuple(tuple(g) for g in r["t"]["overrides"]))) for r in rows]
-    n_terms = sum(len(t.include) + len(t.exclude) + sum(len(g) for g in t.overrides) for _, t in out)
-    if n_terms > MAX_TERMS:
-        raise ValueError(f"more than {MAX_TERMS} terms: shard the feeds table")
-    return out
-
-
-def match_feeds(items: DataFrame, feeds: list[tuple[object, Terms]], title="title", summary="summary",
-                semantics: str = DOCUMENTED, feed_col: str = "feed_id") -> DataFrame:
-    """F-7 / J-5: every feed's spec against every item in one map-side projection; emits
-    one row per accepted (item, feed).  Work is linear in items, no shuffle."""
-    from .dedup import materialize
-    # The match text is computed once per item, before the lambda that probes every term
-    # (a column referenced inside a lambda is otherwise re-evaluated per element).
-    staged = materialize(items.withColumn("_text", match_text(title, summary)))
-    text = F.col("_text")
-    vocab = sorted({t for _, tm in feeds for t in (*tm.include, *tm.exclude, *(x for g in tm.overrides for x in g))})
-    hits = F.filter(_lit_array(vocab), lambda t: text.contains(t)) if vocab else F.array().cast("array<string>")
-    staged = staged.withColumn("_hits", hits).drop("_text")
-    h = F.col("_hits")
-    accepted = []
-    for fid, tm in feeds:
-        excluded = F.arrays_overlap(h, _lit_array(tm.exclude)) if tm.exclude else F.lit(False)
-        if check_semantics(semantics) == DOCUMENTED and tm.overrides:
-            overridden = F.lit(False)
-            for g in tm.overrides:
-                overridden = overridden | F.arrays_overlap(h, _lit_array(g))
-            excluded = excluded & ~overridden
-        included = F.arrays_overlap(h, _lit_array(tm.include)) if tm.include else F.lit(True)
-        accepted.append(F.when(~F.coalesce(excluded, F.lit(False)) & F.coalesce(included, F.lit(False)), F.lit(fid)))
-    ids = F.filter(F.array(*accepted), lambda x: x.isNotNull()) if accepted else F.array()
-    return staged.withColumn(feed_col, F.explode(ids)).drop("_hits")
-
-
 # --- F-6 / A-1 -------------------------------------------------------------------------------------
 
 def term_hits(lowered: Column, terms) -> Column:
@@ -211,96 +164,81 @@ def is_advert(title, page_text, subscription_terms=None, offer_words=None, stron
             | (term_hits(lc, strong) >= 2))
 
 
-# --- F-7 at subscription scale ------------------------------------------------------------------------
+# --- F-7 many feeds at once -----------------------------------------------------------------------
 
-# Vocabulary bound for one automaton; larger vocabularies are matched in shards.
-VOCAB_SHARD = 200_000
+GRAM = 3
+# Copies of each feed without include terms; each meets one part of the items.
+OPEN_PARTS = 64
 
 
 def feed_terms(feeds: DataFrame, id_col: str = "feed_id", spec_col: str = "spec",
                semantics: str = DOCUMENTED) -> DataFrame:
-    """Compiled feeds as rows (feed_id, term, role, grp): role include / exclude / override."""
+    """Compiled feeds as rows (feed_id, term, role): role include / exclude / override."""
     c = feeds.select(F.col(id_col).alias("feed_id"), compile_terms(spec_col, semantics).alias("t"))
-    inc = c.select("feed_id", F.explode("t.include").alias("term"), F.lit("include").alias("role"), F.lit(-1).alias("grp"))
-    exc = c.select("feed_id", F.explode("t.exclude").alias("term"), F.lit("exclude").alias("role"), F.lit(-1).alias("grp"))
-    ovr = c.select("feed_id", F.posexplode("t.overrides").alias("grp", "g")) \
-        .select("feed_id", F.explode("g").alias("term"), F.lit("override").alias("role"), "grp")
-    return inc.unionByName(exc).unionByName(ovr)
-
-
-def term_hits_scan(items: DataFrame, key: str, text: Column, vocab: list[str]) -> DataFrame:
-    """(key, term) for every vocabulary term contained in the item's text: Aho-Corasick over
-    Arrow batches (one automaton per task, built from the broadcast vocabulary), so the work
-    is one pass over each text whatever the vocabulary size; only hits are emitted.  The
-    empty term (possible in ``observed`` specs) is contained in every text."""
-    spark = items.sparkSession
-    words = sorted({t for t in vocab if t != ""})
-    staged = items.select(F.col(key).alias("_k"), text.alias("_text"))
-    key_type = staged.schema["_k"].dataType.simpleString()
-    frames = []
-    for start in range(0, max(len(words), 1), VOCAB_SHARD):
-        shard = spark.sparkContext.broadcast(words[start:start + VOCAB_SHARD])
-
-        def scan(batches, shard=shard):
-            import ahocorasick
-            import pandas as pd
-            auto = ahocorasick.Automaton()
-            for i, w in enumerate(shard.value):
-                auto.add_word(w, w)
-            ready = len(shard.value) > 0
-            if ready:
-                auto.make_automaton()
-            for pdf in batches:
-                keys, terms = [], []
-                if ready:
-                    for k, t in zip(pdf["_k"], pdf["_text"]):
-                        if t is None:
-                            continue
-                        for w in {hit for _, hit in auto.iter(t)}:
-                            keys.append(k)
-                            terms.append(w)
-                if keys:  # empty frames carry no types for Arrow; skip them
-                    yield pd.DataFrame({"_k": keys, "term": terms})
-
-        if words[start:start + VOCAB_SHARD]:
-            frames.append(staged.mapInPandas(scan, f"_k {key_type}, term string"))
-    if "" in vocab:
-        frames.append(staged.select("_k", F.lit("").alias("term")))
-    if not frames:
-        return staged.limit(0).select(F.col("_k").alias(key), F.lit("").alias("term"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.withColumnRenamed("_k", key)
-
-
-def match_feeds_scaled(items: DataFrame, feeds: DataFrame, key: str, title="title", summary="summary",
-                       semantics: str = DOCUMENTED, id_col: str = "feed_id", spec_col: str = "spec") -> DataFrame:
-    """F-7 / J-5 for large subscription tables: (key, feed_id) for every accepted pair.
-
-    Hits come from one scan per item over the distinct vocabulary (``term_hits_scan``); they
-    join the exploded (term -> feed, role) table and are reduced to per-(item, feed) flags
-    with a combining aggregate.  Feeds without include terms accept every item not
-    excluded: those pairs are the output itself and are produced by a row-local explode of
-    the (bounded) list of such feeds, minus the excluded pairs (anti join)."""
+
+    def named(terms: Column, role: str) -> Column:
+        return F.transform(F.array_distinct(terms), lambda x: F.struct(x.alias("term"), F.lit(role).alias("role")))
+
+    pairs = F.flatten(F.array(named(F.col("t.include"), "include"), named(F.col("t.exclude"), "exclude"),
+                              named(F.flatten("t.overrides"), "override")))
+    return c.select("feed_id", F.inline(pairs))
+
+
+def _grams(text: Column, size: int) -> Column:
+    """Distinct substrings of ``size`` characters."""
+    starts = F.sequence(F.lit(1), F.length(text) - (size - 1))
+    return F.when(F.length(text) < size, F.array().cast("array<string>")).otherwise(
+        F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))))
+
+
+def text_hits(items: DataFrame, key: str, text: Column, terms: DataFrame) -> DataFrame:
+    """(key, term): the terms (a table of distinct ``term``) that each item's text contains.
+
+    Texts are cut into their distinct 3-grams; of those that occur in any term, each term is met
+    at its rarest one (a term of fewer characters at itself), and what meets is verified on the
+    text.  The empty term (possible in ``observed`` specs) is contained in every text."""
+    from .dedup import materialize
+    staged = materialize(items.select(F.col(key).alias("_k"), text.alias("_text")))
+    named = terms.withColumn("_size", F.least(F.length("term"), F.lit(GRAM)))
+    sizes = sorted(r["_size"] for r in named.select("_size").distinct().collect())  # at most 0..3
+    per_size = [named.where(F.col("_size") == n).select("term", F.explode(_grams(F.col("term"), n)).alias("gram"))
+                for n in sizes if n]
+    if not per_size:
+        return staged.where(F.lit(0 in sizes)).select(F.col("_k").alias(key), F.lit("").alias("term"))
+    of_terms = per_size[0]
+    for more in per_size[1:]:
+        of_terms = of_terms.unionByName(more)
+    cut = F.flatten(F.array(*[_grams(F.col("_text"), n) for n in sizes if n]))
+    of_items = staged.select("_k", F.explode(cut).alias("gram")).join(of_terms.select("gram").distinct(), "gram", "left_semi")
+    counts = of_items.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = (of_terms.join(counts, "gram", "left").groupBy("term")
+              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("gram"))).alias("g"))
+              .where("g.n > 0").select("term", F.col("g.gram").alias("gram")))
+    met = of_items.join(rarest, "gram").select("_k", "term").join(staged, "_k")
+    hits = met.where(F.contains("_text", "term")).select("_k", "term")
+    if 0 in sizes:
+        hits = hits.unionByName(staged.select("_k", F.lit("").alias("term")))
+    return hits.withColumnRenamed("_k", key)
+
+
+def match_feeds(items: DataFrame, feeds: DataFrame, key: str, title="title", summary="summary",
+                semantics: str = DOCUMENTED, id_col: str = "feed_id", spec_col: str = "spec") -> DataFrame:
+    """F-7 / J-5: (key, feed_id) for every item that a feed's spec accepts, for any number of feeds.
+
+    The terms that occur in each item (``text_hits``) join the feeds' terms and are reduced to
+    flags per (item, feed) with a combining aggregate.  A feed without include terms accepts
+    every item that it does not reject: these feeds, as a query set, meet all items in parts,
+    minus the rejected pairs."""
     terms = feed_terms(feeds, id_col, spec_col, semantics)
-    vocab = [r["term"] for r in terms.select("term").distinct().collect()]
-    hits = term_hits_scan(items, key, match_text(title, summary), vocab)
-    fh = hits.join(terms, "term")
-    flags = fh.groupBy(key, "feed_id").agg(
-        F.max((F.col("role") == "include").cast("int")).alias("inc"),
-        F.max((F.col("role") == "exclude").cast("int")).alias("exc"),
-        F.max((F.col("role") == "override").cast("int")).alias("ovr"))
+    hits = text_hits(items, key, match_text(title, summary), terms.select("term").distinct())
+    has = {r: F.max(F.col("role") == r) for r in ("include", "exclude", "override")}
+    flags = hits.join(terms, "term").groupBy(key, "feed_id").agg(*[c.alias(r) for r, c in has.items()])
+    rejected = F.col("exclude")
     if check_semantics(semantics) == DOCUMENTED:
-        rejected = (F.col("exc") == 1) & (F.col("ovr") == 0)
-    else:
-        rejected = F.col("exc") == 1
-    with_inc = flags.where((F.col("inc") == 1) & ~rejected).select(key, "feed_id")
-    has_inc = terms.where(F.col("role") == "include").select("feed_id").distinct()
-    no_inc_ids = [r["feed_id"] for r in feeds.select(F.col(id_col).alias("feed_id")).join(has_inc, "feed_id", "left_anti").collect()]
-    if not no_inc_ids:
-        return with_inc
-    excluded = flags.where(rejected).select(key, "feed_id")
-    all_pairs = items.select(key, F.explode(F.array(*[F.lit(i) for i in no_inc_ids])).alias("feed_id"))
-    open_pairs = all_pairs.join(excluded, [key, "feed_id"], "left_anti")
-    return with_inc.unionByName(open_pairs)
+        rejected = rejected & ~F.col("override")
+    accepted = flags.where(F.col("include") & ~rejected).select(key, "feed_id")
+    with_include = terms.where(F.col("role") == "include").select("feed_id").distinct()
+    open_feeds = feeds.select(F.col(id_col).alias("feed_id")).join(with_include, "feed_id", "left_anti") \
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(OPEN_PARTS - 1))))
+    pairs = items.select(key, F.pmod(F.xxhash64(key), F.lit(OPEN_PARTS)).cast("int").alias("_part")).join(open_feeds, "_part")
+    return accepted.unionByName(pairs.select(key, "feed_id").join(flags.where(rejected).select(key, "feed_id"), [key, "feed_id"], "left_anti"))

@@ -336,17 +336,15 @@ def _many_feeds_sql() -> str:
 
 @register("match_many_feeds", _many_feeds_sql())
 def match_many_feeds(spark, sf):
-    feeds = K.collect_terms(_feeds_df(spark), semantics=T.DOCUMENTED)
-    d = doc_items(spark, sf)
-    return K.match_feeds(d, feeds, semantics=T.DOCUMENTED).select("feed_id", "doc_id")
+    """F-7: every feed's spec against every document."""
+    return K.match_feeds(doc_items(spark, sf), _feeds_df(spark), "doc_id", semantics=T.DOCUMENTED).select("feed_id", "doc_id")
 
 
 @register("match_many_feeds_scaled", _many_feeds_sql())
 def match_many_feeds_scaled(spark, sf):
-    """F-7 for large subscription tables: Aho-Corasick term hits per item, joined to the
-    exploded feed terms and reduced per (item, feed); same answer as ``match_many_feeds``."""
-    d = doc_items(spark, sf)
-    return K.match_feeds_scaled(d, _feeds_df(spark), "doc_id", semantics=T.DOCUMENTED).select("feed_id", "doc_id")
+    """F-7 on the same specs read in another order: one plan serves any number of feeds."""
+    feeds = _feeds_df(spark).orderBy(F.desc("feed_id"))
+    return K.match_feeds(doc_items(spark, sf), feeds, "doc_id", semantics=T.DOCUMENTED).select("feed_id", "doc_id")
 
 
 # Corpus stand-ins for the advert term lists (the source lists do not occur in the corpus).

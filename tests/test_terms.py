@@ -74,19 +74,6 @@ def test_include_must_hit(spark):
     assert _match(spark, "Sunny", "", t, DOCUMENTED) is False
 
 
-def test_match_feeds_equals_single_feed_matching(spark):
-    feeds = [(1, K.Terms(include=("a",), exclude=("x",))), (2, K.Terms(exclude=("b",))),
-             (3, K.Terms(include=("c",), exclude=("a",), overrides=(("z",),)))]
-    items = spark.createDataFrame([(i, t, "") for i, t in enumerate(["a", "ab", "ax", "c a z", "c a", "q"])],
-                                  "id long, title string, summary string")
-    got = {(r["feed_id"], r["id"]) for r in K.match_feeds(items, feeds).collect()}
-    want = set()
-    for fid, tm in feeds:
-        for r in items.where(K.match_literal("title", "summary", tm, DOCUMENTED)).collect():
-            want.add((fid, r["id"]))
-    assert got == want
-
-
 def test_advert_truth_table(spark):
     df = spark.createDataFrame([
         ("Subscription offer", ""),
@@ -113,27 +100,47 @@ def test_registered_spec_compiles_to_its_terms(spark):
 
 def test_feed_specs_compile_to_oracle_terms(spark):
     from snapfeed.plans.news import FEED_SPECS, FEED_TERMS, _feeds_df
-    got = dict(K.collect_terms(_feeds_df(spark), semantics=DOCUMENTED))
+    rows = _feeds_df(spark).select("feed_id", K.compile_terms("spec", DOCUMENTED).alias("t")).collect()
+    got = {r["feed_id"]: K.Terms(tuple(r["t"]["include"]), tuple(r["t"]["exclude"]), tuple(map(tuple, r["t"]["overrides"]))) for r in rows}
     assert got == FEED_TERMS and len(FEED_SPECS) == len(FEED_TERMS)
 
 
-def test_match_feeds_scaled_equals_inline(spark):
+def _one_by_one(items, feeds, semantics):
+    """(feed, item) pairs by the single-feed test."""
+    out = set()
+    for r in feeds.select("feed_id", K.compile_terms("spec", semantics).alias("t")).collect():
+        terms = K.Terms(tuple(r["t"]["include"]), tuple(r["t"]["exclude"]), tuple(map(tuple, r["t"]["overrides"])))
+        out |= {(r["feed_id"], x["id"]) for x in items.where(K.match_literal("title", "summary", terms, semantics)).collect()}
+    return out
+
+
+def test_match_feeds_equals_one_by_one(spark):
     import random
     rnd = random.Random(7)
-    words = ["flood", "road", "museum", "park", "canvey", "rain", "tide", "bus"]
-    rows = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 6))), "") for i in range(300)]
+    words = ["flood", "road", "museum", "park", "canvey", "rain", "tide", "bus", "x", "ab"]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 6))), None if i % 9 == 0 else "of") for i in range(300)] + [(900, None, None)]
     items = spark.createDataFrame(rows, "id long, title string, summary string")
     specs = [(1, "flood,road,-canvey,except(museum)"), (2, "-rain,-tide"), (3, '"park road",bus'),
-             (4, "-bus,except(park, flood)"), (5, "")]
+             (4, "-bus,except(park, flood)"), (5, ""), (6, "x,-ab"), (7, "- 'of'"), (8, "nowhere at all"), (9, '"x","x",-"x"')]
     feeds = spark.createDataFrame(specs, "feed_id long, spec string")
     for sem in (DOCUMENTED, OBSERVED):
-        inline = {(r["feed_id"], r["id"]) for r in
-                  K.match_feeds(items, K.collect_terms(feeds, semantics=sem), semantics=sem).collect()}
-        scaled = {(r["feed_id"], r["id"]) for r in K.match_feeds_scaled(items, feeds, "id", semantics=sem).collect()}
-        assert scaled == inline
+        got = [(r["feed_id"], r["id"]) for r in K.match_feeds(items, feeds, "id", semantics=sem).collect()]
+        assert len(got) == len(set(got)) and set(got) == _one_by_one(items, feeds, sem)
+
+
+def test_many_feeds_and_a_term_in_all_items(spark):
+    """10,000 feeds, one term in every item, and a plan without Python."""
+    items = spark.range(50).selectExpr("id", "concat('common word', id) AS title", "'' AS summary")
+    feeds = spark.range(10_000).selectExpr("id AS feed_id", "concat('word', id, if(id % 2 = 0, ',-common', '')) AS spec")
+    got = K.match_feeds(items, feeds, "id")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
+    want = {(f, i) for i in range(50) for f in range(1, 100, 2) if f"word{f}" in f"common word{i}"}
+    assert {(r["feed_id"], r["id"]) for r in got.collect()} == want
 
 
-def test_term_hits_scan_empty_term(spark):
+def test_text_hits_empty_term(spark):
     items = spark.createDataFrame([(1, "Abc"), (2, None)], "id long, t string")
-    got = {(r["id"], r["term"]) for r in K.term_hits_scan(items, "id", F.lower("t"), ["", "ab", "zz"]).collect()}
-    assert got == {(1, ""), (1, "ab"), (2, "")}
+    for terms, want in ((["", "ab", "zz"], {(1, ""), (1, "ab"), (2, "")}), ([""], {(1, ""), (2, "")}), ([], set())):
+        table = spark.createDataFrame([(t,) for t in terms], "term string")
+        assert {(r["id"], r["term"]) for r in K.text_hits(items, "id", F.lower("t"), table).collect()} == want
