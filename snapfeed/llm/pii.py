@@ -7,8 +7,9 @@ of the documents with t that have t within a few words of e.  A term that reveal
 threshold, seen beside e in enough documents, is sanitised beside e: numbers are generalised to their
 shape, other terms removed.
 
-Document frequencies are counted exactly, for all documents, of the terms that can matter: a bitmap of fixed
-size lets few others through the counting pass, and a join by the term leaves those out.
+Document frequencies are counted exactly, over all documents, of the terms that can matter: those that disclose
+enough by a lower bound of their frequency.  A bitmap of fixed size lets few others through the counting pass, and
+a join by the term leaves those out.
 """
 
 from __future__ import annotations
@@ -143,25 +144,34 @@ def find(docs: DataFrame, threshold: float = 0.8, least_docs: int = 2, reach: in
                        .withColumn("row", F.monotonically_increasing_id()))
     near = found.select("row", F.inline("near"))
     total = found.count()
-    beside = checkpoint(near.select("row", "term", "entity").distinct().groupBy("term", "entity").agg(F.count(F.lit(1)).alias("both"))
-                        .where(F.col("both") >= least_docs))
+    beside = (near.select("row", "term", "entity").distinct().groupBy("term", "entity").agg(F.count(F.lit(1)).alias("both"))
+              .where(F.col("both") >= least_docs))
     of_entity = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    bits = spark.sparkContext.broadcast(bitmap(beside.select("term").distinct(), "term"))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            words, ends = hash_words(b.column(1).to_pylist())
-            at = np.flatnonzero(in_bitmap(bits.value, words))
-            own = np.searchsorted(ends, at, side="right")
-            pairs = np.unique(np.stack([own.astype(np.uint64), words[at]]), axis=1)
-            terms, n = np.unique(pairs[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n.astype(np.int64))], names=["term", "n"])
-
-    of_term = rows.mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
     content = -F.log2(F.col("n_entity") / F.lit(total))
     disclosed = (F.log2(F.col("both") / F.greatest("n_term", "both")) + F.col("content")) / F.col("content")
-    pairs = checkpoint(beside.join(of_entity, "entity").withColumn("content", content).where("content > 0").join(of_term, "term")
-                       .where(disclosed > threshold).select("term", "entity"))
+    pairs = beside.join(of_entity, "entity").withColumn("content", content).where("content > 0")
+
+    def counted(pairs: DataFrame, some: DataFrame) -> DataFrame:
+        """``pairs`` with n_term, the number of ``some`` rows with the term."""
+        bits = spark.sparkContext.broadcast(bitmap(pairs.select("term").distinct(), "term"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                words, ends = hash_words(b.column(0).to_pylist())
+                at = np.flatnonzero(in_bitmap(bits.value, words))
+                own = np.searchsorted(ends, at, side="right")
+                seen = np.unique(np.stack([own.astype(np.uint64), words[at]]), axis=1)
+                terms, n = np.unique(seen[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n.astype(np.int64))], names=["term", "n"])
+
+        n_term = some.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
+        return pairs.join(n_term, "term", "left").withColumn("n_term", F.coalesce("n_term", F.lit(0)))
+
+    # A term's documents among some of the rows are a lower bound of all: what discloses too little even by that, as common words
+    # do, is out before the count over all rows.
+    some = rows.where(F.pmod(F.xxhash64(F.lit(3), F.col("text")), F.lit(16)) == 0)
+    pairs = checkpoint(counted(checkpoint(pairs), some).where(disclosed > threshold).drop("n_term"))
+    pairs = checkpoint(counted(pairs, rows).where(disclosed > threshold).select("term", "entity"))
     spans = (near.join(pairs, ["term", "entity"]).select("row", "start", "end").distinct()
              .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms")))
     none = F.array().cast("array<struct<start:int,end:int>>")
@@ -192,13 +202,13 @@ def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id", **options
     own, extra = unused(docs, "_key", "_spans")
     found = find(docs, text=text, key=key, **options).select(F.col("key").alias(own), all_spans().alias(extra)).where(F.col(extra) != "")
     joined = docs.join(found, F.col(key).eqNullSafe(F.col(own)), "left").drop(own)
-    place, spans = joined.columns.index(text), joined.columns.index(extra)
+    place, spans, names = joined.columns.index(text), joined.columns.index(extra), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             new = [t if not s or t is None else redacted(t, [(k, int(a), int(z)) for k, a, z in (x.split(":") for x in s.split(","))])
                    for t, s in zip(b.column(place).to_pylist(), b.column(spans).to_pylist(), strict=True)]
             cols = [pa.array(new, pa.string()) if i == place else c for i, c in enumerate(b.columns) if i != spans]
-            yield pa.RecordBatch.from_arrays(cols, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return joined.mapInArrow(run, docs.schema)
