@@ -33,6 +33,8 @@ BANDS, ROWS = 10, 4
 CHARS = 300_000
 #: Lines of a band that one task compares with each other; more are split into blocks.
 BLOCK = 4096
+#: Runs up to this length are compared pair by pair; longer ones as arrays.
+SMALL_RUN = 32
 LEAST = -(2**63)
 _rng = np.random.default_rng(20240)
 _A = (_rng.integers(0, 1 << 31, BANDS * ROWS, np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -128,7 +130,8 @@ def first_lines(rows: DataFrame) -> DataFrame:
 
 
 def _runs(lines: DataFrame) -> DataFrame:
-    """(id, bands) -> (run, id): the lines that share a band, each different set of them once."""
+    """(id, bands) -> (part, run, id): the lines that share a band, each different set of them once.  Small runs with the same
+    first line have the same part."""
 
     def keyed(heavy: dict[int, int]):
         hot = np.array(sorted(heavy), np.int64)
@@ -169,23 +172,72 @@ def _runs(lines: DataFrame) -> DataFrame:
         ids, sizes = ids[many], sizes[sizes > 1]
         if not len(ids):
             return
+        begin = np.cumsum(sizes) - sizes
         with np.errstate(over="ignore"):
-            sums = np.add.reduceat(mix64(ids.view(np.uint64)), np.cumsum(sizes) - sizes)
-        runs = np.repeat(mix64(sums ^ sizes.astype(np.uint64)), sizes).view(np.int64)
+            run = mix64(np.add.reduceat(mix64(ids.view(np.uint64)), begin) ^ sizes.astype(np.uint64)).view(np.int64)
+        part = np.where(sizes <= SMALL_RUN, np.minimum.reduceat(ids, begin), run)
+        run, part = np.repeat(run, sizes), np.repeat(part, sizes)
         for i in range(0, len(ids), 65536):
-            yield pa.RecordBatch.from_arrays([pa.array(runs[i: i + 65536]), pa.array(ids[i: i + 65536])], names=["run", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[i: i + 65536]) for x in (part, run, ids)], names=["part", "run", "id"])
 
     lines = lines.select("id", "bands")
     in_sample = F.pmod(F.xxhash64(F.lit(7), F.col("id")), F.lit(64)) == 0
     heavy = heavy_keys(lines.where(in_sample).mapInArrow(keyed({}), "key long, id long"), "key", "id", BLOCK)
     n = partitions(lines.sparkSession, lines.count() * BANDS, 1_500_000)
-    return lines.mapInArrow(keyed(heavy), "key long, id long").repartition(n, "key").mapInArrow(meet, "run long, id long").distinct()
+    return lines.mapInArrow(keyed(heavy), "key long, id long").repartition(n, "key").mapInArrow(meet, "part long, run long, id long").distinct()
+
+
+def shingle_arrays(lines: list[str]) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each line."""
+    out: list[np.ndarray] = []
+    lo = 0
+    while lo < len(lines):
+        hi, n = lo, 0
+        while hi < len(lines) and (hi == lo or n + len(lines[hi]) <= CHARS):
+            n += len(lines[hi])
+            hi += 1
+        h, starts = shingle_hashes(lines[lo:hi])
+        for x in np.split(h, starts[1:]):
+            x.sort()
+            out.append(x if len(x) < 2 else x[np.concatenate(([True], x[1:] != x[:-1]))])
+        lo = hi
+    return out
+
+
+def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether the Jaccard similarity of two sorted distinct arrays is at least ``least``."""
+    if len(a) < len(b):
+        a, b = b, a
+    if len(b) < least * len(a) - 1e-9:
+        return False
+    both = np.count_nonzero(a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b)
+    return bool(both >= least * (len(a) + len(b) - both) - 1e-9)
+
+
+def few(runs: list[list[int]], own: dict[int, np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Verified links among the lines of small runs that share their first line; lines that are connected already are
+    not compared again."""
+    root = {i: i for run in runs for i in run}
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    edges: list[tuple[int, int]] = []
+    for run in runs:
+        for n, i in enumerate(run):
+            for j in run[:n]:
+                a, b = find(i), find(j)
+                if a != b and alike(own[i], own[j], least):
+                    edges.append((i, j))
+                    root[max(a, b)] = min(a, b)
+    return edges
 
 
 def forest(lines: list[str], least: float) -> list[tuple[int, int]]:
     """Edges (numbers) of a spanning forest of the graph that links lines with a Jaccard similarity of at least ``least``."""
-    h, starts = shingle_hashes(lines)
-    own = [np.unique(x) for x in np.split(h, starts[1:])]
+    own = shingle_arrays(lines)
     edges: list[tuple[int, int]] = []
     left = np.arange(len(lines))
     sizes = np.array([len(x) for x in own], np.int64)
@@ -228,26 +280,37 @@ def links(lines: DataFrame, rows: DataFrame, least: float) -> DataFrame:
     members = runs.join(need.join(texts, ["h1", "h2"]).select("id", "text"), "id")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, str]] = []
-        run = None
-
-        def settle() -> list[tuple[int, int]]:
-            return [(held[a][0], held[b][0]) for a, b in forest([x for _, x in held], least)]
+        held: list[tuple[int, list[tuple[int, list[int]]]]] = []  # (part, its runs) in order
+        text_of: dict[int, str] = {}
+
+        def settle() -> Iterator[pa.RecordBatch]:
+            edges: list[tuple[int, int]] = []
+            small = sorted({i for _, runs_ in held for _, run in runs_ if len(run) <= SMALL_RUN for i in run})
+            own = dict(zip(small, shingle_arrays([text_of[i] for i in small]), strict=True))
+            for _, runs_ in held:
+                edges += few([run for _, run in runs_ if len(run) <= SMALL_RUN], own, least)
+                for _, run in runs_:
+                    if len(run) > SMALL_RUN:
+                        edges += [(run[a], run[b]) for a, b in forest([text_of[i] for i in run], least)]
+            held.clear()
+            text_of.clear()
+            if edges:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*edges, strict=True)], names=["a", "b"])
 
         for b in batches:
-            out: list[tuple[int, int]] = []
-            for r, i, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if r != run:
-                    out += settle()
-                    held, run = [], r
-                held.append((i, t))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
-        if out := settle():
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
+            for p, r, i, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if not held or held[-1][0] != p:
+                    if len(text_of) >= 1000:
+                        yield from settle()
+                    held.append((p, []))
+                if not held[-1][1] or held[-1][1][-1][0] != r:
+                    held[-1][1].append((r, []))
+                held[-1][1][-1][1].append(i)
+                text_of[i] = t
+        yield from settle()
 
     n = partitions(spark, runs.count(), 200_000)
-    return members.select("run", "id", "text").repartition(n, "run").sortWithinPartitions("run").mapInArrow(verify, "a long, b long")
+    return members.select("part", "run", "id", "text").repartition(n, "part").sortWithinPartitions("part", "run", "id").mapInArrow(verify, "a long, b long")
 
 
 def dedup(docs: DataFrame, least: float = 0.8, text: str = "text", key: str = "doc_id", counts: tuple[str, str] | None = None) -> DataFrame:
@@ -270,8 +333,12 @@ def dedup(docs: DataFrame, least: float = 0.8, text: str = "text", key: str = "d
     joined = docs.withColumn(d, did).withColumn(t, thash).join(numbers, (F.col(d) == F.col(of)) & (F.col(t) == F.col(hashed)), "left")
     parts = F.split(F.col(text), "\n", -1)
     keep = F.coalesce(stay, F.array().cast("array<int>"))
-    size = F.coalesce(F.size(F.filter(parts, lambda x: x.rlike(r"[^ \t\n\r\x0B\f]"))), F.lit(0))
-    rebuilt = F.array_join(F.transform(keep, lambda i: F.get(parts, i)), "\n")
-    new = F.when((F.size(keep) == size) | F.col(text).isNull(), F.col(text)).otherwise(rebuilt)
+    # lines by their ends alone: if as many are kept, none is blank and none is lost
+    quick = F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1
+    exact = F.coalesce(F.size(F.filter(parts, lambda x: x.rlike(r"[^ \t\n\r\x0B\f]"))), F.lit(0))
+    size = F.when(quick == F.size(keep), quick).otherwise(exact)
+    # a lambda's body is evaluated for each element: the text is split once, outside, and bound by a list of one
+    rebuilt = F.get(F.transform(F.array(parts), lambda own: F.array_join(F.transform(keep, lambda i: F.get(own, i)), "\n")), F.lit(0))
+    new = F.when(quick == F.size(keep), F.col(text)).when((F.size(keep) == exact) | F.col(text).isNull(), F.col(text)).otherwise(rebuilt)
     extra = [size.cast("long").alias(counts[0]), F.size(keep).cast("long").alias(counts[1])] if counts else []
     return joined.select(*[new.alias(c) if c == text else F.col(c) for c in docs.columns], *extra)
