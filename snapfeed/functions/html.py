@@ -70,9 +70,3 @@ def link_hrefs(content) -> Column:
 
 def link_texts(content) -> Column:
     return F.regexp_extract_all(_c(content), F.lit(LINK_PATTERN), 2)
-
-
-def meta_content(html, attr: str, value: str) -> Column:
-    """``content`` of the first ``<meta attr="value" content="...">`` (attribute order as written)."""
-    pat = r'(?is)<meta\s[^>]*' + attr + r'="' + value + r'"[^>]*content="([^"]*)"'
-    return F.when(_c(html).rlike(pat), F.regexp_extract(_c(html), pat, 1))

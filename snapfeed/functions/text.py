@@ -113,8 +113,3 @@ def format_int(col) -> Column:
 def format_1dp(col) -> Column:
     """One decimal, half away from zero (decimal arithmetic, no binary rounding surprises)."""
     return F.format_number(F.round(_c(col).cast("decimal(38,6)"), 1), 1)
-
-
-def join_nonblank(sep: str, *parts: Column) -> Column:
-    """``concat_ws`` skips nulls; blank parts are turned into nulls first."""
-    return F.concat_ws(sep, *[F.when(~is_blank(p), p) for p in parts])

@@ -23,17 +23,6 @@ def best_srcset(srcset) -> Column:
     return F.try_element_at(F.array_sort(ranked), F.lit(1))["u"]
 
 
-def image_url(node: Column, semantics: str = OBSERVED) -> Column:
-    """``srcset`` first (best candidate), else ``src``; ``documented`` falls back to ``src``
-    when ``srcset`` has no width descriptors."""
-    srcset, src = node["attrs"]["srcset"], node["attrs"]["src"]
-    has_set = srcset.isNotNull() & (srcset != "")
-    best = best_srcset(srcset)
-    if check_semantics(semantics) == DOCUMENTED:
-        best = F.coalesce(best, F.when(src != "", src))
-    return F.when(has_set, best).when(src.isNotNull() & (src != ""), src)
-
-
 def valid_image(url, blocklist=None) -> Column:
     """IMG-2: no block-listed substring in the lower-cased URL."""
     u = F.lower(F.col(url) if isinstance(url, str) else url)

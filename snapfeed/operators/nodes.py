@@ -405,12 +405,3 @@ def attr_fallback(node: Column, first_attr: str, second_attr: str) -> Column:
     """NODE-8: first attribute if non-empty, else the second."""
     a = node["attrs"][first_attr]
     return F.when(a.isNotNull() & (a != ""), a).otherwise(node["attrs"][second_attr])
-
-
-def no_ancestor_class_like(node: Column, needle: str = "ad", semantics: str = "observed") -> Column:
-    """NODE-9: no ancestor whose class attribute contains ``needle`` (observed: substring,
-    case-insensitive) / has an advert-like class token (documented)."""
-    if semantics == "observed":
-        return ~F.exists(node["path"], lambda a: F.lower(F.array_join(a["classes"], " ")).contains(needle))
-    return ~F.exists(node["path"], lambda a: F.exists(
-        a["classes"], lambda c: F.lower(c).rlike(r"^(ad|ads|advert.*|ad-.*)$")))

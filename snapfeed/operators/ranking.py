@@ -88,18 +88,6 @@ def top_k_per_group(df: DataFrame, group: str, metric: str, id_col: str, k: int,
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= int(k))
 
 
-def popularity(events: DataFrame, key: str, ts: str, qty: Column, as_of: Column, days: int = 7) -> DataFrame:
-    """A-5: total count, total quantity, trailing-window count per key (partial aggregation
-    before the shuffle, so hot keys combine map-side)."""
-    recent = F.col(ts) > as_of - F.make_interval(days=F.lit(days))
-    return events.groupBy(key).agg(
-        F.count(F.lit(1)).alias("likes"),
-        F.sum(qty).alias("downloads"),
-        F.count_if(recent).alias(f"likes_{days}d"),
-        F.min(ts).alias("published"),
-    )
-
-
 # --- PRM-1 / NAME-1 over a feeds table -------------------------------------------------------------------
 
 def _label_map(pairs) -> Column:

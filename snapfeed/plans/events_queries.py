@@ -11,6 +11,7 @@ from ..operators.dedup import first_rows
 from ..operators.ranking import clamp_limit
 from ..session import checkpoint_dir
 from ..sources.snapshots import TTL_NEWS, follow_chain, fresh_snapshot, load_table
+from . import derived as X
 from . import sqlgen as S
 from .catalog import register
 
@@ -129,7 +130,7 @@ MAX_HOPS = 3
 
 @register("follow_chain", f"""
 WITH RECURSIVE n AS (SELECT max(page_id) AS page_id FROM pages GROUP BY {S.canonical('url')}),
-p AS (SELECT page_id, url, {S.canonical('url')} AS canon, {_NEXT_SQL} AS nxt FROM pages SEMI JOIN n USING (page_id)),
+p AS (SELECT page_id, url, {S.canonical('url')} AS canon, {_NEXT_SQL} AS nxt FROM ({X.LINKED_PAGES_SQL}) SEMI JOIN n USING (page_id)),
 chain(chain, hop, page_id, nxt) AS (
   SELECT s.canon, 1, p.page_id, p.nxt FROM (SELECT DISTINCT canon FROM p) s JOIN p ON s.canon = p.canon
   UNION ALL
@@ -141,8 +142,7 @@ def follow_chain_q(spark, sf):
     """SRC-7 + U-2: from the newest snapshot of every URL follow its first link (resolved) for
     up to MAX_HOPS pages; the union of hops is the crawl.  The narrow link table is
     checkpointed, so every page is parsed once however many hops follow."""
-    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
-    pages = first_rows(pages, U.canonical_url("url"), "page_id", last=True).withColumn("canon", U.canonical_url("url"))
+    pages = first_rows(X.linked_pages(spark, sf), U.canonical_url("url"), "page_id", last=True).withColumn("canon", U.canonical_url("url"))
     first = F.try_element_at(H.link_hrefs(H.content_html("html")), F.lit(1))
     nxt = F.when(first.isNull() | (first == ""), F.lit(None).cast("string")).otherwise(
         U.resolve_host_relative(first, U.origin_of("url"), U.base_dir_of("url")))

@@ -14,7 +14,9 @@ from ..functions.entities import HTML4, decode_entities
 from ..operators import article as A
 from ..operators import terms as K
 from ..operators.dedup import first_rows, first_seen, materialize, newest
+from ..session import checkpoint_dir
 from ..sources.snapshots import load_table
+from . import derived as X
 from . import sqlgen as S
 from .catalog import register
 
@@ -439,7 +441,7 @@ _LINKS_RESOLVED_SQL = f"""
                      {S.base_dir('url')} AS base_dir,
                      regexp_extract_all({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 1) AS hrefs,
                      regexp_extract_all({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 2) AS texts
-              FROM pages))
+              FROM ({X.LINKED_PAGES_SQL})))
   WHERE href <> ''
 """
 
@@ -454,8 +456,7 @@ def listing_join(spark, sf):
     """J-1: every listing link joined to the stored article with the same canonical URL
     (inner: a missing article drops the link).  Shuffle join on the URL key; AQE splits a
     hot URL (a nav link present on every listing) with its skew-join handling."""
-    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
-    links = listing_links(pages).withColumn("canon", U.canonical_url("url"))
+    links = listing_links(X.linked_pages(spark, sf)).withColumn("canon", U.canonical_url("url"))
     arts = newest(load_table(spark, sf, "pages", ["page_id", "url"]), U.canonical_url("url"), "canon", "page_id") \
         .withColumnRenamed("page_id", "article_id")
     return links.join(arts, "canon", "inner").select("listing_id", "pos", "url", "article_id")
@@ -469,8 +470,7 @@ FROM l LEFT JOIN canon c ON {S.canonical('l.url')} = c.canon
 """)
 def listing_left(spark, sf):
     """J-3: listing links kept without enrichment when the detail page is missing."""
-    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
-    links = listing_links(pages).withColumn("canon", U.canonical_url("url"))
+    links = listing_links(X.linked_pages(spark, sf)).withColumn("canon", U.canonical_url("url"))
     arts = newest(load_table(spark, sf, "pages", ["page_id", "url"]), U.canonical_url("url"), "canon", "page_id") \
         .withColumnRenamed("page_id", "article_id")
     return links.join(arts, "canon", "left").select("listing_id", "pos", "url", "article_id")
@@ -513,32 +513,33 @@ def news_crawl_items(pages: DataFrame, seeds: DataFrame, max_pages: int | None =
     n_pages = int(max_pages or 0)
     pages = first_rows(pages, U.canonical_url("url"), "page_id", last=True)  # one snapshot per URL
     keyed = pages.select("page_id", "url", "html", U.canonical_url("url").alias("canon"))
+    checkpoint_dir(pages.sparkSession)
     frontier = seeds.select(F.col("url").alias("seed"), U.canonical_url("url").alias("want"))
     hops = []
     for hop in range(1, n_pages + 1):
         found = frontier.join(keyed, frontier.want == keyed.canon, "inner").select("seed", "page_id", "url", "html")
-        parsed = materialize(N.page_nodes(found, extra_cols=("seed", "url")).withColumn("hop", F.lit(hop)))
+        parsed = materialize(N.page_nodes(found, extra_cols=("seed", "url")))
         nxt = N.first("nodes", rules.NEXT_PAGE_SELECTOR)["attrs"]["href"]
-        hops.append(parsed)
-        frontier = parsed.where(nxt.isNotNull() & (nxt != "")).select(
-            "seed", U.canonical_url(U.resolve_host_relative(nxt, U.origin_of("url"), U.base_dir_of("url"), semantics)).alias("want"))
+        fb = parsed.select("seed", "url", nxt.alias("next_href"), "nodes",
+                           N.first_nonempty("nodes", rules.LISTING_SELECTORS).alias("fb"))
+        if strict and hop == 1:
+            fb = fb.withColumn("fb", F.when(F.col("fb.rank").isNull(), F.raise_error(F.lit("No listing nodes found. Update selectors.")))
+                               .otherwise(F.col("fb")))
+        cands = fb.select("seed", "url", "next_href", "nodes", F.posexplode_outer("fb.matches").alias("pos", "m"))
+        link = N.descendant_link("nodes", "m")
+        # The narrow rows of a hop are checkpointed: its pages are parsed once, whatever follows.
+        rows = materialize(cands.select(
+            "seed", F.lit(hop).alias("hop"), "pos", link["attrs"]["href"].alias("href"), T.trim_all(link["text"]).alias("link_text"),
+            U.origin_of("url").alias("origin"), U.base_dir_of("url").alias("base_dir"), "next_href")).checkpoint(eager=True)
+        hops.append(rows)
+        frontier = rows.where(F.col("next_href") != "").select(
+            "seed", U.canonical_url(U.resolve_host_relative("next_href", "origin", "base_dir", semantics)).alias("want")).distinct()
     if not hops:
         return article_items(pages.limit(0), semantics=semantics, **article_kwargs).withColumn("seed", _null()) \
             .withColumn("hop", F.lit(0)).withColumn("pos", F.lit(0).cast("bigint"))
-    listings = hops[0]
+    links = hops[0]
     for h in hops[1:]:
-        listings = listings.unionByName(h)
-    fb = listings.select("seed", "hop", "url", "nodes",
-                         N.first_nonempty("nodes", rules.LISTING_SELECTORS).alias("fb"))
-    if strict:
-        fb = fb.withColumn("fb", F.when((F.col("hop") == 1) & F.col("fb.rank").isNull(),
-                                        F.raise_error(F.lit("No listing nodes found. Update selectors.")))
-                           .otherwise(F.col("fb")))
-    cands = fb.select("seed", "hop", "url", "nodes", F.posexplode("fb.matches").alias("pos", "m"))
-    link = N.descendant_link("nodes", "m")
-    links = materialize(cands.select(
-        "seed", "hop", "pos", link["attrs"]["href"].alias("href"), T.trim_all(link["text"]).alias("link_text"),
-        U.origin_of("url").alias("origin"), U.base_dir_of("url").alias("base_dir")))
+        links = links.unionByName(h)
     links = links.where(F.col("href").isNotNull() & (F.col("href") != ""))
     links = links.select("seed", "hop", "pos", "link_text",
                          U.resolve_host_relative(F.col("href"), F.col("origin"), F.col("base_dir"), semantics).alias("url"))
@@ -555,9 +556,30 @@ def news_crawl_items(pages: DataFrame, seeds: DataFrame, max_pages: int | None =
     return out.withColumn("pos", (F.row_number().over(w) - 1).cast("bigint"))
 
 
-@register("news_crawl_feed")
+def _crawl_feed_sql() -> str:
+    """Two stories a listing, in order: the following pages by number, as their newest snapshot, once per
+    URL identity; each is an item if the article job over the derived pages gives one."""
+    key = S.canonical
+    articles = _article_feed_sql(first_seen_and_block=False).strip()
+    articles = articles.replace("SELECT page_id, url, html FROM pages", f"SELECT page_id, url, html FROM ({X.LINKED_PAGES_SQL})", 1)
+    return f"""
+WITH newest AS (SELECT {key('url')} AS canon, max(page_id) AS page_id FROM pages GROUP BY 1),
+seeds AS (SELECT page_id, url FROM pages),
+listings AS (SELECT s.url AS seed, n.page_id AS listing FROM seeds s JOIN newest n ON n.canon = {key('s.url')}),
+stories AS (SELECT l.seed, k.k AS pos, p.url FROM listings l, (SELECT unnest([1, 2]) AS k) k JOIN pages p ON p.page_id = l.listing + k.k),
+firsts AS (SELECT seed, pos, url, {key('url')} AS canon,
+                  row_number() OVER (PARTITION BY seed, {key('url')} ORDER BY pos) AS rn FROM (SELECT DISTINCT * FROM stories)),
+found AS (SELECT f.seed, f.pos, n.page_id FROM firsts f JOIN newest n USING (canon)
+          WHERE rn = 1 AND NOT contains(lower(f.url), '{rules.URL_BLOCK_TERM}')),
+items AS ({articles})
+SELECT seed, items.*, CAST(row_number() OVER (PARTITION BY seed ORDER BY found.pos) - 1 AS BIGINT) AS pos
+FROM found JOIN items USING (page_id)
+"""
+
+
+@register("news_crawl_feed", _crawl_feed_sql())
 def news_crawl_feed(spark, sf):
-    """Every stored page taken as a listing seed, one listing page each (the source's
-    default ``maxpages``); items appear where listings link to stored articles."""
-    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
-    return news_crawl_items(pages, pages.select("url"), max_pages=1)
+    """Every stored page taken as a listing seed, one listing page each (the source's default
+    ``maxpages``), over pages with derived links to the pages that follow them."""
+    pages = X.linked_pages(spark, sf)
+    return news_crawl_items(pages, pages.select("url").distinct(), max_pages=1).drop("hop")

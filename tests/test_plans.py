@@ -268,6 +268,17 @@ def test_crawl_pages_apart_by_query_and_one_snapshot_each(spark):
     assert got == [["Article one"], ["Article one", "Article three"], ["Article one", "Article three"]]
 
 
+def test_crawl_parses_each_hop_once(spark):
+    """Three listing pages a seed: the plan that remains reads pages for the choice of snapshots and for the
+    articles only, and its one node stage is the articles'."""
+    from snapfeed.operators.terms import Terms
+    from snapfeed.plans.news import news_crawl_items
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "url", "html")
+    plan = news_crawl_items(pages, pages.select("url"), max_pages=3, terms=Terms())._jdf.queryExecution().executedPlan().toString()
+    one = news_crawl_items(pages, pages.select("url"), max_pages=1, terms=Terms())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == one.count("FileScan") and plan.count("MapInPandas") == one.count("MapInPandas") == 1
+
+
 def test_fronts_agree(spark):
     """Native and node-table extraction give the same paragraphs, on the corpus and on awkward markup."""
     from snapfeed.operators import nodes as N
