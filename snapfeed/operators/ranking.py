@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 from pyspark.sql.window import Window
 
 from ..functions import rules
@@ -44,15 +45,23 @@ def age_filter(df: DataFrame, ts: str, as_of: Column, days) -> DataFrame:
 
 
 def facet_filter(df: DataFrame, eq: dict | None = None, any_of: dict | None = None,
-                 ranges: dict | None = None, exclude_ids: DataFrame | None = None, id_col: str | None = None) -> DataFrame:
-    """F-11 / J-6: equality, any-of lists, inclusive numeric ranges (either bound may be
-    None) and an exclude-id anti join.  The exclude list is a DataFrame so it can be large;
+                 ranges: dict | None = None, exclude_ids: DataFrame | None = None, id_col: str | None = None,
+                 flags: dict | None = None) -> DataFrame:
+    """F-11 / J-6: equality, any-of lists (an array column: any element), inclusive numeric ranges
+    (either bound may be None), boolean flags (True or False keep such rows, None keeps all; a null
+    flag counts as False) and an exclude-id anti join.  The exclude list is a DataFrame so it can be large;
     Spark picks broadcast or shuffle anti join by its measured size."""
     out = df
     for c, v in (eq or {}).items():
         out = out.where(F.col(c) == F.lit(v))
     for c, vs in (any_of or {}).items():
-        out = out.where(F.col(c).isin(list(vs)))
+        if isinstance(df.schema[c].dataType, ArrayType):
+            out = out.where(F.arrays_overlap(F.col(c), F.array(*[F.lit(v) for v in vs])))
+        else:
+            out = out.where(F.col(c).isin(list(vs)))
+    for c, wanted in (flags or {}).items():
+        if wanted is not None:
+            out = out.where(F.coalesce(F.col(c), F.lit(False)) == F.lit(bool(wanted)))
     for c, (lo, hi) in (ranges or {}).items():
         if lo is not None:
             out = out.where(F.col(c) >= F.lit(lo))
@@ -80,6 +89,32 @@ def top_n(df: DataFrame, metric: str, id_col: str, n: int) -> DataFrame:
     return df.orderBy(F.col(metric).desc_nulls_last(), F.col(id_col).asc()).limit(clamp_limit(n))
 
 
+# Copies of a feed over all categories; each meets one part of the items.
+OPEN_PARTS = 64
+
+
+def top_k_for_feeds(items: DataFrame, feeds: DataFrame, category: str, ts: str, as_of: Column, metrics: dict, id_col: str) -> DataFrame:
+    """The parameter sets of many feeds at once (F-8, F-9, T-1..T-4): ``feeds`` has feed_id, category (null or '':
+    all), days (null: all time), ordering (unknown: the first metric) and limit (clamped).  Gives
+    (feed_id, rank, id) of each feed's items.
+
+    Items meet feeds by category; feeds over all categories, as a query set, meet all items in parts.  A
+    partial limit of the largest clamp runs before the shuffle by feed, so a hot category ships
+    at most that many rows a task."""
+    feeds = feeds.withColumn("_limit", clamp_limit_col("limit")).withColumn("_all", F.col("category").isNull() | (F.col("category") == ""))
+    own = items.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(OPEN_PARTS)).cast("int"))
+    cols = ["feed_id", "days", "ordering", "_limit"]
+    by_category = own.join(feeds.where("NOT _all").select(F.col("category").alias("_category"), *cols), F.col(category) == F.col("_category")).drop("_category")
+    parts = feeds.where("_all").select(*cols, F.explode(F.sequence(F.lit(0), F.lit(OPEN_PARTS - 1))).alias("_part"))
+    met = by_category.unionByName(own.join(parts, "_part").select(*by_category.columns))
+    met = met.where(F.col("days").isNull() | (F.col(ts) > as_of - F.make_interval(days=F.col("days"))))
+    names = list(metrics)
+    metric = F.coalesce(*[F.when(F.col("ordering") == n, F.col(metrics[n]).cast("double")) for n in names],
+                        F.when(~F.coalesce(F.col("ordering").isin(names), F.lit(False)), F.col(metrics[names[0]]).cast("double")))
+    ranked = top_k_per_group(met.withColumn("_metric", metric), "feed_id", "_metric", id_col, rules.LIMIT_MAX)
+    return ranked.where(F.col("rank") <= F.col("_limit")).select("feed_id", F.col("rank").cast("int").alias("rank"), id_col)
+
+
 def top_k_per_group(df: DataFrame, group: str, metric: str, id_col: str, k: int, rank_col: str = "rank") -> DataFrame:
     """T-4: ``row_number() <= k`` per group.  Spark inserts a partial WindowGroupLimit
     before the shuffle, so each map task ships at most k rows per group; a hot group costs

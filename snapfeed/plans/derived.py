@@ -31,6 +31,13 @@ IMAGES = """concat(CASE page_id % 8
   ELSE concat('<div class="featured-image"><img src="/banner.jpg"></div><div id="subscription-replace-entire-article"><img src="/w', page_id, '.jpg"></div>')
   END, html)"""
 
+# Content images for the coverage samples: four, one without src, or none.
+SAMPLES = """concat(CASE page_id % 3
+  WHEN 0 THEN ''
+  WHEN 1 THEN concat('<div class="article-body"><img src="/one', page_id, '.jpg" alt="short"><img src="/two.jpg"><img alt="an alternative text of more than thirty characters" srcset="/x 1w"><img src="/four.jpg"></div>')
+  ELSE concat('<div class="mar-article-image"><p>t<img></div><img src="/outside.jpg">')
+  END, html)"""
+
 JUNK = """concat(html, CASE page_id % 5
   WHEN 0 THEN '<p>Subscribe to our newsletter and accept a cookie before you read on</p>'
   WHEN 1 THEN '<p>terms and conditions apply to what follows, click here to see them all</p>'

@@ -248,6 +248,46 @@ def facet_filter(spark, sf):
                           ranges={"p_size": (10, 30), "p_retailprice": (950, None)}).select("p_partkey")
 
 
+@register("facet_arrays", """
+SELECT p_partkey FROM part
+WHERE list_has_any(string_split(p_name, ' '), ['widget', 'red']) AND p_size % 2 = 1
+""")
+def facet_arrays(spark, sf):
+    """F-11 over an array column (words of the name) and a flag (odd size)."""
+    part = load_table(spark, sf, "part", ["p_partkey", "p_name", "p_size"])
+    pieces = part.withColumn("pieces", F.split("p_name", " ")).withColumn("odd", F.col("p_size") % 2 == 1)
+    return R.facet_filter(pieces, any_of={"pieces": ["widget", "red"]}, flags={"odd": True}).select("p_partkey")
+
+
+# One feed a supplier, its parameters from the supplier's number; two in eleven are over all categories.
+_FEED_COLUMNS = {
+    "feed_id": "CAST(s_suppkey AS BIGINT)",
+    "category": "CASE s_suppkey % 11 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN '5-LOW' WHEN 3 THEN 'none such' ELSE '1-URGENT' END",
+    "days": "CASE s_suppkey % 3 WHEN 0 THEN 30 WHEN 1 THEN 90 ELSE NULL END",
+    "ordering": "CASE s_suppkey % 5 WHEN 0 THEN 'newest' WHEN 1 THEN 'price' ELSE 'unknown' END",
+}
+_FEEDS = "SELECT " + ", ".join(f"{c} AS {name}" for name, c in _FEED_COLUMNS.items()) + ', s_suppkey % 70 AS "limit" FROM supplier'
+
+
+@register("top_k_for_feeds", f"""
+WITH feeds AS ({_FEEDS}),
+met AS (SELECT f.feed_id, least(50, greatest(1, f."limit")) AS k, o.o_orderkey,
+               CASE f.ordering WHEN 'newest' THEN CAST(epoch(CAST(o_orderdate AS TIMESTAMP)) AS DOUBLE) ELSE CAST(o_totalprice AS DOUBLE) END AS metric
+        FROM feeds f JOIN orders o ON (coalesce(f.category, '') = '' OR f.category = o.o_orderpriority)
+        WHERE f.days IS NULL OR o_orderdate > (SELECT max(o_orderdate) FROM orders) - to_days(f.days))
+SELECT feed_id, CAST(rank AS INTEGER) AS rank, o_orderkey
+FROM (SELECT *, row_number() OVER (PARTITION BY feed_id ORDER BY metric DESC, o_orderkey) AS rank FROM met) WHERE rank <= k
+""")
+def top_k_for_feeds(spark, sf):
+    """Parameter sets of many feeds from a table: category, age, ordering and limit reach the result."""
+    feeds = load_table(spark, sf, "supplier", ["s_suppkey"]).selectExpr(
+        *[f"{c} AS {name}" for name, c in _FEED_COLUMNS.items()], "CAST(s_suppkey % 70 AS STRING) AS limit")
+    orders = load_table(spark, sf, "orders", ["o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice"])
+    orders = orders.withColumn("published", F.unix_timestamp(F.col("o_orderdate").cast("timestamp")))
+    as_of = orders.agg(F.max("o_orderdate")).scalar()
+    return R.top_k_for_feeds(orders, feeds, "o_orderpriority", "o_orderdate", as_of, {"price": "o_totalprice", "newest": "published"}, "o_orderkey")
+
+
 @register("exclude_ids", """
 SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 50 AND l_partkey IS NOT NULL)
 """)

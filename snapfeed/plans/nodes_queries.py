@@ -125,6 +125,25 @@ def coverage_report(spark, sf):
         F.round(F.avg("p.len"), 2).alias("avg_len"))
 
 
+@register("image_samples", """
+SELECT page_id, s.pos AS pos, s.src AS src, s.alt AS alt FROM (
+  SELECT page_id, unnest(CASE page_id % 3
+    WHEN 1 THEN [{'pos': 0::BIGINT, 'src': '/one' || page_id || '.jpg', 'alt': 'short...'}, {'pos': 1, 'src': '/two.jpg', 'alt': 'No alt'},
+                 {'pos': 2, 'src': 'HAS SRCSET', 'alt': 'an alternative text of more th...'}]
+    WHEN 2 THEN [{'pos': 0::BIGINT, 'src': 'NO SRC', 'alt': 'No alt'}] ELSE [] END) AS s FROM pages)
+""")
+def image_samples(spark, sf):
+    """A-4 samples: the first three content images of each page, with their source state and 30
+    characters of their alternative text."""
+    nodes = N.page_nodes(X.pages_with(spark, sf, "html", X.SAMPLES), keep=["img"])
+    imgs = F.slice(N.select("nodes", "#subscription-content img, .article-body img, .mar-article-image img"), 1, 3)
+    e = nodes.select("page_id", F.posexplode(imgs).alias("pos", "n"))
+    attr = lambda name: F.nullif(F.col("n.attrs")[name], F.lit(""))
+    return e.select("page_id", F.col("pos").cast("bigint").alias("pos"),
+                    F.coalesce(attr("src"), F.when(attr("srcset").isNotNull(), "HAS SRCSET").otherwise("NO SRC")).alias("src"),
+                    F.coalesce(F.concat(F.substring(attr("alt"), 1, 30), F.lit("...")), F.lit("No alt")).alias("alt"))
+
+
 @register("image_url_block", f"""
 SELECT page_id, url, NOT {S.contains_any('lower(url)', rules.IMAGE_URL_BLOCKLIST)} AS valid FROM {X.pages_sql('url', X.BLOCKED_URL)}
 """)
