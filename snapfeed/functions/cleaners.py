@@ -81,28 +81,13 @@ def clean_content(col, semantics: str = OBSERVED) -> Column:
 
 def clean_description(col, cap: int = rules.DESCRIPTION_CAP) -> Column:
     """STR-11: model description cleaner."""
-    c = decode_entities(_c(col), HTML5)
-    c = F.regexp_replace(c, r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>", "")
-    c = F.regexp_replace(c, r"(?i)&nbsp;", " ")
-    c = F.regexp_replace(c, r"\s+", " ")
-    c = strip_tags_keep_p_br(c)
-    c = F.regexp_replace(c, r"<p[^>]*>", "<p>")
-    c = F.regexp_replace(c, r"<p>\s*</p>", "")
-    # Possessive form: the plain group repetition recurses per tag in Java and overflows
-    # the stack on long runs; the possessive form matches the same runs iteratively.
-    c = F.regexp_replace(c, r"(?:<br\s*+/?+>){3,}+", "<br><br>")
+    c = apply_rules(decode_entities(_c(col), HTML5), rules.DESCRIPTION_RULES)
+    c = apply_rules(strip_tags_keep_p_br(c), rules.DESCRIPTION_TAG_RULES)
     return trim_all(cap_description(c, cap))
 
 
 def blocks_to_paragraphs(col) -> Column:
     """STR-12: block tags to line breaks, strip, squeeze, then LF runs to ``<p>``/``<br>``."""
-    c = F.regexp_replace(_c(col), r"(?i)</p>", "\n\n")
-    c = F.regexp_replace(c, r"(?i)</?(div|br|h[1-6]|li|ul|ol|blockquote)[^>]*>", "\n")
-    c = strip_tags(c)
-    c = F.regexp_replace(c, r"[ \t]+", " ")
-    c = F.regexp_replace(c, r"\n[ \t]+", "\n")
-    c = F.regexp_replace(c, r"[ \t]+\n", "\n")
-    c = F.regexp_replace(trim_all(c), r"\n{3,}", "\n\n")
-    c = F.regexp_replace(c, r"\n\n+", "</p><p>")
-    c = F.regexp_replace(c, r"\n", "<br>")
+    c = apply_rules(strip_tags(apply_rules(_c(col), rules.BLOCK_RULES)), rules.BLOCK_SPACE_RULES)
+    c = apply_rules(trim_all(c), rules.BLOCK_PARAGRAPH_RULES)
     return let(c, lambda v: F.when(trim_all(v) != "", F.concat(F.lit("<p>"), v, F.lit("</p>"))).otherwise(F.lit("")))

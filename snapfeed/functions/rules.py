@@ -49,45 +49,45 @@ CLEAN_RULES_OBSERVED = [
     r'(?is)<div[^>]*class="[^"]*link-builder-block[^"]*"[^>]*>.*?</div>',
 ]
 
-# STR-8d ("documented"): the same rules with the repetition the comments describe
-# restored, and the three statement rules anchored at a word start so that prose words
-# ending in "var"/"const"/"let" are left alone.  Entries are (pattern, replacement).
+# STR-8d ("documented"): the same rules, by position, with the repetition the comments describe
+# restored where it is missing, and the three statement rules anchored at a word start so that prose
+# words ending in "var"/"const"/"let" are left alone.  Entries are (pattern, replacement).
 _WORD_START = r"(?is)(^|[^A-Za-z0-9_$])"
-CLEAN_RULES_DOCUMENTED = [
-    (r"(?is)<script[^>]*>[\s\S]*?</script>", ""),
-    (r"""(?i)\son[a-z]+\s*=\s*["'][^"']*["']?""", ""),
-    (r"(?is)\(function\s*\([^)]*\)\s*\{[^}]*\}[^}]*\}\)\s*\([^)]*\);?", ""),
-    (_WORD_START + r"var\s+[^;]+;", "$1"),
-    (_WORD_START + r"const\s+[^;]+;", "$1"),
-    (_WORD_START + r"let\s+[^;]+;", "$1"),
-    (r"(?is)ExCoPlayer\.[^;]+;?", ""),
-    (r"(?is)PARSELY\.[^;]+;?", ""),
-    (r"""(?is)\{\s*["']?[a-zA-Z_$][a-zA-Z0-9_$]*["']?\s*:\s*[^}]+\}""", ""),
-    (r"(?is)\s[a-zA-Z_$][a-zA-Z0-9_$]*\s*=\s*[^;]+;?\s", " "),
-    (r'(?is)<div[^>]*class="exco-embed"[^>]*>.*?</div>', ""),
-    (r'(?is)<div[^>]*id="[0-9a-f-]+"[^>]*class="exco-embed"[^>]*></div>', ""),
-    (r'(?is)<div[^>]*class="[^"]*Embed[^"]*"[^>]*>.*?</div>', ""),
-    (r'(?is)<script[^>]*class="[^"]*exco-player[^"]*"[^>]*>.*?</script>', ""),
-    (r"(?is)<div[^>]*advert-container[^>]*>.*?</div>", ""),
-    (r"(?is)<div[^>]*DFP_[^>]*>.*?</div>", ""),
-    (r"(?is)<aside[^>]*OUTBRAIN[^>]*>.*?</aside>", ""),
-    (r"(?is)<div[^>]*piano-container[^>]*>.*?</div>", ""),
-    (r"(?is)<div[^>]*link-builder-block[^>]*>.*?</div>", ""),
-    (r"(?is)<span[^>]*inline-image-caption[^>]*>.*?</span>", ""),
-    (r"(?is)<p[^>]*>\s*Read more posts\s*</p>", ""),
-    (r"(?is)<div[^>]*>\s*Read more posts\s*</div>", ""),
-    (r"(?is)<span[^>]*>\s*Read more posts\s*</span>", ""),
-    (r"(?is)Read more posts", ""),
-    (r"(?is)<hr>\s*<p[^>]*>\s*We're now on\s*&nbsp;\s*WhatsApp![^<]*</p>\s*<hr>", ""),
-    (r"(?is)<hr[^>]*>\s*<p[^>]*>.*?WhatsApp.*?</p>\s*<hr[^>]*>", ""),
-    (r"(?is)<p[^>]*>\s*We're now on WhatsApp![^<]*</p>", ""),
-    (r"(?is)<p[^>]*>We're now on WhatsApp![^<]*bit\.ly/[^<]*</p>", ""),
-    (r"(?is)<p[^>]*>.*?We're now on WhatsApp.*?bit\.ly/[^<]*?</p>", ""),
-    (r"(?is)if\s*\([^)]+\)\s*\{[^}]*\}", ""),
-    (r"(?is)\$\([^)]*\)\.[^;]+;?", ""),
-    (r"(?is)window\.[^;]+;?", ""),
-    (r'(?is)<div[^>]*class="[^"]*link-builder-block[^"]*"[^>]*>.*?</div>', ""),
+_DOCUMENTED = {
+    1: (r"""(?i)\son[a-z]+\s*=\s*["'][^"']*["']?""", ""),
+    2: (r"(?is)\(function\s*\([^)]*\)\s*\{[^}]*\}[^}]*\}\)\s*\([^)]*\);?", ""),
+    3: (_WORD_START + r"var\s+[^;]+;", "$1"),
+    4: (_WORD_START + r"const\s+[^;]+;", "$1"),
+    5: (_WORD_START + r"let\s+[^;]+;", "$1"),
+    8: (r"""(?is)\{\s*["']?[a-zA-Z_$][a-zA-Z0-9_$]*["']?\s*:\s*[^}]+\}""", ""),
+    9: (r"(?is)\s[a-zA-Z_$][a-zA-Z0-9_$]*\s*=\s*[^;]+;?\s", " "),
+    10: (r'(?is)<div[^>]*class="exco-embed"[^>]*>.*?</div>', ""),
+    11: (r'(?is)<div[^>]*id="[0-9a-f-]+"[^>]*class="exco-embed"[^>]*></div>', ""),
+    14: (r"(?is)<div[^>]*advert-container[^>]*>.*?</div>", ""),
+    15: (r"(?is)<div[^>]*DFP_[^>]*>.*?</div>", ""),
+    16: (r"(?is)<aside[^>]*OUTBRAIN[^>]*>.*?</aside>", ""),
+    17: (r"(?is)<div[^>]*piano-container[^>]*>.*?</div>", ""),
+    18: (r"(?is)<div[^>]*link-builder-block[^>]*>.*?</div>", ""),
+    19: (r"(?is)<span[^>]*inline-image-caption[^>]*>.*?</span>", ""),
+    24: (r"(?is)<hr>\s*<p[^>]*>\s*We're now on\s*&nbsp;\s*WhatsApp![^<]*</p>\s*<hr>", ""),
+    25: (r"(?is)<hr[^>]*>\s*<p[^>]*>.*?WhatsApp.*?</p>\s*<hr[^>]*>", ""),
+    26: (r"(?is)<p[^>]*>\s*We're now on WhatsApp![^<]*</p>", ""),
+    27: (r"(?is)<p[^>]*>We're now on WhatsApp![^<]*bit\.ly/[^<]*</p>", ""),
+    28: (r"(?is)<p[^>]*>.*?We're now on WhatsApp.*?bit\.ly/[^<]*?</p>", ""),
+}
+CLEAN_RULES_DOCUMENTED = [_DOCUMENTED.get(i, (pattern, "")) for i, pattern in enumerate(CLEAN_RULES_OBSERVED)]
+
+# The description cleaner's replacements before and after its tag strip (STR-11).  Runs
+# of line breaks are matched possessively: the plain repetition overflows Java's stack on long runs.
+DESCRIPTION_RULES = [
+    (r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>", ""), (r"(?i)&nbsp;", " "), (r"\s+", " "),
 ]
+DESCRIPTION_TAG_RULES = [(r"<p[^>]*>", "<p>"), (r"<p>\s*</p>", ""), (r"(?:<br\s*+/?+>){3,}+", "<br><br>")]
+
+# Block tags to line breaks, then line breaks to paragraphs (STR-12).
+BLOCK_RULES = [(r"(?i)</p>", "\n\n"), (r"(?i)</?(div|br|h[1-6]|li|ul|ol|blockquote)[^>]*>", "\n")]
+BLOCK_SPACE_RULES = [(r"[ \t]+", " "), (r"\n[ \t]+", "\n"), (r"[ \t]+\n", "\n")]
+BLOCK_PARAGRAPH_RULES = [(r"\n{3,}", "\n\n"), (r"\n\n+", "</p><p>"), (r"\n", "<br>")]
 
 # Line markers that drop a whole line of cleaned content (STR-9),
 # compared case-insensitively.

@@ -45,7 +45,8 @@ def fresh_snapshot(snapshots: DataFrame, key: str, ts: str, as_of: Column, ttl_s
     lo = as_of - F.make_interval(secs=F.lit(ttl_seconds))
     window = snapshots.where((F.col(ts) <= as_of) & (F.col(ts) >= lo))
     packed = F.struct(*[F.col(c) for c in [ts, *value_cols]])
-    agg = window.groupBy(key).agg(F.max_by(packed, F.col(ts)).alias("_s"))
+    order = F.struct(F.col(ts), F.xxhash64(*[F.col(c) for c in value_cols]))  # equal times: the same row on every run
+    agg = window.groupBy(key).agg(F.max_by(packed, order).alias("_s"))
     return agg.select(key, *[F.col("_s")[c].alias(c) for c in [ts, *value_cols]])
 
 
