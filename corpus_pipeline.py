@@ -6,7 +6,7 @@ works on all rows that it kept.
 2. line_dedup: lines that repeat an earlier one go, and documents that lose all their lines;
 3. near_dedup: of each group of near-duplicates the document with the smallest id stays;
 4. decontaminate: documents with a passage of a benchmark item go;
-5. tokenise: two segmentations of each text, sampled without replacement, and the text decoded from each.
+5. tokenise: two segmentations of each text, sampled without replacement, each decoded again and compared.
 
 The first four return the columns of ``documents``; rows may have null ids, texts or other columns, and
 every stage says what it does with them.
@@ -51,9 +51,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, sample, ids, log_p, value, log_inclusion, decoded) of up to two segmentations of each text."""
-    path = tokenizer_path("piece_bpe_32k.model")
-    return lattice.decode(lattice.encode(docs, path, k=2).withColumnRenamed("key", "doc_id"), path)
+    """(doc_id, sample, ids, log_p, value, log_inclusion, round_trip) of up to two segmentations of each text; each is decoded
+    again and compared with the text."""
+    return lattice.encode(docs, tokenizer_path("piece_bpe_32k.model"), k=2, verify=True).withColumnRenamed("key", "doc_id")
 
 
 STAGES = [

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -44,6 +46,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage with a table written to the shared folder.  Unlike a checkpoint, which keeps the size estimate of the
+    plan behind it, the table has its true size: loops that join a result with itself need that, as the estimate
+    of a join is a product and would grow without end."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """One input table by its path, reading only ``columns``."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -81,6 +93,13 @@ def heavy_keys(keys: DataFrame, key: str, row: str, block: int, most: int = 4000
     return {int(r[key]): min(4000, 1 + -(-int(r["n"]) * one_in // block)) for r in found}
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the machine, where the C library can (glibc): a Python worker lives on
+    between tasks and would keep the most it ever held."""
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser on uint64: a cheap bijective scramble."""
     with np.errstate(over="ignore"):

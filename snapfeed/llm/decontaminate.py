@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import mix64, prepare, unused
+from .common import mix64, prepare, release, unused
 
 SHINGLE = 5
 LARGEST_WINDOW = 200
 #: Benchmark items and bytes broadcast at once; more are taken in further passes over the documents.
 BLOCK_ITEMS, BLOCK_BYTES = 4096, 32 << 20
-PIECE = 1 << 21  # bytes hashed at once
+PIECE = 1 << 19  # bytes hashed at once
 STEP = 8192  # window places taken up at once
 BASE = 0x9E3779B97F4A7C15
 _WORD = bytes(b if b >= 128 or chr(b).isalnum() or b == 95 else 32 for b in range(256))
@@ -287,6 +287,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: i
                         pa.array([keys[t] for t, *_ in found], key_type), pa.array([index.value.ids[i] for _, i, *_ in found], item_type),
                         pa.array([s for _, _, s, _ in found]), pa.array([w for *_, w in found], pa.int64())],
                         names=["key", "item", "similarity", "first_word"])
+            release()
         return rows.mapInArrow(run, f"key {key_kind.simpleString()}, item {item_kind.simpleString()}, similarity double, first_word long")
 
     out = None

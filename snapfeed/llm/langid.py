@@ -21,7 +21,7 @@ from .common import prepare
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
 #: Characters held at once; longer texts are taken piece by piece with the overlap their n-grams need.
-CHARS = 2_000_000
+CHARS = 400_000
 UNKNOWN = "und"
 _MULT = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
 

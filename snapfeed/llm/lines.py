@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, checkpoint, heavy_keys, in_bitmap, mix64, partitions, prepare, runs_of, unused
+from .common import bitmap, checkpoint, heavy_keys, in_bitmap, mix64, partitions, prepare, release, runs_of, unused
 from .graph import components
 
 SHINGLE = 7
@@ -179,6 +179,8 @@ def _runs(lines: DataFrame) -> DataFrame:
         run, part = np.repeat(run, sizes), np.repeat(part, sizes)
         for i in range(0, len(ids), 65536):
             yield pa.RecordBatch.from_arrays([pa.array(x[i: i + 65536]) for x in (part, run, ids)], names=["part", "run", "id"])
+        del keys, order, ids, run, part
+        release()
 
     lines = lines.select("id", "bands")
     in_sample = F.pmod(F.xxhash64(F.lit(7), F.col("id")), F.lit(64)) == 0
@@ -308,6 +310,7 @@ def links(lines: DataFrame, rows: DataFrame, least: float) -> DataFrame:
                 held[-1][1][-1][1].append(i)
                 text_of[i] = t
         yield from settle()
+        release()
 
     n = partitions(spark, runs.count(), 200_000)
     return members.select("part", "run", "id", "text").repartition(n, "part").sortWithinPartitions("part", "run", "id").mapInArrow(verify, "a long, b long")

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, heavy_keys, mix64, partitions, prepare, runs_of, unused, word_chunks
+from .common import checkpoint, heavy_keys, mix64, partitions, prepare, release, runs_of, unused, word_chunks
 from .graph import components
 
 SEED = 42
@@ -211,6 +211,8 @@ def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
         a, b = np.concatenate(out_a or [own[:0]]).view(np.int64), np.concatenate(out_b or [own[:0]]).view(np.int64)
         for i in range(0, len(a), 65536):
             yield pa.RecordBatch.from_arrays([pa.array(a[i: i + 65536]), pa.array(b[i: i + 65536])], names=["a", "b"])
+        del keys, own, order, a, b, out_a, out_b
+        release()
 
     fps = fps.select("fp")
     in_sample = F.pmod(F.xxhash64(F.lit(7), F.col("fp")), F.lit(64)) == 0

@@ -92,6 +92,12 @@ def test_cases(docs):
     assert lattice.decode(docs([(1, "x")]).selectExpr("cast(null as array<int>) ids"), PATH).first().decoded is None
 
 
+def test_verify(docs):
+    """The round trip fails only where decoding takes something away."""
+    got = lattice.encode(docs([(1, None), (2, ""), (3, "plain text"), (4, " a  b ")]), PATH, verify=True).collect()
+    assert all(r.round_trip for r in got) and {r.key for r in got} == {1, 2, 3, 4}
+
+
 def test_sharp_weights_give_the_best_path():
     """With a very large alpha the first sample is the segmentation of the highest weight."""
     m = lattice.load(PATH, alpha=200.0)
