@@ -8,6 +8,12 @@ values that close to its own (multi-index hashing), so every pair within the rad
 shorter) against those of the passage at its place, as weighted Jaccard similarity with multiplicities, a
 shingle weighing 1 / number of items that contain it (1 if none does).
 
+An edit can take a similar passage out of the radius, so the fingerprints alone would lose some.  Shingles complete them:
+a passage of the similarity asked for has one at least of any set of the item's shingles that weighs more than the rest
+it may lack.  Of each item such a set is looked up in every document, and around each hit all passages are bounded by
+what they share with the item, the bound verified exactly.  No passage of the item's length (cut at the text's ends) with
+that similarity is lost.
+
 Words are runs of letters, digits, ``_`` and non-ASCII characters of the lower-cased text.
 """
 
@@ -31,6 +37,8 @@ LARGEST_WINDOW = 200
 BLOCK_ITEMS, BLOCK_BYTES = 4096, 32 << 20
 PIECE = 1 << 19  # bytes hashed at once
 STEP = 8192  # window places taken up at once
+PROBE_BITS = 22
+BOUND = 1e-6  # slack of bounds, for sums in another order
 BASE = 0x9E3779B97F4A7C15
 _WORD = bytes(b if b >= 128 or chr(b).isalnum() or b == 95 else 32 for b in range(256))
 _powers: list[np.ndarray] = []
@@ -146,10 +154,46 @@ class Index:
     keys: np.ndarray  # of (item, shingle), sorted
     key_weights: np.ndarray
     radius: int
+    least: float  # the smallest similarity that the probes are complete for
+    known: tuple[np.ndarray, np.ndarray]  # the weights' shingles, sorted, and their weights
+    probes: dict[int, Probes]  # by words of a shingle
+
+
+@dataclass
+class Probes:
+    """Shingles one of which every passage similar enough to an item has."""
+
+    held: np.ndarray  # whether any has the low bits
+    hashes: np.ndarray  # distinct, sorted
+    first: np.ndarray  # hash -> first entry
+    item: np.ndarray
+
+
+def _probes(own: list[np.ndarray], weights: dict[int, float], totals: np.ndarray, lens: list[int], least: float) -> dict[int, Probes]:
+    """Of each item the heaviest shingles until what is left weighs less than ``least`` of all."""
+    by_size: dict[int, list[tuple[int, int]]] = {}
+    for j, s in enumerate(own):
+        count = Counter(s.tolist())
+        left = float(totals[j])
+        some = by_size.setdefault(min(SHINGLE, lens[j]), [])
+        for x in sorted(count, key=lambda x: (-weights[x] * count[x], x)):
+            if left < least * totals[j] - BOUND:
+                break
+            some.append((x, j))
+            left -= weights[x] * count[x]
+    out = {}
+    for k, some in by_size.items():
+        some.sort()
+        hashes, first = np.unique(np.array([x for x, _ in some], np.uint64), return_index=True)
+        held = np.zeros(1 << PROBE_BITS, bool)
+        held[(hashes & np.uint64(len(held) - 1)).astype(np.int64)] = True
+        out[k] = Probes(held, hashes, np.append(first, len(some)), np.array([j for _, j in some], np.int64))
+    return out
 
 
-def build_index(items: list[tuple], radius: int = 7) -> Index:
-    """Items (id, text) with at least one word; null and word-less ones match nothing and are left out."""
+def build_index(items: list[tuple], radius: int = 7, least: float = 0.8) -> Index:
+    """Items (id, text) with at least one word; null and word-less ones match nothing and are left out.  Passages of a
+    similarity of ``least`` or more are found."""
     if not 0 <= radius <= 15:
         raise ValueError("radius must be 0..15")
     held = [(i, hash_words([t])[0]) for i, t in items if t]
@@ -184,7 +228,9 @@ def build_index(items: list[tuple], radius: int = 7) -> Index:
     keys = np.concatenate([_item_keys(np.full(len(s), j), s) for j, s in enumerate(own)] or [np.zeros(0, np.uint64)])
     weight = np.concatenate([np.array([weights[x] for x in s.tolist()]) for s in own] or [np.zeros(0)])
     order = np.argsort(keys, kind="stable")
-    return Index([i for i, _ in held], [w for _, w in held], weights, totals, built, keys[order], weight[order], radius)
+    known = np.array(sorted(weights), np.uint64)
+    return Index([i for i, _ in held], [w for _, w in held], weights, totals, built, keys[order], weight[order], radius, least,
+                 (known, np.array([weights[x] for x in known.tolist()])), _probes(own, weights, totals, [len(w) for _, w in held], least))
 
 
 def _item_keys(items: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -221,10 +267,64 @@ def similarity(item: np.ndarray, passage: np.ndarray, weights: dict[int, float])
     return both / either if either else 0.0
 
 
+def _around(hashes: np.ndarray, k: int, index: Index, starts: np.ndarray, ends: np.ndarray, least: float) -> Iterator[tuple]:
+    """(bounds, items, first words, ends, texts) of the passages around the probes' hits in ``hashes`` (shingles of ``k`` words
+    from each word on) whose similarity is at most a bound of at least ``least``."""
+    probes = index.probes[k]
+    at = np.flatnonzero(probes.held[(hashes & np.uint64(len(probes.held) - 1)).astype(np.int64)])
+    slot = np.minimum(np.searchsorted(probes.hashes, hashes[at]), len(probes.hashes) - 1)
+    text = np.searchsorted(ends, at, side="right")
+    good = (probes.hashes[slot] == hashes[at]) & (at + k <= ends[text])
+    at, slot = at[good], slot[good]
+    if not len(at):
+        return
+    n = probes.first[slot + 1] - probes.first[slot]
+    place = np.repeat(at, n)
+    item = probes.item[np.arange(len(place)) + np.repeat(probes.first[slot] - (np.cumsum(n) - n), n)]
+    lens = np.array([len(w) for w in index.words], np.int64)
+    order = np.lexsort((place, item))
+    place, item = place[order], item[order]
+    span = lens[item] - k  # from a passage's first shingle to its last
+    cuts = np.searchsorted(np.cumsum(2 * span + 1), np.arange(0, int((2 * span + 1).sum()), 1 << 20), side="left")
+    known, weight = index.known
+    for a, z in zip(cuts, np.append(cuts[1:], len(place)), strict=True):
+        q, i, d = place[a:z], item[a:z], span[a:z]
+        if not len(q):
+            continue
+        t = np.searchsorted(ends, q, side="right")
+        lo, hi = np.maximum(q - d, starts[t]), np.minimum(q + d, ends[t] - k)
+        new = np.append(True, (i[1:] != i[:-1]) | (lo[1:] > hi[:-1]))
+        one, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(q)) - 1
+        i, d, t, lo, hi, least_q, most_q = i[one], d[one], t[one], lo[one], hi[last], q[one], q[last]
+        # what each shingle of a region adds to the intersection or to the union
+        n = hi - lo + 1
+        base = np.cumsum(n) - n
+        flat = np.repeat(lo - base, n) + np.arange(n.sum())
+        keys = _item_keys(np.repeat(i, n), hashes[flat])
+        slot = np.minimum(np.searchsorted(index.keys, keys), len(index.keys) - 1)
+        own = index.keys[slot] == keys
+        other = np.minimum(np.searchsorted(known, hashes[flat]), len(known) - 1)
+        common = np.append(0.0, np.cumsum(np.where(own, index.key_weights[slot], 0.0)))
+        besides = np.append(0.0, np.cumsum(np.where(own, 0.0, np.where(known[other] == hashes[flat], weight[other], 1.0))))
+        # every passage with a hit
+        m = most_q - least_q + d + 1
+        region = np.repeat(np.arange(len(m)), m)
+        s = np.repeat(least_q - d - (np.cumsum(m) - m), m) + np.arange(m.sum())
+        begin, stop = np.maximum(s, lo[region]), np.minimum(s + d[region], hi[region]) + 1
+        x, y = base[region] + begin - lo[region], base[region] + stop - lo[region]
+        total = index.totals[i[region]]
+        most = np.minimum(common[y] - common[x], total) / (total + (besides[y] - besides[x]))
+        some = np.flatnonzero((most >= least - BOUND) & (y > x))
+        some = some[np.lexsort((begin[some], -most[some]))]
+        yield most[some], i[region[some]], begin[some], stop[some] + k - 1, t[region[some]]
+
+
 def find(texts: list[str | None], index: Index, least: float) -> list[tuple[int, int, float, int]]:
     """(text, item, similarity, first word) of the best passage for each text and item of at least ``least``."""
     if not index.classes:
         return []
+    if least < index.least:
+        raise ValueError("the index is for larger similarities")
     words, ends = hash_words(texts)
     starts = ends - np.diff(ends, prepend=0)
     lens = np.array([len(w) for w in index.words], np.int64)
@@ -258,6 +358,16 @@ def find(texts: list[str | None], index: Index, least: float) -> list[tuple[int,
                 if s >= least:
                     pair, found = (int(text[j]), int(item[j])), (s, -int(begin[j] - starts[text[j]]))
                     best[pair] = max(best.get(pair, found), found)
+    for k, hashes in by_size.items():
+        for some in _around(hashes, k, index, starts, ends, least):
+            for most, item, begin, stop, text in zip(*(x.tolist() for x in some), strict=True):
+                pair = (text, item)
+                if pair in best and most < best[pair][0] - BOUND:
+                    continue
+                s = similarity(index.words[item], words[begin:stop], index.weights)
+                if s >= least:
+                    found = (s, int(starts[text]) - begin)
+                    best[pair] = max(best.get(pair, found), found)
     return [(t, i, s, -w) for (t, i), (s, w) in best.items()]
 
 
@@ -293,7 +403,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: i
     out = None
     for p in range(passes):
         some = items.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == p).collect()
-        found = one(spark.sparkContext.broadcast(build_index([(r["item"], r["text"]) for r in some], radius)))
+        found = one(spark.sparkContext.broadcast(build_index([(r["item"], r["text"]) for r in some], radius, least)))
         out = found if out is None else out.unionAll(found)
     return out
 

@@ -65,6 +65,30 @@ def test_edited_passages(spark, docs):
     assert all((6 * n + 5, i) in got for n, (i, _) in enumerate(items))
 
 
+def test_no_edit_is_lost():
+    """Edits at either end, inside, and moved words: whatever brute force finds is found, the documents that are kept included."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(2000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=n))) for i, n in enumerate([3, 9, 16, 22, 22, 30, 39])]
+    items += [(i + 100, " ".join(t.split()[:-2] + rng.choices(vocabulary, k=2))) for i, t in items[4:]]  # share shingles
+    rows = []
+    for edited in ([0], [-1], [0, 1], [0, -1], [-2, -1], [5], [0, 1, -1]):
+        for i, t in items:
+            for _ in range(3):
+                w = t.split()
+                for j in edited:
+                    w[j % len(w)] = rng.choice(vocabulary)
+                if rng.random() < 0.2:
+                    del w[rng.randrange(len(w))]
+                rows.append((len(rows), " ".join(rng.choices(vocabulary, k=rng.randrange(1, 40)) + w + rng.choices(vocabulary, k=rng.randrange(1, 40)))))
+    index = decontaminate.build_index(items)
+    got = {(d, index.ids[i]) for d, i, *_ in decontaminate.find([t for _, t in rows], index, 0.8)}
+    expected = brute(rows, items)
+    assert len(expected) > 60 and expected <= got
+    kept = [(d, t) for d, t in rows if d not in {d for d, _ in got}]
+    assert kept and not brute(kept, items)
+
+
 def test_radius_guarantee():
     """Every pair within the radius meets."""
     rng = np.random.default_rng(2)
