@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from snapfeed.llm import decontaminate as decontamination
 from snapfeed.llm import langid, lattice, lines, simhash
-from snapfeed.llm.common import fresh_path, prepare, table
+from snapfeed.llm.common import fresh_path, numbered, prepare, table
 from snapfeed.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -36,18 +36,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops repeated lines (Jaccard similarity 0.8) and the documents of which nothing is left; a document that had no line
     before is kept.  ``n_chars`` becomes the new text's length."""
-    found = lines.dedup(docs.select(*COLUMNS), least=0.8, counts=("_lines", "_kept"))
+    found = lines.dedup(numbered(docs.select(*COLUMNS), "_row"), least=0.8, counts=("_lines", "_kept"), row="_row")
     return (found.where((F.col("_kept") > 0) | (F.col("_lines") == 0)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-duplicates (4-word shingles, 4 bits): the document with the smallest id of each group stays."""
-    return simhash.keep_one(docs.select(*COLUMNS), k=4, max_bits=4)
+    """SimHash near-duplicates (4-word shingles, 4 bits): the document with the smallest id of each group stays, null ids last."""
+    return simhash.keep_row(docs.select(*COLUMNS), k=4, max_bits=4)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents with a passage of 0.8 weighted similarity (five-word shingles) to a benchmark item."""
-    return decontamination.clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark", "item_id", "text"), least=0.8)
+    return decontamination.keep(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark", "item_id", "text"), least=0.8)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

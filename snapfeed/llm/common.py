@@ -56,6 +56,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number ``name`` of its own for every row, written so that each read sees the same numbers."""
+    return stored(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """One input table by its path, reading only ``columns``."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

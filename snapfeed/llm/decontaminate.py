@@ -379,10 +379,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: i
     Null and word-less texts or items match nothing; keys and item ids may be null or repeated (each row counts);
     an empty table on either side gives no rows.  The items are broadcast in blocks of at most about
     ``BLOCK_ITEMS`` items or ``BLOCK_BYTES``, one pass over the documents for each."""
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     items = benchmark.select(F.col(item_key).alias("item"), F.col(item_text).alias("text")).where("text is not null")
-    size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
-    passes = max(1, -(-size["n"] // BLOCK_ITEMS), -(-size["bytes"] // BLOCK_BYTES))
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     key_kind, item_kind = docs.schema[key].dataType, benchmark.schema[item_key].dataType
     key_type, item_type = to_arrow_type(key_kind), to_arrow_type(item_kind)
@@ -401,13 +399,42 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: i
         return rows.mapInArrow(run, f"key {key_kind.simpleString()}, item {item_kind.simpleString()}, similarity double, first_word long")
 
     out = None
-    for p in range(passes):
-        some = items.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == p).collect()
-        found = one(spark.sparkContext.broadcast(build_index([(r["item"], r["text"]) for r in some], radius, least)))
+    for index in _indexes(items, least, radius):
+        found = one(index)
         out = found if out is None else out.unionAll(found)
     return out
 
 
+def _indexes(items: DataFrame, least: float, radius: int) -> Iterator:
+    """Broadcast indexes of (item, text) rows, in blocks."""
+    size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    passes = max(1, -(-size["n"] // BLOCK_ITEMS), -(-size["bytes"] // BLOCK_BYTES))
+    for p in range(passes):
+        some = items.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == p).collect()
+        yield items.sparkSession.sparkContext.broadcast(build_index([(r["item"], r["text"]) for r in some], radius, least))
+
+
+def keep(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: int = 7, text: str = "text", item_text: str = "text",
+         item_key: str = "item_id") -> DataFrame:
+    """The rows of ``docs`` without a match.  Rows pass through their tasks whole, so neither keys nor other columns matter; a
+    further block of items sees what the former kept."""
+    prepare(docs.sparkSession)
+    place = docs.columns.index(text)
+
+    def one(docs, index):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                gone = {t for t, *_ in find(b.column(place).to_pylist(), index.value, least)}
+                if len(gone) < b.num_rows:
+                    yield b.take(pa.array([i for i in range(b.num_rows) if i not in gone], pa.int32()))
+            release()
+        return docs.mapInArrow(run, docs.schema)
+
+    for index in _indexes(benchmark.select(F.col(item_key).alias("item"), F.col(item_text).alias("text")).where("text is not null"), least, radius):
+        docs = one(docs, index)
+    return docs
+
+
 def judge(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """(key, contaminated boolean, n_items bigint, items string, similarity double) for every row of ``docs``: the items
     found (distinct ids in order, comma-joined) and the largest similarity (null without a match).  Rows with equal

@@ -103,16 +103,16 @@ def _split(text: str | None) -> list[tuple[int, str]]:
 
 
 def first_lines(rows: DataFrame) -> DataFrame:
-    """(did, thash, text) -> each different line once: h1, h2, the first (did, thash, line) and its bands."""
+    """(did, thash, row, text) -> each different line once: h1, h2, the first (did, thash, row, line) and its bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            held: dict[bytes, tuple[int, int, int]] = {}
+            held: dict[bytes, tuple[int, int, int, int]] = {}
             text_of: dict[bytes, str] = {}
-            for did, thash, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for did, thash, row, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 own = _split(text)
                 for (i, line), d in zip(own, _digests([x for _, x in own]), strict=True):
-                    at = (did, thash, i)
+                    at = (did, thash, row, i)
                     if d not in held:
                         held[d], text_of[d] = at, line
                     elif at < held[d]:
@@ -122,10 +122,10 @@ def first_lines(rows: DataFrame) -> DataFrame:
                 keys = band_keys(list(text_of.values()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[:, 0]), pa.array(h[:, 1]), *(pa.array(w, pa.int64()) for w in where), pa.array([k.tobytes() for k in keys], pa.binary())],
-                    names=["h1", "h2", "did", "thash", "line", "bands"])
+                    names=["h1", "h2", "did", "thash", "row", "line", "bands"])
 
-    found = rows.mapInArrow(run, "h1 long, h2 long, did long, thash long, line long, bands binary")
-    return (found.groupBy("h1", "h2").agg(F.min(F.struct("did", "thash", "line")).alias("at"), F.first("bands").alias("bands"))
+    found = rows.mapInArrow(run, "h1 long, h2 long, did long, thash long, row long, line long, bands binary")
+    return (found.groupBy("h1", "h2").agg(F.min(F.struct("did", "thash", "row", "line")).alias("at"), F.first("bands").alias("bands"))
             .select("h1", "h2", "at", "bands"))
 
 
@@ -316,24 +316,27 @@ def links(lines: DataFrame, rows: DataFrame, least: float) -> DataFrame:
     return members.select("part", "run", "id", "text").repartition(n, "part").sortWithinPartitions("part", "run", "id").mapInArrow(verify, "a long, b long")
 
 
-def dedup(docs: DataFrame, least: float = 0.8, text: str = "text", key: str = "doc_id", counts: tuple[str, str] | None = None) -> DataFrame:
+def dedup(docs: DataFrame, least: float = 0.8, text: str = "text", key: str = "doc_id", counts: tuple[str, str] | None = None, row: str | None = None) -> DataFrame:
     """``docs`` with the text without the lines that repeat an earlier one of any document, in order of (key, line); with
     ``counts`` also two columns of these names: lines that are not blank, and lines kept.
 
     A document that keeps all its lines is unchanged; one that loses lines is rebuilt from those it keeps, without its blank
     lines; one that loses all has an empty text.  Blank lines match nothing; null, empty and blank texts are unchanged.  The key is
     an integer; null keys come first.  Rows with equal keys are ordered by a hash of their text, and rows equal in both keep the
-    same lines.  Other columns are carried along, whatever their names."""
+    same lines, unless ``row`` names a column of different numbers: then the one with the smallest number keeps them.  Other columns
+    are carried along, whatever their names."""
     prepare(docs.sparkSession)
     did, thash = F.coalesce(F.col(key).cast("long"), F.lit(LEAST)), F.xxhash64(F.col(text))
-    rows = docs.select(did.alias("did"), thash.alias("thash"), F.col(text).alias("text"))
+    number = F.col(row) if row else F.lit(0).cast("long")
+    rows = docs.select(did.alias("did"), thash.alias("thash"), number.alias("row"), F.col(text).alias("text"))
     lines = checkpoint(first_lines(rows).withColumn("id", F.monotonically_increasing_id()))
     roots = components(links(lines, rows, least)).select(F.col("node").alias("id"), "root")
     found = lines.select("id", "at").join(roots, "id", "left")
     kept = found.where("root is null").select("at").union(found.where("root is not null").groupBy("root").agg(F.min("at").alias("at")).select("at"))
-    d, t, of, hashed, stay = unused(docs, "_did", "_thash", "_of", "_of_hash", "_stay")
-    numbers = kept.groupBy(F.col("at.did").alias(of), F.col("at.thash").alias(hashed)).agg(F.array_sort(F.collect_list(F.col("at.line").cast("int"))).alias(stay))
-    joined = docs.withColumn(d, did).withColumn(t, thash).join(numbers, (F.col(d) == F.col(of)) & (F.col(t) == F.col(hashed)), "left")
+    d, t, r, of, hashed, owner, stay = unused(docs, "_did", "_thash", "_row", "_of", "_of_hash", "_of_row", "_stay")
+    numbers = kept.groupBy(F.col("at.did").alias(of), F.col("at.thash").alias(hashed), F.col("at.row").alias(owner)).agg(F.array_sort(F.collect_list(F.col("at.line").cast("int"))).alias(stay))
+    joined = docs.withColumn(d, did).withColumn(t, thash).withColumn(r, number).join(
+        numbers, (F.col(d) == F.col(of)) & (F.col(t) == F.col(hashed)) & (F.col(r) == F.col(owner)), "left")
     parts = F.split(F.col(text), "\n", -1)
     keep = F.coalesce(stay, F.array().cast("array<int>"))
     # lines by their ends alone: if as many are kept, none is blank and none is lost

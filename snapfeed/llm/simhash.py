@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, heavy_keys, mix64, partitions, prepare, release, runs_of, unused, word_chunks
+from .common import checkpoint, heavy_keys, mix64, numbered, partitions, prepare, release, runs_of, unused, word_chunks
 from .graph import components
 
 SEED = 42
@@ -247,3 +247,18 @@ def keep_one(docs: DataFrame, k: int = 4, max_bits: int = 4, text: str = "text",
     (name,) = unused(docs, "_drop")
     drop = checkpoint(found.where(F.col("key") != F.col("component")).select(F.col("key").alias(name)).distinct())
     return docs.join(drop, F.col(key) == F.col(name), "left_anti")
+
+
+def keep_row(docs: DataFrame, k: int = 4, max_bits: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of each group of near-duplicates in ``docs``: that with the smallest key, null last; of equal keys that with the
+    smallest hash of its text, then the first.  Rows are told apart by a number, so keys may be null or repeated."""
+    (row,) = unused(docs, "_row")
+    own = numbered(docs, row)
+    found = near_duplicates(own, k, max_bits, text, row).select("key", "component")
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.xxhash64(text).alias("hash"), F.col(row).alias("row"))
+    named = checkpoint(found.join(own.select(order.alias("order")), F.col("key") == F.col("order.row")).select("component", "order"))
+    stay = named.groupBy("component").agg(F.min("order").alias("order")).select(F.col("order.row").alias("stay"))
+    drop = checkpoint(named.select(F.col("order.row").alias("_drop")).join(stay, F.col("_drop") == F.col("stay"), "left_anti"))
+    name = unused(own, "_drop")[0]
+    drop = drop.withColumnRenamed("_drop", name)
+    return own.join(drop, F.col(row) == F.col(name), "left_anti").select(docs.columns)

@@ -72,3 +72,20 @@ def test_registered():
     assert "pipeline" in names
     assert [n for n in range(1, 11) if any(x.startswith(f"op{n}_") for x in names)] == list(range(1, 11))
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_rows_not_ids(spark, docs):
+    """Null and repeated ids: each row is judged for itself."""
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(None, f"x {item} y"), (None, "nothing of the kind"), (4, f"{item} z"), (4, "clean words only")]
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {r.text for r in pipeline.decontamination.keep(docs(rows), benchmark).collect()} == {"nothing of the kind", "clean words only"}
+
+    same = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    other = "some quite different words stand in this text and nowhere else"
+    rows = [(None, same), (2, same), (2, same), (3, same), (None, other), (3, "unique words whose id a dropped copy has as well")]
+    left = sorted((str(r.doc_id), r.text) for r in pipeline.near_dedup(spark, docs(rows), SF).collect())
+    assert left == sorted([("2", same), ("None", other), ("3", rows[-1][1])])
+    twice = [(None, "a line\nmore"), (None, "a line\nmore"), (5, "own line"), (5, "own line"), (6, "a line\nnew")]
+    left = sorted((str(r.doc_id), r.text) for r in pipeline.line_dedup(spark, docs(twice), SF).collect())
+    assert left == [("5", "own line"), ("6", "new"), ("None", "a line\nmore")]
