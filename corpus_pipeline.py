@@ -51,8 +51,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, sample, ids, log_p, value, log_inclusion, round_trip) of up to two segmentations of each text; each is decoded
-    again and compared with the text."""
+    """(doc_id, sample, ids, log_p, value, log_inclusion, decoded, round_trip) of up to two segmentations of each text; each is decoded
+    again, and ``round_trip`` says whether that is the text."""
     return lattice.encode(docs, tokenizer_path("piece_bpe_32k.model"), k=2, verify=True).withColumnRenamed("key", "doc_id")
 
 

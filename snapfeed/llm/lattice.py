@@ -39,6 +39,7 @@ from .common import mix64, prepare, release
 SPACE = "▁"
 #: Characters of the texts taken up at once (a single text may be longer).
 CHARS = 1_000_000
+BATCH = 1 << 20  # ids and characters of one batch of results
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 PRIME = np.uint64(0x100000001B3)
 
@@ -432,7 +433,8 @@ def encode(docs: DataFrame, path: str, k: int = 2, seed: int = 0, alpha: float =
     Null and empty texts have the one empty segmentation (log_p 0, log_inclusion 0); a text with fewer than k
     segmentations has one row for each.  Equal keys with equal texts get equal samples; null keys share one seed.  The model is
     read on the driver and broadcast (a few MB, by its number of pieces); other columns are not read.  ``verify`` decodes
-    every sample again and adds ``round_trip`` boolean: whether that gives the text (null texts count as empty)."""
+    every sample again and adds ``decoded`` string, the text its ids spell, and ``round_trip`` boolean: whether that is the
+    text (null texts count as empty)."""
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast(load(path, alpha))
     key_type = to_arrow_type(docs.schema[key].dataType)
@@ -445,22 +447,25 @@ def encode(docs: DataFrame, path: str, k: int = 2, seed: int = 0, alpha: float =
             found = sample(texts, seeds, k, m, sp)
             rows = [(key, j + 1, *r, i) for i, (key, own) in enumerate(zip(keys, found, strict=True)) for j, r in enumerate(own)]
             del found
-            for at in range(0, len(rows), 512):
-                some = rows[at: at + 512]
+            # so many rows that their ids and decoded texts stay small
+            upto = np.cumsum([len(r[2]) + len(texts[r[-1]]) * verify for r in rows])
+            cuts = np.unique(np.append(np.arange(0, len(rows), 512), np.searchsorted(upto, np.arange(BATCH, upto[-1], BATCH)))).tolist()
+            for at, end in zip(cuts, [*cuts[1:], len(rows)], strict=True):
+                some = rows[at:end]
                 lens = np.array([len(r[2]) for r in some], np.int64)
                 ids = np.concatenate([r[2] for r in some])
-                checked = [sp.decode(r[2].tolist(), num_threads=1) == texts[r[-1]] if len(r[2]) else not texts[r[-1]] for r in some] if verify else []
+                decoded = [sp.decode(r[2].tolist(), num_threads=1) if len(r[2]) else "" for r in some] if verify else []
                 yield pa.RecordBatch.from_arrays([
                     pa.array([r[0] for r in some], key_type), pa.array([r[1] for r in some], pa.int32()),
                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lens)).astype(np.int32)), pa.array(ids)),
-                    *(pa.array([r[c] for r in some], pa.float64()) for c in (3, 4, 5)), *[pa.array(checked, pa.bool_())] * verify],
-                    names=["key", "sample", "ids", "log_p", "value", "log_inclusion", *["round_trip"] * verify])
+                    *(pa.array([r[c] for r in some], pa.float64()) for c in (3, 4, 5)), *([pa.array(decoded, pa.string()), pa.array([t == texts[r[-1]] for t, r in zip(decoded, some, strict=True)], pa.bool_())] if verify else [])],
+                    names=["key", "sample", "ids", "log_p", "value", "log_inclusion", *["decoded", "round_trip"] * verify])
             del rows
             release()
 
     kind = docs.schema[key].dataType.simpleString()
     return (docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-            .mapInArrow(run, f"key {kind}, sample int, ids array<int>, log_p double, value double, log_inclusion double" + ", round_trip boolean" * verify))
+            .mapInArrow(run, f"key {kind}, sample int, ids array<int>, log_p double, value double, log_inclusion double" + ", decoded string, round_trip boolean" * verify))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:

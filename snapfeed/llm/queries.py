@@ -94,10 +94,10 @@ def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two segmentations of each of ``documents``, sampled without replacement, as piece ids."""
+    """Two segmentations of each of ``documents``, sampled without replacement, as piece ids, and the text each decodes to."""
     docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
     path = tokenizer_path("piece_bpe_32k.model")
-    return lattice.encode(docs, path, k=2).withColumnRenamed("key", "doc_id")
+    return lattice.encode(docs, path, k=2, verify=True).withColumnRenamed("key", "doc_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

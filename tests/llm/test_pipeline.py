@@ -1,7 +1,7 @@
 """The pipeline's stages, each against brute force on what its predecessor kept."""
 
 import corpus_pipeline as pipeline
-from snapfeed.llm import langid
+from snapfeed.llm import langid, queries
 from snapfeed.llm.common import fresh_path
 
 from . import test_decontaminate, test_lines, test_simhash
@@ -89,3 +89,14 @@ def test_rows_not_ids(spark, docs):
     twice = [(None, "a line\nmore"), (None, "a line\nmore"), (5, "own line"), (5, "own line"), (6, "a line\nnew")]
     left = sorted((str(r.doc_id), r.text) for r in pipeline.line_dedup(spark, docs(twice), SF).collect())
     assert left == [("5", "own line"), ("6", "new"), ("None", "a line\nmore")]
+
+
+def test_decoded(spark, docs):
+    """The last stage and op10 return the decoded texts, and every round trip holds."""
+    before = texts(spark.read.parquet(f"{SF}/documents.parquet"))
+    for rows in (queries.op10_sentencepiece(spark, SF).collect(), pipeline.tokenise(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF).collect()):
+        assert {r.doc_id for r in rows} == set(before)
+        assert all(r.round_trip and r.decoded == (before[r.doc_id] or "") for r in rows)
+    odd = [(1, None), (2, ""), (3, "é🙂 \n x"), (4, "long words " * 200_000)]
+    rows = pipeline.tokenise(spark, docs(odd), SF).collect()
+    assert {r.doc_id for r in rows} == {1, 2, 3, 4} and all(r.decoded == (dict(odd)[r.doc_id] or "") for r in rows)
