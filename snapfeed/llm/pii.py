@@ -5,7 +5,8 @@ what they disclose: with P over the corpus' documents, an entity e has the infor
 IC(e) = -log2 P(e), and a term t reveals PMI(t; e) = log2 (P(e | t) / P(e)) of it, where P(e | t) is the share
 of the documents with t that have t within a few words of e.  A term that reveals a larger share of IC(e) than a
 threshold, seen beside e in enough documents, is sanitised beside e: numbers are generalised to their
-shape, other terms removed.
+shape, other terms removed.  Without a reach, P(e | t) is the share of the documents with t that have e anywhere, and a term
+that discloses any entity is sanitised wherever it stands, also in documents without the entity.
 
 Document frequencies are counted exactly, over all documents, of the terms that can matter: those that disclose
 enough by a lower bound of their frequency.  A bitmap of fixed size lets few others through the counting pass, and
@@ -40,6 +41,7 @@ DIGIT = re.compile(r"[0-9]")
 WORD = re.compile("[0-9A-Za-z_\x80-\U0010ffff]+")
 
 Span = tuple[str, int, int]
+PAIRS = 1 << 19  # pairs of terms and entities counted at once
 
 
 def emails(text: str) -> list[Span]:
@@ -110,10 +112,71 @@ def _joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
-def find(docs: DataFrame, threshold: float = 0.8, least_docs: int = 2, reach: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
+def _words(text: str, spans: list[Span]) -> list[tuple[int, int, int]]:
+    """(number, start, end) of the words outside of base spans."""
+    out, at, covered = [], 0, sorted((s, e) for _, s, e in spans)
+    upto = 0  # furthest end of the spans that start before the word's end
+    for i, m in enumerate(WORD.finditer(text)):
+        while at < len(covered) and covered[at][0] < m.end():
+            upto = max(upto, covered[at][1])
+            at += 1
+        if upto <= m.start():
+            out.append((i, m.start(), m.end()))
+    return out
+
+
+def _together(rows: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
+    """(entity, n_entity) and (term, entity, both): documents with an entity, and with a term and an entity; of both only what
+    is in ``least_docs`` documents or more.  Counts are summed up within batches first."""
+    spark = rows.sparkSession
+
+    def entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [x for t in b.column(0).to_pylist() if t for x in {entity(k, t[s:e]) for k, s, e in detect(t)}]
+            if own:
+                found, n = np.unique(np.array(own, np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["entity", "n"])
+
+    texts = rows.select("text")
+    of_entity = checkpoint(texts.mapInArrow(entities, "entity long, n long").groupBy("entity").agg(F.sum("n").alias("n_entity"))
+                           .where(F.col("n_entity") >= least_docs))
+    bits = spark.sparkContext.broadcast(bitmap(of_entity, "entity"))
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settle(held: list[np.ndarray]) -> pa.RecordBatch:
+            both, n = np.unique(np.concatenate(held, axis=1), axis=1, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), pa.array(n.astype(np.int64))], names=["term", "entity", "n"])
+
+        for b in batches:
+            held, size = [], 0
+            for t in b.column(0).to_pylist():
+                spans = detect(t) if t else []
+                own = np.array(sorted({entity(k, t[s:e]) for k, s, e in spans}), np.int64)
+                own = own[in_bitmap(bits.value, own.view(np.uint64))]
+                if not len(own):
+                    continue
+                terms = np.unique(hash_words([t[s:e] for _, s, e in _words(t, spans)])[0].view(np.int64))
+                step = max(1, PAIRS // max(1, len(terms)))
+                for at in range(0, len(own), step):
+                    some = own[at: at + step]
+                    held.append(np.stack([np.tile(terms, len(some)), np.repeat(some, len(terms))]))
+                    size += held[-1].shape[1]
+                    if size >= PAIRS:
+                        yield settle(held)
+                        held, size = [], 0
+            if size:
+                yield settle(held)
+
+    beside = (texts.mapInArrow(pairs, "term long, entity long, n long").groupBy("term", "entity").agg(F.sum("n").alias("both"))
+              .where(F.col("both") >= least_docs))
+    return of_entity, beside
+
+
+def find(docs: DataFrame, threshold: float = 0.8, least_docs: int = 2, reach: int | None = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_email, n_ip, n_card, n_phone bigint, base string, base_sha256, terms array<struct<start int, end int>>) for each row: base spans
     as comma-joined ``kind:start:end``, and the spans of the terms that disclose over ``threshold`` of an entity's information
-    content, seen beside it in ``least_docs`` documents or more.
+    content, seen beside it in ``least_docs`` documents or more.  Terms are seen and marked within ``reach`` words of an entity; with a ``reach`` of
+    None they are counted over whole documents and marked in every document.
 
     Null and empty texts have no spans.  Keys may be null or repeated: every row is a document of its own.  An entity that
     is in all documents has no information content, and nothing discloses it.  Other columns are not read."""
@@ -122,14 +185,22 @@ def find(docs: DataFrame, threshold: float = 0.8, least_docs: int = 2, reach: in
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     context_type = pa.list_(pa.struct([("term", pa.int64()), ("entity", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
 
-    def base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def base(batches: Iterator[pa.RecordBatch], bits=None) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out, near = [], []
-            for t in b.column(1).to_pylist():
+            texts = b.column(1).to_pylist()
+            if bits:  # the words that may disclose, by their number in the text
+                words, ends = hash_words(texts)
+                hits = np.split(in_bitmap(bits.value, words), ends[:-1]) if texts else []
+                hits = [set(np.flatnonzero(x).tolist()) for x in hits]
+            for i, t in enumerate(texts):
                 spans = detect(t) if t else []
                 joined = _joined(spans)
                 out.append((*(sum(s[0] == k for s in spans) for k in KINDS), joined, hashlib.sha256(joined.encode()).hexdigest()))
-                near.append(contexts(t, spans, reach) if spans else [])
+                if bits:
+                    near.append([(t[s:e], 0, s, e) for n, s, e in _words(t, spans) if n in hits[i]] if hits[i] else [])
+                else:
+                    near.append(contexts(t, spans, reach) if spans else [])
             terms = hash_words([w for own in near for w, *_ in own])[0].view(np.int64).tolist()
             it = iter(terms)
             near = [[{"term": next(it), "entity": e, "start": s, "end": z} for _, e, s, z in own] for own in near]
@@ -139,14 +210,21 @@ def find(docs: DataFrame, threshold: float = 0.8, least_docs: int = 2, reach: in
                                              names=["key", *(f"n_{k}" for k in KINDS), "base", "base_sha256", "near"])
 
     kind = docs.schema[key].dataType.simpleString()
-    found = checkpoint(rows.mapInArrow(base, f"key {kind}, n_email long, n_ip long, n_card long, n_phone long, base string, base_sha256 string, "
-                                             "near array<struct<term: long, entity: long, start: int, end: int>>")
-                       .withColumn("row", F.monotonically_increasing_id()))
-    near = found.select("row", F.inline("near"))
-    total = found.count()
-    beside = (near.select("row", "term", "entity").distinct().groupBy("term", "entity").agg(F.count(F.lit(1)).alias("both"))
-              .where(F.col("both") >= least_docs))
-    of_entity = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    def detected(bits=None) -> DataFrame:
+        return checkpoint(rows.mapInArrow(lambda batches: base(batches, bits), f"key {kind}, n_email long, n_ip long, n_card long, n_phone long, base string, base_sha256 string, "
+                                          "near array<struct<term: long, entity: long, start: int, end: int>>")
+                          .withColumn("row", F.monotonically_increasing_id()))
+
+    if reach is None:
+        total = rows.count()
+        of_entity, beside = _together(rows, least_docs)
+    else:
+        found = detected()
+        near = found.select("row", F.inline("near"))
+        total = found.count()
+        beside = (near.select("row", "term", "entity").distinct().groupBy("term", "entity").agg(F.count(F.lit(1)).alias("both"))
+                  .where(F.col("both") >= least_docs))
+        of_entity = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     content = -F.log2(F.col("n_entity") / F.lit(total))
     disclosed = (F.log2(F.col("both") / F.greatest("n_term", "both")) + F.col("content")) / F.col("content")
     pairs = beside.join(of_entity, "entity").withColumn("content", content).where("content > 0")
@@ -172,7 +250,11 @@ def find(docs: DataFrame, threshold: float = 0.8, least_docs: int = 2, reach: in
     some = rows.where(F.pmod(F.xxhash64(F.lit(3), F.col("text")), F.lit(16)) == 0)
     pairs = checkpoint(counted(checkpoint(pairs), some).where(disclosed > threshold).drop("n_term"))
     pairs = checkpoint(counted(pairs, rows).where(disclosed > threshold).select("term", "entity"))
-    spans = (near.join(pairs, ["term", "entity"]).select("row", "start", "end").distinct()
+    if reach is None:
+        pairs = checkpoint(pairs.select("term").distinct())
+        found = detected(spark.sparkContext.broadcast(bitmap(pairs, "term")))
+        near = found.select("row", F.inline("near"))
+    spans = (near.join(pairs, pairs.columns).select("row", "start", "end").distinct()
              .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms")))
     none = F.array().cast("array<struct<start:int,end:int>>")
     return (found.drop("near").join(spans, "row", "left").withColumn("terms", F.coalesce("terms", none)).drop("row"))

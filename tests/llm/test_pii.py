@@ -126,3 +126,37 @@ def test_cases(docs):
     assert sorted(r.base for r in got) == sorted(",".join(f"{k}:{s}:{e}" for k, s, e in plain(t or "")) for _, t in rows)
     assert pii.sanitise(docs(rows[:4])).columns == docs(rows).columns
     assert pii.find(docs([])).count() == 0
+
+
+def test_whole_documents(docs):
+    """Without a reach: terms far from the entity count, and are marked in every document; by a loop."""
+    rng = random.Random(8)
+    common = ["the", "a", "of", "and", "to", "in", "word", "other", "more"]
+    rows = [(i, " ".join(rng.choices(common, k=20))) for i in range(300)]
+    for i in range(0, 60, 10):
+        rows[i] = (i, f"Mallory {rows[i][1]} mallory@example.org x@y.zz" if i else f"Mallory {rows[i][1]} mallory@example.org")
+    rows[7] = (None, "here MALLORY alone, no address")
+    rows += [(300, None), (301, ""), (302, "card 4111 1111 1111 1111 zebra"), (None, "zebra and 4111111111111111"), (303, "one@two.three single")]
+    entities, words_of = defaultdict(set), defaultdict(set)
+    free = {}
+    for i, (_, t) in enumerate(rows):
+        spans = plain(t or "")
+        for kind, s, e in spans:
+            entities[kind, t[s:e].lower() if kind == "email" else re.sub("[^0-9]", "", t[s:e])].add(i)
+        words = [(m.start(), m.end(), m.group().lower()) for m in re.finditer("[0-9A-Za-z_\x80-\U0010ffff]+", t or "")]
+        for *_, w in words:
+            words_of[w].add(i)
+        free[i] = [w for w in words if not any(w[0] < e and s < w[1] for _, s, e in spans)]
+    telling = set()
+    for at in entities.values():
+        content = -math.log2(len(at) / len(rows))
+        for w in {w for i in at for *_, w in free[i]}:
+            both = sum(any(x == w for *_, x in free[i]) for i in at)
+            if both >= 2 and (math.log2(both / len(words_of[w])) + content) / content > 0.8:
+                telling.add(w)
+    assert {"mallory", "zebra"} <= telling and not telling & set(common)
+    expected = sorted((str(k), [(a, b) for a, b, w in free[i] if w in telling]) for i, (k, _) in enumerate(rows))
+    assert sorted((str(r.key), [(x.start, x.end) for x in r.terms]) for r in pii.find(docs(rows), reach=None).collect()) == expected
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs([r for r in rows if r[0] is not None] + [(999, rows[7][1])]), reach=None).collect()}
+    assert "allory" not in clean[10] and clean[999] == "here  alone, no address"
+    assert pii.find(docs([]), reach=None).count() == 0
