@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hosts, langid, lattice, lines, merkle, pii, simhash, tokencount, warc
+from . import decontaminate, hosts, langid, lattice, lines, merkle, pii, quality, simhash, tokencount, warc
 from .common import fresh_path, prepare, table
 
 
@@ -101,6 +101,15 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.encode(docs, path, k=2, verify=True).withColumnRenamed("key", "doc_id")
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` by the base rules and by trees grown on the labelled ones (20,000 at most): kept from a score of 0.5 on."""
+    docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    forest = quality.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"), most=20_000)
+    return quality.judge(docs, forest, least=0.5).select(
+        F.col("key").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("score", 4).alias("score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_hosts": op2_hosts,
@@ -112,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_merkle": op9_merkle,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_quality": op11_quality,
 }
 
 def _level(name: str, members: str) -> str:
