@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hosts, langid, lattice, lines, merkle, pii, quality, simhash, tokencount, warc
+from . import audit, decontaminate, hosts, langid, lattice, lines, merkle, pii, quality, simhash, tokencount, variants, warc
 from .common import fresh_path, prepare, table
 
 
@@ -110,6 +110,18 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("score", 4).alias("score"))
 
 
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters of ``documents`` in all orders: what each step removes, by language."""
+    docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text", "lang")
+    return audit.audit(audit.masks(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents`` with at least 7 letters and 2 occurrences, their near words, forms and roots."""
+    docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    return variants.group(variants.vocabulary(docs), times=10).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_hosts": op2_hosts,
@@ -122,6 +134,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_merkle": op9_merkle,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_quality": op11_quality,
+    "op12_audit": op12_audit,
+    "op13_variants": op13_variants,
 }
 
 def _level(name: str, members: str) -> str:
@@ -173,11 +187,36 @@ ordered AS (
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN turn = 1 THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN turn > 1 THEN of END AS refers_to FROM ordered"""
 
+_STEPS = ", ".join(f"('{order}', {step}, {bit}, {before})" for order, step, _, bit, before in audit.steps())
+AUDIT_SQL = rf"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+named AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+masked AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         (len(words) < 100)::INT + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::INT
+         + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * coalesce(min(texts.doc_id) OVER (PARTITION BY t) < texts.doc_id, false)::INT AS mask
+  FROM texts LEFT JOIN named ON named.doc_id = texts.doc_id),
+counted AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM masked GROUP BY part, mask),
+steps(filter_order, step, bit, before) AS (VALUES {_STEPS}),
+found AS (
+  SELECT part, filter_order, step::INT AS step, bit, sum(CASE WHEN mask & (bit | before) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN mask & before > 0 AND mask & bit > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN g ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN x ELSE 0 END)::BIGINT AS toxic_lost
+  FROM counted, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM found"""
+
 #: The other operators - fingerprint components, token merges, fitted models, fuzzy groups, trees, lattices - have
 #: no SQL form; the tests hold them against brute force.
 SQL: dict[str, str] = {
     "op2_hosts": _hosts_sql(),
     "op8_warc": WARC_SQL,
+    "op12_audit": AUDIT_SQL,
 }
 
 
