@@ -6,7 +6,7 @@
 * ST-2 ``publish_once``: one item per id while the id is inside the watermark
   (``dropDuplicatesWithinWatermark``); state is bounded by the watermark delay.
 * ST-3 ``trailing_popularity``: sliding 7-day windows per key with a watermark; state is
-  bounded by window length + delay.
+  bounded by window length + delay.  Counts of open windows are kept current in a ``MergeSink``.
 
 Sinks and checkpoints live under the session's ``spark.checkpoint.dir`` (a shared folder
 on a cluster), so a restarted driver or lost executor resumes from the checkpoint.
@@ -17,8 +17,12 @@ from __future__ import annotations
 import os
 import uuid
 
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import checkpoint_dir
 
@@ -76,3 +80,72 @@ def trailing_popularity(events: DataFrame, key: str, ts_col: str, delay: str = "
             .groupBy(F.window(ts_col, length, slide).alias("w"), F.col(key))
             .agg(F.count(F.lit(1)).alias("n"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "n"))
+
+
+MARK = StructType([StructField("upto", LongType())])
+
+
+@dataclass(frozen=True)
+class MergeSink:
+    """A table of rows by key into which the micro-batches of an update-mode stream are merged.
+
+    Each batch is written as a folder of its own, named by its batch id, so a batch that is written again after a
+    failure replaces itself.  ``read`` takes each key's row from the newest batch that has one.  ``compact`` merges
+    all batches up to one into a base; a base counts once its mark is written, so a lost compaction leaves what was before."""
+
+    path: str
+    keys: tuple[str, ...]
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch", F.lit(int(batch_id)).cast("long")).write.mode("overwrite").parquet(f"{self.path}/batches/id={int(batch_id):012d}")
+
+    def base(self, spark: SparkSession) -> int:
+        """The last batch in the newest base; -1 without any."""
+        marks = _table(spark, f"{self.path}/marks", MARK)
+        return marks.agg(F.coalesce(F.max("upto"), F.lit(-1)).alias("n")).first()["n"]
+
+    def read(self, spark: SparkSession, schema: StructType, upto: int | None = None) -> DataFrame:
+        """The newest row of each key, in the columns of ``schema``, after all batches or after batch ``upto``.  One combining
+        aggregate: a key ships one row a task."""
+        full = StructType([*schema.fields, StructField("_batch", LongType())])
+        base = self.base(spark)
+        rows = _table(spark, f"{self.path}/batches", StructType([*full.fields, StructField("id", LongType())]))
+        rows = rows.where(F.col("id") > base) if upto is None else rows.where(F.col("id").between(base + 1, upto))  # prunes folders
+        rows = rows.drop("id")
+        if base >= 0:
+            rows = rows.unionByName(spark.read.schema(full).parquet(f"{self.path}/bases/upto={base:012d}"))
+        others = [f.name for f in schema.fields if f.name not in self.keys]
+        newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*others), "_batch").alias("_row"))
+        return newest.select(*[F.col(f.name) if f.name in self.keys else F.col(f"_row.{f.name}").alias(f.name) for f in schema.fields])
+
+    def compact(self, spark: SparkSession, schema: StructType, upto: int) -> None:
+        """Merge the base and the batches up to ``upto``, all of which have been written, into a new base.  The folders of
+        the merged batches are no longer read."""
+        if upto > self.base(spark):
+            merged = self.read(spark, schema, upto).withColumn("_batch", F.lit(upto).cast("long"))
+            merged.write.mode("overwrite").parquet(f"{self.path}/bases/upto={upto:012d}")
+            spark.createDataFrame([(upto,)], StructType([StructField("n", LongType())])).write.mode("overwrite").parquet(f"{self.path}/marks/upto={upto:012d}")
+
+
+def _table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table in a folder; without rows where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def run_merged(df: DataFrame, sink: MergeSink, checkpoint: str, compact_every: int = 50) -> None:
+    """Merge everything available now into ``sink`` by its keys, in update mode: rows that changed are written again.
+    Restarted with the same checkpoint, it goes on where it was."""
+    schema = df.schema
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        sink.write(batch, batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            sink.compact(batch.sparkSession, schema, batch_id)
+
+    q = (df.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
