@@ -50,3 +50,30 @@ def test_carry_forward_has_one_native_plan(spark):
     df = spark.createDataFrame([(1, 1, 1, "a")], "id long, k long, t long, v string")
     plan = carry_forward(df, "k", ["t", "id"], "v", "got")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_number_rows_and_concat(spark):
+    """Numbers and joined texts of a hot key come from several ranges."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from snapfeed.operators.sequence import number_rows, ordered_concat
+    rng = random.Random(2)
+    rows = [(rng.choice(["hot", "hot", "hot", "b", "c", None]), i, rng.choice([None, f"v{i}", "x"])) for i in range(3000)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, o long, v string")
+    expected, texts = {}, {}
+    for k, o, v in sorted(rows, key=lambda r: r[1]):
+        n, parts = texts.setdefault(k, [0, []])
+        expected[k, o] = n
+        texts[k][0] += 1
+        if v is not None:
+            parts.append(v)
+    found = number_rows(df, "k", ["o"], "n", num_partitions=7)
+    assert {(r["k"], r["o"]): r["n"] for r in found.collect()} == expected
+    got = ordered_concat(df, "k", ["o"], "v", "|", "t", num_partitions=7)
+    assert {r["k"]: (r["n"], r["t"]) for r in got.collect()} == {k: (n, "|".join(p) if p else None) for k, (n, p) in texts.items()}
+    none = ordered_concat(df.withColumn("v", F.lit(None).cast("string")), "k", ["o"], "v", "|", "t")
+    assert {r["t"] for r in none.collect()} == {None}
+    assert number_rows(df.limit(0), "k", ["o"], "n").count() == 0
