@@ -89,30 +89,49 @@ def top_n(df: DataFrame, metric: str, id_col: str, n: int) -> DataFrame:
     return df.orderBy(F.col(metric).desc_nulls_last(), F.col(id_col).asc()).limit(clamp_limit(n))
 
 
-# Copies of a feed over all categories; each meets one part of the items.
-OPEN_PARTS = 64
-
-
 def top_k_for_feeds(items: DataFrame, feeds: DataFrame, category: str, ts: str, as_of: Column, metrics: dict, id_col: str) -> DataFrame:
     """The parameter sets of many feeds at once (F-8, F-9, T-1..T-4): ``feeds`` has feed_id, category (null or '':
     all), days (null: all time), ordering (unknown: the first metric) and limit (clamped).  Gives
     (feed_id, rank, id) of each feed's items.
 
-    Items meet feeds by category; feeds over all categories, as a query set, meet all items in parts.  A
-    partial limit of the largest clamp runs before the shuffle by feed, so a hot category ships
-    at most that many rows a task."""
-    feeds = feeds.withColumn("_limit", clamp_limit_col("limit")).withColumn("_all", F.col("category").isNull() | (F.col("category") == ""))
-    own = items.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(OPEN_PARTS)).cast("int"))
-    cols = ["feed_id", "days", "ordering", "_limit"]
-    by_category = own.join(feeds.where("NOT _all").select(F.col("category").alias("_category"), *cols), F.col(category) == F.col("_category")).drop("_category")
-    parts = feeds.where("_all").select(*cols, F.explode(F.sequence(F.lit(0), F.lit(OPEN_PARTS - 1))).alias("_part"))
-    met = by_category.unionByName(own.join(parts, "_part").select(*by_category.columns))
-    met = met.where(F.col("days").isNull() | (F.col(ts) > as_of - F.make_interval(days=F.col("days"))))
+    Items never meet feeds.  Each item goes once per metric into the run of its category and age: the least of the feeds' ``days``
+    that takes it in.  Of each run the items up to the largest limit stay, by a partial limit before the shuffle.  What a
+    parameter set takes is the best of the runs up to its age; these heads, not the items, meet the distinct parameter sets, and
+    their results the feeds."""
     names = list(metrics)
-    metric = F.coalesce(*[F.when(F.col("ordering") == n, F.col(metrics[n]).cast("double")) for n in names],
-                        F.when(~F.coalesce(F.col("ordering").isin(names), F.lit(False)), F.col(metrics[names[0]]).cast("double")))
-    ranked = top_k_per_group(met.withColumn("_metric", metric), "feed_id", "_metric", id_col, rules.LIMIT_MAX)
-    return ranked.where(F.col("rank") <= F.col("_limit")).select("feed_id", F.col("rank").cast("int").alias("rank"), id_col)
+    feeds = feeds.withColumn("_limit", clamp_limit_col("limit")).withColumn("_category", F.nullif("category", F.lit(""))) \
+        .withColumn("_metric", F.when(F.col("ordering").isin(names), F.col("ordering")).otherwise(names[0]))
+    # the least whole number of days that takes an item in, and the least of the feeds' that is as large
+    age = F.floor((F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col(ts).cast("timestamp"))) / F.lit(86_400_000_000)) + 1
+    runs = items.select(F.col(id_col).alias("_id"), F.col(category).alias("_category"), age.cast("int").alias("_age"),
+                        F.inline(F.array(*[F.struct(F.lit(n).alias("_metric"), F.col(metrics[n]).cast("double").alias("_value")) for n in names])))
+    days = feeds.where("days is not null").select(F.col("days").cast("int").alias("days")).distinct()
+    ages = runs.select("_age").distinct()
+    order = Window.orderBy(F.col("_at").desc(), F.col("_age").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # a table of the distinct ages in days and of the feeds' days, as narrow as a calendar
+    upto = (ages.select(F.col("_age").alias("_at"), "_age", F.lit(None).cast("int").alias("days"))
+            .unionByName(days.select(F.col("days").alias("_at"), F.lit(None).cast("int").alias("_age"), "days")))
+    upto = upto.withColumn("_days", F.last("days", ignorenulls=True).over(order)).where("_age is not null").select(F.col("_age").alias("_of"), "_days")
+    runs = runs.join(upto, F.col("_age") == F.col("_of"), "left")
+    everywhere = F.col("_category").isNull()
+    heads = _heads(runs.where(~everywhere), ["_category", "_metric", "_days"])
+    open_heads = _heads(_heads(runs, ["_category", "_metric", "_days"]).withColumn("_category", F.lit(None).cast("string")), ["_metric", "_days"])
+    sets = feeds.select("_category", "_metric", "days").distinct()
+    within = F.col("days").isNull() | (F.col("_days") <= F.col("days"))
+    met = heads.join(sets.where(~everywhere), ["_category", "_metric"]).where(within)
+    met = met.unionByName(open_heads.drop("_category").join(sets.where(everywhere), ["_metric"]).where(within).select(*met.columns))
+    ranked = _heads(met, ["_category", "_metric", "days"], rank="rank")
+    ranked = ranked.select(F.col("_category").alias("_c"), F.col("_metric").alias("_m"), F.col("days").alias("_d"), "rank", "_id")
+    same = F.col("_category").eqNullSafe(F.col("_c")) & (F.col("_metric") == F.col("_m")) & F.col("days").eqNullSafe(F.col("_d"))
+    found = feeds.join(ranked, same).where(F.col("rank") <= F.col("_limit"))
+    return found.select("feed_id", F.col("rank").cast("int").alias("rank"), F.col("_id").alias(id_col))
+
+
+def _heads(rows: DataFrame, by: list[str], rank: str = "_rank") -> DataFrame:
+    """The rows of each group up to the largest limit, by value, then id."""
+    own = Window.partitionBy(*by).orderBy(F.col("_value").desc_nulls_last(), "_id")
+    out = rows.withColumn(rank, F.row_number().over(own)).where(F.col(rank) <= rules.LIMIT_MAX)
+    return out.drop(rank) if rank == "_rank" else out
 
 
 def top_k_per_group(df: DataFrame, group: str, metric: str, id_col: str, k: int, rank_col: str = "rank") -> DataFrame:

@@ -2,8 +2,8 @@
 
 ``compile_terms`` runs over a whole ``feeds`` table (one spec per row) as column
 expressions.  Matching a single feed uses literal arrays; matching many feeds at once
-(``match_feeds``) joins the items' 3-grams with the terms' rarest ones, verifies what meets and
-reduces the hits to flags per (item, feed).
+(``match_feeds``) joins the 3-grams of the items' text pieces with the terms' rarest ones, verifies what
+meets on the piece and reduces the hits to flags per (item, feed).
 """
 
 from __future__ import annotations
@@ -33,18 +33,28 @@ def _drop_blank(arr: Column, semantics: str) -> Column:
     return F.filter(arr, lambda t: t != "")
 
 
+# The keyword grammar's patterns.
+DOCUMENTED_OVERRIDE = r"(?i)except\s*\(([^)]*)\)"
+DOCUMENTED_OVERRIDE_TERM = r"(\"[^\"]+\"|'[^']+'|[^,]+)"
+DOCUMENTED_TERM = r"(-?\"[^\"]+\"|-?'[^']+'|[^,]+)"
+OBSERVED_QUOTED = r"(-?\"[^\"]+\"|'[^']+')"
+OBSERVED_OVERRIDE = r"except\s\(\s([^)]+)\s*\)"
+OBSERVED_OVERRIDE_TERM = r"(\"[^\"]+\"|'[^']+'|[^,\s]+)"
+OBSERVED_OVERRIDE_LEFT = r"except\s*\([^)]+\)"
+
+
 def compile_terms(spec, semantics: str = DOCUMENTED) -> Column:
     """F-3: ``struct<include array<string>, exclude array<string>, overrides array<array<string>>>``."""
     s = F.coalesce(_c(spec), F.lit(""))
     if check_semantics(semantics) == DOCUMENTED:
-        groups = F.regexp_extract_all(s, F.lit(r"(?i)except\s*\(([^)]*)\)"), 1)
+        groups = F.regexp_extract_all(s, F.lit(DOCUMENTED_OVERRIDE), 1)
         overrides = F.filter(
             F.transform(groups, lambda g: _drop_blank(F.transform(
-                F.regexp_extract_all(g, F.lit(r"(\"[^\"]+\"|'[^']+'|[^,]+)"), 1),
+                F.regexp_extract_all(g, F.lit(DOCUMENTED_OVERRIDE_TERM), 1),
                 lambda t: _lower_trim_quotes(trim_all(t))), DOCUMENTED)),
             lambda a: F.size(a) > 0)
         rest = F.regexp_replace(s, r"(?i)except\s*\([^)]*\)", "")
-        toks = F.transform(F.regexp_extract_all(rest, F.lit(r"(-?\"[^\"]+\"|-?'[^']+'|[^,]+)"), 1), trim_all)
+        toks = F.transform(F.regexp_extract_all(rest, F.lit(DOCUMENTED_TERM), 1), trim_all)
         toks = F.filter(toks, lambda t: t != "")
         inc = F.transform(F.filter(toks, lambda t: ~t.startswith("-")), lambda t: _lower_trim_quotes(t))
         exc = F.transform(F.filter(toks, lambda t: t.startswith("-")),
@@ -54,15 +64,15 @@ def compile_terms(spec, semantics: str = DOCUMENTED) -> Column:
                         overrides.alias("overrides"))
 
     # observed: quoted phrases first (removed with every copy), strict except(), then commas.
-    quoted = F.regexp_extract_all(s, F.lit(r"(-?\"[^\"]+\"|'[^']+')"), 1)
+    quoted = F.regexp_extract_all(s, F.lit(OBSERVED_QUOTED), 1)
     rest = F.aggregate(quoted, s, lambda acc, m: F.replace(acc, m, F.lit("")))
-    groups = F.regexp_extract_all(rest, F.lit(r"except\s\(\s([^)]+)\s*\)"), 1)
+    groups = F.regexp_extract_all(rest, F.lit(OBSERVED_OVERRIDE), 1)
     overrides = F.filter(
         F.transform(groups, lambda g: _drop_blank(F.transform(
-            F.regexp_extract_all(g, F.lit(r"(\"[^\"]+\"|'[^']+'|[^,\s]+)"), 1),
+            F.regexp_extract_all(g, F.lit(OBSERVED_OVERRIDE_TERM), 1),
             _lower_trim_quotes), OBSERVED)),
         lambda a: F.size(a) > 0)
-    rest = F.when(F.size(groups) > 0, F.regexp_replace(rest, r"except\s*\([^)]+\)", "")).otherwise(rest)
+    rest = F.when(F.size(groups) > 0, F.regexp_replace(rest, OBSERVED_OVERRIDE_LEFT, "")).otherwise(rest)
     q = F.transform(quoted, trim_all)
     q_inc = F.transform(F.filter(q, lambda t: ~t.startswith("-")), _lower_trim_quotes)
     q_exc = F.transform(F.filter(q, lambda t: t.startswith("-")), lambda t: _lower_trim_quotes(F.substring(t, 2, 1 << 30)))
@@ -167,8 +177,10 @@ def is_advert(title, page_text, subscription_terms=None, offer_words=None, stron
 # --- F-7 many feeds at once -----------------------------------------------------------------------
 
 GRAM = 3
-# Copies of each feed without include terms; each meets one part of the items.
-OPEN_PARTS = 64
+# Characters of one piece of a text: what meets a term is verified on a piece, never on a whole text.
+PIECE = 256
+# Pieces with a term's rarest gram that one task joins; a gram of more is salted.
+HOT_GRAM = 200_000
 
 
 def feed_terms(feeds: DataFrame, id_col: str = "feed_id", spec_col: str = "spec",
@@ -185,40 +197,45 @@ def feed_terms(feeds: DataFrame, id_col: str = "feed_id", spec_col: str = "spec"
 
 
 def _grams(text: Column, size: int) -> Column:
-    """Distinct substrings of ``size`` characters."""
-    starts = F.sequence(F.lit(1), F.length(text) - (size - 1))
-    return F.when(F.length(text) < size, F.array().cast("array<string>")).otherwise(
-        F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))))
+    """Distinct substrings of ``size`` characters, in one pass over the text: a look-ahead at every place."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(" + "." * size + "))"), 1))
+
+
+def text_pieces(items: DataFrame, key: str, text: Column, longest: int) -> DataFrame:
+    """(_k, _at, _text): the items' texts in pieces, in one pass over each, every piece with as many characters of the next
+    ones as a term of ``longest`` characters that begins in it may reach.  The empty text has no pieces."""
+    size = max(PIECE, 2 * longest)
+    cut = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{1,{size + max(0, longest - 1)}}})).{{1,{size}}}"), 1)
+    return items.select(F.col(key).alias("_k"), F.posexplode(cut).alias("_at", "_text"))
 
 
 def text_hits(items: DataFrame, key: str, text: Column, terms: DataFrame) -> DataFrame:
     """(key, term): the terms (a table of distinct ``term``) that each item's text contains.
 
-    Texts are cut into their distinct 3-grams; of those that occur in any term, each term is met
-    at its rarest one (a term of fewer characters at itself), and what meets is verified on the
-    text.  The empty term (possible in ``observed`` specs) is contained in every text."""
-    from .dedup import materialize
-    staged = materialize(items.select(F.col(key).alias("_k"), text.alias("_text")))
+    Texts are cut into pieces and these into their distinct 3-grams; of those that occur in any term, each term is met
+    at its rarest one (a term of fewer characters at itself), and what meets is verified on the piece, so a long text costs as
+    much as many short ones.  Pieces with a gram that very many have are salted.  The empty term (possible in ``observed``
+    specs) is contained in every text."""
     named = terms.withColumn("_size", F.least(F.length("term"), F.lit(GRAM)))
-    sizes = sorted(r["_size"] for r in named.select("_size").distinct().collect())  # at most 0..3
-    per_size = [named.where(F.col("_size") == n).select("term", F.explode(_grams(F.col("term"), n)).alias("gram"))
-                for n in sizes if n]
-    if not per_size:
-        return staged.where(F.lit(0 in sizes)).select(F.col("_k").alias(key), F.lit("").alias("term"))
-    of_terms = per_size[0]
-    for more in per_size[1:]:
-        of_terms = of_terms.unionByName(more)
-    cut = F.flatten(F.array(*[_grams(F.col("_text"), n) for n in sizes if n]))
-    of_items = staged.select("_k", F.explode(cut).alias("gram")).join(of_terms.select("gram").distinct(), "gram", "left_semi")
-    counts = of_items.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r["_size"]: r["longest"] for r in named.groupBy("_size").agg(F.max(F.length("term")).alias("longest")).collect()}  # 0 to 3
+    every = items.select(F.col(key), F.lit("").alias("term"))
+    cuts = sorted(n for n in sizes if n)
+    if not cuts:
+        return every.where(F.lit(0 in sizes))
+    pieces = text_pieces(items, key, text, max(sizes.values()))
+    # grams do not span sizes: a gram's length says which terms it is of
+    of_terms = named.where("_size > 0").select("term", F.explode(
+        F.coalesce(*[F.when(F.col("_size") == n, _grams(F.col("term"), n)) for n in cuts])).alias("gram"))
+    of_pieces = pieces.select("_k", "_at", F.explode(F.flatten(F.array(*[_grams(F.col("_text"), n) for n in cuts]))).alias("gram"))
+    counts = of_pieces.join(of_terms.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     rarest = (of_terms.join(counts, "gram", "left").groupBy("term")
               .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("gram"))).alias("g"))
-              .where("g.n > 0").select("term", F.col("g.gram").alias("gram")))
-    met = of_items.join(rarest, "gram").select("_k", "term").join(staged, "_k")
-    hits = met.where(F.contains("_text", "term")).select("_k", "term")
-    if 0 in sizes:
-        hits = hits.unionByName(staged.select("_k", F.lit("").alias("term")))
-    return hits.withColumnRenamed("_k", key)
+              .where("g.n > 0").select("term", F.col("g.gram").alias("gram"), (F.col("g.n") / HOT_GRAM + 1).cast("int").alias("copies")))
+    salted = of_pieces.join(rarest.select("gram", "copies").distinct(), "gram").withColumn("salt", F.pmod(F.xxhash64("_k", "_at"), F.col("copies")).cast("int"))
+    copied = rarest.select("term", "gram", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"))
+    met = salted.join(copied, ["gram", "salt"]).select("_k", "_at", "term").join(pieces, ["_k", "_at"])
+    hits = met.where(F.contains("_text", "term")).groupBy("_k", "term").agg(F.count(F.lit(1)).alias("_n")).select(F.col("_k").alias(key), "term")
+    return hits.unionByName(every) if 0 in sizes else hits
 
 
 def match_feeds(items: DataFrame, feeds: DataFrame, key: str, title="title", summary="summary",
@@ -238,7 +255,8 @@ def match_feeds(items: DataFrame, feeds: DataFrame, key: str, title="title", sum
         rejected = rejected & ~F.col("override")
     accepted = flags.where(F.col("include") & ~rejected).select(key, "feed_id")
     with_include = terms.where(F.col("role") == "include").select("feed_id").distinct()
+    parts = 4 * int(feeds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     open_feeds = feeds.select(F.col(id_col).alias("feed_id")).join(with_include, "feed_id", "left_anti") \
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(OPEN_PARTS - 1))))
-    pairs = items.select(key, F.pmod(F.xxhash64(key), F.lit(OPEN_PARTS)).cast("int").alias("_part")).join(open_feeds, "_part")
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    pairs = items.select(key, F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("_part")).join(open_feeds, "_part")
     return accepted.unionByName(pairs.select(key, "feed_id").join(flags.where(rejected).select(key, "feed_id"), [key, "feed_id"], "left_anti"))

@@ -144,3 +144,67 @@ def test_text_hits_empty_term(spark):
     for terms, want in ((["", "ab", "zz"], {(1, ""), (1, "ab"), (2, "")}), ([""], {(1, ""), (2, "")}), ([], set())):
         table = spark.createDataFrame([(t,) for t in terms], "term string")
         assert {(r["id"], r["term"]) for r in K.text_hits(items, "id", F.lower("t"), table).collect()} == want
+
+
+def test_time_is_linear_in_the_text(spark):
+    """One item of a million characters costs about as much as the same characters in many items, and its terms are found anywhere."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from snapfeed.operators.terms import text_hits
+    words = "some words that repeat and go on "
+    taken = {}
+    for n in (10_000, 100_000, 1_000_000):
+        text = (words * (n // len(words) + 1))[:n // 2] + " needle " + (words * (n // len(words) + 1))[:n // 2] + " thread"
+        items = spark.createDataFrame([(1, text), (2, "no such word"), (3, "")], "k long, t string")
+        terms = spark.createDataFrame([("needle",), ("thread",), ("absent term",), ("x",), ("go on some words",), ("le some",)], "term string")
+        start = time.perf_counter()
+        got = {(r["k"], r["term"]) for r in text_hits(items, "k", F.col("t"), terms).collect()}
+        taken[n] = time.perf_counter() - start
+        assert got == {(1, "needle"), (1, "thread"), (1, "go on some words"), (1, "le some")}
+    assert taken[1_000_000] < 20 * max(1.0, taken[100_000]), taken
+
+
+def test_hits_across_pieces(spark, monkeypatch):
+    """Terms that lie across two pieces, longer than a piece, of one to three characters, and hot grams in several salts."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from snapfeed.operators import terms as K
+    monkeypatch.setattr(K, "PIECE", 7)
+    monkeypatch.setattr(K, "HOT_GRAM", 20)
+    rng = random.Random(1)
+    texts = [(i, "".join(rng.choice("abcé🙂 ") for _ in range(rng.randrange(60)))) for i in range(200)]
+    terms = sorted({"".join(rng.choice("abcé🙂 ") for _ in range(rng.randrange(1, 6))) for _ in range(80)} | {texts[3][1][2:], "ab" * 20, ""} - {""}) + [""]
+    items, table = spark.createDataFrame(texts, "k long, t string"), spark.createDataFrame([(t,) for t in terms], "term string")
+    got = [(r["k"], r["term"]) for r in K.text_hits(items, "k", F.col("t"), table).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(k, x) for k, t in texts for x in terms if x in t}
+
+
+def test_feeds_by_parameters(spark):
+    """Many parameter sets against a sort for each; ages and days that no item or feed has, ties, nulls."""
+    import datetime as dt
+    import random
+
+    from pyspark.sql import functions as F
+
+    from snapfeed.operators.ranking import top_k_for_feeds
+    rng = random.Random(9)
+    now = dt.datetime(2024, 3, 1, 12)
+    items = [(i, rng.choice(["a", "b", "c", None]), now - dt.timedelta(seconds=rng.randrange(-90_000, 40 * 86_400)) if i % 29 else None,
+              rng.choice([1.0, 2.0, 5.5, None, float(i)]), float(i % 50)) for i in range(1500)]
+    feeds = [(f, rng.choice(["a", "b", "zz", "", None]), rng.choice([None, 0, 1, 7, 30, 365]), rng.choice(["likes", "views", "odd", None]), rng.choice([None, 1, 5, 50, 99]))
+             for f in range(60)]
+    df = spark.createDataFrame(items, "id long, cat string, ts timestamp, likes double, views double")
+    table = spark.createDataFrame(feeds, "feed_id long, category string, days int, ordering string, limit int")
+    got = {}
+    for r in top_k_for_feeds(df, table, "cat", "ts", F.lit(now), {"likes": "likes", "views": "views"}, "id").collect():
+        got.setdefault(r["feed_id"], {})[r["rank"]] = r["id"]
+    for f, cat, days, order, limit in feeds:
+        own = [x for x in items if (not cat or x[1] == cat) and (days is None or x[2] is not None and x[2] > now - dt.timedelta(days=days))]
+        at = 4 if order == "views" else 3
+        own.sort(key=lambda x: (x[at] is None, -(x[at] or 0), x[0]))
+        expected = [x[0] for x in own[:min(50, max(1, limit or 1))]]
+        assert [got.get(f, {})[i + 1] for i in range(len(got.get(f, {})))] == expected, (f, cat, days, order, limit)
