@@ -23,9 +23,13 @@ BLOCK_TAGS = [
     "ol", "pre", "section", "table", "ul",
 ]
 NON_CONTENT_PATTERN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
-P_OPEN_PATTERN = r"(?i)<p(?:\s[^>]*)?>"
+# What may stand in a tag after its name: a ``>`` in a quoted value does not end the tag.  Possessive, so a tag without an end is given
+# up in one pass.
+ATTRS = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
+P_OPEN_PATTERN = rf"(?i)<p(?:[\s/]{ATTRS})?>"
 P_END_PATTERN = r"(?is)(?:</p\s*>|</?(?:" + "|".join(BLOCK_TAGS) + r")[\s/>]).*"
-LINK_PATTERN = r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
+LINK_PATTERN = rf"(?is)<a(\s{ATTRS})>(.*?)</a\s*>"
+ATTR_PATTERN = r"""([^\s/>="']++)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]*+)"""
 
 
 def _c(col) -> Column:
@@ -39,7 +43,7 @@ def content_html(html) -> Column:
 
 def first_tag_inner(html, tag: str) -> Column:
     """Inner HTML of the first ``<tag>`` element, null when absent."""
-    pat = r"(?is)<" + tag + r"(?:\s[^>]*)?>(.*?)</" + tag + r"\s*>"
+    pat = rf"(?is)<{tag}(?:\s{ATTRS})?>(.*?)</{tag}\s*>"
     present = _c(html).rlike(pat)
     return F.when(present, F.regexp_extract(_c(html), pat, 1))
 
@@ -64,9 +68,20 @@ def paragraph_texts(content) -> Column:
     return F.transform(paragraph_html(content), lambda p: trim_all(strip_tags(p)))
 
 
-def link_hrefs(content) -> Column:
-    return F.regexp_extract_all(_c(content), F.lit(LINK_PATTERN), 1)
+def attribute(attrs: Column, name: str) -> Column:
+    """The value of an attribute in a tag's text: double-quoted, single-quoted or bare; null without it."""
+    names = F.transform(F.regexp_extract_all(attrs, F.lit(ATTR_PATTERN), 1), F.lower)
+    value = F.try_element_at(F.regexp_extract_all(attrs, F.lit(ATTR_PATTERN), 2), F.nullif(F.array_position(names, F.lit(name)), F.lit(0)).cast("int"))
+    return F.when(value.rlike("^[\"']"), F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+
 
+def links(content) -> Column:
+    """array<struct<href, text>> of the links, in document order: ``text`` is the inner HTML; an ``a`` without ``href`` is none."""
+    found = F.arrays_zip(F.regexp_extract_all(_c(content), F.lit(LINK_PATTERN), 1).alias("attrs"),
+                         F.regexp_extract_all(_c(content), F.lit(LINK_PATTERN), 2).alias("text"))
+    read = F.transform(found, lambda a: F.struct(attribute(a["attrs"], "href").alias("href"), a["text"].alias("text")))
+    return F.filter(read, lambda a: a["href"].isNotNull())
 
-def link_texts(content) -> Column:
-    return F.regexp_extract_all(_c(content), F.lit(LINK_PATTERN), 2)
+
+def link_hrefs(content) -> Column:
+    return F.transform(links(content), lambda a: a["href"])

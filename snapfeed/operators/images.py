@@ -1,14 +1,16 @@
-"""Image choice (IMG-1 .. IMG-4) over node structs and URL columns."""
+"""Image choice (IMG-1 .. IMG-4) over matches of ``nodes.extract`` and URL columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.text import DOCUMENTED, OBSERVED, check_semantics
+from ..functions.text import DOCUMENTED, OBSERVED, check_semantics, let
 from ..functions.urls import resolve_host_relative, resolve_image
-from . import nodes as N
+from .nodes import Want, attr, attr_fallback
 
 _SRCSET_PAIR = r"(\S+)\s+(\d+)w"
 
@@ -26,83 +28,61 @@ def best_srcset(srcset) -> Column:
 def valid_image(url, blocklist=None) -> Column:
     """IMG-2: no block-listed substring in the lower-cased URL."""
     u = F.lower(F.col(url) if isinstance(url, str) else url)
-    hit = F.lit(False)
-    for p in (blocklist if blocklist is not None else rules.IMAGE_URL_BLOCKLIST):
-        hit = hit | u.contains(p)
-    return ~hit
+    return ~reduce(lambda a, b: a | b, [u.contains(p) for p in (blocklist if blocklist is not None else rules.IMAGE_URL_BLOCKLIST)], F.lit(False))
 
 
-def _best_srcset_sql(s: str) -> str:
-    pat = "r'" + _SRCSET_PAIR + "'"
-    urls, widths = f"regexp_extract_all({s}, {pat}, 1)", f"regexp_extract_all({s}, {pat}, 2)"
-    zipped = f"zip_with({urls}, {widths}, (u, w) -> named_struct('u', u, 'w', w))"
-    ranked = f"transform({zipped}, (x, i) -> named_struct('nw', -cast(x.w AS BIGINT), 'i', i, 'u', x.u))"
-    return f"try_element_at(array_sort({ranked}), 1).u"
+def image_url(node: Column, semantics: str = OBSERVED) -> Column:
+    """The widest ``srcset`` candidate where there is a ``srcset``, else ``src``.  ``documented`` also falls back to ``src``
+    where no candidate has a width."""
+    srcset, src = attr(node, "srcset"), F.nullif(attr(node, "src"), F.lit(""))
+    best = best_srcset(srcset)
+    if check_semantics(semantics) == DOCUMENTED:
+        best = F.coalesce(best, src)
+    return F.when(F.coalesce(srcset, F.lit("")) != "", best).otherwise(src)
 
 
-def image_url_sql(v: str, semantics: str = OBSERVED) -> str:
-    srcset, src = f"{v}.attrs['srcset']", f"{v}.attrs['src']"
-    best = _best_srcset_sql(srcset)
-    if check_semantics(semantics) == DOCUMENTED:
-        best = f"coalesce({best}, CASE WHEN {src} <> '' THEN {src} END)"
-    return (f"CASE WHEN {srcset} IS NOT NULL AND {srcset} <> '' THEN {best} "
-            f"WHEN {src} IS NOT NULL AND {src} <> '' THEN {src} END")
+def no_ad_ancestor(node: Column, semantics: str = OBSERVED) -> Column:
+    """Whether no ancestor is an advert container: ``observed`` by "ad" anywhere in its classes, ``documented`` by a class of its own."""
+    if semantics == OBSERVED:
+        return ~F.exists(node["around"], lambda classes: F.lower(F.array_join(classes, " ")).contains("ad"))
+    return ~F.exists(node["around"], lambda classes: F.exists(classes, lambda c: F.lower(c).rlike(r"^(ad|ads|advert.*|ad-.*)$")))
 
 
-def valid_image_sql(u: str, blocklist=None) -> str:
-    terms = blocklist if blocklist is not None else rules.IMAGE_URL_BLOCKLIST
-    return "NOT (" + " OR ".join(f"contains(lower({u}), {N.sql_str(t)})" for t in terms) + ")"
+def hero_wants(prefix: str = "hero") -> dict[str, Want]:
+    """The requests of ``pick_hero``: the first image of each hero selector, all images of each content selector."""
+    out = {f"{prefix}{i}": Want(s, ("attrs",), first=True) for i, s in enumerate(rules.HERO_IMAGE_SELECTORS)}
+    return out | {f"{prefix}_content{i}": Want(s, ("attrs", "around")) for i, s in enumerate(rules.CONTENT_IMAGE_SELECTORS)}
 
 
-def no_ad_ancestor_sql(v: str, semantics: str = OBSERVED) -> str:
-    a = N._fresh("a")
-    if semantics == OBSERVED:
-        return f"NOT exists({v}.path, {a} -> contains(lower(array_join({a}.classes, ' ')), 'ad'))"
-    c = N._fresh("c")
-    return f"NOT exists({v}.path, {a} -> exists({a}.classes, {c} -> lower({c}) rlike r'^(ad|ads|advert.*|ad-.*)$'))"
-
-
-def hero_candidates(nodes, semantics: str = OBSERVED) -> Column:
-    """Per ``img`` node: its URL, validity, clean ancestry and which hero/content selector
-    it matches.  Computed once per image so the choice below works on small structs.
-    ``nodes`` is a column name (SQL path)."""
-    sels = rules.HERO_IMAGE_SELECTORS + rules.CONTENT_IMAGE_SELECTORS
-    v, w = N._fresh("n"), N._fresh("m")
-    url = image_url_sql(v, semantics)
-    fields = [f"'node_id', {v}.node_id", f"'url', {url}",
-              f"'ok', coalesce({url} <> '' AND {valid_image_sql(url)}, false)",
-              f"'clean', {no_ad_ancestor_sql(v, semantics)}"]
-    fields += [f"'m{i}', {N.selector_sql(sel, v)}" for i, sel in enumerate(sels)]
-    return F.expr(f"transform(filter({nodes}, {w} -> {w}.tag = 'img'), {v} -> named_struct({', '.join(fields)}))")
-
-
-def pick_hero(cands: Column, origin: Column, base_dir: Column, semantics: str = OBSERVED) -> Column:
-    """IMG-3: first valid image of the hero selectors (only the first match of each is
+def pick_hero(origin: Column, base_dir: Column, semantics: str = OBSERVED, prefix: str = "hero") -> Column:
+    """IMG-3 over the columns of ``hero_wants``: the first valid image of the hero selectors (only the first match of each is
     tried), else the first valid content image outside ad containers; made absolute."""
-    n_hero = len(rules.HERO_IMAGE_SELECTORS)
-    picks = []
-    for i in range(n_hero):
-        m = F.try_element_at(F.filter(cands, lambda c: c[f"m{i}"]), F.lit(1))
-        picks.append(F.when(m.isNotNull() & m["ok"], m["url"]))
-    for j in range(len(rules.CONTENT_IMAGE_SELECTORS)):
-        k = n_hero + j
-        m = F.try_element_at(F.filter(cands, lambda c: c[f"m{k}"] & c["ok"] & c["clean"]), F.lit(1))
-        picks.append(m["url"])
-    chosen = F.coalesce(*picks)
-    return F.when(chosen.isNotNull(), resolve_host_relative(chosen, origin, base_dir, semantics))
-
-
-def hero_image(df, nodes_col: str, origin: Column, base_dir: Column, out: str = "image",
-               semantics: str = OBSERVED):
-    """IMG-3 as a DataFrame step: candidates are materialised in their own projection."""
-    staged = df.withColumn("_hero", hero_candidates(nodes_col, semantics))
-    return staged.withColumn(out, pick_hero(F.col("_hero"), origin, base_dir, semantics)).drop("_hero")
-
-
-def page_image(nodes: Column, origin: Column, semantics: str = OBSERVED) -> Column:
-    """IMG-4: ``og:image`` meta content, else the first media/gallery image (``src`` then
-    ``data-src``); made absolute with the protocol-relative rules."""
-    og = N.first(nodes, "meta[property=og:image]")  # nodes: column name (SQL path) or Column
-    img = N.first(nodes, rules.MODEL_IMAGE_SELECTOR)
-    raw = F.when(og.isNotNull(), og["attrs"]["content"]).when(img.isNotNull(), N.attr_fallback(img, "src", "data-src"))
+    def usable(url: Column) -> Column:
+        return F.coalesce((url != "") & valid_image(url), F.lit(False))
+
+    def url_of(node: Column) -> Column:
+        return image_url(node, semantics)
+
+    # The hero matches in order, then the content images that are not adverts; each URL is worked out once.
+    heroes = F.filter(F.array(*[F.col(f"{prefix}{i}") for i in range(len(rules.HERO_IMAGE_SELECTORS))]), lambda n: n.isNotNull())
+    content = [F.filter(F.col(f"{prefix}_content{i}"), lambda n: no_ad_ancestor(n, semantics)) for i in range(len(rules.CONTENT_IMAGE_SELECTORS))]
+    urls = F.concat(F.transform(heroes, url_of), *[F.transform(c, url_of) for c in content])
+    return let(F.try_element_at(F.filter(urls, usable), F.lit(1)), lambda url: F.when(url.isNotNull(), resolve_host_relative(url, origin, base_dir, semantics)))
+
+
+def hero_image(df: DataFrame, origin: Column, base_dir: Column, out: str = "image", semantics: str = OBSERVED, prefix: str = "hero") -> DataFrame:
+    """IMG-3 as a DataFrame step: the columns of ``hero_wants`` become the image's URL."""
+    return df.withColumn(out, pick_hero(origin, base_dir, semantics, prefix)).drop(*hero_wants(prefix))
+
+
+#: The requests of ``page_image``.
+PAGE_IMAGE_WANTS = {"og_image": Want("meta[property=og:image]", ("attrs",), first=True),
+                    "media_image": Want(rules.MODEL_IMAGE_SELECTOR, ("attrs",), first=True)}
+
+
+def page_image(origin: Column, semantics: str = OBSERVED) -> Column:
+    """IMG-4 over the columns of ``PAGE_IMAGE_WANTS``: ``og:image`` meta content, else the first media/gallery image (``src``
+    then ``data-src``); made absolute with the protocol-relative rules."""
+    og, img = F.col("og_image"), F.col("media_image")
+    raw = F.when(og.isNotNull(), attr(og, "content")).when(img.isNotNull(), attr_fallback(img, "src", "data-src"))
     return F.when(raw.isNotNull() & (raw != ""), resolve_image(raw, origin))

@@ -36,4 +36,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # Importing the plan modules registers their queries.
-    from . import news, text_queries, models, events_queries, nodes_queries, stream_queries  # noqa: F401
+    from . import news, text_queries, models, events_queries, nodes_queries, stream_queries, feeds_queries  # noqa: F401

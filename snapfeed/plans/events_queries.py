@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import html as H, text as T, urls as U
-from ..operators.dedup import first_rows
 from ..operators.ranking import clamp_limit
+from ..operators.sequence import ordered_concat as ordered_text
 from ..session import checkpoint_dir
-from ..sources.snapshots import TTL_NEWS, follow_chain, fresh_snapshot, load_table
+from ..sources.snapshots import TTL_NEWS, chain_pages, fresh_snapshot, load_table
 from . import derived as X
 from . import sqlgen as S
 from .catalog import register
@@ -100,28 +100,24 @@ SELECT conv_id, array_to_string(list(role ORDER BY turn) FILTER (WHERE {S.trim_a
 FROM conversations GROUP BY conv_id
 """)
 def ordered_collect(spark, sf):
-    """A-2: per conversation, roles in turn order with blanks dropped.  The group is one
-    conversation (a single document's turns), collected as (turn, role) pairs and sorted."""
+    """A-2: per conversation, roles in turn order with blanks dropped; a long conversation is sorted and joined in ranges."""
     conv = load_table(spark, sf, "conversations", ["conv_id", "turn", "role"])
-    g = conv.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.when(T.trim_all("role") != "", F.struct("turn", "role")))).alias("pairs"),
-        F.count(F.lit(1)).alias("turns"))
-    return g.select("conv_id", F.array_join(F.transform("pairs", lambda p: p["role"]), ",").alias("roles"), "turns")
+    kept = conv.withColumn("role", F.when(T.trim_all("role") != "", F.col("role")))
+    return ordered_text(kept, "conv_id", ["turn"], "role", ",", "roles").select("conv_id", "roles", F.col("n").alias("turns"))
 
 
 @register("ordered_concat", """
 SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS transcript FROM conversations GROUP BY conv_id
 """)
 def ordered_concat(spark, sf):
-    """A-3: per conversation, turn texts joined in order."""
+    """A-3: per conversation, turn texts joined in order; a long conversation is sorted and joined in ranges."""
     conv = load_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
-    g = conv.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("pairs"))
-    return g.select("conv_id", F.array_join(F.transform("pairs", lambda p: p["text"]), "\n").alias("transcript"))
+    return ordered_text(conv, "conv_id", ["turn"], "text", "\n", "transcript").select("conv_id", "transcript")
 
 
 # ------------------------------------------------------------------------------------- SRC-7 / U-2
 
-_FIRST_LINK = f"regexp_extract({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 1)"
+_FIRST_LINK = f"coalesce(({S.links(S.content_html('html'))})[1].href, '')"
 _NEXT_SQL = (f"CASE WHEN {_FIRST_LINK} = '' THEN NULL WHEN starts_with({_FIRST_LINK}, 'http') THEN {_FIRST_LINK} "
              f"WHEN starts_with({_FIRST_LINK}, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || {_FIRST_LINK} "
              f"ELSE rtrim({S.base_dir('url')}, '/') || '/' || ltrim({_FIRST_LINK}, '/') END")
@@ -140,17 +136,15 @@ SELECT chain, CAST(hop AS INTEGER) AS hop, page_id FROM chain
 """)
 def follow_chain_q(spark, sf):
     """SRC-7 + U-2: from the newest snapshot of every URL follow its first link (resolved) for
-    up to MAX_HOPS pages; the union of hops is the crawl.  The narrow link table is
-    checkpointed, so every page is parsed once however many hops follow."""
-    pages = first_rows(X.linked_pages(spark, sf), U.canonical_url("url"), "page_id", last=True).withColumn("canon", U.canonical_url("url"))
+    up to MAX_HOPS pages; the union of hops is the crawl.  Pages are read once, where they lie; the link table is
+    narrow and checkpointed."""
     first = F.try_element_at(H.link_hrefs(H.content_html("html")), F.lit(1))
-    nxt = F.when(first.isNull() | (first == ""), F.lit(None).cast("string")).otherwise(
-        U.resolve_host_relative(first, U.origin_of("url"), U.base_dir_of("url")))
-    keyed = pages.select("page_id", F.col("canon").alias("url"), U.canonical_url(nxt).alias("next_canon"))
+    nxt = F.when(first != "", U.resolve_host_relative(first, U.origin_of("url"), U.base_dir_of("url")))
+    links = X.linked_pages(spark, sf).select(U.canonical_url("url").alias("canon"), "page_id", U.canonical_url(nxt).alias("next_canon"))
     checkpoint_dir(spark)
-    keyed = keyed.checkpoint(eager=True)
-    hopped = follow_chain(keyed, keyed.select("url").distinct(), F.col("next_canon"), MAX_HOPS)
-    return hopped.select("chain", F.col("hop").cast("int").alias("hop"), "page_id")
+    links = links.groupBy("canon").agg(F.max("page_id").alias("page_id"), F.max_by("next_canon", "page_id").alias("next_canon")).checkpoint(eager=True)
+    reached = chain_pages(links.select("canon", "next_canon"), links.select(F.col("canon").alias("seed"), "canon"), MAX_HOPS)
+    return reached.join(links.select("canon", "page_id"), "canon").select(F.col("seed").alias("chain"), F.col("hop").cast("int").alias("hop"), "page_id")
 
 
 # ------------------------------------------------------------------------------------- W-3 / F-10
@@ -160,7 +154,7 @@ LINK_LIMIT = 3
 
 @register("feed_position", f"""
 SELECT page_id AS listing_id, CAST(unnest(range(0, len(h))) AS BIGINT) AS pos, unnest(h) AS href
-FROM (SELECT page_id, list_filter(regexp_extract_all({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 1), lambda x: x <> '') AS h FROM pages)
+FROM (SELECT page_id, list_filter(list_transform({S.links(S.content_html('html'))}, lambda k: k.href), lambda x: x <> '') AS h FROM pages)
 """)
 def feed_position(spark, sf):
     """W-3: append position of each usable link inside its listing page (row-local
@@ -173,8 +167,7 @@ def feed_position(spark, sf):
 
 @register("limit_nonblank", f"""
 WITH l AS (SELECT page_id,
-  list_filter(list_transform(regexp_extract_all({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 2),
-                             lambda t: {S.trim_all(S.strip_tags('t'))}), lambda t: t <> '') AS ts FROM pages),
+  list_filter(list_transform({S.links(S.content_html('html'))}, lambda k: {S.trim_all(S.strip_tags('k.text'))}), lambda t: t <> '') AS ts FROM pages),
 k AS (SELECT page_id, ts[1:{LINK_LIMIT}] AS ts FROM l)
 SELECT page_id, CAST(unnest(range(0, len(ts))) AS BIGINT) AS pos, unnest(ts) AS title FROM k
 """)
@@ -182,7 +175,7 @@ def limit_nonblank(spark, sf):
     """F-10 + T-3: the first ``limit`` links with a non-blank title per listing page; blank
     titles do not use up the limit.  Row-local ``filter`` + ``slice``: no window, no shuffle."""
     pages = load_table(spark, sf, "pages", ["page_id", "html"])
-    titles = F.transform(H.link_texts(H.content_html("html")), lambda t: T.trim_all(T.strip_tags(t)))
+    titles = F.transform(H.links(H.content_html("html")), lambda a: T.trim_all(T.strip_tags(a["text"])))
     kept = F.slice(F.filter(titles, lambda t: t != ""), 1, clamp_limit(LINK_LIMIT))
     return pages.select("page_id", F.posexplode(kept).alias("pos", "title")) \
         .select("page_id", F.col("pos").cast("bigint").alias("pos"), "title")

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from ..functions import cleaners, dates as D, html as H, rules, text as T, urls as U
 from ..functions.entities import HTML4, decode_entities
 from ..operators import article as A
+from ..operators import images as I
+from ..operators import nodes as N
 from ..operators import terms as K
 from ..operators.dedup import first_rows, first_seen, materialize, newest
+from ..operators.sequence import number_rows
 from ..session import checkpoint_dir
-from ..sources.snapshots import load_table
+from ..sources.snapshots import chain_pages, load_table
 from . import derived as X
 from . import sqlgen as S
 from .catalog import register
@@ -34,73 +37,65 @@ FEED_NAME = "news"
 
 # ----------------------------------------------------------------------------------- article job
 
-# Pages carrying any of these markers need the node table (containers by id, images, tags,
-# time, lead paragraph); every other page takes the native (codegen) path.
-DOM_MARKERS = (r"(?i)id\s*=\s*[\"']?(?:liveArticleContent|live-article-content__livefeed-summary|"
-               r"subscription-replace-entire-article)|<img[\s/>]|<time[\s/>]|mar-article__article-tags|"
-               r"article-first-paragraph")
-
-
 def _null():
     return F.lit(None).cast("string")
 
 
-def native_front(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Article fields from raw HTML with codegen expressions only (flat targets).
-
-    The link text (TTL-1 fallback) comes from the listing when the page was reached through
-    one (crawl); a page taken as an article on its own falls back to its ``<title>``."""
-    link = F.col("link_text") if "link_text" in pages.columns else H.first_tag_text("html", "title")
-    return pages.select(
-        "page_id", "url", *carry,
-        H.first_tag_inner("html", "h1").alias("h1"),
-        F.coalesce(link, F.lit("")).alias("link_text"),
-        T.strip_tags(H.content_html("html")).alias("page_text"),
-        A.paragraphs("html").alias("paras"),
-        _null().alias("live"), _null().alias("live_summary"), _null().alias("main"),
-        _null().alias("lead_live_summary"), _null().alias("lead_live"), _null().alias("lead_main"),
-        _null().alias("image"), F.array().cast("array<string>").alias("categories"), _null().alias("time_attr"))
-
-
-def dom_front(pages: DataFrame, semantics: str = T.OBSERVED, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Article fields from the node table (NODE-1): containers by id, lead paragraph,
-    hero image (IMG-3), tags (A-2 via NODE-11), first ``time``."""
-    from ..operators import images as I
-    from ..operators import nodes as N
-    cols = ["page_id", "url", "html"] + (["link_text"] if "link_text" in pages.columns else []) + list(carry)
-    nodes = materialize(N.page_nodes(pages.select(*cols), extra_cols=tuple(c for c in cols if c != "page_id")))
-    lead_sel = ".article-first-paragraph"
-    live_c = N.first_sql("nodes", rules.LIVE_CONTENT_SELECTOR)
-    summ_c = N.first_sql("nodes", rules.LIVE_SUMMARY_SELECTOR)
-    main_c = N.first_sql("nodes", rules.MAIN_CONTENT_SELECTOR)
-    tags_c = N.first_sql("nodes", rules.TAGS_CONTAINER_SELECTOR)
-
-    def lead_in(container: str) -> Column:
-        return T.trim_all(F.expr(f"try_element_at({N.within_sql('nodes', container, lead_sel)}, 1).text"))
-
-    link = F.col("link_text") if "link_text" in pages.columns else T.trim_all(N.first("nodes", "title")["text"])
-    p = N._fresh("p")
-    paras = F.expr(f"transform({N.select_sql('nodes', 'p')}, {p} -> named_struct('open', {p}.open_tag, 'html', {p}.inner_html, "
-                   f"'text', {p}.text, 'lead', coalesce(array_contains({p}.classes, 'article-first-paragraph'), false)))")
-    paras = F.transform(paras, lambda x: F.struct(x["open"].alias("open"), x["html"].alias("html"), T.trim_all(x["text"]).alias("text"),
-                                                  x["lead"].alias("lead")))
-    tags = F.filter(F.transform(N.within("nodes", tags_c, rules.TAG_SELECTOR), lambda t: T.trim_all(t["text"])),
-                    lambda t: t != "")
-    staged = nodes.select(
-        "page_id", "url", *carry, "nodes",
-        N.first("nodes", "h1")["inner_html"].alias("h1"),
-        F.coalesce(link, F.lit("")).alias("link_text"),
-        T.strip_tags(H.content_html("html")).alias("page_text"),
-        paras.alias("paras"),
-        F.expr(live_c)["inner_html"].alias("live"), F.expr(summ_c)["inner_html"].alias("live_summary"),
-        F.expr(main_c)["inner_html"].alias("main"),
-        lead_in(summ_c).alias("lead_live_summary"), lead_in(live_c).alias("lead_live"),
-        lead_in(main_c).alias("lead_main"),
-        F.when(F.expr(tags_c).isNotNull(), tags).otherwise(F.array().cast("array<string>")).alias("categories"),
-        N.first("nodes", "time")["attrs"]["datetime"].alias("time_attr"))
-    with_img = I.hero_image(staged, "nodes", U.origin_of("url"), U.base_dir_of("url"), semantics=semantics)
-    return with_img.select("page_id", "url", *carry, "h1", "link_text", "page_text", "paras", "live", "live_summary", "main",
-                           "lead_live_summary", "lead_live", "lead_main", "image", "categories", "time_attr")
+# The requests of one article page: containers by id, lead paragraphs, tags in their container, hero image, first ``time``.
+_LEAD = ".article-first-paragraph"
+ARTICLE_WANTS = {
+    "h1": N.Want("h1", ("inner_html",), first=True), "page_title": N.Want("title", ("text",), first=True),
+    "p": N.Want("p", ("open_tag", "inner_html", "text", "classes")),
+    "live": N.Want(rules.LIVE_CONTENT_SELECTOR, ("inner_html",), first=True),
+    "live_summary": N.Want(rules.LIVE_SUMMARY_SELECTOR, ("inner_html",), first=True),
+    "main": N.Want(rules.MAIN_CONTENT_SELECTOR, ("inner_html",), first=True),
+    **{f"lead_{c}": N.Want(_LEAD, ("text",), first=True, within=c) for c in ("live", "live_summary", "main")},
+    "tags_box": N.Want(rules.TAGS_CONTAINER_SELECTOR, ("node_id",), first=True),
+    "tags": N.Want(rules.TAG_SELECTOR, ("text",), within="tags_box"),
+    "time": N.Want("time", ("attrs",), first=True),
+    **I.hero_wants(),
+}
+
+
+def article_fields(pages: DataFrame, semantics: str = T.OBSERVED, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The fields of each article page, read in one pass over the page, whatever markup it has.
+
+    The link text (TTL-1 fallback) comes from the listing when the page was reached through one (crawl); a page taken as an
+    article on its own falls back to its ``<title>``.  Scripts, styles and comments are no part of paragraphs."""
+    linked = "link_text" in pages.columns
+    staged = pages.withColumn("page_text", T.strip_tags(H.content_html("html")))
+    read = materialize(N.extract(staged, ARTICLE_WANTS, keep=("url", "page_text", *(("link_text",) if linked else ()), *carry)))
+    paras = F.transform("p", lambda x: F.struct(
+        x["open_tag"].alias("open"), H.content_html(x["inner_html"]).alias("html"), T.trim_all(x["text"]).alias("text"),
+        F.array_contains(x["classes"], "article-first-paragraph").alias("lead")))
+    link = F.col("link_text") if linked else T.trim_all(F.col("page_title.text"))
+    fields = read.select(
+        "page_id", "url", *carry, F.col("h1.inner_html").alias("h1"), F.coalesce(link, F.lit("")).alias("link_text"), "page_text",
+        paras.alias("paras"), *[F.col(f"{c}.inner_html").alias(c) for c in ("live", "live_summary", "main")],
+        *[T.trim_all(F.col(f"lead_{c}.text")).alias(f"lead_{c}") for c in ("live", "live_summary", "main")],
+        F.filter(F.transform("tags", lambda t: T.trim_all(t["text"])), lambda t: t != "").alias("categories"),
+        N.attr(F.col("time"), "datetime").alias("time_attr"), *I.hero_wants())
+    return I.hero_image(fields, U.origin_of("url"), U.base_dir_of("url"), semantics=semantics)
+
+
+def with_excerpt(articles: DataFrame, n: int, semantics: str = T.DOCUMENTED) -> DataFrame:
+    """``article_fields`` with ``body`` (BODY-1: branch and HTML) and ``excerpt``: of the body's paragraphs with the lead paragraph in front
+    (EXC-1, EXC-2), or, without a body, of the page's (EXC-3); entities are decoded."""
+    body = A.body_choice(F.col("live"), F.col("live_summary"), F.col("main"), F.col("paras"))
+    with_body = materialize(articles.withColumn("body", body))
+    lead = (F.when(F.col("body.branch") == 1, F.col("lead_live_summary"))
+            .when(F.col("body.branch") == 2, F.col("lead_live"))
+            .when(F.col("body.branch") == 3, F.col("lead_main"))
+            .when(F.col("body.branch") == 4, F.try_element_at(F.transform(F.filter(
+                A.body_paragraphs(F.col("paras")), lambda p: p["lead"]), lambda p: p["text"]), F.lit(1))))
+    joined = A.excerpt_join(H.paragraph_texts(F.coalesce(F.col("body.html"), F.lit(""))))
+    excerpt = F.when(F.col("body.html").isNotNull(),
+                     T.truncate_words(A.lead_prepend(joined, lead, semantics), n)).otherwise(F.lit(""))
+    fallback = A.fallback_excerpt(F.transform("paras", lambda p: p["text"]), n)
+    ex = with_body.withColumn("excerpt", excerpt)
+    ex = ex.withColumn("excerpt", F.when(F.col("body.html").isNull() & (F.col("excerpt") == ""), fallback)
+                       .otherwise(F.col("excerpt")))
+    return materialize(ex.withColumn("excerpt", A.decode_excerpt(F.col("excerpt"))))
 
 
 def article_items(pages: DataFrame, terms: K.Terms = NEWS_TERMS, excerpt_length: int = EXCERPT_LENGTH,
@@ -109,39 +104,21 @@ def article_items(pages: DataFrame, terms: K.Terms = NEWS_TERMS, excerpt_length:
                   carry: tuple[str, ...] = (), with_live_flag: bool = False) -> DataFrame:
     """Articles (one page row each, already de-duplicated) -> feed items.
 
-    Pages with DOM markers go through the node table, the rest through native extraction;
-    both fronts produce the same fields and share one back-end:
-    title (TTL-1) -> live suffix (TTL-2) -> advert drop (F-6) -> body cascade (BODY-1) ->
+    One extraction reads every page (``article_fields``); then title (TTL-1) -> live suffix (TTL-2) -> advert drop (F-6) -> body cascade (BODY-1) ->
     excerpt with lead paragraph (EXC-1, EXC-2) or fallback (EXC-3) -> keyword filter
     (F-4/5) -> clean (STR-8..10) -> render (STR-15).  The cleaner runs after the filter."""
     if excerpt_length is None or int(excerpt_length) == 0:
         excerpt_length = EXCERPT_LENGTH
     n = int(excerpt_length)
     advert_terms = advert_terms or {}
-    needs_dom = F.coalesce(F.col("html").rlike(DOM_MARKERS), F.lit(False))
     carry = tuple(carry)
-    fronts = native_front(pages.where(~needs_dom), carry).unionByName(
-        dom_front(pages.where(needs_dom), semantics=semantics, carry=carry))
-    staged = materialize(fronts.withColumn("title", A.title_choice(F.col("h1"), F.col("link_text"), semantics)))
+    fields = article_fields(pages, semantics, carry)
+    staged = materialize(fields.withColumn("title", A.title_choice(F.col("h1"), F.col("link_text"), semantics)))
     titled = staged.where(F.col("title").isNotNull())
     titled = titled.withColumn("is_live", A.is_live(F.col("live"))) \
         .withColumn("title", A.live_title(F.col("title"), F.col("live")))
     kept = titled.where(~K.is_advert("title", "page_text", **advert_terms))
-    body = A.body_choice(F.col("live"), F.col("live_summary"), F.col("main"), F.col("paras"))
-    with_body = materialize(kept.withColumn("body", body))
-    lead = (F.when(F.col("body.branch") == 1, F.col("lead_live_summary"))
-            .when(F.col("body.branch") == 2, F.col("lead_live"))
-            .when(F.col("body.branch") == 3, F.col("lead_main"))
-            .when(F.col("body.branch") == 4, F.try_element_at(F.transform(F.filter(
-                A.body_paragraphs(F.col("paras")), lambda p: p["lead"]), lambda p: p["text"]), F.lit(1))))
-    joined = A.excerpt_join(H.paragraph_texts(F.coalesce(F.col("body.html"), F.lit(""))))
-    excerpt = F.when(F.col("body.html").isNotNull(),
-                     T.truncate_words(A.lead_prepend(joined, lead, semantics), n)).otherwise(F.lit(""))
-    fallback = A.fallback_excerpt(F.transform("paras", lambda p: p["text"]), n)
-    ex = with_body.withColumn("excerpt", excerpt)
-    ex = ex.withColumn("excerpt", F.when(F.col("body.html").isNull() & (F.col("excerpt") == ""), fallback)
-                       .otherwise(F.col("excerpt")))
-    ex = materialize(ex.withColumn("excerpt", A.decode_excerpt(F.col("excerpt"))))
+    ex = with_excerpt(kept, n, semantics)
     matched = ex.where(K.match_literal("title", "excerpt", terms, semantics))
     # The 33-rule chain is evaluated once (materialised) before decoding reads it.
     cleaned = materialize(matched.withColumn("clean", cleaners.clean_content(F.coalesce("body.html", F.lit("")),
@@ -342,11 +319,32 @@ def match_many_feeds(spark, sf):
     return K.match_feeds(doc_items(spark, sf), _feeds_df(spark), "doc_id", semantics=T.DOCUMENTED).select("feed_id", "doc_id")
 
 
-@register("match_many_feeds_scaled", _many_feeds_sql())
+# A feed for the first turn of each conversation, its terms taken from the turn's words: a word and a phrase wanted, a word not wanted, for one
+# in three with an override; one in fifty wants everything but a word.
+FEED_WORDS_SQL = "SELECT conv_id AS feed_id, regexp_extract_all(lower(text), {pattern}, 0) AS w FROM {table} WHERE turn = 0"
+FEED_WORD = "[a-zà-ÿ]+"
+FEED_SPEC = ("CASE WHEN feed_id % 50 = 49 THEN concat('-', w[5]) ELSE concat(w[2], ',\"', w[3], ' ', w[4], '\",-', w[5], "
+             "CASE WHEN feed_id % 3 = 0 THEN concat(',except(', w[6], ')') ELSE '' END) END")
+
+
+def conversation_feeds(spark, sf) -> DataFrame:
+    """(feed_id, spec) of ``FEED_SPEC``, for turns of seven words or more."""
+    conv = load_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
+    words = conv.where("turn = 0").select(F.col("conv_id").alias("feed_id"), F.regexp_extract_all(F.lower("text"), F.lit(FEED_WORD), 0).alias("w"))
+    return words.where(F.size("w") > 6).select("feed_id", F.expr(FEED_SPEC).alias("spec"))
+
+
+@register("match_many_feeds_scaled", f"""
+WITH d AS (SELECT doc_id, lower(title || ' ' || summary) AS t FROM ({_doc_items_sql()})),
+f AS ({FEED_WORDS_SQL.format(pattern=S.q(FEED_WORD), table='conversations')}),
+c AS (SELECT feed_id, w[3] AS a, w[4] || ' ' || w[5] AS b, w[6] AS x, CASE WHEN feed_id % 3 = 0 THEN w[7] END AS o, feed_id % 50 = 49 AS every
+      FROM f WHERE len(w) > 6)
+SELECT feed_id, doc_id FROM c JOIN d ON (every OR contains(t, a) OR contains(t, b))
+       AND NOT (contains(t, x) AND (every OR o IS NULL OR NOT contains(t, o)))
+""")
 def match_many_feeds_scaled(spark, sf):
-    """F-7 on the same specs read in another order: one plan serves any number of feeds."""
-    feeds = _feeds_df(spark).orderBy(F.desc("feed_id"))
-    return K.match_feeds(doc_items(spark, sf), feeds, "doc_id", semantics=T.DOCUMENTED).select("feed_id", "doc_id")
+    """F-7 with as many feeds as there are conversations, whose specs are compiled on the cluster (F-3)."""
+    return K.match_feeds(doc_items(spark, sf), conversation_feeds(spark, sf), "doc_id", semantics=T.DOCUMENTED).select("feed_id", "doc_id")
 
 
 # Corpus stand-ins for the advert term lists (the source lists do not occur in the corpus).
@@ -414,16 +412,16 @@ SELECT text, doc_id FROM (
   SELECT text, doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1
 """)
 def first_seen_text(spark, sf):
+    """W-1 by whole texts: the first document is chosen by a 128-bit hash of the text, on narrow rows; texts stay where they are."""
     docs = load_table(spark, sf, "documents", ["doc_id", "text"])
-    return first_seen(docs, "text", "doc_id")
+    key = F.when(F.col("text").isNotNull(), F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), F.reverse("text")).alias("b")))
+    return first_rows(docs, key, "doc_id").select("text", "doc_id")
 
 
 def listing_links(pages: DataFrame) -> DataFrame:
     """Listing pages -> (listing_id, pos, href, link_text, url) with resolved URLs."""
-    c = H.content_html("html")
-    pairs = F.arrays_zip(H.link_hrefs(c).alias("href"), H.link_texts(c).alias("text"))
     df = pages.select(F.col("page_id").alias("listing_id"), U.origin_of("url").alias("origin"),
-                      U.base_dir_of("url").alias("base_dir"), F.posexplode(pairs).alias("pos", "l"))
+                      U.base_dir_of("url").alias("base_dir"), F.posexplode(H.links(H.content_html("html"))).alias("pos", "l"))
     return df.where(F.col("l.href") != "").select(
         "listing_id", F.col("pos").cast("bigint").alias("pos"),
         T.trim_all(T.strip_tags(F.col("l.text"))).alias("link_text"),
@@ -431,18 +429,16 @@ def listing_links(pages: DataFrame) -> DataFrame:
 
 
 _LINKS_RESOLVED_SQL = f"""
-  SELECT page_id AS listing_id, pos, {S.trim_all(S.strip_tags('link_text'))} AS link_text,
-         CASE WHEN starts_with(href, 'http') THEN href WHEN starts_with(href, '/') THEN origin || href
-              ELSE rtrim(base_dir, '/') || '/' || ltrim(href, '/') END AS url
-  FROM (SELECT page_id, origin, base_dir, CAST(unnest(range(0, len(hrefs))) AS BIGINT) AS pos,
-               unnest(hrefs) AS href, unnest(texts) AS link_text
+  SELECT page_id AS listing_id, pos, {S.trim_all(S.strip_tags('k.text'))} AS link_text,
+         CASE WHEN starts_with(k.href, 'http') THEN k.href WHEN starts_with(k.href, '/') THEN origin || k.href
+              ELSE rtrim(base_dir, '/') || '/' || ltrim(k.href, '/') END AS url
+  FROM (SELECT page_id, origin, base_dir, CAST(unnest(range(0, len(links))) AS BIGINT) AS pos, unnest(links) AS k
         FROM (SELECT page_id,
                      regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS origin,
                      {S.base_dir('url')} AS base_dir,
-                     regexp_extract_all({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 1) AS hrefs,
-                     regexp_extract_all({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 2) AS texts
+                     {S.links(S.content_html('html'))} AS links
               FROM ({X.LINKED_PAGES_SQL})))
-  WHERE href <> ''
+  WHERE k.href <> ''
 """
 
 
@@ -498,62 +494,62 @@ def combine_feeds_q(spark, sf):
 
 # ----------------------------------------------------------------------------------- listing-driven crawl
 
+def listing_table(pages: DataFrame, semantics: str = T.DOCUMENTED) -> DataFrame:
+    """Every page as a listing, read in one pass where it lies: (page_id, canon, next_canon, has_h1, rank, items), with the candidates
+    of the first listing selector that matches (NODE-4) and their links (NODE-5) as items array<struct<link struct<href, text>>>,
+    the URL's origin and folder, and the identity of the next listing (null without)."""
+    wants = {"next": N.Want(rules.NEXT_PAGE_SELECTOR, ("attrs",), first=True), "items": N.Want(tuple(rules.LISTING_SELECTORS), ("link",)),
+             "head": N.Want("h1", ("node_id",), first=True)}
+    read = materialize(N.extract(pages, wants))
+    origin, base_dir, href = U.origin_of("url"), U.base_dir_of("url"), F.nullif(N.attr(F.col("next"), "href"), F.lit(""))
+    return read.select("page_id", U.canonical_url("url").alias("canon"), origin.alias("origin"), base_dir.alias("base_dir"),
+                       F.when(href.isNotNull(), U.canonical_url(U.resolve_host_relative(href, origin, base_dir, semantics))).alias("next_canon"),
+                       F.col("head").isNotNull().alias("has_h1"), F.col("items_rank").alias("rank"), "items")
+
+
 def news_crawl_items(pages: DataFrame, seeds: DataFrame, max_pages: int | None = 1, strict: bool = False,
                      semantics: str = T.DOCUMENTED, **article_kwargs) -> DataFrame:
     """The news generator as the source runs it, for many seeds at once.
 
     Listing chain (SRC-7): from each seed URL, up to ``max_pages`` listing pages, following
-    the first ``a.pagination__next``; a missing listing ends the chain (SRC-5).  Each hop
-    parses only the pages it reached.  Candidates (NODE-4) -> link (NODE-5) -> resolved URL
+    the first ``a.pagination__next``; a missing listing ends the chain (SRC-5).  Candidates (NODE-4) -> link (NODE-5) -> resolved URL
     (URL-1) -> first occurrence per URL across the seed's crawl (W-1) -> URL block (F-1) ->
     inner join to the stored article (J-1) -> article job; ``pos`` is the append order.
     ``strict`` raises, as the source does, when a seed's first listing has no candidates
-    (SRC-6); otherwise such seeds yield no items.  Seeds: a DataFrame with ``url``."""
-    from ..operators import nodes as N
+    (SRC-6); otherwise such seeds yield no items.  Seeds: a DataFrame with ``url``.
+
+    Listings become a narrow link table in one pass; snapshots, hops and links are chosen on narrow rows.  The bodies of the pages that are
+    articles of any seed are shuffled once, to meet their links, and the article job runs once per article (for each link
+    text, if the article has no headline of its own); its items are then joined back to the places that link to them."""
     n_pages = int(max_pages or 0)
-    pages = first_rows(pages, U.canonical_url("url"), "page_id", last=True)  # one snapshot per URL
-    keyed = pages.select("page_id", "url", "html", U.canonical_url("url").alias("canon"))
-    checkpoint_dir(pages.sparkSession)
-    frontier = seeds.select(F.col("url").alias("seed"), U.canonical_url("url").alias("want"))
-    hops = []
-    for hop in range(1, n_pages + 1):
-        found = frontier.join(keyed, frontier.want == keyed.canon, "inner").select("seed", "page_id", "url", "html")
-        parsed = materialize(N.page_nodes(found, extra_cols=("seed", "url")))
-        nxt = N.first("nodes", rules.NEXT_PAGE_SELECTOR)["attrs"]["href"]
-        fb = parsed.select("seed", "url", nxt.alias("next_href"), "nodes",
-                           N.first_nonempty("nodes", rules.LISTING_SELECTORS).alias("fb"))
-        if strict and hop == 1:
-            fb = fb.withColumn("fb", F.when(F.col("fb.rank").isNull(), F.raise_error(F.lit("No listing nodes found. Update selectors.")))
-                               .otherwise(F.col("fb")))
-        cands = fb.select("seed", "url", "next_href", "nodes", F.posexplode_outer("fb.matches").alias("pos", "m"))
-        link = N.descendant_link("nodes", "m")
-        # The narrow rows of a hop are checkpointed: its pages are parsed once, whatever follows.
-        rows = materialize(cands.select(
-            "seed", F.lit(hop).alias("hop"), "pos", link["attrs"]["href"].alias("href"), T.trim_all(link["text"]).alias("link_text"),
-            U.origin_of("url").alias("origin"), U.base_dir_of("url").alias("base_dir"), "next_href")).checkpoint(eager=True)
-        hops.append(rows)
-        frontier = rows.where(F.col("next_href") != "").select(
-            "seed", U.canonical_url(U.resolve_host_relative("next_href", "origin", "base_dir", semantics)).alias("want")).distinct()
-    if not hops:
+    if n_pages <= 0:
         return article_items(pages.limit(0), semantics=semantics, **article_kwargs).withColumn("seed", _null()) \
             .withColumn("hop", F.lit(0)).withColumn("pos", F.lit(0).cast("bigint"))
-    links = hops[0]
-    for h in hops[1:]:
-        links = links.unionByName(h)
-    links = links.where(F.col("href").isNotNull() & (F.col("href") != ""))
-    links = links.select("seed", "hop", "pos", "link_text",
-                         U.resolve_host_relative(F.col("href"), F.col("origin"), F.col("base_dir"), semantics).alias("url"))
-    links = links.withColumn("canon", U.canonical_url("url"))
-    firsts = first_seen(links.withColumn("key", F.concat_ws("\u0001", "seed", "canon")), "key", ["hop", "pos"]).drop("key")
-    allowed = firsts.where(~F.lower("url").contains(rules.URL_BLOCK_TERM))
-    arts = keyed.select(F.col("page_id"), F.col("html"), F.col("canon").alias("a_canon"))
-    joined = allowed.join(arts, F.col("canon") == F.col("a_canon"), "inner")
-    art_rows = joined.select("page_id", "url", "html", "link_text", "seed", "hop", "pos")
-    out = article_items(art_rows, carry=("seed", "hop", "pos"), semantics=semantics, **article_kwargs)
-    # Feeds are bounded (max_pages listing pages); positions are numbered per seed.
-    from pyspark.sql.window import Window
-    w = Window.partitionBy("seed").orderBy("hop", "pos")
-    return out.withColumn("pos", (F.row_number().over(w) - 1).cast("bigint"))
+    checkpoint_dir(pages.sparkSession)
+    pages = pages.select("page_id", "url", "html")
+    newest_id = newest(pages.select("page_id", "url"), U.canonical_url("url"), "_canon", "page_id")
+    listings = listing_table(pages, semantics).join(newest_id.select("page_id"), "page_id", "left_semi").checkpoint(eager=True)
+    start = seeds.select(F.col("url").alias("seed")).distinct().withColumn("canon", U.canonical_url("seed"))
+    reached = chain_pages(listings.select("canon", "next_canon"), start, n_pages)
+    found = reached.join(listings.select("canon", "origin", "base_dir", "rank", "items"), "canon")
+    if strict:
+        found = found.withColumn("rank", F.when((F.col("hop") == 1) & F.col("rank").isNull(), F.raise_error(F.lit("No listing nodes found. Update selectors.")).cast("int"))
+                                 .otherwise(F.col("rank")))
+        found = materialize(found).where(F.coalesce(F.col("rank"), F.lit(0)) >= 0)
+    links = found.select("seed", "hop", "origin", "base_dir", F.posexplode("items").alias("pos", "m")).where(F.coalesce(F.col("m.link.href"), F.lit("")) != "")
+    links = links.select("seed", "hop", "pos", T.trim_all(F.col("m.link.text")).alias("link_text"),
+                         U.resolve_host_relative(F.col("m.link.href"), F.col("origin"), F.col("base_dir"), semantics).alias("link_url"))
+    links = links.withColumn("key", F.struct("seed", U.canonical_url("link_url").alias("canon")))
+    firsts = first_seen(links, "key", ["hop", "pos"]).withColumn("canon", F.col("key.canon")).drop("key")
+    allowed = firsts.where(~F.lower("link_url").contains(rules.URL_BLOCK_TERM))
+    placed = allowed.join(listings.select("canon", "page_id", "has_h1"), "canon")
+    # an article's own headline makes the link's text immaterial
+    placed = placed.select("seed", "hop", "pos", "link_url", "page_id", F.when(F.col("has_h1"), "").otherwise(F.col("link_text")).alias("link_text")).checkpoint(eager=True)
+    bodies = pages.join(placed.select("page_id", "link_text").distinct(), "page_id").withColumn("link_key", F.col("link_text"))
+    items = article_items(bodies, carry=("link_key",), semantics=semantics, **article_kwargs).checkpoint(eager=True)
+    back = placed.withColumnRenamed("link_text", "link_key").join(items.select("page_id", "link_key"), ["page_id", "link_key"])
+    numbered = number_rows(back, "seed", ["hop", "pos"], "_at").drop("pos").withColumnRenamed("_at", "pos")
+    return items.join(numbered, ["page_id", "link_key"]).withColumn("uri", F.col("link_url")).drop("link_url", "link_key")
 
 
 def _crawl_feed_sql() -> str:

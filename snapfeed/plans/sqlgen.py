@@ -44,12 +44,28 @@ def base_dir(url: str) -> str:
             f"ELSE regexp_replace({bare}, '/[^/]*$', '') END")
 
 
+def re2(pattern: str) -> str:
+    """A pattern without possessive quantifiers, which RE2 neither knows nor needs."""
+    return pattern.replace("++", "+").replace("*+", "*").replace("?+", "?")
+
+
+def links(content: str) -> str:
+    """List of {href, text} of the links with an href, in order."""
+    tag = r"""(?is)<a(\s(?:[^>"']|"[^"]*"|'[^']*')*)>(.*?)</a\s*>"""
+    href = r"""(?is)(?:^|\s)href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    value = f"regexp_extract(a, {q(href)}, 1)"
+    bare = f"CASE WHEN left({value}, 1) IN ('\"', chr(39)) THEN substr({value}, 2, length({value}) - 2) ELSE {value} END"
+    hrefs = f"list_transform(regexp_extract_all({content}, {q(tag)}, 1), lambda a: CASE WHEN regexp_matches(a, {q(href)}) THEN {bare} END)"
+    zipped = f"list_zip({hrefs}, regexp_extract_all({content}, {q(tag)}, 2))"
+    return f"list_filter(list_transform({zipped}, lambda z: struct_pack(href := z[1], text := z[2])), lambda l: l.href IS NOT NULL)"
+
+
 def content_html(x: str) -> str:
     return rx(x, H.NON_CONTENT_PATTERN)
 
 
 def paragraph_html_list(content: str) -> str:
-    parts = f"string_split_regex({content}, {q(H.P_OPEN_PATTERN)})"
+    parts = f"string_split_regex({content}, {q(re2(H.P_OPEN_PATTERN))})"
     return f"list_transform(({parts})[2:], lambda p: {rx('p', H.P_END_PATTERN)})"
 
 
@@ -59,7 +75,7 @@ def paragraph_text_list(content: str) -> str:
 
 def paragraph_struct_list(html: str) -> str:
     content = content_html(html)
-    openers = f"regexp_extract_all({content}, {q(H.P_OPEN_PATTERN)}, 0)"
+    openers = f"regexp_extract_all({content}, {q(re2(H.P_OPEN_PATTERN))}, 0)"
     return (f"list_transform({paragraph_html_list(content)}, "
             f"lambda p, i: struct_pack(open := ({openers})[i], html := p, text := {trim_all(strip_tags('p'))}))")
 

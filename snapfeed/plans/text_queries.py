@@ -50,26 +50,23 @@ WITH l AS (
   SELECT page_id,
          regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS origin,
          regexp_replace(regexp_replace(url, '[?#].*$', ''), '/[^/]*$', '') AS base_dir,
-         regexp_extract_all({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 1) AS hrefs,
-         regexp_extract_all({S.content_html('html')}, {S.q(H.LINK_PATTERN)}, 2) AS texts
-  FROM pages),
-e AS (SELECT page_id, origin, base_dir, CAST(unnest(range(0, len(hrefs))) AS BIGINT) AS pos,
-             unnest(hrefs) AS href, unnest(texts) AS link_text FROM l)
-SELECT page_id, pos, href, {S.trim_all(S.strip_tags('link_text'))} AS link_text,
-       CASE WHEN starts_with(href, 'http') THEN href
-            WHEN starts_with(href, '/') THEN origin || href
-            ELSE rtrim(base_dir, '/') || '/' || ltrim(href, '/') END AS url
-FROM e WHERE href IS NOT NULL AND href <> ''
+         {S.links(S.content_html('html'))} AS links
+  FROM {X.pages_sql('html', X.LINK_FORMS)}),
+e AS (SELECT page_id, origin, base_dir, CAST(unnest(range(0, len(links))) AS BIGINT) AS pos, unnest(links) AS k FROM l)
+SELECT page_id, pos, k.href AS href, {S.trim_all(S.strip_tags('k.text'))} AS link_text,
+       CASE WHEN starts_with(k.href, 'http') THEN k.href
+            WHEN starts_with(k.href, '/') THEN origin || k.href
+            ELSE rtrim(base_dir, '/') || '/' || ltrim(k.href, '/') END AS url
+FROM e WHERE k.href <> ''
 """
 
 
 @register("page_links", _LINKS_SQL)
 def page_links(spark, sf):
-    pages = load_table(spark, sf, "pages", ["page_id", "url", "html"])
-    c = H.content_html("html")
-    pairs = F.arrays_zip(H.link_hrefs(c).alias("href"), H.link_texts(c).alias("text"))
+    """NODE-5 + URL-1: every link of every page, after some derived ones with single-quoted, bare and upper-case ``href``."""
+    pages = X.pages_with(spark, sf, "html", X.LINK_FORMS)
     df = pages.select("page_id", U.origin_of("url").alias("origin"), U.base_dir_of("url").alias("base_dir"),
-                      F.posexplode(pairs).alias("pos", "l"))
+                      F.posexplode(H.links(H.content_html("html"))).alias("pos", "l"))
     return df.where(F.col("l.href") != "").select(
         "page_id", F.col("pos").cast("bigint").alias("pos"), F.col("l.href").alias("href"),
         T.trim_all(T.strip_tags(F.col("l.text"))).alias("link_text"),
@@ -158,10 +155,11 @@ def clean_content_strict(spark, sf):
     return pages.select("page_id", cleaners.clean_content("html", T.DOCUMENTED).alias("cleaned"))
 
 
-@register("drop_script_lines", f"SELECT doc_id, {S.drop_script_lines('text')} AS text FROM documents")
+@register("drop_script_lines", f"SELECT page_id, {S.drop_script_lines('html')} AS text FROM {X.pages_sql('html', X.SCRIPT_LINES)}")
 def drop_script_lines_q(spark, sf):
-    docs = load_table(spark, sf, "documents", ["doc_id", "text"])
-    return docs.select("doc_id", cleaners.drop_script_lines("text").alias("text"))
+    """STR-9 over whole pages, with derived lines that hold a script marker, a blank or a zero."""
+    pages = X.pages_with(spark, sf, "html", X.SCRIPT_LINES)
+    return pages.select("page_id", cleaners.drop_script_lines("html").alias("text"))
 
 
 @register("normalise_ws", f"SELECT page_id, {S.normalise_residue('html')} AS html FROM pages")

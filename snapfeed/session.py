@@ -1,12 +1,13 @@
 """Session construction and cluster-level settings.
 
 On a cluster the session is created by the platform; ``configure`` only fills
-in settings that are still unset, so cluster values always win.
+in settings that nobody has set, so cluster values win.  The time zone alone is always set: timestamps here are in UTC.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -19,6 +20,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Page HTML rows are large; keep Arrow batches small for the one Python stage.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
     # Broadcast only what is proven small: the auto threshold stays at Spark's default
     # (10 MB) and every explicit broadcast in this package is of a parameter table.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
@@ -49,8 +51,9 @@ def get_spark(master: str | None = None, app: str = "snapfeed", shuffle_partitio
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    given = spark.conf.getAll
     for key, value in _DEFAULTS.items():
-        if spark.conf.get(key, None) in (None, ""):
+        if key not in given:
             spark.conf.set(key, value)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
@@ -58,10 +61,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir`` if set, else a fresh
-    scratch folder (tests and local runs only)."""
+    """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir``.  Where that is unset a run on one machine gets a fresh
+    scratch folder; a cluster, whose machines would not see it, raises."""
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         current = tempfile.mkdtemp(prefix="snapfeed-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():

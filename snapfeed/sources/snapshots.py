@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -50,41 +50,32 @@ def fresh_snapshot(snapshots: DataFrame, key: str, ts: str, as_of: Column, ttl_s
     return agg.select(key, *[F.col("_s")[c].alias(c) for c in [ts, *value_cols]])
 
 
-def assert_nonempty(df: DataFrame, message: str) -> DataFrame:
-    """SRC-6: raise ``message`` when ``df`` has no rows (one ``limit(1)`` action)."""
-    if not df.limit(1).take(1):
-        raise RuntimeError(message)
-    return df
-
-
-def follow_chain(pages: DataFrame, seeds: DataFrame, next_url: Column, max_pages: int | None,
-                 url_col: str = "url") -> DataFrame:
-    """SRC-7: from each seed URL follow the page's next link up to ``max_pages`` pages.
-
-    ``next_url`` is an expression over a pages row giving the resolved next URL (null/''
-    when absent).  Each hop is one equi-join of the frontier with the pages table on URL;
-    hops stop when the frontier is empty or the bound is reached.  0/None gives no pages.
-    Output: (chain, hop, url, <pages columns>)."""
-    n = int(max_pages or 0)
-    cols = pages.columns
-    if n <= 0:
-        return pages.limit(0).select(F.lit(None).cast("string").alias("chain"), F.lit(0).alias("hop"), *cols)
-    pages_next = pages.withColumn("_next", next_url).alias("pn")
-    frontier = seeds.select(F.col(url_col).alias("chain"), F.col(url_col).alias("_want"))
-    hops = []
-    for hop in range(1, n + 1):
-        found = frontier.alias("fr").join(pages_next, F.col("fr._want") == F.col(f"pn.{url_col}"), "inner")
-        step = found.select(F.col("fr.chain").alias("chain"), F.lit(hop).alias("hop"),
-                            *[F.col(f"pn.{c}").alias(c) for c in cols], F.col("pn._next").alias("_next"))
-        hops.append(step.drop("_next"))
-        frontier = step.where(F.col("_next").isNotNull() & (F.col("_next") != "")) \
-            .select("chain", F.col("_next").alias("_want"))
-    out = hops[0]
-    for h in hops[1:]:
-        out = out.unionByName(h)
-    return out
-
-
-def write_feed(items: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """SNK-1: feed items partitioned by feed; order is kept in the ``pos`` column."""
-    items.write.mode(mode).partitionBy("feed").parquet(path)
+def chain_pages(links: DataFrame, seeds: DataFrame, max_pages: int) -> DataFrame:
+    """SRC-7 on narrow rows: (seed, canon, hop) of the stored pages that the chain of each seed (seed, canon) reaches in
+    ``max_pages`` pages, the seed's own being hop 1.  ``links`` has (canon, next_canon) of every stored page, once each.
+
+    Pointer doubling: what is reached in up to n pages meets the jumps of n pages, and the jumps meet themselves, so
+    the joins are as many as ``max_pages`` has binary digits.  A page that is not stored ends its chain."""
+    stored = links.select(F.col("canon").alias("_stored"))
+    reached = seeds.select("seed", "canon").join(stored, F.col("canon") == F.col("_stored")).select("seed", "canon", F.lit(1).alias("hop"))
+    jumps = links.where("next_canon is not null").join(stored, F.col("next_canon") == F.col("_stored")).select(F.col("canon").alias("_from"), F.col("next_canon").alias("_to"))
+    done = 1
+    while done < max_pages:
+        further = reached.where(F.col("hop") <= max_pages - done).join(jumps, F.col("canon") == F.col("_from"))
+        reached = reached.unionByName(further.select("seed", F.col("_to").alias("canon"), (F.col("hop") + done).alias("hop"))).checkpoint(eager=True)
+        done *= 2
+        if done < max_pages:
+            second = jumps.select(F.col("_from").alias("_middle"), F.col("_to").alias("_end"))
+            jumps = jumps.join(second, F.col("_to") == F.col("_middle")).select("_from", F.col("_end").alias("_to")).checkpoint(eager=True)
+    return reached
+
+
+def write_feed(items: DataFrame, path: str, mode: str = "overwrite", nonempty: str | None = None) -> int:
+    """SNK-1: feed items partitioned by feed; order is kept in the ``pos`` column.  Gives the number of items, which the writing job
+    counts as they pass (no second run over the input).  SRC-6: with ``nonempty`` a job without items raises that message."""
+    seen = Observation("feed")
+    items.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).partitionBy("feed").parquet(path)
+    rows = seen.get["rows"]
+    if nonempty is not None and not rows:
+        raise RuntimeError(nonempty)
+    return rows

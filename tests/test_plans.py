@@ -1,6 +1,8 @@
 """Plan-level checks: entry contract, node tree vs native extraction, streaming = batch,
 and the physical plan shapes the scale design relies on."""
 
+import os
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -22,9 +24,8 @@ def test_entry_contract(spark):
 
 def test_node_tree_agrees_with_native_extraction(spark):
     pages = load_table(spark, SF_SMALL, "pages", ["page_id", "url", "html"])
-    nodes = N.page_nodes(pages)
-    tree = nodes.select("page_id", F.btrim(N.first(F.col("nodes"), "h1")["text"]).alias("h1"),
-                        F.transform(N.select(F.col("nodes"), "a"), lambda a: a["attrs"]["href"]).alias("links"))
+    nodes = N.extract(pages, {"h1": N.Want("h1", ("text",), first=True), "a": N.Want("a", ("attrs",))})
+    tree = nodes.select("page_id", F.btrim(F.col("h1.text")).alias("h1"), F.transform("a", lambda a: N.attr(a, "href")).alias("links"))
     native = pages.select("page_id", H.first_tag_text("html", "h1").alias("h1_n"),
                           H.link_hrefs(H.content_html("html")).alias("links_n"))
     diff = tree.join(native, "page_id").where((F.col("h1") != F.col("h1_n")) | (F.col("links") != F.col("links_n")))
@@ -43,18 +44,15 @@ FIXTURE = """<html><body><div id="article"><div class="mar-article"><div>
 
 
 def test_selectors_on_fixture(spark):
-    from snapfeed.functions import rules, urls as U
+    from snapfeed.functions import rules
     from snapfeed.operators import images as I
     pages = spark.createDataFrame([(1, "https://www.echo-news.co.uk/news/x", FIXTURE)], "page_id long, url string, html string")
-    nodes = N.page_nodes(pages)
-    cont = N.first(F.col("nodes"), rules.TAGS_CONTAINER_SELECTOR)
-    tags = F.filter(F.transform(N.within(F.col("nodes"), cont, rules.TAG_SELECTOR), lambda n: F.btrim(n["text"])),
-                    lambda t: t != "")
-    out = I.hero_image(nodes.select("*", tags.alias("tags")), "nodes", F.lit(rules.NEWS_BASE),
-                       F.lit("https://www.echo-news.co.uk/news"))
-    r = out.select("tags", "image", I.page_image(F.col("nodes"), F.lit(rules.HTML_SITE)).alias("og"),
-                   F.transform(N.select(F.col("nodes"), rules.MODEL_LINK_SELECTOR), lambda n: n["attrs"]["href"]).alias("links")
-                   ).first()
+    wants = {"box": N.Want(rules.TAGS_CONTAINER_SELECTOR, ("node_id",), first=True), "tag": N.Want(rules.TAG_SELECTOR, ("text",), within="box"),
+             "links": N.Want(rules.MODEL_LINK_SELECTOR, ("attrs",)), **I.hero_wants(), **I.PAGE_IMAGE_WANTS}
+    read = N.extract(pages, wants).withColumn("tags", F.filter(F.transform("tag", lambda n: F.btrim(n["text"])), lambda t: t != ""))
+    out = I.hero_image(read, F.lit(rules.NEWS_BASE), F.lit("https://www.echo-news.co.uk/news"))
+    r = out.select("tags", "image", I.page_image(F.lit(rules.HTML_SITE)).alias("og"),
+                   F.transform("links", lambda n: N.attr(n, "href")).alias("links")).first()
     assert list(r["tags"]) == ["Politics", "Local"]
     # hero logo is block-listed; the content image under div.ad is skipped; srcset best wins
     assert r["image"] == "https://www.echo-news.co.uk/s2.jpg"
@@ -143,17 +141,23 @@ def test_article_items_dom_branches(spark):
 
 def test_write_feed_and_nonempty(spark, tmp_path):
     import pytest
-    from snapfeed.sources.snapshots import assert_nonempty, write_feed
+    from snapfeed.sources.snapshots import write_feed
     items = spark.createDataFrame([("news", "a", 0), ("news", "b", 1), ("models", "c", 0)],
                                   "feed string, title string, pos long")
     out = str(tmp_path / "feed")
-    write_feed(items, out)
+    assert write_feed(items, out) == 3
     back = spark.read.parquet(out)
     assert sorted((r["feed"], r["pos"], r["title"]) for r in back.collect()) == \
         [("models", 0, "c"), ("news", 0, "a"), ("news", 1, "b")]
-    assert assert_nonempty(items, "x") is items
+    runs = spark.sparkContext.accumulator(0)
+
+    def one(row):
+        runs.add(1)
+        return row
+    once = spark.createDataFrame(items.rdd.map(one), items.schema)
+    assert write_feed(once, str(tmp_path / "once"), nonempty="x") == 3 and runs.value == 3  # counted by the job that writes
     with pytest.raises(RuntimeError, match="No listing nodes"):
-        assert_nonempty(items.where("false"), "No listing nodes found. Update selectors.")
+        write_feed(items.where("false"), str(tmp_path / "none"), nonempty="No listing nodes found. Update selectors.")
 
 
 LISTING1 = ("<html><body><ul class='listing'><li><a href='/news/a1'>One</a></li>"
@@ -268,28 +272,228 @@ def test_crawl_pages_apart_by_query_and_one_snapshot_each(spark):
     assert got == [["Article one"], ["Article one", "Article three"], ["Article one", "Article three"]]
 
 
-def test_crawl_parses_each_hop_once(spark):
-    """Three listing pages a seed: the plan that remains reads pages for the choice of snapshots and for the
-    articles only, and its one node stage is the articles'."""
+def _exchanges_of(df, column):
+    """Exchanges of the physical plan that carry a column."""
+    import re
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    parts = re.split(r"\n\n\n?(?=\(\d+\) )", text)
+    return sum(bool(re.match(r"\(\d+\) \w*Exchange", x)) and f"{column}#" in x for x in parts)
+
+
+def test_crawl_shuffles_bodies_once(spark, monkeypatch):
+    """However many listing pages a seed has: the article job sees each page that is an article once for all seeds, and its body was in
+    one exchange."""
     from snapfeed.operators.terms import Terms
-    from snapfeed.plans.news import news_crawl_items
-    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "url", "html")
-    plan = news_crawl_items(pages, pages.select("url"), max_pages=3, terms=Terms())._jdf.queryExecution().executedPlan().toString()
-    one = news_crawl_items(pages, pages.select("url"), max_pages=1, terms=Terms())._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == one.count("FileScan") and plan.count("MapInPandas") == one.count("MapInPandas") == 1
+    from snapfeed.plans import news
+    seen = []
+    job = news.article_items
+    monkeypatch.setattr(news, "article_items", lambda pages, *a, **b: seen.append(pages) or job(pages, *a, **b))
+    body = "flood words in this article body text " * 4
+    listing = "<html><body><main id='content'><a href='/news/a{}'>link {}</a><a href=/news/a9>nine {}</a></main><a class='pagination__next' href='/l{}'>n</a></body></html>"
+    pages = [(i, f"https://news.example/l{i}", listing.format(i, i, i, i + 1)) for i in range(6)]
+    pages += [(100 + i, f"https://news.example/news/a{i}", ARTICLE.format(t=f"Story {i}", b=body)) for i in range(9)]
+    pages += [(109, "https://news.example/news/a9", f"<p>{body}</p>")]  # without a headline: titled by its links
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    seeds = df.where("page_id < 4").select("url")
+    for hops in (1, 3):
+        rows = news.news_crawl_items(df, seeds, max_pages=hops, terms=Terms()).collect()
+        got = sorted((r["seed"][-1], r["pos"], r["title"]) for r in rows)
+        expected = []
+        for s in range(4):
+            chain = list(range(s, min(6, s + hops)))
+            expected += [(str(s), 0, f"Story {s}"), (str(s), 1, f"nine {s}")] + [(str(s), 1 + n, f"Story {i}") for n, i in enumerate(chain) if n]
+        assert got == sorted(expected)
+        reached = set(range(0, min(6, 3 + hops)))
+        texts = {r["page_id"]: r["n"] for r in seen[-1].groupBy("page_id").agg(F.count("*").alias("n")).collect()}
+        assert texts == {100 + i: 1 for i in reached} | {109: 4}  # once each, but for the links' texts of the one without a headline
+        assert _exchanges_of(seen[-1], "html") <= 1
+
+
+def test_chain_pages(spark):
+    """Pointer doubling against a walk, with ends, pages that are not stored, and circles."""
+    from snapfeed.sources.snapshots import chain_pages
+    nxt = {"a": "b", "b": "c", "c": "d", "d": None, "e": "missing", "f": "g", "g": "f", "h": "h", **{f"n{i}": f"n{i + 1}" for i in range(40)}}
+    links = spark.createDataFrame(list(nxt.items()), "canon string, next_canon string")
+    seeds = spark.createDataFrame([(f"seed {k}", k) for k in [*nxt, "nowhere"]], "seed string, canon string")
+    for n in (1, 2, 3, 7):
+        expected = set()
+        for k in nxt:
+            at = k
+            for hop in range(1, n + 1):
+                expected.add((f"seed {k}", at, hop))
+                at = nxt[at]
+                if at not in nxt:
+                    break
+        rows = chain_pages(links, seeds, n).collect()
+        assert len(rows) == len(expected) and {(r["seed"], r["canon"], r["hop"]) for r in rows} == expected
+
+
+AWKWARD = ["<p class=a id='b'>one<li>item</li><p>two</p>three<p title=x>four</div>five</p>", "<div><p>a<b>b</b><br>c</div>d<p>e<h2>f</h2><p >g",
+           "<P>up<table><tr><td><p>in</p></td></tr></table>", "x < 3 <p>5 < 10 and 12 > 11</p>", "<p><p><p>last", "", "no paragraph",
+           "<p title='a>b'>x</p>", "<p>a<style>p {b: c}</style>b</p>", "<p>a<p/>b</p>", "<p a=\"1>2\" b='\"' c>q</p><p =x>r</p>", "<p don't>s</p><p>it's</p>"]
 
 
 def test_fronts_agree(spark):
-    """Native and node-table extraction give the same paragraphs, on the corpus and on awkward markup."""
-    from snapfeed.operators import nodes as N
+    """Flat patterns and the tag reader give the same paragraphs, on the corpus and on awkward markup.  (An end tag of an element that is not a
+    block ends a paragraph inside it in the tree alone.)"""
     from snapfeed.operators.article import paragraphs
-    awkward = ["<p class=a id='b'>one<li>item</li><p>two</p>three<p title=x>four</div>five</p>", "<div><p>a<b>b</b><br>c</div>d<p>e<h2>f</h2><p >g",
-               "<P>up<table><tr><td><p>in</p></td></tr></table>", "x < 3 <p>5 < 10 and 12 > 11</p>", "<p><p><p>last", "", "no paragraph"]
-    rows = [(i, "u", h) for i, h in enumerate(awkward)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").union(
+    pages = spark.createDataFrame([(i, "u", h) for i, h in enumerate(AWKWARD)], "page_id long, url string, html string").union(
         spark.read.parquet(f"{SF_SMALL}/pages.parquet").selectExpr("page_id + 1000", "url", "html"))
     native = {r[0]: [(p["open"], p["html"]) for p in r[1]] for r in pages.select("page_id", paragraphs("html")).collect()}
-    from snapfeed.functions import html as H
-    dom = N.page_nodes(pages.withColumn("html", H.content_html("html")), keep=["p"])
-    found = {r["page_id"]: [(n["open_tag"], n["inner_html"]) for n in r["nodes"]] for r in dom.collect()}
+    dom = N.extract(pages.withColumn("html", H.content_html("html")), {"p": N.Want("p", ("open_tag", "inner_html"))})
+    found = {r["page_id"]: [(n["open_tag"], n["inner_html"]) for n in r["p"]] for r in dom.collect()}
     assert found == native
+
+
+def test_image_does_not_change_the_body(spark):
+    """The same article with and without an image, time or container has one body: there is one extraction."""
+    from snapfeed.operators.terms import Terms
+    long = "words of this paragraph that are long enough to stay in the body "
+    body = f"<h1>T</h1><p class='x y'>{long}one</p><p>{long}<style>x {{}}</style>two</p><p/>{long}three<li>"
+    rows = [(i, f"https://n.example/{i}", h) for i, h in enumerate([body, "<img src='/x.jpg'><time datetime='2024-01-01'>t</time>" + body])]
+    got = article_items(spark.createDataFrame(rows, "page_id long, url string, html string"), terms=Terms()).collect()
+    assert len(got) == 2 and got[0]["content"] == got[1]["content"] and got[0]["summary"] == got[1]["summary"]
+    assert all(w in got[0]["content"] for w in ("one", "two", "three")) and "{" not in got[0]["content"]
+
+
+def test_link_forms(spark):
+    """Double-quoted, single-quoted and bare ``href``, in any case and place, by the pattern and by the tag reader."""
+    html = ("<a href=\"/1\">a</a><a href='/2'>b</a><a href=/3>c</a><A class='x' HREF = '/4' id=z>d</A><a data-href='/no'>e</a>"
+            "<a title='href=/no > x' href=\"/5?a=1&amp;b=2\">f</a><a name=q>g</a><a href>h</a><a\nhref='/6'\n>i</a ><a href=''>j</a>")
+    df = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    got = df.select(H.links("html").alias("l")).first()["l"]
+    assert [(x["href"], x["text"]) for x in got] == [("/1", "a"), ("/2", "b"), ("/3", "c"), ("/4", "d"), ("/5?a=1&amp;b=2", "f"), ("/6", "i"), ("", "j")]
+    read = N.extract(df, {"a": N.Want("a[href]", ("link",))}).first()["a"]
+    assert [x["link"]["href"] for x in read] == ["/1", "/2", "/3", "/4", "/5?a=1&b=2", "", "/6", ""]
+
+
+class _Walk:
+    """The element list of a page by the standard library's parser and plain lists, for ``test_automaton``."""
+
+    def __init__(self, html):
+        from html.parser import HTMLParser
+        walk = self
+        self.nodes, self.stack = [], []
+
+        class P(HTMLParser):
+            def handle_starttag(self, tag, attrs):
+                if tag in N.P_CLOSERS:
+                    walk.close_paragraph()
+                names = {}
+                for k, v in attrs:
+                    names.setdefault(k, v or "")
+                node = {"id": len(walk.nodes), "tag": tag, "attrs": names, "path": list(walk.stack), "text": ""}
+                walk.nodes.append(node)
+                if tag not in N.VOID_TAGS:
+                    walk.stack.append(node)
+
+            def handle_startendtag(self, tag, attrs):
+                self.handle_starttag(tag, attrs)
+                if tag not in N.VOID_TAGS and tag != "p":
+                    walk.stack.pop()
+
+            def handle_endtag(self, tag):
+                if tag in N.P_CLOSERS and tag != "p":
+                    walk.close_paragraph()
+                for i in range(len(walk.stack) - 1, -1, -1):
+                    if walk.stack[i]["tag"] == tag:
+                        del walk.stack[i:]
+                        break
+
+            def handle_data(self, data):
+                if not any(n["tag"] in N.RAW_TEXT for n in walk.stack):
+                    for n in walk.stack:
+                        n["text"] += data
+
+            def handle_entityref(self, name):
+                self.handle_data(f"&{name};")
+
+            def handle_charref(self, name):
+                self.handle_data(f"&#{name};")
+        p = P(convert_charrefs=False)
+        p.feed(html)
+        p.close()
+
+    def close_paragraph(self):
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i]["tag"] == "p":
+                del self.stack[i:]
+                return
+            if self.stack[i]["tag"] in N.P_CLOSERS:
+                return
+
+    def matches(self, selector):
+        def own(node, c):
+            return ((c.tag is None or node["tag"] == c.tag) and (c.elem_id is None or node["attrs"].get("id") == c.elem_id)
+                    and all(x in node["attrs"].get("class", "").split() for x in c.classes) and all(k in node["attrs"] and v in (None, node["attrs"][k]) for k, v in c.attrs))
+
+        def chain(node, parts):
+            if not own(node, parts[-1][1]):
+                return False
+            if len(parts) == 1:
+                return True
+            above = node["path"][-1:] if parts[-1][0] == ">" else node["path"]
+            return any(chain(a, parts[:-1]) for a in above)
+        return [n for n in self.nodes if any(chain(n, parts) for parts in N.parse_selector(selector))]
+
+
+def test_automaton():
+    """Random pages and selectors: the automaton's matches, texts and containers are those of a walk over the tree."""
+    import random
+    rng = random.Random(6)
+    selectors = ["p", "div p", "div > p", "ul li a", "ul > li > a", ".x", "#i", "div.x > ul .y", "li.y, p.x", "*", "a[href]", "[k=v] p", "div div > p b", "section > * > b"]
+    tags = ["div", "p", "ul", "li", "a", "b", "section", "span", "img", "br", "h2"]
+    wants = {f"w{i}": N.Want(x, ("node_id", "text", "depth", "tag")) for i, x in enumerate(selectors)}
+    wants |= {"box": N.Want("div.x", ("node_id",), first=True), "inside": N.Want("b, p", ("node_id",), within="box"), "either": N.Want(("nav", "section b", "p"), ("node_id",))}
+    reader = N.Reader(wants)
+    for _ in range(300):
+        parts = []
+        for _ in range(rng.randrange(40)):
+            tag = rng.choice(tags)
+            attrs = "".join(rng.choice(["", "", " class=x", " class='y x'", " id=i", " href='/q'", " k=\"v\"", " t='>'"]) for _ in range(2))
+            parts.append(rng.choice([f"<{tag}{attrs}>", f"<{tag}{attrs}>", f"</{tag}>", f"</{tag}>", "text &amp; ", "<!-- <p> -->", "<script>if (a<b) '<p>'</script>", f"<{tag.upper()}{attrs} />"]))
+        html = "".join(parts)
+        walk, read = _Walk(html), reader.read(html)
+        for i, x in enumerate(selectors):
+            assert [(n["node_id"], n["text"], n["depth"], n["tag"]) for n in read[f"w{i}"][1]] == [(n["id"], n["text"], len(n["path"]), n["tag"]) for n in walk.matches(x)], (x, html)
+        box = walk.matches("div.x")[:1]
+        assert [n["node_id"] for n in read["inside"][1]] == [n["id"] for n in walk.matches("b, p") if box and box[0] in n["path"]]
+        tried = [(i + 1, [n["id"] for n in walk.matches(x)]) for i, x in enumerate(("nav", "section b", "p"))]
+        assert (read["either"][0], [n["node_id"] for n in read["either"][1]]) == next(((i, m) for i, m in tried if m), (None, []))
+
+
+def test_only_what_is_asked_for(spark):
+    """A request for one small field of a page does not bring its text or markup along, and long pages go out in several batches."""
+    deep = "<div>" * 300 + "x" * 100_000 + "</div>" * 300 + "<p class=z>small</p>"
+    df = spark.createDataFrame([(i, "u", deep) for i in range(60)], "page_id long, url string, html string")
+    read = N.extract(df, {"z": N.Want("p.z", ("text",)), "divs": N.Want("div", ("node_id",))})
+    rows = read.collect()
+    assert all(r["z"][0]["text"] == "small" and len(r["divs"]) == 300 for r in rows) and len(rows) == 60
+
+
+def test_merge_sink(spark, tmp_path):
+    """Update-mode batches merged by key: a restart goes on, a batch written twice counts once, a compaction changes nothing, and
+    the counts are those of the whole table after every file."""
+    from snapfeed.streaming import incremental as ST
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    source, sink, ckpt = str(tmp_path / "in"), ST.MergeSink(str(tmp_path / "sink"), ("window_start", "window_end", "user_id")), str(tmp_path / "ckpt")
+    os.makedirs(source)
+    stream = spark.readStream.schema(events.schema).parquet(source)
+    agg = ST.trailing_popularity(stream, "user_id", "ts", delay="1 day")
+    assert sink.read(spark, agg.schema).count() == 0
+    seen = None
+    for day, n in enumerate((5, 12, 13, 25, 31)):
+        start = 0 if seen is None else seen
+        events.where(F.dayofmonth("ts").between(start + 1, n)).coalesce(1).write.mode("append").parquet(source)
+        seen = n
+        ST.run_merged(agg, sink, ckpt, compact_every=2)
+        got = {(str(r["window_start"]), r["user_id"]): r["n"] for r in sink.read(spark, agg.schema).collect()}
+        batch = ST.trailing_popularity(spark.read.parquet(source), "user_id", "ts")
+        expected = {(str(r["window_start"]), r["user_id"]): r["n"] for r in batch.collect()}
+        assert got == expected and sum(got.values()) == 7 * spark.read.parquet(source).count()
+    again = spark.createDataFrame([(r["window_start"], r["window_end"], r["user_id"], r["n"]) for r in sink.read(spark, agg.schema).limit(5).collect()], agg.schema)
+    for _ in range(2):
+        sink.write(again.withColumn("n", F.col("n") + 1), 1000)
+    assert sum(r["n"] for r in sink.read(spark, agg.schema).collect()) == sum(got.values()) + 5
+    sink.compact(spark, agg.schema, 1000)
+    assert sink.base(spark) == 1000 and sum(r["n"] for r in sink.read(spark, agg.schema).collect()) == sum(got.values()) + 5
