@@ -15,11 +15,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import partitions, prepare, release, stored, word_chunks
+from .common import bitmap, in_bitmap, partitions, prepare, release, stored, word_chunks
 
 FILTERS = "ABCDE"
 #: Bytes of distinct texts in one task's ranges, and the least a range is cut for.
@@ -90,12 +91,14 @@ def merge(into: list | None, least, at_least: int, rows: int, without: int) -> l
 
 
 class Trie:
-    """A compressed trie of byte strings.  A node is [label, children by first byte, terminal or None]."""
+    """A compressed trie of byte strings.  A node is [label, children by first byte, terminal or None]; a terminal is
+    [its number, counts by group]."""
 
     def __init__(self) -> None:
         self.root: list = [b"", {}, None]
+        self.size = 0
 
-    def terminal(self, data: bytes) -> dict:
+    def terminal(self, data: bytes) -> list:
         """The terminal of ``data``, put in if need be."""
         node, at = self.root, 0
         while at < len(data):
@@ -112,10 +115,11 @@ class Trie:
                 node[1][data[at]] = upper
                 node, at = upper, at + same
         if node[2] is None:
-            node[2] = {}
+            node[2] = [self.size, {}]
+            self.size += 1
         return node[2]
 
-    def terminals(self) -> Iterator[dict]:
+    def terminals(self) -> Iterator[list]:
         open_ = [self.root]
         while open_:
             _, children, terminal = open_.pop()
@@ -131,40 +135,48 @@ def _common(label: bytes, data: bytes, at: int) -> int:
     return int(differ.argmax()) if differ.any() else n
 
 
-#: Equal texts of a part, by their labels, on the way to their trie.
-COMBINED = "range long, part string, good boolean, toxic boolean, mask int, least {}, at_least long, rows long, without long, text binary"
+#: Equal texts of a part on the way to their trie; ``named`` has the ids among them that may have a label.
+COMBINED = "range long, part string, mask int, least {0}, at_least long, rows long, without long, named array<{0}>, text binary"
+#: What a task's tries give: rows counted by part and mask (``n`` set), the ids that may have a label, by their text's number, and of these texts
+#: the least id (``n`` and ``part`` null).
+COUNTED = "part string, mask int, n long, of long, id {}"
 
 
-def _combine(docs: DataFrame, cut: dict[int, set[int]]) -> DataFrame:
-    """(key, text, part, good, toxic) as ``COMBINED`` rows: equal texts of up to ``HELD`` bytes of a task become one row for each
-    (part, good, toxic)."""
-    shared = docs.sparkSession.sparkContext.broadcast(cut)
+def _combine(docs: DataFrame, cut: dict[int, set[int]], bits: np.ndarray) -> DataFrame:
+    """(key, text, part, h) as ``COMBINED`` rows: equal texts of up to ``HELD`` bytes of a task become one row for each part."""
+    context = docs.sparkSession.sparkContext
+    shared, labelled = context.broadcast(cut), context.broadcast(bits)
     key_type = to_arrow_type(docs.schema["key"].dataType)
 
     def rows(held: dict) -> Iterator[pa.RecordBatch]:
-        flat = [(text, *group, *counts) for text, groups in held.items() for group, counts in groups.items()]
-        size = np.cumsum([len(r[0]) for r in flat])
+        flat = [(text, part, *counts) for text, groups in held.items() for part, counts in groups.items()]
+        size = np.cumsum([len(r[0]) + 16 * len(r[-1]) for r in flat])
         cuts = np.unique(np.append(0, np.searchsorted(size, np.arange(1 << 20, size[-1], 1 << 20)))).tolist()
         known = {text: (range_of(text, shared.value), own_mask(text)) for text in held}
         for at, end in zip(cuts, [*cuts[1:], len(flat)], strict=True):
             some = flat[at:end]
             column = lambda i: [r[i] for r in some]
             yield pa.RecordBatch.from_arrays([
-                pa.array([known[r[0]][0] for r in some], pa.int64()), pa.array(column(1), pa.string()), pa.array(column(2), pa.bool_()),
-                pa.array(column(3), pa.bool_()), pa.array([known[r[0]][1] for r in some], pa.int32()), pa.array(column(4), key_type),
-                *(pa.array(column(i), pa.int64()) for i in (5, 6, 7)), pa.array(column(0), pa.binary())],
-                names=["range", "part", "good", "toxic", "mask", "least", "at_least", "rows", "without", "text"])
+                pa.array([known[r[0]][0] for r in some], pa.int64()), pa.array(column(1), pa.string()), pa.array([known[r[0]][1] for r in some], pa.int32()),
+                pa.array(column(2), key_type), *(pa.array(column(i), pa.int64()) for i in (3, 4, 5)), pa.array(column(6), pa.list_(key_type)),
+                pa.array(column(0), pa.binary())], names=["range", "part", "mask", "least", "at_least", "rows", "without", "named", "text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, dict] = {}
         size = 0
         for b in batches:
-            for key, text, *group in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            may = in_bitmap(labelled.value, b.column(3).to_numpy().view(np.uint64)).tolist()
+            for key, text, part, named in zip(*(c.to_pylist() for c in b.columns[:3]), may, strict=True):
                 groups = held.get(text)
                 if groups is None:
                     groups = held[text] = {}
                     size += len(text)
-                groups[tuple(group)] = merge(groups.get(tuple(group)), key, int(key is not None), 1, int(key is None))
+                own = groups[part] = merge(groups.get(part), key, int(key is not None), 1, int(key is None))
+                if len(own) == 4:
+                    own.append([])
+                if named and key is not None:
+                    own[4].append(key)
+                    size += 16
             if size >= HELD:
                 yield from rows(held)
                 held, size = {}, 0
@@ -173,30 +185,47 @@ def _combine(docs: DataFrame, cut: dict[int, set[int]]) -> DataFrame:
         del held
         release()
 
-    return docs.select("key", "text", "part", "good", "toxic").mapInArrow(run, COMBINED.format(docs.schema["key"].dataType.simpleString()))
+    return docs.select("key", "text", "part", "h").mapInArrow(run, COMBINED.format(docs.schema["key"].dataType.simpleString()))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One task's ranges: (part, mask, good, toxic, rows)."""
-    trie = Trie()
+    """One task's ranges as ``COUNTED`` rows.  Ids that may have a label pass through; a terminal holds counts only."""
+    trie, task = Trie(), TaskContext.get().partitionId() if TaskContext.get() else 0
+    key_type = None
+
+    def out(part, mask, n, of, ids) -> pa.RecordBatch:
+        columns = (part, mask, n, of, ids)
+        kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), key_type)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["part", "mask", "n", "of", "id"])
+
+    asked: set[int] = set()
     for b in batches:
-        for _, part, good, toxic, mask, least, at_least, rows, without, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            own = trie.terminal(text)
-            own[part, mask, good, toxic] = merge(own.get((part, mask, good, toxic)), least, at_least, rows, without)
+        key_type = b.column(3).type
+        passed: list[tuple] = []
+        for _, part, mask, least, at_least, rows, without, named, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            number, own = trie.terminal(text)
+            own[part, mask] = merge(own.get((part, mask)), least, at_least, rows, without)
+            if named:
+                asked.add(number)
+                passed += [(part, mask, None, task << 40 | number, key) for key in named]
+        if passed:
+            yield out(*zip(*passed, strict=True))
     found: dict[tuple, int] = {}
-    for own in trie.terminals():
+    leasts: list[tuple] = []
+    for number, own in trie.terminals():
         first = min((g[0] for g in own.values() if g[0] is not None), default=None)
-        for (part, mask, good, toxic), (least, at_least, rows, without) in own.items():
+        if number in asked:
+            leasts.append((None, None, None, task << 40 | number, first))
+        for (part, mask), (least, at_least, rows, without) in own.items():
             new = without + (at_least if least is not None and least == first else 0)
             for m, n in ((mask, new), (mask | REPEATED, rows - new)):
                 if n:
-                    found[part, m, good, toxic] = found.get((part, m, good, toxic), 0) + n
+                    found[part, m] = found.get((part, m), 0) + n
     del trie
     release()
-    if found:
-        part, mask, good, toxic = zip(*found, strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array(mask, pa.int32()), pa.array(good, pa.bool_()), pa.array(toxic, pa.bool_()),
-                                          pa.array(list(found.values()), pa.int64())], names=["part", "mask", "good", "toxic", "rows"])
+    for some in (leasts, [(part, mask, n, None, None) for (part, mask), n in found.items()]):
+        for at in range(0, len(some), 10_000):
+            yield out(*zip(*some[at: at + 10_000], strict=True))
 
 
 def masks(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", part: str = "lang", good: str = "quality", toxic: str = "toxic") -> DataFrame:
@@ -206,16 +235,32 @@ def masks(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     A: under 100 words.  B: distinct words under 80 % of the words.  C: over 10 % of the code points are A-Z.  D: one of ``MARKS``.
     E: another row anywhere with the same text has a smaller key.  Null texts count as empty, null parts as the empty string; a
     null key is neither smaller nor larger than any other and has no labels; repeated rows count each, and none repeats the other.
-    A key with several labels has what any of them says."""
+    A key with several labels has what any of them says.
+
+    Texts are shuffled once.  Labels meet ids, not texts: a bitmap of fixed size tells which ids may have a label, the tries pass
+    these on with their text's number, and an exact join leaves the others out."""
     prepare(docs.sparkSession)
     cut, tasks = plan(docs, text)
-    named = labels.select(F.col(key).alias("of"), F.col(good).alias("good"), F.col(toxic).alias("toxic")).where("of is not null")
-    named = named.groupBy("of").agg(F.max(F.col("good") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic")).where("good or toxic")
+    named = labels.select(F.col(key).alias("id"), F.col(good).alias("good"), F.col(toxic).alias("toxic")).where("id is not null")
+    named = named.groupBy("id").agg(F.max(F.col("good") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic")).where("good or toxic")
+    # both sides' ids as text, so that equal ids of two types have one hash
+    hashed = lambda c: F.coalesce(F.xxhash64(F.col(c).cast("string")), F.lit(0))
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"), F.coalesce(F.col(part), F.lit("")).alias("part"))
-    rows = rows.join(named, F.col("key") == F.col("of"), "left").withColumn("good", F.coalesce("good", F.lit(False))).withColumn("toxic", F.coalesce("toxic", F.lit(False)))
-    counted = _combine(rows, cut).repartition(tasks, "range").mapInArrow(_count, "part string, mask int, good boolean, toxic boolean, rows long")
-    only = lambda c: F.coalesce(F.sum(F.when(F.col(c), F.col("rows"))), F.lit(0)).alias(c)
-    return counted.groupBy("part", "mask").agg(F.sum("rows").alias("n"), only("good"), only("toxic"))
+    combined = _combine(rows.withColumn("h", hashed("key")), cut, bitmap(named.select(hashed("id").alias("h")), "h"))
+    kind = docs.schema[key].dataType.simpleString()
+    counted = stored(combined.repartition(tasks, "range").mapInArrow(_count, COUNTED.format(kind)), "audit-counts")
+    # Repeated ids are counted before they meet their labels, and a text's rows before they meet its least id: no hot keys.
+    ids = counted.where("of is not null and part is not null").groupBy("of", "part", "mask", "id").agg(F.count(F.lit(1)).alias("rows"))
+    said = ids.join(named, "id").groupBy("of", "part", "mask", "good", "toxic").agg(
+        F.sum("rows").alias("all"), F.min("id").alias("own"), F.min_by("rows", "id").alias("first"))
+    leasts = counted.where("of is not null and part is null").select("of", F.col("id").alias("least"))
+    first = F.when(F.col("own") == F.col("least"), F.col("first")).otherwise(0)
+    said = said.join(leasts, "of").select("part", "good", "toxic", F.inline(F.array(
+        F.struct(F.col("mask"), first.alias("rows")), F.struct(F.col("mask").bitwiseOR(F.lit(REPEATED)).alias("mask"), (F.col("all") - first).alias("rows")))))
+    flag = lambda c: F.when(F.col(c), F.col("rows")).otherwise(0).cast("long").alias(c)
+    every = counted.where("n is not null").select("part", "mask", "n", F.lit(0).cast("long").alias("good"), F.lit(0).cast("long").alias("toxic"))
+    every = every.unionByName(said.select("part", "mask", F.lit(0).cast("long").alias("n"), flag("good"), flag("toxic")))
+    return every.groupBy("part", "mask").agg(*[F.sum(c).alias(c) for c in ("n", "good", "toxic")])
 
 
 def steps() -> list[tuple[str, int, str, int, int]]:

@@ -101,32 +101,35 @@ def test_trie():
     trie = audit.Trie()
     for turn in range(2):
         for w in rng.sample(sorted(words), len(words)):
-            own = trie.terminal(w)
+            own = trie.terminal(w)[1]
             own[w] = own.get(w, 0) + 1
     held = list(trie.terminals())
-    assert sorted(k for t in held for k in t) == sorted(words) and all(list(t.values()) == [2] for t in held)
+    assert sorted(k for _, t in held for k in t) == sorted(words) and all(list(t.values()) == [2] for _, t in held)
+    assert sorted(n for n, _ in held) == list(range(len(words)))
     # compressed: no inner node without a terminal has a single child, labels are not empty, sums give the strings back
     open_ = [(trie.root, b"")]
     while open_:
         (label, children, terminal), before = open_.pop()
-        assert (label or not before) and (terminal is None or before + label in terminal)
+        assert (label or not before) and (terminal is None or before + label in terminal[1])
         assert terminal is not None or len(children) > 1
         assert all(child[0][0] == first for first, child in children.items())
         open_ += [(child, before + label) for child in children.values()]
 
 
 def test_combine_keeps_counts():
-    """A text that comes to its trie in several rows counts as in one."""
+    """A text that comes to its trie in several rows counts as in one; ids that may have a label pass through with its number."""
+    kinds = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+
     def batch(rows):
-        columns = list(zip(*rows, strict=True))
-        kinds = [pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[str(i) for i in range(10)])
-    rows = [(0, "en", True, False, 1, 5, 2, 9, 1, b"x"), (0, "en", True, False, 1, 4, 1, 3, 0, b"x"), (0, "de", False, False, 1, 4, 2, 2, 0, b"x"),
-            (0, "en", True, False, 1, None, 0, 2, 2, b"x")]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[str(i) for i in range(9)])
+    rows = [(0, "en", 1, 5, 2, 9, 1, [5, 8], b"x"), (0, "en", 1, 4, 1, 3, 0, [], b"x"), (0, "de", 1, 4, 2, 2, 0, [4], b"x"), (0, "en", 1, None, 0, 2, 2, [], b"x"),
+            (0, "en", 3, 7, 1, 1, 0, [], b"y")]
     for order in itertools.permutations(rows):
-        (out,) = audit._count(iter([batch(order[:1]), batch(order[1:])]))
-        found = {tuple(r[:2]): r[4] for r in zip(*(c.to_pylist() for c in out.columns), strict=True)}
-        assert found == {("en", 1): 1 + 3, ("en", 17): 10, ("de", 1): 2}
+        out = [r for b in audit._count(iter([batch(order[:1]), batch(order[1:])])) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        assert {r[:2]: r[2] for r in out if r[2] is not None} == {("en", 1): 1 + 3, ("en", 17): 10, ("de", 1): 2, ("en", 3): 1}
+        named = [r for r in out if r[2] is None and r[0] is not None]
+        assert sorted((r[0], r[4]) for r in named) == [("de", 4), ("en", 5), ("en", 8)] and len({r[3] for r in named}) == 1
+        assert [(r[3], r[4]) for r in out if r[0] is None] == [(named[0][3], 4)]
 
 
 def test_sql(spark):
