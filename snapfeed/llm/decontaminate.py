@@ -1,18 +1,18 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
-Items fall into classes by length; a class of window size W holds items of W to 1.25 W words (W at most 200),
-each by the fingerprints of its first and of its last W words.  In every document the fingerprints of all
-windows of W words come from sums of the words' hash bits.  Of r // 2 + 1 blocks (four at least) two
-fingerprints within r bits differ by one bit at most in some block; each block's index lists an item under all
-values that close to its own (multi-index hashing), so every pair within the radius is found.  Candidates are verified exactly: the item's shingles (five words, the whole item if
-shorter) against those of the passage at its place, as weighted Jaccard similarity with multiplicities, a
-shingle weighing 1 / number of items that contain it (1 if none does).
-
-An edit can take a similar passage out of the radius, so the fingerprints alone would lose some.  Shingles complete them:
-a passage of the similarity asked for has one at least of any set of the item's shingles that weighs more than the rest
-it may lack.  Of each item such a set is looked up in every document, and around each hit all passages are bounded by
-what they share with the item, the bound verified exactly.  No passage of the item's length (cut at the text's ends) with
-that similarity is lost.
+An item is known by the fingerprints of windows inside it: of W words at places W / 4 apart, W the largest step of a fixed ladder
+that is at most 0.6 of its length (the whole item up to eight words).  What a similarity of 0.8 allows to differ in five-word
+shingles is an edit at the ends or one in some tens of words, so of these windows, which leave out either end or both, some stay as
+they are or lose a word.  In every document the fingerprints of all windows of W words come from sums of the
+words' hash bits.  Of r // 2 + 1 blocks (four at least) two fingerprints within r bits differ by one bit at most in some block;
+each block's index lists an item under all values that close to its own (multi-index hashing), so every pair within the radius is
+found.  A window says where in the document the item would lie; candidates are verified exactly: the item's shingles (five
+words, the whole item if shorter) against those of the passage at that place, as weighted Jaccard similarity with
+multiplicities.  A shingle of the item weighs 1 / number of items that contain it, any other 1.
+
+The windows are found by fingerprints alone, so a passage whose windows all differ by more than the radius is lost: recall is
+high, not certain (README).  Weights are counted over the whole benchmark and windows follow from an item's own
+length, so how items are dealt out over passes changes no result.
 
 Words are runs of letters, digits, ``_`` and non-ASCII characters of the lower-cased text.
 """
@@ -25,20 +25,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import mix64, prepare, release, unused
+from .common import checkpoint, mix64, prepare, release, stored
 
 SHINGLE = 5
-LARGEST_WINDOW = 200
+#: Window sizes: whole short items, then steps of a third up to what fits a byte.
+WINDOWS = (1, 2, 3, 4, 5, 6, 7, 8, 11, 15, 20, 27, 36, 48, 64, 85, 113, 150, 200)
+WHOLE = 8  # words up to which an item is its own window
 #: Benchmark items and bytes broadcast at once; more are taken in further passes over the documents.
 BLOCK_ITEMS, BLOCK_BYTES = 4096, 32 << 20
 PIECE = 1 << 19  # bytes hashed at once
 STEP = 8192  # window places taken up at once
-PROBE_BITS = 22
-BOUND = 1e-6  # slack of bounds, for sums in another order
 BASE = 0x9E3779B97F4A7C15
 _WORD = bytes(b if b >= 128 or chr(b).isalnum() or b == 95 else 32 for b in range(256))
 _powers: list[np.ndarray] = []
@@ -148,71 +149,44 @@ class Index:
 
     ids: list
     words: list[np.ndarray]
-    weights: dict[int, float]
+    weights: dict[int, float]  # of shingles that several items contain; any other weighs 1
     totals: np.ndarray  # weight of each item's shingles
     classes: dict[int, tuple[np.ndarray, np.ndarray, list[Block]]]  # window -> items and offsets by entry, blocks
     keys: np.ndarray  # of (item, shingle), sorted
     key_weights: np.ndarray
     radius: int
-    least: float  # the smallest similarity that the probes are complete for
-    known: tuple[np.ndarray, np.ndarray]  # the weights' shingles, sorted, and their weights
-    probes: dict[int, Probes]  # by words of a shingle
 
 
-@dataclass
-class Probes:
-    """Shingles one of which every passage similar enough to an item has."""
-
-    held: np.ndarray  # whether any has the low bits
-    hashes: np.ndarray  # distinct, sorted
-    first: np.ndarray  # hash -> first entry
-    item: np.ndarray
-
-
-def _probes(own: list[np.ndarray], weights: dict[int, float], totals: np.ndarray, lens: list[int], least: float) -> dict[int, Probes]:
-    """Of each item the heaviest shingles until what is left weighs less than ``least`` of all."""
-    by_size: dict[int, list[tuple[int, int]]] = {}
-    for j, s in enumerate(own):
-        count = Counter(s.tolist())
-        left = float(totals[j])
-        some = by_size.setdefault(min(SHINGLE, lens[j]), [])
-        for x in sorted(count, key=lambda x: (-weights[x] * count[x], x)):
-            if left < least * totals[j] - BOUND:
-                break
-            some.append((x, j))
-            left -= weights[x] * count[x]
-    out = {}
-    for k, some in by_size.items():
-        some.sort()
-        hashes, first = np.unique(np.array([x for x, _ in some], np.uint64), return_index=True)
-        held = np.zeros(1 << PROBE_BITS, bool)
-        held[(hashes & np.uint64(len(held) - 1)).astype(np.int64)] = True
-        out[k] = Probes(held, hashes, np.append(first, len(some)), np.array([j for _, j in some], np.int64))
-    return out
+def window_of(length: int) -> int:
+    """The window size of an item of ``length`` words."""
+    return length if length <= WHOLE else max(w for w in WINDOWS if w <= 0.6 * length)
+
+
+def item_shingles(text: str | None) -> np.ndarray:
+    """Hashes of an item's shingles; none without words."""
+    words = hash_words([text])[0]
+    return shingles(words, min(SHINGLE, len(words))) if len(words) else np.zeros(0, np.uint64)
 
 
-def build_index(items: list[tuple], radius: int = 7, least: float = 0.8) -> Index:
-    """Items (id, text) with at least one word; null and word-less ones match nothing and are left out.  Passages of a
-    similarity of ``least`` or more are found."""
+def build_index(items: list[tuple], radius: int = 7, shared: dict[int, int] | None = None) -> Index:
+    """Items (id, text) with at least one word; null and word-less ones match nothing and are left out.  ``shared`` has the shingles that
+    several items of the whole benchmark contain, with the number of items; by default ``items`` are the whole benchmark."""
     if not 0 <= radius <= 15:
         raise ValueError("radius must be 0..15")
-    held = [(i, hash_words([t])[0]) for i, t in items if t]
-    held = sorted([(i, w) for i, w in held if len(w)], key=lambda x: len(x[1]))
+    held = [(i, w) for i, w in ((i, hash_words([t])[0]) for i, t in items if t) if len(w)]
     own = [shingles(w, min(SHINGLE, len(w))) for _, w in held]
-    containing = Counter(x for s in own for x in set(s.tolist()))
-    weights = {x: 1.0 / n for x, n in containing.items()}
-    totals = np.array([sum(weights[x] for x in s.tolist()) for s in own])
+    if shared is None:
+        shared = {x: n for x, n in Counter(x for s in own for x in set(s.tolist())).items() if n > 1}
+    weights = {x: 1.0 / n for x, n in shared.items()}
+    weight = [np.array([weights.get(x, 1.0) for x in s.tolist()]) for s in own]
     classes: dict[int, list[int]] = {}
-    size = 0
     for j, (_, w) in enumerate(held):
-        if not size or len(w) > size * 1.25 and size < LARGEST_WINDOW:
-            size = min(len(w), LARGEST_WINDOW)
-        classes.setdefault(size, []).append(j)
+        classes.setdefault(window_of(len(w)), []).append(j)
     built = {}
     n_blocks = max(4, radius // 2 + 1)
     cuts = [64 * i // n_blocks for i in range(n_blocks + 1)]
     for size, members in classes.items():
-        entries = sorted({(j, off) for j in members for off in (0, len(held[j][1]) - size)})
+        entries = sorted({(j, off) for j in members for off in (*range(0, len(held[j][1]) - size, max(1, size // 4)), len(held[j][1]) - size)})
         item, offset = (np.array(x, np.int64) for x in zip(*entries, strict=True))
         fp = np.concatenate([next(windows(held[j][1][o: o + size], [size]))[2] for j, o in entries])
         blocks = []
@@ -226,11 +200,9 @@ def build_index(items: list[tuple], radius: int = 7, least: float = 0.8) -> Inde
             blocks.append(Block(lo, mask, n > 0, np.append(0, np.cumsum(n)), fp[entry[order]], entry[order]))
         built[size] = (item, offset, blocks)
     keys = np.concatenate([_item_keys(np.full(len(s), j), s) for j, s in enumerate(own)] or [np.zeros(0, np.uint64)])
-    weight = np.concatenate([np.array([weights[x] for x in s.tolist()]) for s in own] or [np.zeros(0)])
     order = np.argsort(keys, kind="stable")
-    known = np.array(sorted(weights), np.uint64)
-    return Index([i for i, _ in held], [w for _, w in held], weights, totals, built, keys[order], weight[order], radius, least,
-                 (known, np.array([weights[x] for x in known.tolist()])), _probes(own, weights, totals, [len(w) for _, w in held], least))
+    return Index([i for i, _ in held], [w for _, w in held], weights, np.array([w.sum() for w in weight]), built, keys[order],
+                 np.concatenate(weight or [np.zeros(0)])[order], radius)
 
 
 def _item_keys(items: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -259,72 +231,20 @@ def _meetings(fps: np.ndarray, blocks: list[Block], radius: int) -> tuple[np.nda
 
 
 def similarity(item: np.ndarray, passage: np.ndarray, weights: dict[int, float]) -> float:
-    """Weighted Jaccard similarity of two passages' shingles (word hashes), with multiplicities."""
+    """Weighted Jaccard similarity of two passages' shingles (word hashes), with multiplicities.  ``weights`` are those of the
+    item's shingles that do not weigh 1."""
     k = min(SHINGLE, len(item))
     a, b = Counter(shingles(item, k).tolist()), Counter(shingles(passage, k).tolist())
     both = sum(weights.get(x, 1.0) * n for x, n in (a & b).items())
-    either = sum(weights.get(x, 1.0) * n for x, n in (a | b).items())
+    either = sum((weights.get(x, 1.0) if x in a else 1.0) * n for x, n in (a | b).items())
     return both / either if either else 0.0
 
 
-def _around(hashes: np.ndarray, k: int, index: Index, starts: np.ndarray, ends: np.ndarray, least: float) -> Iterator[tuple]:
-    """(bounds, items, first words, ends, texts) of the passages around the probes' hits in ``hashes`` (shingles of ``k`` words
-    from each word on) whose similarity is at most a bound of at least ``least``."""
-    probes = index.probes[k]
-    at = np.flatnonzero(probes.held[(hashes & np.uint64(len(probes.held) - 1)).astype(np.int64)])
-    slot = np.minimum(np.searchsorted(probes.hashes, hashes[at]), len(probes.hashes) - 1)
-    text = np.searchsorted(ends, at, side="right")
-    good = (probes.hashes[slot] == hashes[at]) & (at + k <= ends[text])
-    at, slot = at[good], slot[good]
-    if not len(at):
-        return
-    n = probes.first[slot + 1] - probes.first[slot]
-    place = np.repeat(at, n)
-    item = probes.item[np.arange(len(place)) + np.repeat(probes.first[slot] - (np.cumsum(n) - n), n)]
-    lens = np.array([len(w) for w in index.words], np.int64)
-    order = np.lexsort((place, item))
-    place, item = place[order], item[order]
-    span = lens[item] - k  # from a passage's first shingle to its last
-    cuts = np.searchsorted(np.cumsum(2 * span + 1), np.arange(0, int((2 * span + 1).sum()), 1 << 20), side="left")
-    known, weight = index.known
-    for a, z in zip(cuts, np.append(cuts[1:], len(place)), strict=True):
-        q, i, d = place[a:z], item[a:z], span[a:z]
-        if not len(q):
-            continue
-        t = np.searchsorted(ends, q, side="right")
-        lo, hi = np.maximum(q - d, starts[t]), np.minimum(q + d, ends[t] - k)
-        new = np.append(True, (i[1:] != i[:-1]) | (lo[1:] > hi[:-1]))
-        one, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(q)) - 1
-        i, d, t, lo, hi, least_q, most_q = i[one], d[one], t[one], lo[one], hi[last], q[one], q[last]
-        # what each shingle of a region adds to the intersection or to the union
-        n = hi - lo + 1
-        base = np.cumsum(n) - n
-        flat = np.repeat(lo - base, n) + np.arange(n.sum())
-        keys = _item_keys(np.repeat(i, n), hashes[flat])
-        slot = np.minimum(np.searchsorted(index.keys, keys), len(index.keys) - 1)
-        own = index.keys[slot] == keys
-        other = np.minimum(np.searchsorted(known, hashes[flat]), len(known) - 1)
-        common = np.append(0.0, np.cumsum(np.where(own, index.key_weights[slot], 0.0)))
-        besides = np.append(0.0, np.cumsum(np.where(own, 0.0, np.where(known[other] == hashes[flat], weight[other], 1.0))))
-        # every passage with a hit
-        m = most_q - least_q + d + 1
-        region = np.repeat(np.arange(len(m)), m)
-        s = np.repeat(least_q - d - (np.cumsum(m) - m), m) + np.arange(m.sum())
-        begin, stop = np.maximum(s, lo[region]), np.minimum(s + d[region], hi[region]) + 1
-        x, y = base[region] + begin - lo[region], base[region] + stop - lo[region]
-        total = index.totals[i[region]]
-        most = np.minimum(common[y] - common[x], total) / (total + (besides[y] - besides[x]))
-        some = np.flatnonzero((most >= least - BOUND) & (y > x))
-        some = some[np.lexsort((begin[some], -most[some]))]
-        yield most[some], i[region[some]], begin[some], stop[some] + k - 1, t[region[some]]
-
-
 def find(texts: list[str | None], index: Index, least: float) -> list[tuple[int, int, float, int]]:
-    """(text, item, similarity, first word) of the best passage for each text and item of at least ``least``."""
+    """(text, item, similarity, first word) of the best passage for each text and item of at least ``least``, of those that windows
+    within the radius point to."""
     if not index.classes:
         return []
-    if least < index.least:
-        raise ValueError("the index is for larger similarities")
     words, ends = hash_words(texts)
     starts = ends - np.diff(ends, prepend=0)
     lens = np.array([len(w) for w in index.words], np.int64)
@@ -338,7 +258,7 @@ def find(texts: list[str | None], index: Index, least: float) -> list[tuple[int,
         place += first
         item = item_of[entry]
         text = np.searchsorted(ends, place, side="right")
-        inside = place + size <= ends[text]
+        inside = place + size <= ends[np.minimum(text, len(ends) - 1)]
         begin = np.maximum(place - offset_of[entry], starts[text])
         stop = np.minimum(place - offset_of[entry] + lens[item], ends[text])
         seen = np.unique(np.stack([item, begin, stop, text])[:, inside], axis=1)
@@ -358,16 +278,6 @@ def find(texts: list[str | None], index: Index, least: float) -> list[tuple[int,
                 if s >= least:
                     pair, found = (int(text[j]), int(item[j])), (s, -int(begin[j] - starts[text[j]]))
                     best[pair] = max(best.get(pair, found), found)
-    for k, hashes in by_size.items():
-        for some in _around(hashes, k, index, starts, ends, least):
-            for most, item, begin, stop, text in zip(*(x.tolist() for x in some), strict=True):
-                pair = (text, item)
-                if pair in best and most < best[pair][0] - BOUND:
-                    continue
-                s = similarity(index.words[item], words[begin:stop], index.weights)
-                if s >= least:
-                    found = (s, int(starts[text]) - begin)
-                    best[pair] = max(best.get(pair, found), found)
     return [(t, i, s, -w) for (t, i), (s, w) in best.items()]
 
 
@@ -378,7 +288,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: i
 
     Null and word-less texts or items match nothing; keys and item ids may be null or repeated (each row counts);
     an empty table on either side gives no rows.  The items are broadcast in blocks of at most about
-    ``BLOCK_ITEMS`` items or ``BLOCK_BYTES``, one pass over the documents for each."""
+    ``BLOCK_ITEMS`` items or ``BLOCK_BYTES``, one pass over the documents for each; if there are several, what a pass finds is
+    written, and its block released, before the next."""
     prepare(docs.sparkSession)
     items = benchmark.select(F.col(item_key).alias("item"), F.col(item_text).alias("text")).where("text is not null")
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -399,19 +310,37 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: i
         return rows.mapInArrow(run, f"key {key_kind.simpleString()}, item {item_kind.simpleString()}, similarity double, first_word long")
 
     out = None
-    for index in _indexes(items, least, radius):
+    for index, more in _indexes(items, radius):
         found = one(index)
+        if more or out is not None:
+            found = stored(found, "decontaminate-matches")
+            index.unpersist()
         out = found if out is None else out.unionAll(found)
     return out
 
 
-def _indexes(items: DataFrame, least: float, radius: int) -> Iterator:
-    """Broadcast indexes of (item, text) rows, in blocks."""
+def _indexes(items: DataFrame, radius: int) -> Iterator[tuple[Broadcast, bool]]:
+    """Broadcast indexes of (item, text) rows, in blocks, and whether there are more.  Shingles are counted over all items."""
+    spark = items.sparkSession
     size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
     passes = max(1, -(-size["n"] // BLOCK_ITEMS), -(-size["bytes"] // BLOCK_BYTES))
+    block = F.pmod(F.xxhash64("text"), F.lit(passes)).cast("int")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for p, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                own = np.unique(item_shingles(t)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), p, np.int32)), pa.array(own)], names=["block", "shingle"])
+
+    cut = items.select(block.alias("block"), "text").mapInArrow(run, "block int, shingle long")
+    shared = cut.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.collect_set("block").alias("blocks")).where("n > 1")
+    shared = shared.select("n", "shingle", F.explode("blocks").alias("block"))
+    shared = checkpoint(shared) if passes > 1 else shared
     for p in range(passes):
-        some = items.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == p).collect()
-        yield items.sparkSession.sparkContext.broadcast(build_index([(r["item"], r["text"]) for r in some], radius, least))
+        some = items.where(block == p).collect()
+        counts = shared.where(F.col("block") == p).toArrow()  # no more than the block's items have shingles
+        known = dict(zip(counts.column("shingle").to_numpy().view(np.uint64).tolist(), counts.column("n").to_pylist(), strict=True))
+        yield spark.sparkContext.broadcast(build_index([(r["item"], r["text"]) for r in some], radius, known)), p + 1 < passes
 
 
 def keep(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: int = 7, text: str = "text", item_text: str = "text",
@@ -430,8 +359,12 @@ def keep(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: int
             release()
         return docs.mapInArrow(run, docs.schema)
 
-    for index in _indexes(benchmark.select(F.col(item_key).alias("item"), F.col(item_text).alias("text")).where("text is not null"), least, radius):
+    items = benchmark.select(F.col(item_key).alias("item"), F.col(item_text).alias("text")).where("text is not null")
+    for index, more in _indexes(items, radius):
         docs = one(docs, index)
+        if more:
+            docs = stored(docs, "decontaminate-kept")
+            index.unpersist()
     return docs
 
 
@@ -446,10 +379,3 @@ def judge(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str =
             .select(F.col("_own").alias("key"), F.coalesce("_hit", F.lit(False)).alias("contaminated"),
                     F.coalesce(F.size("_items"), F.lit(0)).cast("long").alias("n_items"),
                     F.coalesce(F.array_join(F.col("_items").cast("array<string>"), ","), F.lit("")).alias("items"), "similarity"))
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose key has no match; a row with a null key goes if any null-key row matches."""
-    (name,) = unused(docs, "_hit")
-    found = matches(docs, benchmark, text=text, key=key, **options).select(F.col("key").alias(name)).distinct()
-    return docs.join(found, F.col(key).eqNullSafe(F.col(name)), "left_anti")
