@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from snapfeed.llm import queries, variants
@@ -81,10 +82,24 @@ def test_pairs(spark):
     df = spark.createDataFrame([(w, 1) for w in sorted(words)], "word string, n long")
     expected = pairs(sorted(words))
     for symbols in (1, 2, 8):
-        met = Counter((r.word, r.near) for r in variants.near(df, symbols).collect())
+        met = Counter((r.word, r.near) for r in variants.near(variants.coded(df, symbols), symbols).collect())
         assert set(met) == {(a, b) for a, own in expected.items() for b in own} and set(met.values()) == {1}
 
 
+def test_neighbourhood():
+    """The hashes of all edits of reduced words, against edits spelled out; each once."""
+    words = ["", "a", "aab", "abba", "zzzz", "éaéb"]
+    for symbols in (1, 2, 5):
+        for word in words:
+            codes = variants.reduced([word], symbols)
+            plain = tuple(codes[0].tolist())
+            edits = {plain} | {plain[:i] + plain[i + 1:] for i in range(len(plain))} | {plain[:i] + (s,) + plain[j:] for i in range(len(plain) + 1)
+                     for j in (i, i + 1) if j <= len(plain) for s in range(1, symbols + 1)}
+            expected = {int(variants.forms(np.array([e], np.uint32).reshape(1, len(e)))[0]) for e in edits}
+            found = np.concatenate([h for _, h in variants.neighbourhood(codes, symbols)]).tolist()
+            assert len(found) == len(set(found)) == len(expected) and set(found) == expected
+
+
 def test_roots(spark):
     """Long rows of forms are followed to their end."""
     n = {"aaaaaaaa" + "b" * i: 10 ** i for i in range(9)} | {"xxxxxxx": 5, "xxxxxxy": 50, "xxxxxyy": 49, "qqqqqqq": 1}
