@@ -44,8 +44,8 @@ def vocabulary(docs: DataFrame, least_length: int = 7, least_count: int = 2, one
 
 
 BASE = 0x9E3779B97F4A7C15
-#: Neighbours held at once.
-HELD = 1 << 20
+#: Words taken up together, and neighbours held at once.
+ROWS, HELD = 1 << 15, 1 << 20
 
 
 def _powers(n: int) -> np.ndarray:
@@ -88,9 +88,21 @@ def neighbourhood(codes: np.ndarray, symbols: int) -> Iterator[tuple[np.ndarray,
             yield own, mix64(before[own, i] + symbol + after[own, i] * power[2])
 
 
+def _large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``ROWS``, for steps that cost as much for few words as for many."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= ROWS:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _by_length(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str], np.ndarray]]:
     """(batch, words, their numbers) of the words of one length each; ``word`` is the first column."""
-    for b in batches:
+    for b in _large(batches):
         words = b.column(0).to_pylist()
         lens = np.fromiter(map(len, words), np.int64, len(words))
         for n in np.unique(lens):
