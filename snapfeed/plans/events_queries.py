@@ -15,22 +15,25 @@ from . import derived as X
 from . import sqlgen as S
 from .catalog import register
 
-_TS_FMT_SPARK = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _TS_FMT_DUCK = "%Y-%m-%d %H:%M:%S.%f"
 
 
-@register("fresh_snapshot", f"""
+FRESH_SQL = f"""
 WITH a AS (SELECT max(ts) AS as_of FROM events),
 w AS (SELECT * FROM events WHERE ts <= (SELECT as_of FROM a) AND ts >= (SELECT as_of FROM a) - INTERVAL {TTL_NEWS} SECOND)
 SELECT user_id, strftime(max(ts), '{_TS_FMT_DUCK}') AS ts, arg_max(value, ts) AS value, arg_max(event_id, ts) AS event_id
 FROM w GROUP BY user_id
-""")
+"""
+
+
+@register("fresh_snapshot", FRESH_SQL)
 def fresh_snapshot_q(spark, sf):
     """SRC-2: newest event per user inside the TTL window ending at the newest event."""
     ev = load_table(spark, sf, "events", ["event_id", "ts", "user_id", "value"])
     as_of = ev.agg(F.max("ts")).scalar()
     fresh = fresh_snapshot(ev, "user_id", "ts", as_of, TTL_NEWS, ["value", "event_id"])
-    return fresh.select("user_id", F.date_format("ts", _TS_FMT_SPARK).alias("ts"), "value", "event_id")
+    return fresh.select("user_id", F.date_format("ts", TS_FORMAT).alias("ts"), "value", "event_id")
 
 
 _IMG_SQL = ("CASE WHEN event_type = 'view' THEN 'img' || CAST(event_id AS VARCHAR) "

@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..sources.snapshots import TTL_NEWS, fresh_snapshot, load_table
 from ..streaming import incremental as ST
 from .catalog import register
+from .events_queries import FRESH_SQL, TS_FORMAT
 from .news import _article_feed_sql, article_items
 
 
@@ -44,3 +46,17 @@ def trailing_popularity(spark, sf):
     ST.run_merged(agg, sink, ST.scratch_path(spark, "pop-ckpt"))
     return sink.read(spark, agg.schema).select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "user_id",
                                                F.col("n").cast("bigint").alias("n"))
+
+
+@register("fresh_snapshot_stream", FRESH_SQL)
+def fresh_snapshot_stream(spark, sf):
+    """SRC-2 as a stream: the newest event of each user, kept in state while a lookup may take it and merged into a table by user; the lookup
+    at the newest event reads that table."""
+    ev = ST.read_table_stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    updates = ST.fresh_updates(ev, "user_id", "ts", TTL_NEWS, ["value", "event_id"])
+    sink = ST.MergeSink(ST.scratch_path(spark, "fresh-sink"), ("user_id",))
+    ST.run_merged(updates, sink, ST.scratch_path(spark, "fresh-ckpt"))
+    newest = sink.read(spark, updates.schema)
+    as_of = load_table(spark, sf, "events", ["ts"]).agg(F.max(F.col("ts").cast("timestamp"))).scalar()
+    fresh = fresh_snapshot(newest, "user_id", "ts", as_of, TTL_NEWS, ["value", "event_id"])
+    return fresh.select("user_id", F.date_format("ts", TS_FORMAT).alias("ts"), "value", "event_id")

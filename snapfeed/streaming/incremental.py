@@ -5,6 +5,7 @@
   processing-time trigger for continuous refresh).
 * ST-2 ``publish_once``: one item per id while the id is inside the watermark
   (``dropDuplicatesWithinWatermark``); state is bounded by the watermark delay.
+* SRC-2 ``fresh_updates``: the newest snapshot of each key, kept while a lookup may take it.
 * ST-3 ``trailing_popularity``: sliding 7-day windows per key with a watermark; state is
   bounded by window length + delay.  Counts of open windows are kept current in a ``MergeSink``.
 
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import checkpoint_dir
@@ -82,6 +84,41 @@ def trailing_popularity(events: DataFrame, key: str, ts_col: str, delay: str = "
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "n"))
 
 
+def fresh_updates(snapshots: DataFrame, key: str, ts: str, ttl_seconds: int, value_cols: list[str]) -> DataFrame:
+    """SRC-2 on a stream: (key, ts, <value_cols>) of each key's newest snapshot, whenever it changes (update mode).
+
+    State holds one snapshot a key and lets it go when the watermark, ``ttl_seconds`` behind the newest snapshot, has passed it: by
+    then no lookup takes it any more.  Equal times are told apart as in the batch lookup.  Null keys form one group."""
+    names = dict(zip(("key", *(f"v{i}" for i in range(len(value_cols)))), (key, *value_cols), strict=True))
+    values = F.struct(*[F.col(c).alias(n) for n, c in names.items()])
+    rows = snapshots.withWatermark(ts, f"{ttl_seconds + 1} seconds").select(
+        F.to_json(F.struct(F.col(key).alias("k"))).alias("_group"), F.col(ts), F.unix_micros(F.col(ts)).alias("_at"),
+        F.xxhash64(*value_cols).alias("_tie"), F.to_json(values).alias("_row"))
+    schema = StructType([StructField(n, snapshots.schema[c].dataType) for n, c in names.items()])
+
+    def newest(group, batches, state):
+        import pandas as pd
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held = state.get if state.exists else None
+        best = held
+        for batch in batches:
+            last = batch.sort_values(["_at", "_tie"]).iloc[-1]
+            new = (int(last["_at"]), int(last["_tie"]), last["_row"])
+            best = new if best is None or new[:2] > tuple(best[:2]) else best
+        if held is None or best[:2] != tuple(held[:2]):
+            state.update(best)
+            # a snapshot below the watermark is stale: its state goes at the next chance
+            state.setTimeoutTimestamp(max(best[0] // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+            yield pd.DataFrame([best], columns=["_at", "_tie", "_row"])
+
+    kept = rows.groupBy("_group").applyInPandasWithState(
+        newest, "_at long, _tie long, _row string", "_at long, _tie long, _row string", "update", GroupStateTimeout.EventTimeTimeout)
+    read = kept.select("_at", F.from_json("_row", schema).alias("r"))
+    return read.select(F.col("r.key").alias(key), F.timestamp_micros("_at").alias(ts), *[F.col(f"r.{n}").alias(c) for n, c in names.items() if n != "key"])
+
+
 MARK = StructType([StructField("upto", LongType())])
 
 
