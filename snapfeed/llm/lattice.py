@@ -21,7 +21,6 @@ from __future__ import annotations
 import heapq
 import math
 import random
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,11 +49,13 @@ class Pieces:
 
     proto: bytes
     strings: list[str]
+    spelled: np.ndarray  # the text of each piece, as objects; null where a piece alone does not say it
+    prefixed: bool  # whether decoding drops the blank in front of a text
     log_weight: np.ndarray
     tables: list[tuple[np.ndarray, np.ndarray]]
     longest: int
     byte_of: np.ndarray  # 256 piece ids
-    words: re.Pattern
+    breaks: tuple[bool, bool]  # whether words begin at blanks, and at and after line breaks
     unknown: float
 
     BITS = np.uint64(64 - 18)
@@ -119,13 +120,15 @@ def load(path: str, alpha: float = 1.0) -> Pieces:
         left = np.setdiff1d(np.arange(len(keys)), first)
         keys, vals = keys[left], vals[left]
     many = [s for s, ok in zip(strings, plain, strict=True) if ok and len(s) > 1]
-    if any(SPACE in s.lstrip(SPACE) for s in many):
-        words = re.compile(r"(?s).+")  # pieces may cross words: the whole text is one lattice
-    elif any("\n" in s for s in many):
-        words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-    else:
-        words = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
-    return Pieces(sp.serialized_model_proto(), strings, alpha * weight, tables, max(map(len, strings)), byte_of, words, alpha * floor)
+    # pieces may cross words (the whole text is one lattice) or line breaks
+    breaks = (not any(SPACE in s.lstrip(SPACE) for s in many), not any("\n" in s for s in many))
+    spelled = np.array([s.replace(SPACE, " ") if ok else None for s, ok in zip(strings, plain, strict=True)], object)
+    for b in range(128):  # a byte of ASCII is a character of its own
+        if b != 32 and sp.is_byte(int(byte_of[b])):
+            spelled[byte_of[b]] = chr(b)
+    worded = next((i for i, s in enumerate(strings) if plain[i] and len(s) > 1 and s[0] == SPACE and SPACE not in s[1:]), None)
+    prefixed = worded is not None and sp.decode([worded]) == strings[worded][1:]
+    return Pieces(sp.serialized_model_proto(), strings, spelled, prefixed, alpha * weight, tables, max(map(len, strings)), byte_of, breaks, alpha * floor)
 
 
 @dataclass
@@ -143,10 +146,48 @@ class Lattice:
     cum: np.ndarray  # (edges) cumulative probabilities of the place's edges; 2 at the last
 
 
-def build(words: list[str], m: Pieces) -> Lattice:
-    """The lattices of distinct words and their backward sums."""
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def distinct_words(texts: list[str], m: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(number of each word's lattice, words of each text, code points of the distinct words end to end, their sizes).
+
+    A word begins where blanks do, and at and after a line break.  Words are told apart by a hash; that equal hashes are equal
+    words is verified."""
+    points = code_points("".join(texts))
+    n = len(points)
+    lens = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(lens)
+    begin = np.zeros(n, bool)
+    begin[(ends - lens)[lens > 0]] = True
+    if m.breaks[0]:
+        blank = points == ord(SPACE)
+        begin[1:] |= blank[1:] & ~blank[:-1]
+        if m.breaks[1]:
+            line = points == 10
+            begin |= line
+            begin[1:] |= line[:-1]
+    starts = np.flatnonzero(begin)
+    sizes = np.diff(np.append(starts, n))
+    per_text = np.diff(np.searchsorted(starts, ends), prepend=0)
+    if not n:
+        return starts, per_text, points, sizes
+    inside = np.arange(n) - np.repeat(starts, sizes)
+    with np.errstate(over="ignore"):
+        h = np.add.reduceat(mix64(points + (inside + 1).astype(np.uint64) * GOLDEN), starts)
+    _, first, which = np.unique(h, return_index=True, return_inverse=True)
+    own = first[which]
+    if not ((sizes[own] == sizes).all() and (points[np.repeat(starts[own], sizes) + inside] == points).all()):  # two words with one hash
+        words = ["".join(map(chr, points[a: a + k].tolist())) for a, k in zip(starts.tolist(), sizes.tolist(), strict=True)]
+        _, first, which = np.unique(np.array(words, object), return_index=True, return_inverse=True)
+    sizes = sizes[first]
+    at = np.repeat(starts[first] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    return which, per_text, points[at], sizes
+
+
+def build(points: np.ndarray, size: np.ndarray, m: Pieces) -> Lattice:
+    """The lattices of distinct words (their code points end to end and their sizes) and their backward sums."""
     codes = points.astype(np.uint64)
     n = len(codes)
     start = np.cumsum(size) - size
@@ -172,7 +213,8 @@ def build(words: list[str], m: Pieces) -> Lattice:
         if not len(live):
             break
     # places in order of what is left of their word, so that a place's successors come before it
-    order = np.argsort(left, kind="stable")
+    short = left.astype(np.uint16) if n and left.max() < 1 << 16 else left  # short integers are sorted by their digits
+    order = np.argsort(short, kind="stable")
     after = np.cumsum(many[order])
     first = np.empty(n, np.int64)
     first[order] = after - many[order]
@@ -260,15 +302,8 @@ class Path:
 def sample(texts: list[str], seeds: np.ndarray, k: int, m: Pieces, sp: sentencepiece.SentencePieceProcessor) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each text up to ``k`` distinct segmentations, best perturbed value first: (ids, log p, value, log inclusion).
     A text with fewer segmentations gets them all, each with inclusion probability 1."""
-    known: dict[str, int] = {}
-    which: list[int] = []
-    per_text = np.zeros(len(texts), np.int64)
-    for i, t in enumerate(texts):
-        own = m.words.findall(sp.normalize(t)) if t else []
-        per_text[i] = len(own)
-        which += [known.setdefault(w, len(known)) for w in own]
-    lat = build(list(known), m)
-    which = np.array(which, np.int64)
+    which, per_text, points, sizes = distinct_words([sp.normalize(t) if t else "" for t in texts], m)
+    lat = build(points, sizes, m)
     first = np.cumsum(per_text) - per_text
     of = np.repeat(np.arange(len(texts)), per_text)
     index = np.arange(len(which)) - first[of]
@@ -410,6 +445,20 @@ def _ids(pieces: np.ndarray, m: Pieces) -> np.ndarray:
     return np.concatenate([*out, pieces[at:]]).astype(np.int32)
 
 
+def spell(ids: np.ndarray, m: Pieces, sp: sentencepiece.SentencePieceProcessor) -> str:
+    """The text of piece ids.  Plain pieces are joined; the library decodes what has others, or begins with more than one blank."""
+    if not len(ids):
+        return ""
+    parts = m.spelled[ids].tolist()
+    if None not in parts:
+        text = "".join(parts)
+        if not m.prefixed and text[:1] != " ":
+            return text
+        if m.prefixed and text[:2].strip(" "):
+            return text[1:] if text[0] == " " else text
+    return sp.decode(ids.tolist(), num_threads=1)
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
     """Keys and texts with about CHARS characters in all."""
     keys, texts, size = [], [], 0
@@ -454,7 +503,7 @@ def encode(docs: DataFrame, path: str, k: int = 2, seed: int = 0, alpha: float =
                 some = rows[at:end]
                 lens = np.array([len(r[2]) for r in some], np.int64)
                 ids = np.concatenate([r[2] for r in some])
-                decoded = [sp.decode(r[2].tolist(), num_threads=1) if len(r[2]) else "" for r in some] if verify else []
+                decoded = [spell(r[2], m, sp) for r in some] if verify else []
                 yield pa.RecordBatch.from_arrays([
                     pa.array([r[0] for r in some], key_type), pa.array([r[1] for r in some], pa.int32()),
                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lens)).astype(np.int32)), pa.array(ids)),
