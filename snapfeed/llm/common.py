@@ -4,30 +4,38 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch.  Documents may be long, so a batch is kept to a few MB.
-ARROW_ROWS = 512
+#: Rows and bytes of one Arrow batch, at most.  Documents may be long, so a batch is kept to a few MB.
+ARROW_ROWS, ARROW_BYTES = 512, 16 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings the Python stages rely on; nothing else is changed."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    """Session settings the Python stages rely on: Arrow batches are made smaller where the session's are larger."""
+    for name, most in (("maxRecordsPerBatch", ARROW_ROWS), ("maxBytesPerBatch", ARROW_BYTES)):
+        held = spark.conf.get(f"spark.sql.execution.arrow.{name}", None)
+        held = int(re.sub(r"\D", "", held) or 0) if held and not held.startswith("-") else 0
+        if not 0 < held <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all machines of the cluster share: ``spark.checkpoint.dir``.  Where that is
-    unset (tests, a single machine) a fresh scratch folder is set as the checkpoint folder."""
+    """The folder all machines of the cluster share: ``spark.checkpoint.dir``.  Where that is unset a run on one machine (tests)
+    gets a fresh scratch folder; a cluster, whose machines would not see it, raises."""
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         current = tempfile.mkdtemp(prefix="llm-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
@@ -61,6 +69,16 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return stored(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
 
 
+def identified(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number ``name`` that tells its rows apart, the same on every read: a hash of each row's place in its file, where
+    ``df`` comes straight from files, else as ``numbered``, which writes the rows.  Two rows of one file table share a hash as
+    rarely as 64 bits do; use it only to order rows that are equal otherwise."""
+    try:
+        return df.withColumn(name, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+    except AnalysisException:
+        return numbered(df, name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """One input table by its path, reading only ``columns``."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -18,13 +18,12 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, prepare
+from .common import identified, partitions, prepare, unused
 
 LEAF = re.compile(rb"[^.,;:!?]{0,199}+[.,;:!?]+ *|[^.,;:!?]{1,200}")
 LEAST = -(2**63)
@@ -131,36 +130,72 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - q] + following[:q] if q else text
 
 
-def in_order(docs: DataFrame, text: str, key: str, per_task: int = 20_000) -> DataFrame:
-    """Documents dealt out by ranges of the key, each range in key order and followed by the first document of
+#: Rows of one range, and places sampled for each range to cut them; at most so many places in all.
+PER_TASK, PLACES, MOST_PLACES = 20_000, 32, 1 << 20
+
+
+class Ranges:
+    """Ranges of (key, hash) places, cut at sampled places: a range begins at a cut and ends before the next."""
+
+    def __init__(self, at: np.ndarray, tie: np.ndarray, n: int):
+        order = np.lexsort((tie, at))
+        take = np.unique(len(order) * np.arange(1, n) // n) if len(order) else np.zeros(0, np.int64)
+        at, tie = at[order][take], tie[order][take]
+        new = np.append(True, (at[1:] != at[:-1]) | (tie[1:] != tie[:-1]))[: len(at)]
+        self.at, self.tie = at[new], tie[new]
+
+    def find(self, at: np.ndarray, tie: np.ndarray) -> np.ndarray:
+        """The range of each place: how many cuts are not after it."""
+        lo, hi = np.searchsorted(self.at, at, side="left"), np.searchsorted(self.at, at, side="right")
+        out = lo.copy()
+        some = np.flatnonzero(lo < hi)  # keys at which there are cuts
+        for first in np.unique(lo[some]).tolist():
+            own = some[lo[some] == first]
+            out[own] += np.searchsorted(self.tie[first: int(hi[own[0]])], tie[own], side="right")
+        return out
+
+
+def in_order(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """Documents dealt out by ranges of (key, hash of the text, place), each range in this order and followed by the first document of
     the next range (``last`` true; after the last range: of the first), so that every document's successor is in
-    its own task.  One shuffle of the texts; the ranges come from quantiles of the keys alone, and only one
-    key for each range reaches the driver.  Null keys come first; equal keys are ordered by text."""
+    its own task.  One shuffle of the texts, each range to a task of its own; ranges are cut at a sample of narrow places (which only plans
+    the partitioning, so equal keys are cut as well), and one place for each range reaches the driver.  Null keys come first."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(LEAST)).alias("_at"),
-                       F.coalesce(F.col(text), F.lit("")).alias("text"))
-    n = partitions(spark, docs.count(), per_task)
-    marks = docs.select(F.col(key).cast("double").alias("k")).approxQuantile("k", [i / (2 * n) for i in range(1, 2 * n)], 0.1 / n)
-    cuts = np.unique(np.array(marks, np.float64)).astype(np.int64)
-
-    @F.pandas_udf("int")
-    def part(at: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, at.to_numpy(), side="right").astype(np.int32))
+    (place,) = unused(docs, "_place")
+    held = identified(docs, place)
+    # the tie: the text's hash, and, for equal texts, the place in the file
+    tie = F.shiftleft(F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), 24), 24) + F.shiftrightunsigned(F.xxhash64(F.col(place)), 40)
+    rows = held.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(LEAST)).alias("_at"),
+                       tie.alias("_tie"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    total = docs.count()
+    n = partitions(spark, total, PER_TASK)
+    wanted = min(MOST_PLACES, PLACES * n)
+    share = F.lit(min(1.0, wanted / max(1, total)) * 2.0**63)
+    sample = rows.where(F.abs(F.xxhash64(F.lit(17), "_at", "_tie")).cast("double") <= share).select("_at", "_tie").toArrow()
+    ranges = Ranges(sample.column("_at").to_numpy(), sample.column("_tie").to_numpy(), n)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            part = ranges.find(b.column("_at").to_numpy(), b.column("_tie").to_numpy())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(part.astype(np.int32))], names=[*b.schema.names, "part"])
 
-    firsts = rows.select(part("_at").alias("part"), "_at").groupBy("part").agg(F.min("_at").alias("first")).orderBy("part").collect()
-    first = np.array([r["first"] for r in firsts], np.int64)
-    before = {int(r["first"]): int(firsts[i - 1]["part"]) for i, r in enumerate(firsts)}
+    narrow = rows.select("_at", "_tie").mapInArrow(dealt, "_at long, _tie long, part int")
+    firsts = narrow.groupBy("part").agg(F.min(F.struct("_at", "_tie")).alias("first")).orderBy("part").select("part", "first._at", "first._tie").toArrow()
+    parts, first_at, first_tie = (firsts.column(c).to_numpy() for c in ("part", "_at", "_tie"))
 
-    @F.pandas_udf("int")
-    def also(at: pd.Series) -> pd.Series:
-        hit = np.isin(at.to_numpy(), first)
-        return pd.Series([before[int(x)] if h else None for x, h in zip(at.to_numpy(), hit, strict=True)], dtype="Int32")
+    def also(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row in its range, and the first of each range once more, at the end of the range before."""
+        for b in dealt(batches):
+            at, tie, part = (b.column(c).to_numpy() for c in ("_at", "_tie", "part"))
+            own = np.searchsorted(parts, part)
+            hit = np.flatnonzero((first_at[own] == at) & (first_tie[own] == tie))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.zeros(len(at), bool))], names=[*b.schema.names, "last"])
+            if len(hit):
+                more = b.take(pa.array(hit)).set_column(4, "part", pa.array(parts[own[hit] - 1]))
+                yield pa.RecordBatch.from_arrays([*more.columns, pa.array(np.ones(len(hit), bool))], names=[*b.schema.names, "last"])
 
-    places = F.array_compact(F.array(F.struct(F.col("part"), F.lit(False).alias("last")),
-                                     F.when(F.col("also").isNotNull(), F.struct(F.col("also").alias("part"), F.lit(True).alias("last")))))
-    return (rows.withColumn("part", part("_at")).withColumn("also", also("_at"))
-            .select("key", "_at", "text", F.explode(places).alias("_p")).select("key", "_at", "text", "_p.part", "_p.last")
-            .repartition(n, "part").sortWithinPartitions("part", "last", "_at", "text"))
+    out = rows.mapInArrow(also, "key long, _at long, _tie long, text string, part int, last boolean")
+    return out.repartitionById(max(1, len(ranges.at) + 1), "part").sortWithinPartitions("part", "last", "_at", "_tie")
 
 
 def compare_with_next(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -169,7 +204,7 @@ def compare_with_next(docs: DataFrame, text: str = "text", key: str = "doc_id")
     edited text's and to the next document's.
 
     The key is an integer column.  Null texts count as empty (likeness of two empty texts: 1); null keys come
-    first; rows with equal keys follow each other by text, repeated rows stay repeated; a single document is
+    first; rows with equal keys follow each other by the first 40 bits of their text's xxhash64, repeated rows stay repeated; a single document is
     its own successor; an empty table gives no rows."""
     prepare(docs.sparkSession)
     names = ["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
