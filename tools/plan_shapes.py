@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-KEYS = ["Exchange", "Aggregate", "Join", "TakeOrdered", "WindowGroupLimit", "Window ", "MapInPandas",
+KEYS = ["Exchange", "Aggregate", "Join", "TakeOrdered", "WindowGroupLimit", "Window ", "MapIn",
         "Generate", "Subquery", "FileScan", "Union"]
 
 
