@@ -1,14 +1,14 @@
 """Personal data: base entities by pattern, and terms that reveal them by corpus co-occurrence.
 
-Protected entities are e-mail and IP addresses, card and phone numbers.  The terms beside them are judged by
-what they disclose: with P over the corpus' documents, an entity e has the information content
+Protected entities are e-mail and IP addresses, card and phone numbers.  The terms of a corpus are judged by
+what they disclose: with P over its distinct texts, an entity e has the information content
 IC(e) = -log2 P(e), and a term t reveals PMI(t; e) = log2 (P(e | t) / P(e)) of it, where P(e | t) is the share
-of the documents with t that have t within a few words of e.  A term that reveals a larger share of IC(e) than a
-threshold, seen beside e in enough documents, is sanitised beside e: numbers are generalised to their
-shape, other terms removed.  Without a reach, P(e | t) is the share of the documents with t that have e anywhere, and a term
-that discloses any entity is sanitised wherever it stands, also in documents without the entity.
+of the texts with t that have e anywhere.  Copies of a text are one piece of evidence, and P(e | t) is taken at the lower bound of
+its Wilson interval, so a word that stands by chance in the few texts of an entity proves little.  A term that
+reveals a larger share of an entity's IC than a threshold, in enough texts with it, is sanitised wherever it stands, also in documents
+without the entity: numbers are generalised to their shape, other terms removed.
 
-Document frequencies are counted exactly, over all documents, of the terms that can matter: those that disclose
+Text frequencies are counted exactly, over all texts, of the terms that can matter: those that disclose
 enough by a lower bound of their frequency.  A bitmap of fixed size lets few others through the counting pass, and
 a join by the term leaves those out.
 """
@@ -22,11 +22,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import bitmap, checkpoint, in_bitmap, prepare, unused
+from .common import bitmap, checkpoint, identified, in_bitmap, prepare, unused
 from .decontaminate import hash_words
 
 KINDS = ("email", "ip", "card", "phone")
@@ -85,29 +86,6 @@ def entity(kind: str, value: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{kind}:{norm}") - (1 << 63)
 
 
-def contexts(text: str, spans: list[Span], reach: int) -> list[tuple[str, int, int, int]]:
-    """(term, entity, start, end) of up to ``reach`` words on either side of each entity, words in base spans left out."""
-    covered = sorted((s, e) for _, s, e in spans)
-    out = []
-    for kind, start, end in spans:
-        own = entity(kind, text[start:end])
-        # words beside it: look at a stretch that is long enough, longer ones only if need be
-        for side in (-1, 1):
-            size, found = 32 * reach, []
-            while True:
-                lo, hi = (max(0, start - size), start) if side < 0 else (end, min(len(text), end + size))
-                whole = lo == 0 if side < 0 else hi == len(text)
-                words = [(m.start(), m.end()) for m in WORD.finditer(text, lo, hi)]
-                if not whole and words:  # the word at the stretch's edge may be cut
-                    words = words[1:] if side < 0 else words[:-1]
-                found = [(s, e) for s, e in words if not any(a < e and s < b for a, b in covered)]
-                if whole or len(found) >= reach:
-                    break
-                size *= 4
-            out += [(text[s:e], own, s, e) for s, e in (found[-reach:] if side < 0 else found[:reach])]
-    return out
-
-
 def _joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
@@ -125,31 +103,48 @@ def _words(text: str, spans: list[Span]) -> list[tuple[int, int, int]]:
     return out
 
 
-def _together(rows: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
-    """(entity, n_entity) and (term, entity, both): documents with an entity, and with a term and an entity; of both only what
-    is in ``least_docs`` documents or more.  Counts are summed up within batches first."""
+#: One-sided 95 %: the lower bound of P(e | t).
+Z = 1.645
+
+
+def _owners(hashes: np.ndarray, repeated: np.ndarray) -> np.ndarray:
+    """For each text 0, or its hash if it may be there more than once."""
+    return np.where(in_bitmap(repeated, hashes.view(np.uint64)), hashes, 0)
+
+
+def _summed(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    """The distinct rows of some columns, and how many there are of each."""
+    found, n = np.unique(np.stack(columns), axis=1, return_counts=True)
+    return pa.RecordBatch.from_arrays([*(pa.array(c) for c in found), pa.array(n.astype(np.int64))], names=[*names, "n"])
+
+
+def _texts(counts: DataFrame, by: list[str], name: str) -> DataFrame:
+    """Counts of distinct texts by ``by``, out of (by, of, n): a text that may be repeated (``of``) counts once."""
+    once = counts.groupBy(*by, "of").agg(F.sum("n").alias("n")).select(*by, F.when(F.col("of") == 0, F.col("n")).otherwise(1).alias("n"))
+    return once.groupBy(*by).agg(F.sum("n").alias(name))
+
+
+def _together(rows: DataFrame, repeated: Broadcast, least_texts: int) -> tuple[DataFrame, DataFrame]:
+    """(entity, n_entity) and (term, entity, both): distinct texts with an entity, and with a term and an entity; of both only what
+    is in ``least_texts`` or more.  Counts are summed up within batches first."""
     spark = rows.sparkSession
 
     def entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = [x for t in b.column(0).to_pylist() if t for x in {entity(k, t[s:e]) for k, s, e in detect(t)}]
+            owners = _owners(b.column(1).to_numpy(), repeated.value).tolist()
+            own = [(x, of) for t, of in zip(b.column(0).to_pylist(), owners, strict=True) if t for x in {entity(k, t[s:e]) for k, s, e in detect(t)}]
             if own:
-                found, n = np.unique(np.array(own, np.int64), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["entity", "n"])
+                yield _summed([np.array(c, np.int64) for c in zip(*own, strict=True)], ["entity", "of"])
 
-    texts = rows.select("text")
-    of_entity = checkpoint(texts.mapInArrow(entities, "entity long, n long").groupBy("entity").agg(F.sum("n").alias("n_entity"))
-                           .where(F.col("n_entity") >= least_docs))
+    texts = rows.select("text", "h")
+    of_entity = checkpoint(_texts(texts.mapInArrow(entities, "entity long, of long, n long"), ["entity"], "n_entity").where(F.col("n_entity") >= least_texts))
     bits = spark.sparkContext.broadcast(bitmap(of_entity, "entity"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def settle(held: list[np.ndarray]) -> pa.RecordBatch:
-            both, n = np.unique(np.concatenate(held, axis=1), axis=1, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), pa.array(n.astype(np.int64))], names=["term", "entity", "n"])
-
         for b in batches:
             held, size = [], 0
-            for t in b.column(0).to_pylist():
+            owners = _owners(b.column(1).to_numpy(), repeated.value).tolist()
+            for t, of in zip(b.column(0).to_pylist(), owners, strict=True):
                 spans = detect(t) if t else []
                 own = np.array(sorted({entity(k, t[s:e]) for k, s, e in spans}), np.int64)
                 own = own[in_bitmap(bits.value, own.view(np.uint64))]
@@ -159,78 +154,43 @@ def _together(rows: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
                 step = max(1, PAIRS // max(1, len(terms)))
                 for at in range(0, len(own), step):
                     some = own[at: at + step]
-                    held.append(np.stack([np.tile(terms, len(some)), np.repeat(some, len(terms))]))
-                    size += held[-1].shape[1]
+                    held.append((np.tile(terms, len(some)), np.repeat(some, len(terms)), np.full(len(terms) * len(some), of)))
+                    size += len(held[-1][0])
                     if size >= PAIRS:
-                        yield settle(held)
+                        yield _summed([np.concatenate(c) for c in zip(*held, strict=True)], ["term", "entity", "of"])
                         held, size = [], 0
             if size:
-                yield settle(held)
+                yield _summed([np.concatenate(c) for c in zip(*held, strict=True)], ["term", "entity", "of"])
 
-    beside = (texts.mapInArrow(pairs, "term long, entity long, n long").groupBy("term", "entity").agg(F.sum("n").alias("both"))
-              .where(F.col("both") >= least_docs))
+    beside = _texts(texts.mapInArrow(pairs, "term long, entity long, of long, n long"), ["term", "entity"], "both").where(F.col("both") >= least_texts)
     return of_entity, beside
 
 
-def find(docs: DataFrame, threshold: float = 0.8, least_docs: int = 2, reach: int | None = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
+def find(docs: DataFrame, threshold: float = 0.8, least_texts: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_email, n_ip, n_card, n_phone bigint, base string, base_sha256, terms array<struct<start int, end int>>) for each row: base spans
     as comma-joined ``kind:start:end``, and the spans of the terms that disclose over ``threshold`` of an entity's information
-    content, seen beside it in ``least_docs`` documents or more.  Terms are seen and marked within ``reach`` words of an entity; with a ``reach`` of
-    None they are counted over whole documents and marked in every document.
+    content, seen with it in ``least_texts`` distinct texts or more.
 
-    Null and empty texts have no spans.  Keys may be null or repeated: every row is a document of its own.  An entity that
-    is in all documents has no information content, and nothing discloses it.  Other columns are not read."""
+    Null and empty texts have no spans and count as one text.  Keys may be null or repeated: every row is judged for itself, and no copy of a row
+    changes what is found.  An entity that is in all texts has no information content, and nothing discloses it.  Other columns are
+    not read."""
     spark = prepare(docs.sparkSession)
     key_type = to_arrow_type(docs.schema[key].dataType)
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    context_type = pa.list_(pa.struct([("term", pa.int64()), ("entity", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
-
-    def base(batches: Iterator[pa.RecordBatch], bits=None) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out, near = [], []
-            texts = b.column(1).to_pylist()
-            if bits:  # the words that may disclose, by their number in the text
-                words, ends = hash_words(texts)
-                hits = np.split(in_bitmap(bits.value, words), ends[:-1]) if texts else []
-                hits = [set(np.flatnonzero(x).tolist()) for x in hits]
-            for i, t in enumerate(texts):
-                spans = detect(t) if t else []
-                joined = _joined(spans)
-                out.append((*(sum(s[0] == k for s in spans) for k in KINDS), joined, hashlib.sha256(joined.encode()).hexdigest()))
-                if bits:
-                    near.append([(t[s:e], 0, s, e) for n, s, e in _words(t, spans) if n in hits[i]] if hits[i] else [])
-                else:
-                    near.append(contexts(t, spans, reach) if spans else [])
-            terms = hash_words([w for own in near for w, *_ in own])[0].view(np.int64).tolist()
-            it = iter(terms)
-            near = [[{"term": next(it), "entity": e, "start": s, "end": z} for _, e, s, z in own] for own in near]
-            cols = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(key_type), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.string()),
-                                              pa.array(cols[5], pa.string()), pa.array(near, context_type)],
-                                             names=["key", *(f"n_{k}" for k in KINDS), "base", "base_sha256", "near"])
-
-    kind = docs.schema[key].dataType.simpleString()
-    def detected(bits=None) -> DataFrame:
-        return checkpoint(rows.mapInArrow(lambda batches: base(batches, bits), f"key {kind}, n_email long, n_ip long, n_card long, n_phone long, base string, base_sha256 string, "
-                                          "near array<struct<term: long, entity: long, start: int, end: int>>")
-                          .withColumn("row", F.monotonically_increasing_id()))
-
-    if reach is None:
-        total = rows.count()
-        of_entity, beside = _together(rows, least_docs)
-    else:
-        found = detected()
-        near = found.select("row", F.inline("near"))
-        total = found.count()
-        beside = (near.select("row", "term", "entity").distinct().groupBy("term", "entity").agg(F.count(F.lit(1)).alias("both"))
-                  .where(F.col("both") >= least_docs))
-        of_entity = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"))
+    span_type = pa.list_(pa.struct([("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
+    hashes = checkpoint(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")))
+    total = hashes.count()
+    repeated = spark.sparkContext.broadcast(bitmap(hashes.where("n > 1"), "h"))
+    of_entity, beside = _together(rows, repeated, least_texts)
     content = -F.log2(F.col("n_entity") / F.lit(total))
-    disclosed = (F.log2(F.col("both") / F.greatest("n_term", "both")) + F.col("content")) / F.col("content")
+    n = F.greatest("n_term", "both")
+    share = F.col("both") / n
+    low = (share + Z * Z / (2 * n) - Z * F.sqrt(share * (1 - share) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
+    disclosed = (F.log2(low) + F.col("content")) / F.col("content")
     pairs = beside.join(of_entity, "entity").withColumn("content", content).where("content > 0")
 
     def counted(pairs: DataFrame, some: DataFrame) -> DataFrame:
-        """``pairs`` with n_term, the number of ``some`` rows with the term."""
+        """``pairs`` with n_term, the number of distinct texts of ``some`` rows with the term."""
         bits = spark.sparkContext.broadcast(bitmap(pairs.select("term").distinct(), "term"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,26 +198,46 @@ def find(docs: DataFrame, threshold: float = 0.8, least_docs: int = 2, reach: in
                 words, ends = hash_words(b.column(0).to_pylist())
                 at = np.flatnonzero(in_bitmap(bits.value, words))
                 own = np.searchsorted(ends, at, side="right")
-                seen = np.unique(np.stack([own.astype(np.uint64), words[at]]), axis=1)
-                terms, n = np.unique(seen[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n.astype(np.int64))], names=["term", "n"])
+                seen = np.unique(np.stack([own, words[at].view(np.int64)]), axis=1)  # a term once a text
+                yield _summed([seen[1], _owners(b.column(1).to_numpy(), repeated.value)[seen[0]]], ["term", "of"])
 
-        n_term = some.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
+        n_term = _texts(some.select("text", "h").mapInArrow(run, "term long, of long, n long"), ["term"], "n_term")
         return pairs.join(n_term, "term", "left").withColumn("n_term", F.coalesce("n_term", F.lit(0)))
 
-    # A term's documents among some of the rows are a lower bound of all: what discloses too little even by that, as common words
+    # A term's texts among some of them are a lower bound of all: what discloses too little even by that, as common words
     # do, is out before the count over all rows.
-    some = rows.where(F.pmod(F.xxhash64(F.lit(3), F.col("text")), F.lit(16)) == 0)
+    some = rows.where(F.pmod(F.xxhash64(F.lit(3), F.col("h")), F.lit(16)) == 0)
     pairs = checkpoint(counted(checkpoint(pairs), some).where(disclosed > threshold).drop("n_term"))
-    pairs = checkpoint(counted(pairs, rows).where(disclosed > threshold).select("term", "entity"))
-    if reach is None:
-        pairs = checkpoint(pairs.select("term").distinct())
-        found = detected(spark.sparkContext.broadcast(bitmap(pairs, "term")))
-        near = found.select("row", F.inline("near"))
-    spans = (near.join(pairs, pairs.columns).select("row", "start", "end").distinct()
+    telling = checkpoint(counted(pairs, rows).where(disclosed > threshold).select("term").distinct())
+    bits = spark.sparkContext.broadcast(bitmap(telling, "term"))
+
+    def base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            words, ends = hash_words(texts)
+            hits = np.split(in_bitmap(bits.value, words), ends[:-1])
+            out, near = [], []
+            for t, hit in zip(texts, hits, strict=True):
+                spans = detect(t) if t else []
+                joined = _joined(spans)
+                out.append((*(sum(s[0] == k for s in spans) for k in KINDS), joined, hashlib.sha256(joined.encode()).hexdigest()))
+                some = set(np.flatnonzero(hit).tolist())  # the words that may disclose, by their number in the text
+                near.append([(t[s:e], s, e) for i, s, e in _words(t, spans) if i in some] if some else [])
+            terms = iter(hash_words([w for own in near for w, *_ in own])[0].view(np.int64).tolist())
+            near = [[{"term": next(terms), "start": s, "end": z} for _, s, z in own] for own in near]
+            cols = list(zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(key_type), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.string()),
+                                              pa.array(cols[5], pa.string()), pa.array(near, span_type)],
+                                             names=["key", *(f"n_{k}" for k in KINDS), "base", "base_sha256", "near"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    found = checkpoint(rows.select("key", "text").mapInArrow(base, f"key {kind}, n_email long, n_ip long, n_card long, n_phone long, base string, base_sha256 string, "
+                                                             "near array<struct<term: long, start: int, end: int>>")
+                       .withColumn("row", F.monotonically_increasing_id()))
+    spans = (found.select("row", F.inline("near")).join(telling, "term").select("row", "start", "end")
              .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms")))
     none = F.array().cast("array<struct<start:int,end:int>>")
-    return (found.drop("near").join(spans, "row", "left").withColumn("terms", F.coalesce("terms", none)).drop("row"))
+    return found.drop("near").join(spans, "row", "left").withColumn("terms", F.coalesce("terms", none)).drop("row")
 
 
 def all_spans(base: str = "base", terms: str = "terms"):
@@ -279,18 +259,21 @@ def redacted(text: str, spans: list[Span]) -> str:
     return "".join(out) + text[at:]
 
 
-def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with the text redacted, for tables with unique keys; rows with a null text or without spans come back as they are."""
-    own, extra = unused(docs, "_key", "_spans")
-    found = find(docs, text=text, key=key, **options).select(F.col("key").alias(own), all_spans().alias(extra)).where(F.col(extra) != "")
-    joined = docs.join(found, F.col(key).eqNullSafe(F.col(own)), "left").drop(own)
-    place, spans, names = joined.columns.index(text), joined.columns.index(extra), docs.columns
+def sanitise(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``docs`` with the text redacted, each row for itself; rows with a null text or without spans come back as they are."""
+    names = docs.columns
+    place, own, extra = unused(docs, "_place", "_key", "_spans")
+    docs = identified(docs, place)
+    found = find(docs, text=text, key=place, **options).select(F.col("key").alias(own), all_spans().alias(extra)).where(F.col(extra) != "")
+    found = found.dropDuplicates([own])
+    joined = docs.join(found, F.col(place) == F.col(own), "left").select(*names, extra)
+    at, spans, schema = names.index(text), len(names), joined.drop(extra).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             new = [t if not s or t is None else redacted(t, [(k, int(a), int(z)) for k, a, z in (x.split(":") for x in s.split(","))])
-                   for t, s in zip(b.column(place).to_pylist(), b.column(spans).to_pylist(), strict=True)]
-            cols = [pa.array(new, pa.string()) if i == place else c for i, c in enumerate(b.columns) if i != spans]
+                   for t, s in zip(b.column(at).to_pylist(), b.column(spans).to_pylist(), strict=True)]
+            cols = [pa.array(new, pa.string()) if i == at else c for i, c in enumerate(b.columns) if i != spans]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(run, schema)

@@ -50,10 +50,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in ``documents``, and the terms that disclose over 0.8 of an entity's information content,
-    counted over whole documents and marked wherever they stand."""
+    """Personal data in ``documents``, and the terms that disclose over 0.8 of an entity's information content in three or more distinct
+    texts, marked wherever they stand."""
     docs = table(prepare(spark), sf_dir, "documents", "doc_id", "text")
-    return pii.find(docs, threshold=0.8, least_docs=2, reach=None).select(
+    return pii.find(docs, threshold=0.8, least_texts=3).select(
         F.col("key").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", "base_sha256", pii.all_spans().alias("spans"))
 
 

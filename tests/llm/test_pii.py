@@ -61,102 +61,74 @@ def test_long_runs():
         assert isinstance(pii.detect(text), list)
 
 
-def disclosed(rows, threshold=0.8, least=2, reach=5):
-    """row number -> term spans, by counting over the rows."""
-    near, words_of, entities = [], defaultdict(set), defaultdict(set)
-    for i, (_, t) in enumerate(rows):
-        if t is None:
-            continue
+def disclosed(rows, threshold=0.8, least=3, z=1.645):
+    """row number -> term spans, by counting over the distinct texts."""
+    texts = sorted({t or "" for _, t in rows})
+    entities, words_of, free = defaultdict(set), defaultdict(set), {}
+    for t in texts:
         spans = plain(t)
+        for kind, s, e in spans:
+            entities[kind, t[s:e].lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", t[s:e])].add(t)
         words = [(m.start(), m.end(), m.group().lower()) for m in re.finditer("[0-9A-Za-z_\x80-\U0010ffff]+", t)]
         for *_, w in words:
-            words_of[w].add(i)
-        free = [w for w in words if not any(w[0] < e and s < w[1] for _, s, e in spans)]
-        for kind, s, e in spans:
-            value = t[s:e].lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", t[s:e])
-            entities[kind, value].add(i)
-            for a, b, w in [x for x in free if x[1] <= s][-reach:] + [x for x in free if x[0] >= e][:reach]:
-                near.append((i, w, (kind, value), a, b))
-    both = defaultdict(set)
-    for i, w, e, *_ in near:
-        both[w, e].add(i)
-    out = defaultdict(set)
-    for i, w, e, a, b in near:
-        content = -math.log2(len(entities[e]) / len(rows))
-        if content > 0 and len(both[w, e]) >= least and (math.log2(len(both[w, e]) / len(words_of[w])) + content) / content > threshold:
-            out[i].add((a, b))
-    return {i: sorted(v) for i, v in out.items()}
+            words_of[w].add(t)
+        free[t] = [w for w in words if not any(w[0] < e and s < w[1] for _, s, e in spans)]
+    telling = set()
+    for at in entities.values():
+        content = -math.log2(len(at) / len(texts))
+        for w in {w for t in at for *_, w in free[t]}:
+            both, n = sum(any(x == w for *_, x in free[t]) for t in at), len(words_of[w])
+            p = both / n
+            low = (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+            if content > 0 and both >= least and (math.log2(low) + content) / content > threshold:
+                telling.add(w)
+    return {i: [(a, b) for a, b, w in free[t or ""] if w in telling] for i, (_, t) in enumerate(rows)}, telling
 
 
 def corpus():
-    rng = random.Random(4)
+    rng = random.Random(8)
     common = ["the", "a", "of", "and", "to", "in", "word", "other", "more"]
-    rows = []
-    for i in range(400):
-        w = rng.choices(common, k=20)
-        if i % 40 == 0:
-            w[10] = "Mallory employee 4711 writes from mallory@example.org each day"
-        elif i % 37 == 0:
-            w[5] = f"call +1 555 555 {1000 + i} or rare{i}"
-        elif i % 90 == 7:
-            w[3] = "employee 99 calls 10.0.0.1 twice"
-        rows.append((i, " ".join(w)))
-    return rows
-
-
-def test_disclosure(spark, docs):
+    rows = [(i, " ".join(rng.choices(common, k=20))) for i in range(600)]
+    for i in range(0, 120, 10):
+        rows[i] = (i, f"Mallory {rows[i][1]} 4711 mallory@example.org x@y.zz" if i else f"Mallory {rows[i][1]} mallory@example.org")
+    for i in range(5, 25, 10):  # too few texts with it
+        rows[i] = (i, f"seldom {rows[i][1]} seldom@example.org")
+    rows[7] = (None, "here MALLORY alone, no address")
+    same = f"uncommon words of a copied text {rows[9][1]} copied@example.org"
+    return rows + [(1000 + i, same) for i in range(30)] + [(300, None), (301, ""), (302, "card 4111 1111 1111 1111 zebra"), (None, "zebra and 4111111111111111"), (303, "one@two.three single")]
+
+
+def marked(df):
+    return sorted((str(r.key), [(x.start, x.end) for x in r.terms]) for r in df.collect())
+
+
+def test_disclosure(docs):
+    """Terms far from the entity count, and are marked in every document; copies are no evidence; by a loop."""
     rows = corpus()
-    expected = disclosed(rows)
-    found = {r.key: [(x.start, x.end) for x in r.terms] for r in pii.find(docs(rows)).collect()}
-    assert {k: v for k, v in found.items() if v} == expected
-    text = dict(rows)
-    marked = {text[i][a:b] for i, v in expected.items() for a, b in v}
-    assert {"Mallory", "4711"} <= marked and not marked & {"the", "a", "of"}
-    clean = {r.doc_id: r.text for r in pii.sanitise(docs(rows)).collect()}
-    assert "Mallory" not in clean[0] and "####" in clean[0] and "[EMAIL]" in clean[0]
-    assert all(clean[i] == t for i, t in rows if not plain(t))
+    expected, telling = disclosed(rows)
+    assert {"mallory", "4711"} <= telling and not telling & {"the", "a", "of", "seldom", "uncommon", "copied", "zebra"}
+    assert marked(pii.find(docs(rows))) == sorted((str(k), expected[i]) for i, (k, _) in enumerate(rows))
+    clean = {(r.doc_id, r.text) for r in pii.sanitise(docs(rows)).collect()}
+    text = dict(clean)
+    assert len(clean) == len({(k, t) for k, t in rows}) and "allory" not in text[10] and "[EMAIL]" in text[10] and "####" in text[10]
+    assert (None, "here  alone, no address") in clean and (None, "zebra and [CARD]") in clean
+    assert all((k, t) in clean for i, (k, t) in enumerate(rows) if not plain(t or "") and not expected[i])
+
+
+def test_copies_change_nothing(docs):
+    """Every row twice: the same terms."""
+    rows = corpus()
+    once, twice = marked(pii.find(docs(rows))), marked(pii.find(docs(rows + rows)))
+    assert twice == sorted(once + once)
 
 
 def test_cases(docs):
     """Nulls, empties, no context, entities side by side, repeated rows, null keys, clashing columns."""
     rows = [(1, None), (2, ""), (3, "a@b.cc"), (4, "a@b.cc x@y.zz"), (None, "solo zebra a@b.cc"), (5, "solo zebra a@b.cc"), (5, "solo zebra a@b.cc"), (6, "é🙂 +1 555 555 5555")]
-    expected = disclosed(rows)
     got = pii.find(docs(rows)).collect()
-    assert sorted(([x.start, x.end] for r in got for x in r.terms)) == sorted([list(s) for v in expected.values() for s in v])
+    assert not any(r.terms for r in got)  # two texts are too few
     assert sorted(r.base for r in got) == sorted(",".join(f"{k}:{s}:{e}" for k, s, e in plain(t or "")) for _, t in rows)
-    assert pii.sanitise(docs(rows[:4])).columns == docs(rows).columns
-    assert pii.find(docs([])).count() == 0
-
-
-def test_whole_documents(docs):
-    """Without a reach: terms far from the entity count, and are marked in every document; by a loop."""
-    rng = random.Random(8)
-    common = ["the", "a", "of", "and", "to", "in", "word", "other", "more"]
-    rows = [(i, " ".join(rng.choices(common, k=20))) for i in range(300)]
-    for i in range(0, 60, 10):
-        rows[i] = (i, f"Mallory {rows[i][1]} mallory@example.org x@y.zz" if i else f"Mallory {rows[i][1]} mallory@example.org")
-    rows[7] = (None, "here MALLORY alone, no address")
-    rows += [(300, None), (301, ""), (302, "card 4111 1111 1111 1111 zebra"), (None, "zebra and 4111111111111111"), (303, "one@two.three single")]
-    entities, words_of = defaultdict(set), defaultdict(set)
-    free = {}
-    for i, (_, t) in enumerate(rows):
-        spans = plain(t or "")
-        for kind, s, e in spans:
-            entities[kind, t[s:e].lower() if kind == "email" else re.sub("[^0-9]", "", t[s:e])].add(i)
-        words = [(m.start(), m.end(), m.group().lower()) for m in re.finditer("[0-9A-Za-z_\x80-\U0010ffff]+", t or "")]
-        for *_, w in words:
-            words_of[w].add(i)
-        free[i] = [w for w in words if not any(w[0] < e and s < w[1] for _, s, e in spans)]
-    telling = set()
-    for at in entities.values():
-        content = -math.log2(len(at) / len(rows))
-        for w in {w for i in at for *_, w in free[i]}:
-            both = sum(any(x == w for *_, x in free[i]) for i in at)
-            if both >= 2 and (math.log2(both / len(words_of[w])) + content) / content > 0.8:
-                telling.add(w)
-    assert {"mallory", "zebra"} <= telling and not telling & set(common)
-    expected = sorted((str(k), [(a, b) for a, b, w in free[i] if w in telling]) for i, (k, _) in enumerate(rows))
-    assert sorted((str(r.key), [(x.start, x.end) for x in r.terms]) for r in pii.find(docs(rows), reach=None).collect()) == expected
-    clean = {r.doc_id: r.text for r in pii.sanitise(docs([r for r in rows if r[0] is not None] + [(999, rows[7][1])]), reach=None).collect()}
-    assert "allory" not in clean[10] and clean[999] == "here  alone, no address"
-    assert pii.find(docs([]), reach=None).count() == 0
+    clean = pii.sanitise(docs(rows))
+    assert clean.columns == docs(rows).columns
+    assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(k) for k, _ in rows)  # repeated keys do not multiply rows
+    assert pii.find(docs([])).count() == 0 and pii.sanitise(docs([])).count() == 0
