@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, checkpoint, heavy_keys, in_bitmap, mix64, partitions, prepare, release, runs_of, unused
+from .common import bitmap, checkpoint, heavy_keys, identified, in_bitmap, mix64, partitions, prepare, release, runs_of, unused
 from .graph import components
 
 SHINGLE = 7
@@ -316,18 +316,20 @@ def links(lines: DataFrame, rows: DataFrame, least: float) -> DataFrame:
     return members.select("part", "run", "id", "text").repartition(n, "part").sortWithinPartitions("part", "run", "id").mapInArrow(verify, "a long, b long")
 
 
-def dedup(docs: DataFrame, least: float = 0.8, text: str = "text", key: str = "doc_id", counts: tuple[str, str] | None = None, row: str | None = None) -> DataFrame:
+def dedup(docs: DataFrame, least: float = 0.8, text: str = "text", key: str = "doc_id", counts: tuple[str, str] | None = None) -> DataFrame:
     """``docs`` with the text without the lines that repeat an earlier one of any document, in order of (key, line); with
     ``counts`` also two columns of these names: lines that are not blank, and lines kept.
 
     A document that keeps all its lines is unchanged; one that loses lines is rebuilt from those it keeps, without its blank
     lines; one that loses all has an empty text.  Blank lines match nothing; null, empty and blank texts are unchanged.  The key is
-    an integer; null keys come first.  Rows with equal keys are ordered by a hash of their text, and rows equal in both keep the
-    same lines, unless ``row`` names a column of different numbers: then the one with the smallest number keeps them.  Other columns
-    are carried along, whatever their names."""
+    an integer; null keys come first.  Rows with equal keys are ordered by a hash of their text, and of rows equal in both the one
+    that comes first by its place (``identified``) keeps the lines.  Other columns are carried along, whatever their names."""
     prepare(docs.sparkSession)
+    columns = docs.columns
+    (row,) = unused(docs, "_place")
+    docs = identified(docs, row)
     did, thash = F.coalesce(F.col(key).cast("long"), F.lit(LEAST)), F.xxhash64(F.col(text))
-    number = F.col(row) if row else F.lit(0).cast("long")
+    number = F.col(row)
     rows = docs.select(did.alias("did"), thash.alias("thash"), number.alias("row"), F.col(text).alias("text"))
     lines = checkpoint(first_lines(rows).withColumn("id", F.monotonically_increasing_id()))
     roots = components(links(lines, rows, least)).select(F.col("node").alias("id"), "root")
@@ -347,4 +349,4 @@ def dedup(docs: DataFrame, least: float = 0.8, text: str = "text", key: str = "d
     rebuilt = F.get(F.transform(F.array(parts), lambda own: F.array_join(F.transform(keep, lambda i: F.get(own, i)), "\n")), F.lit(0))
     new = F.when(quick == F.size(keep), F.col(text)).when((F.size(keep) == exact) | F.col(text).isNull(), F.col(text)).otherwise(rebuilt)
     extra = [size.cast("long").alias(counts[0]), F.size(keep).cast("long").alias(counts[1])] if counts else []
-    return joined.select(*[new.alias(c) if c == text else F.col(c) for c in docs.columns], *extra)
+    return joined.select(*[new.alias(c) if c == text else F.col(c) for c in columns], *extra)

@@ -77,7 +77,7 @@ def test_cases(docs):
     assert got.columns[:8] == docs(rows).columns
     found = sorted(((r.doc_id, r.text, r.n, r.k) for r in got.collect()), key=str)
     assert found == sorted([(1, None, 0, 0), (2, "", 0, 0), (3, " \n\t", 0, 0), (4, "a\nb", 3, 2), (5, "", 2, 0), (None, "c\nd", 2, 2),
-                            (6, "e\n\nf", 2, 2), (6, "e\n\nf", 2, 2), (7, "", 1, 0), (8, "", 1, 0)], key=str)
+                            (6, "e\n\nf", 2, 2), (6, "", 2, 0), (7, "", 1, 0), (8, "", 1, 0)], key=str)
     assert lines.dedup(docs([])).count() == 0
 
 
