@@ -98,7 +98,7 @@ def grams(texts: list[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]
 def fit(docs: DataFrame, most_per_language: int = 5000, most_languages: int = 200, smoothing: float = 0.5,
         text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
     """Learn from a sample of the rows with a text and a language: at most about ``most_per_language`` of each
-    language, chosen by a hash of the key (all rows of a language that has fewer).  More than ``most_languages``
+    language, chosen by a hash of key and text (all rows of a language that has fewer), so a key that many rows have is no larger a share.  More than ``most_languages``
     languages raise an error, so the broadcast matrix stays below most_languages x BUCKETS x 8 bytes.  No rows: a model without languages."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).cast("string").alias("key")) \
@@ -109,9 +109,9 @@ def fit(docs: DataFrame, most_per_language: int = 5000, most_languages: int = 20
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((0, BUCKETS)), np.zeros(0))
-    # a share of the hash range, in millionths; a repeated or null key is drawn or left as a whole
+    # a share of the hash range, in millionths; rows equal in key and text are drawn or left as a whole
     share = F.create_map(*[F.lit(x) for name in languages for x in (name, 1_000_000 * most_per_language // sizes[name] + 1)])
-    sample = rows.where(F.pmod(F.xxhash64(F.lit(11), F.col("key")), F.lit(1_000_000)) < share[F.col("lang")])
+    sample = rows.where(F.pmod(F.xxhash64(F.lit(11), F.col("key"), F.col("text")), F.lit(1_000_000)) < share[F.col("lang")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

@@ -14,10 +14,10 @@ from base64 import b32encode
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint, prepare
+from .common import checkpoint, identified, prepare, unused
 
 CRLF = "\r\n"
 #: Fixed values of the format.
@@ -41,17 +41,19 @@ def _uuid(*parts: Column) -> Column:
 def records(pages: DataFrame, payload: str = "html", url: str = "url", key: str = "page_id") -> DataFrame:
     """(key, url, payload, bytes, digest, record_id, record_type, refers_to, refers_to_key, refers_to_url): one record a row of ``pages``.
 
-    Rows equal in key, url and payload are told apart by number: of the largest (key, url) of a payload the first row is the
-    response, every other row a revisit.  A null payload is empty, and empty payloads are shared like others; a null key is
+    Rows equal in key, url and payload are told apart by their place (``identified``): of the largest (key, url) of a payload the first row
+    is the response, every other row a revisit.  A null payload is empty, and empty payloads are shared like others; a null key is
     smaller than any other; a null url is allowed.  The key is an integer column."""
-    own = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload"))
+    (place,) = unused(pages, "_place")
+    own = identified(pages, place).select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload"), F.col(place).alias("_place"))
     own = own.withColumn("digest", digest_of(F.col("payload"))).withColumn("bytes", F.octet_length("payload").cast("long"))
-    # one join column that tells nulls apart, so that join and numbering share one shuffle of the payloads
+    # one join column that tells nulls apart
     own = own.withColumn("_row", F.concat_ws("|", "digest", F.coalesce(F.col("key").cast("string"), F.lit("-")), F.concat(F.lit("u"), F.col("url"))))
-    heads = checkpoint(own.select("_row", "key", "url", "digest").distinct())
+    heads = checkpoint(own.groupBy("_row", "key", "url", "digest").agg(F.min("_place").alias("_first")))
     first = checkpoint(heads.groupBy("digest").agg(F.max(F.struct("key", "url")).alias("_of")))
-    heads = heads.join(first, "digest").select("_row", "_of")
-    found = own.join(heads, "_row").withColumn("_turn", F.row_number().over(Window.partitionBy("_row").orderBy("_row")))
+    heads = heads.join(first, "digest").select("_row", "_of", "_first")
+    # the first of equal rows is number 1, the others go by their place
+    found = own.join(heads, "_row").withColumn("_turn", F.when(F.col("_place") == F.col("_first"), 1).otherwise(F.col("_place")))
     response = (F.col("_turn") == 1) & F.col("key").eqNullSafe(F.col("_of.key")) & F.col("url").eqNullSafe(F.col("_of.url"))
     found = found.withColumn("record_type", F.when(response, "response").otherwise("revisit"))
     again = F.col("record_type") == "revisit"
