@@ -42,7 +42,7 @@ DIGIT = re.compile(r"[0-9]")
 WORD = re.compile("[0-9A-Za-z_\x80-\U0010ffff]+")
 
 Span = tuple[str, int, int]
-PAIRS = 1 << 19  # pairs of terms and entities counted at once
+PAIRS = 1 << 19  # pairs of terms and entities, or of terms and texts, summed up at once
 
 
 def emails(text: str) -> list[Span]:
@@ -126,7 +126,7 @@ def _texts(counts: DataFrame, by: list[str], name: str) -> DataFrame:
 
 def _together(rows: DataFrame, repeated: Broadcast, least_texts: int) -> tuple[DataFrame, DataFrame]:
     """(entity, n_entity) and (term, entity, both): distinct texts with an entity, and with a term and an entity; of both only what
-    is in ``least_texts`` or more.  Counts are summed up within batches first."""
+    is in ``least_texts`` or more.  Counts are summed up within tasks first."""
     spark = rows.sparkSession
 
     def entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,8 +141,8 @@ def _together(rows: DataFrame, repeated: Broadcast, least_texts: int) -> tuple[D
     bits = spark.sparkContext.broadcast(bitmap(of_entity, "entity"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for b in batches:
-            held, size = [], 0
             owners = _owners(b.column(1).to_numpy(), repeated.value).tolist()
             for t, of in zip(b.column(0).to_pylist(), owners, strict=True):
                 spans = detect(t) if t else []
@@ -159,8 +159,8 @@ def _together(rows: DataFrame, repeated: Broadcast, least_texts: int) -> tuple[D
                     if size >= PAIRS:
                         yield _summed([np.concatenate(c) for c in zip(*held, strict=True)], ["term", "entity", "of"])
                         held, size = [], 0
-            if size:
-                yield _summed([np.concatenate(c) for c in zip(*held, strict=True)], ["term", "entity", "of"])
+        if size:
+            yield _summed([np.concatenate(c) for c in zip(*held, strict=True)], ["term", "entity", "of"])
 
     beside = _texts(texts.mapInArrow(pairs, "term long, entity long, of long, n long"), ["term", "entity"], "both").where(F.col("both") >= least_texts)
     return of_entity, beside
@@ -194,12 +194,19 @@ def find(docs: DataFrame, threshold: float = 0.8, least_texts: int = 3, text: st
         bits = spark.sparkContext.broadcast(bitmap(pairs.select("term").distinct(), "term"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, size = [], 0
             for b in batches:
                 words, ends = hash_words(b.column(0).to_pylist())
                 at = np.flatnonzero(in_bitmap(bits.value, words))
                 own = np.searchsorted(ends, at, side="right")
                 seen = np.unique(np.stack([own, words[at].view(np.int64)]), axis=1)  # a term once a text
-                yield _summed([seen[1], _owners(b.column(1).to_numpy(), repeated.value)[seen[0]]], ["term", "of"])
+                held.append((seen[1], _owners(b.column(1).to_numpy(), repeated.value)[seen[0]]))
+                size += seen.shape[1]
+                if size >= PAIRS:
+                    yield _summed([np.concatenate(c) for c in zip(*held, strict=True)], ["term", "of"])
+                    held, size = [], 0
+            if size:
+                yield _summed([np.concatenate(c) for c in zip(*held, strict=True)], ["term", "of"])
 
         n_term = _texts(some.select("text", "h").mapInArrow(run, "term long, of long, n long"), ["term"], "n_term")
         return pairs.join(n_term, "term", "left").withColumn("n_term", F.coalesce("n_term", F.lit(0)))
