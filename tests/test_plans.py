@@ -82,6 +82,27 @@ def test_stream_reads_tables_of_part_files(spark, tmp_path):
     assert spark.read.parquet(sink).count() == pages.count() + 4
 
 
+def test_extraction_bounds_its_batches(spark):
+    """In a session whose Arrow batches are large, unlimited or Spark's own, the extraction's are still bounded, and smaller ones stay as they are."""
+    from snapfeed.session import ARROW_BYTES, ARROW_ROWS, bound_batches
+    names = [f"spark.sql.execution.arrow.{n}" for n in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    held = {n: spark.conf.get(n) for n in names}
+    html = "<h1>" + "words " * 50_000 + "</h1>"
+    pages = spark.range(0, 40, 1, 1).select(F.col("id").alias("page_id"), F.lit(None).cast("string").alias("url"), F.when(F.col("id") != 7, F.lit(html)).alias("html"))
+    try:
+        for rows, size in (("10000", "64m"), ("0", "16mb"), (str(1 << 30), "1gb")):
+            spark.conf.set(names[0], rows), spark.conf.set(names[1], size)
+            read = N.extract(pages, {"h1": N.Want("h1", ("text",), first=True)})
+            assert (int(spark.conf.get(names[0])), int(spark.conf.get(names[1]))) == (ARROW_ROWS, ARROW_BYTES)
+        assert [r["n"] for r in read.select(F.length("h1.text").alias("n")).collect()] == [None if i == 7 else 300_000 for i in range(40)]
+        spark.conf.set(names[0], "9"), spark.conf.set(names[1], "32k")
+        bound_batches(spark)
+        assert [spark.conf.get(n) for n in names] == ["9", "32k"]
+    finally:
+        for n, v in held.items():
+            spark.conf.set(n, v)
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
