@@ -128,6 +128,26 @@ def test_match_feeds_equals_one_by_one(spark):
         assert len(got) == len(set(got)) and set(got) == _one_by_one(items, feeds, sem)
 
 
+def test_match_feeds_shuffles_no_pairs(spark, monkeypatch):
+    """Long and short items against feeds in several passes; what is shuffled grows with the items, not with the pairs, which are judged where the item lies."""
+    import random
+    import re
+    monkeypatch.setattr(K, "PIECE", 8)
+    monkeypatch.setattr(K, "HOT_GRAM", 10)
+    monkeypatch.setattr(K, "FEEDS", 7)
+    rnd = random.Random(3)
+    words = ["flood", "road", "tide", "bus", "x", "ab", "é🙂"]
+    items = spark.createDataFrame([(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 20))), None) for i in range(80)], "id long, title string, summary string")
+    feeds = spark.createDataFrame([(f, ",".join(rnd.choice(["", "-"]) + rnd.choice(words) for _ in range(3)) + rnd.choice(["", f",except({rnd.choice(words)})"]))
+                                   for f in range(30)], "feed_id long, spec string")
+    for sem in (DOCUMENTED, OBSERVED):
+        df = K.match_feeds(items, feeds, "id", semantics=sem)
+        got = [(r["feed_id"], r["id"]) for r in df.collect()]
+        assert len(got) == len(set(got)) and set(got) == _one_by_one(items, feeds, sem)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[[^]]*feed_id", plan)
+
+
 def test_many_feeds_and_a_term_in_all_items(spark):
     """10,000 feeds, one term in every item, and a plan without Python."""
     items = spark.range(50).selectExpr("id", "concat('common word', id) AS title", "'' AS summary")
