@@ -126,9 +126,12 @@ def release() -> None:
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser on uint64: a cheap bijective scramble."""
     with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
+        x = x ^ (x >> np.uint64(30))  # a new array; the steps after it work in place
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(27)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        return x
 
 
 def word_chunks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:

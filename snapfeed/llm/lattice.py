@@ -8,7 +8,7 @@ log-probability among them - drawn from the node's total mass, cut off at its pa
 complete segmentation taken off the queue is the best of all that are left.
 
 No piece crosses a word boundary, so a text's lattice is a chain of word lattices.  The distinct words of a
-batch get their backward sums in numpy; the chain of a path is drawn for all words of the batch at once; what
+batch, and of these the distinct ends, get their backward sums once, in numpy; the chain of a path is drawn for all words of the batch at once; what
 leaves a path first at one word is queued as one node and opened up only if it is taken.  All random numbers
 are hashes of the row's key, the seed and the place, so a row's samples depend on nothing else.
 
@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
@@ -38,6 +39,7 @@ from .common import mix64, prepare, release
 SPACE = "▁"
 #: Characters of the texts taken up at once (a single text may be longer).
 CHARS = 1_000_000
+SHARED = 64  # characters of a word's end for which places are shared
 BATCH = 1 << 20  # ids and characters of one batch of results
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 PRIME = np.uint64(0x100000001B3)
@@ -49,10 +51,12 @@ class Pieces:
 
     proto: bytes
     strings: list[str]
-    spelled: np.ndarray  # the text of each piece, as objects; null where a piece alone does not say it
+    spelled: pa.Array  # the text of each piece, and then once more without the blank in front
+    lead: np.ndarray  # (pieces) how its text begins: 0 no blank, 1 one, 2 more, 3 is one blank; 4 where a piece alone does not say it
     prefixed: bool  # whether decoding drops the blank in front of a text
     log_weight: np.ndarray
     tables: list[tuple[np.ndarray, np.ndarray]]
+    goes_on: np.ndarray  # whether a longer piece begins with a piece; the last two, as -2 and -1: what ``find`` gives for no piece
     longest: int
     byte_of: np.ndarray  # 256 piece ids
     breaks: tuple[bool, bool]  # whether words begin at blanks, and at and after line breaks
@@ -62,15 +66,20 @@ class Pieces:
 
     @staticmethod
     def slot(h: np.ndarray) -> np.ndarray:
-        return ((h * GOLDEN) >> Pieces.BITS).astype(np.int64)
+        return ((h * GOLDEN) >> Pieces.BITS).view(np.int64)
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Piece of each hash, -1 for a beginning only, -2 for neither."""
-        at = self.slot(h)
-        out = np.full(len(h), -2, np.int32)
+        at, out = self.slot(h), np.full(len(h), -2, np.int32)
+        open_ = np.arange(len(h))
         for held, piece in self.tables:
-            hit = held[at] == h
-            out[hit] = piece[at[hit]]
+            p, same = piece[at], held[at] == h
+            hit = np.flatnonzero(same)
+            out[open_[hit]] = p[hit]
+            left = np.flatnonzero(~same & (p != -2))  # a hash whose slot is free is in no later table either
+            if not len(left):
+                break
+            at, h, open_ = at[left], h[left], open_[left]
         return out
 
 
@@ -103,12 +112,17 @@ def load(path: str, alpha: float = 1.0) -> Pieces:
     if not sp.is_byte(int(byte_of[0])):
         byte_of[:] = sp.unk_id()
     entries: dict[int, int] = {}
+    begins: set[int] = set()
     for i in range(n):
         if plain[i]:
             hs = _hashes(np.array([ord(c) for c in strings[i]], np.uint32)).tolist()
+            begins.update(hs[:-1])
             for h in hs[:-1]:
                 entries.setdefault(h, -1)
             entries[hs[-1]] = i
+    goes_on = np.zeros(n + 2, bool)
+    goes_on[-1] = True
+    goes_on[[i for h, i in entries.items() if i >= 0 and h in begins]] = True
     keys, vals = np.array(list(entries), np.uint64), np.array(list(entries.values()), np.int32)
     tables = []
     while len(keys):
@@ -122,26 +136,28 @@ def load(path: str, alpha: float = 1.0) -> Pieces:
     many = [s for s, ok in zip(strings, plain, strict=True) if ok and len(s) > 1]
     # pieces may cross words (the whole text is one lattice) or line breaks
     breaks = (not any(SPACE in s.lstrip(SPACE) for s in many), not any("\n" in s for s in many))
-    spelled = np.array([s.replace(SPACE, " ") if ok else None for s, ok in zip(strings, plain, strict=True)], object)
+    spelled = [s.replace(SPACE, " ") if ok else None for s, ok in zip(strings, plain, strict=True)]
     for b in range(128):  # a byte of ASCII is a character of its own
         if b != 32 and sp.is_byte(int(byte_of[b])):
             spelled[byte_of[b]] = chr(b)
+    lead = np.array([4 if s is None else 3 if s == " " else min(2, len(s) - len(s.lstrip(" "))) for s in spelled], np.int8)
+    spelled = pa.array([s or "" for s in spelled] + [(s or "").removeprefix(" ") for s in spelled], pa.string())
     worded = next((i for i, s in enumerate(strings) if plain[i] and len(s) > 1 and s[0] == SPACE and SPACE not in s[1:]), None)
     prefixed = worded is not None and sp.decode([worded]) == strings[worded][1:]
-    return Pieces(sp.serialized_model_proto(), strings, spelled, prefixed, alpha * weight, tables, max(map(len, strings)), byte_of, breaks, alpha * floor)
+    return Pieces(sp.serialized_model_proto(), strings, spelled, lead, prefixed, alpha * weight, tables, goes_on, max(map(len, strings)), byte_of, breaks, alpha * floor)
 
 
 @dataclass
 class Lattice:
-    """Word lattices laid end to end.  Each character place has a run of edges in order of length."""
+    """Word lattices.  A place is what is left of a word from a character on, so words with one ending share its places; they are
+    numbered by what is left, from 1 on, and 0 is the end of a word.  Each place has a run of edges in order of length."""
 
     start: np.ndarray  # (words) first place
-    left: np.ndarray  # (places) characters to the word's end
     at: np.ndarray  # (places) first edge
     many: np.ndarray  # (places) edges
     place: np.ndarray  # (edges) place
     piece: np.ndarray  # (edges) piece, or -1 - code point for a character unknown to the model
-    length: np.ndarray  # (edges)
+    then: np.ndarray  # (edges) next place
     log_p: np.ndarray  # (edges) log-probability at the place; 0 for an only edge
     cum: np.ndarray  # (edges) cumulative probabilities of the place's edges; 2 at the last
 
@@ -175,8 +191,10 @@ def distinct_words(texts: list[str], m: Pieces) -> tuple[np.ndarray, np.ndarray,
         return starts, per_text, points, sizes
     inside = np.arange(n) - np.repeat(starts, sizes)
     with np.errstate(over="ignore"):
-        h = np.add.reduceat(mix64(points + (inside + 1).astype(np.uint64) * GOLDEN), starts)
-    _, first, which = np.unique(h, return_index=True, return_inverse=True)
+        h = np.add.reduceat(mix64(points + (inside + 1).view(np.uint64) * GOLDEN), starts)
+    which = pa.array(h).dictionary_encode().indices.to_numpy()  # in order of appearance: frequent words lie close together
+    first = np.empty(int(which.max()) + 1, np.int64)
+    first[which[::-1]] = np.arange(len(which))[::-1]
     own = first[which]
     if not ((sizes[own] == sizes).all() and (points[np.repeat(starts[own], sizes) + inside] == points).all()):  # two words with one hash
         words = ["".join(map(chr, points[a: a + k].tolist())) for a, k in zip(starts.tolist(), sizes.tolist(), strict=True)]
@@ -186,63 +204,89 @@ def distinct_words(texts: list[str], m: Pieces) -> tuple[np.ndarray, np.ndarray,
     return which, per_text, points[at], sizes
 
 
+def places(points: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(code point of each place, place after it, first place of each word, number of places by what is left of a word)."""
+    end, codes = np.cumsum(size), points.astype(np.int64)
+    start = np.zeros(len(size), np.int64)
+    code, after, many = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], [1]
+    live, n = np.arange(len(size)), 1
+    while len(live) and len(many) <= SHARED:  # a place is told by its character and the place after it
+        told = pa.array(codes[end[live] - len(many)] << 32 | start[live]).dictionary_encode()
+        start[live] = told.indices.to_numpy() + n
+        told = told.dictionary.to_numpy()
+        code.append(told >> 32)
+        after.append(told & 0xFFFFFFFF)
+        n += len(told)
+        live = live[size[live] >= len(many) + 1]
+        many.append(len(told))
+    if len(live):  # the beginnings of long words have places of their own
+        own = size[live] - SHARED
+        last = np.cumsum(own) - 1
+        left = np.repeat(SHARED + 1 + last, own) - np.arange(own.sum())
+        order = np.argsort(left, kind="stable")
+        place = np.empty(len(left), np.int64)
+        place[order] = np.arange(n, n + len(left))
+        to = np.append(place[1:], 0)
+        to[last] = start[live]
+        start[live] = place[last + 1 - own]
+        code.append(codes[np.repeat(end[live], own) - left][order])
+        after.append(to[order])
+        many.extend(np.bincount(left)[SHARED + 1:].tolist())
+    return np.concatenate(code), np.concatenate(after), start, np.array(many)
+
+
 def build(points: np.ndarray, size: np.ndarray, m: Pieces) -> Lattice:
     """The lattices of distinct words (their code points end to end and their sizes) and their backward sums."""
-    codes = points.astype(np.uint64)
-    n = len(codes)
-    start = np.cumsum(size) - size
-    left = np.repeat(start + size, size) - np.arange(n)
-    live, h = np.arange(n), np.full(n, 0xCBF29CE484222325, np.uint64)
+    code, after, start, levels = places(points, size)
+    n = len(code)
+    codes, h = code.astype(np.uint64), np.full(n - 1, 0xCBF29CE484222325, np.uint64)
+    live = to = np.arange(1, n)
     many = np.zeros(n, np.int64)
     found = []
     for step in range(1, m.longest + 1):
         with np.errstate(over="ignore"):
-            h = (h ^ codes[live + (step - 1)]) * PRIME
+            h = (h ^ codes[to]) * PRIME
+        to = after[to]
         p = m.find(h)
-        go = (p != -2) & (left[live] > step)
         if step == 1:  # a single character is an edge in any case; unknown ASCII ones are their byte's piece
-            alone = np.where(points < 128, m.byte_of[np.minimum(points, 127)], -1 - points.astype(np.int64))
-            found.append((live, many[live], step, np.where(p < 0, alone, p), np.where(p < 0, m.unknown, m.log_weight[np.maximum(p, 0)])))
-            many += 1
+            alone = np.where(code < 128, m.byte_of[np.minimum(code, 127)], -1 - code)[1:]
+            found.append((many[1:].copy(), live, np.where(p < 0, alone, p), to, np.where(p < 0, m.unknown, m.log_weight[np.maximum(p, 0)])))
+            many[1:] = 1
         else:
-            edge = p >= 0
-            at, p = live[edge], p[edge]
-            found.append((at, many[at], step, p, m.log_weight[p]))
-            many[at] += 1
-        live, h = live[go], h[go]
-        if not len(live):
+            edge = np.flatnonzero(p >= 0)
+            own, p_own = live[edge], p[edge]
+            found.append((many[own], own, p_own, to[edge], m.log_weight[p_own]))
+            many[own] += 1
+        go = np.flatnonzero(m.goes_on[p] & (to > 0))
+        if not len(go):
             break
-    # places in order of what is left of their word, so that a place's successors come before it
-    short = left.astype(np.uint16) if n and left.max() < 1 << 16 else left  # short integers are sorted by their digits
-    order = np.argsort(short, kind="stable")
-    after = np.cumsum(many[order])
-    first = np.empty(n, np.int64)
-    first[order] = after - many[order]
-    n_edges = int(after[-1]) if n else 0
-    place, piece = np.empty(n_edges, np.int64), np.empty(n_edges, np.int64)
-    length, weight = np.empty(n_edges, np.int64), np.empty(n_edges)
-    for at, slot, step, p, w in found:
+        live, h, to = live[go], h[go], to[go]
+    ends = np.cumsum(many)
+    first = ends - many
+    n_edges = int(ends[-1])
+    piece, then, weight = np.empty(n_edges, np.int32), np.empty(n_edges, np.int32), np.empty(n_edges)
+    for slot, at, p, to, w in found:
         e = first[at] + slot
-        place[e], piece[e], length[e], weight[e] = at, p, step, w
-    total, log_p = np.zeros(n + 1), np.empty(n_edges)
-    ends = np.append(0, np.cumsum(np.bincount(left, minlength=1)[1:]))
-    over = length == left[place]  # edges to the word's end
-    for r in range(1, len(ends)):
-        at = order[ends[r - 1]: ends[r]]
-        if not len(at):
-            continue
-        lo, hi = first[at[0]], after[ends[r] - 1]
-        own = place[lo:hi]
-        s = weight[lo:hi] + np.where(over[lo:hi], 0.0, total[own + length[lo:hi] - over[lo:hi]])
-        begin = first[at] - lo
-        top = np.maximum.reduceat(s, begin)
-        total[at] = top + np.log(np.add.reduceat(np.exp(s - np.repeat(top, many[at])), begin))
-        log_p[lo:hi] = s - total[own]
-    prob = np.exp(log_p)
-    cum = np.cumsum(prob)
-    cum -= (cum[first] - prob[first])[place]
-    cum[first + many - 1] = 2.0  # a random number below 1 never passes the last edge
-    return Lattice(start, left, first, many, place, piece, length, log_p, cum)
+        piece[e], then[e], weight[e] = p, to, w
+    total, log_p = np.zeros(n), np.empty(n_edges)
+    hi = 1
+    for count in levels[1:].tolist():  # a place's successors come before it
+        lo, hi = hi, hi + count
+        a, b, k = int(first[lo]), int(ends[hi - 1]), many[lo:hi]
+        s = weight[a:b] + total[then[a:b]]
+        at = first[lo:hi] - a
+        top = np.maximum.reduceat(s, at)
+        total[lo:hi] = top + np.log(np.add.reduceat(np.exp(s - np.repeat(top, k)), at))
+        log_p[a:b] = s - np.repeat(total[lo:hi], k)
+    cum = np.exp(log_p)
+    more, slot = np.flatnonzero(many > 1), 1
+    while len(more):  # sums of each place alone: they must not depend on the other words
+        e = first[more] + slot
+        cum[e] += cum[e - 1]
+        slot += 1
+        more = more[many[more] > slot]
+    cum[ends[1:] - 1] = 2.0  # a random number below 1 never passes the last edge
+    return Lattice(start, first, many, np.repeat(np.arange(n), many), piece, then, log_p, cum)
 
 
 def _uniform(base: np.ndarray, step: int) -> np.ndarray:
@@ -255,21 +299,23 @@ def _uniform(base: np.ndarray, step: int) -> np.ndarray:
 def draw(lat: Lattice, which: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each word occurrence (number of its lattice, random stream): the edges drawn, in order of occurrence,
     their number and the log-probability."""
-    at, own = lat.start[which].copy(), np.arange(len(which))
+    own = np.arange(len(which))
     log_p, n = np.zeros(len(which)), np.zeros(len(which), np.int64)
     steps, streams, step = [], base, 0
+    edge = lat.at[lat.start][which]
     while len(own):
         u = _uniform(streams, step)
-        edge, open_ = lat.at[at], np.arange(len(own))
+        open_ = np.flatnonzero(lat.cum[edge] <= u)
         while len(open_):  # most stop at the first few edges
-            open_ = open_[lat.cum[edge[open_]] <= u[open_]]
-            edge[open_] += 1
+            e = edge[open_] + 1
+            edge[open_] = e
+            open_ = open_[lat.cum[e] <= u[open_]]
         steps.append((own, edge))
         log_p[own] += lat.log_p[edge]
         n[own] += 1
-        length = lat.length[edge]
-        going = lat.left[at] > length
-        at, own, streams = (at + length)[going], own[going], streams[going]
+        then = lat.then[edge]
+        going = np.flatnonzero(then)
+        own, streams, edge = own[going], streams[going], lat.at[then[going]]
         step += 1
     where = np.cumsum(n) - n
     edges = np.empty(int(n.sum()), np.int64)
@@ -420,8 +466,7 @@ def _open(q: list, lat: Lattice, paths: list, rng: random.Random) -> tuple[int,
     edge = int(lat.at[place]) + slot
     head = [*head, edge]
     phi += log(p[slot])
-    while lat.left[place] > lat.length[edge]:
-        place += int(lat.length[edge])
+    while place := int(lat.then[edge]):
         p = probs(place)
         slot = rng.choices(range(len(p)), p)[0]
         push(phi + log(sum(x for s, x in enumerate(p) if s != slot)), top, (word, turn, (head, place, (slot,), phi)))
@@ -435,8 +480,8 @@ def _open(q: list, lat: Lattice, paths: list, rng: random.Random) -> tuple[int,
 
 def _ids(pieces: np.ndarray, m: Pieces) -> np.ndarray:
     """Piece ids; an unknown character becomes its UTF-8 bytes' pieces."""
-    if not (pieces < 0).any():
-        return pieces.astype(np.int32)
+    if not len(pieces) or pieces.min() >= 0:
+        return pieces
     out, at = [], 0
     for j in np.flatnonzero(pieces < 0).tolist():
         out.append(pieces[at:j])
@@ -445,18 +490,37 @@ def _ids(pieces: np.ndarray, m: Pieces) -> np.ndarray:
     return np.concatenate([*out, pieces[at:]]).astype(np.int32)
 
 
-def spell(ids: np.ndarray, m: Pieces, sp: sentencepiece.SentencePieceProcessor) -> str:
-    """The text of piece ids.  Plain pieces are joined; the library decodes what has others, or begins with more than one blank."""
-    if not len(ids):
-        return ""
-    parts = m.spelled[ids].tolist()
-    if None not in parts:
-        text = "".join(parts)
-        if not m.prefixed and text[:1] != " ":
-            return text
-        if m.prefixed and text[:2].strip(" "):
-            return text[1:] if text[0] == " " else text
-    return sp.decode(ids.tolist(), num_threads=1)
+def spell(ids: np.ndarray, lens: np.ndarray, m: Pieces, sp: sentencepiece.SentencePieceProcessor) -> pa.Array:
+    """The texts of rows of piece ids (end to end, and their numbers).  The texts of plain pieces are taken one after the other, so
+    that a row is a stretch of them; the library decodes rows that have other pieces, or begin with more than one blank."""
+    ends = np.cumsum(lens)
+    full = np.flatnonzero(lens)
+    first, some = (ends - lens)[full], lens[full]
+    lead = m.lead[ids]
+    plain = np.bitwise_or.reduceat(lead == 4, first) == 0 if len(full) else np.zeros(0, bool)
+    begins = lead[first]
+    if m.prefixed:
+        second = np.where(some > 1, lead[np.minimum(first + 1, len(ids) - 1)], 4)
+        cut = (begins == 1) | ((begins == 3) & (second == 0))
+        plain &= cut | (begins == 0)
+    else:
+        cut = np.zeros(len(full), bool)
+        plain &= begins == 0
+    at, spelled = ids.astype(np.int32), m.spelled
+    at[first[cut]] += len(m.strings)
+    odd = np.flatnonzero(~plain)
+    if len(odd):  # these become entries of their own, one for a row
+        whole = [sp.decode(ids[first[j]: first[j] + some[j]].tolist(), num_threads=1) for j in odd.tolist()]
+        at[first[odd]] = len(spelled) + np.arange(len(odd))
+        keep = np.repeat(plain, some)
+        keep[first[odd]] = True
+        at, spelled, lens = at[keep], pa.concat_arrays([spelled, pa.array(whole, pa.string())]), lens.copy()
+        lens[full[odd]] = 1
+        ends = np.cumsum(lens)
+    taken = spelled.take(pa.array(at))
+    _, offsets, data = taken.buffers()
+    offsets = np.frombuffer(offsets, np.int32, len(at) + 1) if len(at) else np.zeros(1, np.int32)
+    return pa.StringArray.from_buffers(len(lens), pa.py_buffer(offsets[np.append(0, ends)]), data or pa.py_buffer(b""))
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
@@ -503,14 +567,14 @@ def encode(docs: DataFrame, path: str, k: int = 2, seed: int = 0, alpha: float =
                 some = rows[at:end]
                 lens = np.array([len(r[2]) for r in some], np.int64)
                 ids = np.concatenate([r[2] for r in some])
-                decoded = [spell(r[2], m, sp) for r in some] if verify else []
+                decoded = spell(ids, lens, m, sp) if verify else None
                 yield pa.RecordBatch.from_arrays([
                     pa.array([r[0] for r in some], key_type), pa.array([r[1] for r in some], pa.int32()),
                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lens)).astype(np.int32)), pa.array(ids)),
-                    *(pa.array([r[c] for r in some], pa.float64()) for c in (3, 4, 5)), *([pa.array(decoded, pa.string()), pa.array([t == texts[r[-1]] for t, r in zip(decoded, some, strict=True)], pa.bool_())] if verify else [])],
+                    *(pa.array([r[c] for r in some], pa.float64()) for c in (3, 4, 5)), *([decoded, pc.equal(decoded, pa.array([texts[r[-1]] for r in some], pa.string()))] if verify else [])],
                     names=["key", "sample", "ids", "log_p", "value", "log_inclusion", *["decoded", "round_trip"] * verify])
             del rows
-            release()
+        release()
 
     kind = docs.schema[key].dataType.simpleString()
     return (docs.select(F.col(key).alias("key"), F.col(text).alias("text"))

@@ -105,3 +105,40 @@ def test_sharp_weights_give_the_best_path():
         every = segmentations(text, m)
         ((first, *_),) = lattice.sample([text], np.array([3], np.uint64), 1, m, SP)
         assert tuple(first[0].tolist()) == max(every, key=every.get)
+
+
+def test_words_share_the_places_of_their_ends():
+    """Work follows the distinct ends of words, not their characters; a long word's beginning has places of its own."""
+    words = ["▁" + a + "ationally" for a in ("n", "st", "r", "not", "educ")] + ["日" * 100 + "ationally", "日" * 90 + "語"]
+    points, size = lattice.code_points("".join(words)), np.array(list(map(len, words)))
+    lat = lattice.build(points, size, FLAT)
+    shared = {w[i:] for w in words for i in range(max(0, len(w) - lattice.SHARED), len(w))}
+    assert len(lat.at) - 1 == len(shared) + sum(max(0, len(w) - lattice.SHARED) for w in words)
+    for w, place in zip(words, lat.start.tolist(), strict=True):
+        for c in w:  # the first edge of a place is its single character
+            piece = int(lat.piece[lat.at[place]])
+            assert piece == -1 - ord(c) or piece >= 0 and FLAT.strings[piece] == c
+            place = int(lat.then[lat.at[place]])
+        assert place == 0
+
+
+def test_samples_do_not_depend_on_other_rows():
+    """All of a row's results, the inclusion probability too, whether it stands alone or among many."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(["national", "station", "the", "only", "thereof", "日本", "x" * 70, "unable"], 12)) for _ in range(300)]
+    seeds = rng.integers(0, 2**63, 300).astype(np.uint64)
+    m = lattice.load(PATH)
+    together = lattice.sample(texts, seeds, 2, m, SP)
+    for i in range(300):
+        (alone,) = lattice.sample(texts[i: i + 1], seeds[i: i + 1], 2, m, SP)
+        assert [(r[0].tolist(), *r[1:]) for r in alone] == [(r[0].tolist(), *r[1:]) for r in together[i]]
+
+
+def test_spell_is_the_library_s_decoding():
+    rng = np.random.default_rng(9)
+    texts = ["", " ", "  a", "   ", " a", "a", "\n a", "▁", "日本 x", "\x00", *("".join(rng.choice(list("ab \n▁é日\t.<>"), n)) for n in rng.integers(0, 30, 500))]
+    rows = [SP.encode(t) for t in texts] + [rng.integers(0, SP.get_piece_size(), n).tolist() for n in rng.integers(0, 9, 500)]
+    rows += [SP.encode("plain words")] * 3
+    for some in (rows, rows[-3:], [[]], []):
+        got = lattice.spell(np.array([i for r in some for i in r], np.int32), np.array([len(r) for r in some], np.int64), FLAT, SP)
+        assert got.to_pylist() == [SP.decode(r, num_threads=1) if r else "" for r in some]
