@@ -8,9 +8,11 @@ have a Jaccard similarity over a threshold, directly or by steps; of each group
    128-bit hash, with a partial aggregation, and only the first of each goes on.
 2. Signatures are cut into 10 bands of 4 (recall over 0.994 from a similarity of 0.8 on).  Lines that share a
    band form a run; equal runs of different bands are taken up once.
-3. Only the lines in runs are fetched as text: a bitmap of fixed size lets few others through a second pass, a
-   join by the hash leaves those out.  Each run is verified exactly, which gives a spanning forest of its links.
-4. The links' components by distributed union-find name the line to keep; its number goes back to its document.
+3. Only the lines in runs are fetched as text, each from its first place: a bitmap of fixed size lets few other places
+   through a second pass, a join by the place leaves those out.  Each run is verified exactly, which gives a spanning forest
+   of its links.
+4. The links' components by distributed union-find name the lines that go; their numbers and those of all different lines
+   meet in their documents.
 
 An overfull band is split into blocks that meet pairwise in tasks of their own.
 """
@@ -25,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, checkpoint, heavy_keys, identified, in_bitmap, mix64, partitions, prepare, release, runs_of, unused
+from .common import bitmap, checkpoint, hash_longs, heavy_keys, identified, in_bitmap, mix64, partitions, prepare, release, runs_of, unused
 from .graph import components
 
 SHINGLE = 7
@@ -33,9 +35,12 @@ BANDS, ROWS = 10, 4
 CHARS = 300_000
 #: Lines of a band that one task compares with each other; more are split into blocks.
 BLOCK = 4096
+#: Band keys of a task that are dealt to the tasks of their shuffle at once.
+DEALT = 1 << 20
 #: Runs up to this length are compared pair by pair; longer ones as arrays.
 SMALL_RUN = 32
 LEAST = -(2**63)
+PLACE = ["did", "thash", "row", "line"]
 _rng = np.random.default_rng(20240)
 _A = (_rng.integers(0, 1 << 31, BANDS * ROWS, np.uint32) << np.uint32(1)) | np.uint32(1)
 _B = _rng.integers(0, 1 << 32, BANDS * ROWS, np.uint32)
@@ -103,16 +108,17 @@ def _split(text: str | None) -> list[tuple[int, str]]:
 
 
 def first_lines(rows: DataFrame) -> DataFrame:
-    """(did, thash, row, text) -> each different line once: h1, h2, the first (did, thash, row, line) and its bands."""
+    """(did, thash, row, text) -> each different line once: the first (did, thash, row, line, n), where n counts the lines of its
+    document that are not blank, and its bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            held: dict[bytes, tuple[int, int, int, int]] = {}
+            held: dict[bytes, tuple[int, int, int, int, int]] = {}
             text_of: dict[bytes, str] = {}
             for did, thash, row, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 own = _split(text)
                 for (i, line), d in zip(own, _digests([x for _, x in own]), strict=True):
-                    at = (did, thash, row, i)
+                    at = (did, thash, row, i, len(own))
                     if d not in held:
                         held[d], text_of[d] = at, line
                     elif at < held[d]:
@@ -122,11 +128,11 @@ def first_lines(rows: DataFrame) -> DataFrame:
                 keys = band_keys(list(text_of.values()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[:, 0]), pa.array(h[:, 1]), *(pa.array(w, pa.int64()) for w in where), pa.array([k.tobytes() for k in keys], pa.binary())],
-                    names=["h1", "h2", "did", "thash", "row", "line", "bands"])
+                    names=["h1", "h2", "did", "thash", "row", "line", "n", "bands"])
 
-    found = rows.mapInArrow(run, "h1 long, h2 long, did long, thash long, row long, line long, bands binary")
-    return (found.groupBy("h1", "h2").agg(F.min(F.struct("did", "thash", "row", "line")).alias("at"), F.first("bands").alias("bands"))
-            .select("h1", "h2", "at", "bands"))
+    found = rows.mapInArrow(run, "h1 long, h2 long, did long, thash long, row long, line long, n long, bands binary")
+    return (found.groupBy("h1", "h2").agg(F.min(F.struct("did", "thash", "row", "line", "n")).alias("at"), F.first("bands").alias("bands"))
+            .select("at", "bands"))
 
 
 def _runs(lines: DataFrame) -> DataFrame:
@@ -159,13 +165,39 @@ def _runs(lines: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(keys[i: i + 65536]), pa.array(rows[i: i + 65536])], names=["key", "id"])
         return run
 
+    def dealt(heavy: dict[int, int], n: int):
+        """As ``keyed``, with all keys and ids for one of ``n`` tasks in one row: a row for each key costs more than all else here."""
+
+        def deal(got: list[pa.RecordBatch]) -> pa.RecordBatch:
+            keys, ids = (np.concatenate([np.asarray(b.column(c)) for b in got]) for c in (0, 1))
+            task = (keys.view(np.uint64) % np.uint64(n)).astype(np.int32)
+            order = np.argsort(task)
+            starts, sizes = runs_of(task[order])
+            ends = (np.append(starts, len(keys)) * 8).astype(np.int32)
+            cut = pa.py_buffer(ends)
+            packed = [pa.Array.from_buffers(pa.binary(), len(starts), [None, cut, pa.py_buffer(x[order])]) for x in (keys, ids)]
+            return pa.RecordBatch.from_arrays([pa.array(task[order[starts]]), *packed], names=["task", "keys", "ids"])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, size = [], 0
+            for b in keyed(heavy)(batches):
+                held.append(b)
+                size += b.num_rows
+                if size >= DEALT:
+                    yield deal(held)
+                    held, size = [], 0
+            if size:
+                yield deal(held)
+            release()
+        return run
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [(np.asarray(b.column(0)), np.asarray(b.column(1))) for b in batches]
+        got = [[np.frombuffer(x.as_py(), np.int64) for x in c] for b in batches for c in b.columns[1:]]
         if not got:
             return
-        keys, ids = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
+        keys, ids = (np.concatenate([x for c in got[i::2] for x in c]) for i in (0, 1))
         del got
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         keys, ids = keys[order], ids[order]
         starts, sizes = runs_of(keys)
         many = np.repeat(sizes > 1, sizes)
@@ -186,7 +218,8 @@ def _runs(lines: DataFrame) -> DataFrame:
     in_sample = F.pmod(F.xxhash64(F.lit(7), F.col("id")), F.lit(64)) == 0
     heavy = heavy_keys(lines.where(in_sample).mapInArrow(keyed({}), "key long, id long"), "key", "id", BLOCK)
     n = partitions(lines.sparkSession, lines.count() * BANDS, 1_500_000)
-    return lines.mapInArrow(keyed(heavy), "key long, id long").repartition(n, "key").mapInArrow(meet, "part long, run long, id long").distinct()
+    return (lines.mapInArrow(dealt(heavy, n), "task int, keys binary, ids binary").repartitionById(n, "task")
+            .mapInArrow(meet, "part long, run long, id long").distinct())
 
 
 def shingle_arrays(lines: list[str]) -> list[np.ndarray]:
@@ -208,12 +241,12 @@ def shingle_arrays(lines: list[str]) -> list[np.ndarray]:
 
 def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
     """Whether the Jaccard similarity of two sorted distinct arrays is at least ``least``."""
-    if len(a) < len(b):
-        a, b = b, a
-    if len(b) < least * len(a) - 1e-9:
+    if min(len(a), len(b)) < least * max(len(a), len(b)) - 1e-9:
         return False
-    both = np.count_nonzero(a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b)
-    return bool(both >= least * (len(a) + len(b) - both) - 1e-9)
+    c = np.concatenate((a, b))
+    c.sort()
+    both = int(np.count_nonzero(c[1:] == c[:-1]))
+    return both >= least * (len(c) - both) - 1e-9
 
 
 def few(runs: list[list[int]], own: dict[int, np.ndarray], least: float) -> list[tuple[int, int]]:
@@ -260,26 +293,28 @@ def forest(lines: list[str], least: float) -> list[tuple[int, int]]:
     return edges
 
 
-def links(lines: DataFrame, rows: DataFrame, least: float) -> DataFrame:
-    """Verified links (a, b) of the lines (id, h1, h2, bands; checkpointed) of the texts in ``rows``."""
+def links(lines: DataFrame, rows: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) of the lines (id, at, bands; checkpointed) of the texts in ``rows``, and the lines (id, at) that
+    may have one."""
     spark = lines.sparkSession
     runs = checkpoint(_runs(lines))
-    need = checkpoint(lines.join(runs.select("id").distinct(), "id").select("id", "h1", "h2"))
-    bits = spark.sparkContext.broadcast(bitmap(need, "h1"))
+    need = checkpoint(lines.join(runs.select("id").distinct(), "id").select("id", "at"))
+    bits = spark.sparkContext.broadcast(bitmap(need.select(F.xxhash64("at.row", "at.line").alias("place")), "place"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = [x for t in b.column(0).to_pylist() for _, x in _split(t)]
-            if not own:
-                continue
-            digests = _digests(own)
-            h = _halves(digests)
-            at = np.flatnonzero(in_bitmap(bits.value, h[:, 0].view(np.uint64))).tolist()
-            at = list({digests[i]: i for i in at}.values())
-            yield pa.RecordBatch.from_arrays([pa.array(h[at, 0]), pa.array(h[at, 1]), pa.array([own[i] for i in at], pa.string())], names=["h1", "h2", "text"])
-
-    texts = rows.select("text").mapInArrow(fetch, "h1 long, h2 long, text string").groupBy("h1", "h2").agg(F.first("text").alias("text"))
-    members = runs.join(need.join(texts, ["h1", "h2"]).select("id", "text"), "id")
+            own = [t.split("\n") if t else [] for t in b.column(3).to_pylist()]
+            size = np.fromiter(map(len, own), np.int64, len(own))
+            doc = np.repeat(np.arange(len(own)), size)
+            line = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+            at = np.flatnonzero(in_bitmap(bits.value, hash_longs(np.asarray(b.column(2))[doc], line)))
+            if len(at):
+                doc, line = doc[at], line[at]
+                text = [normal(own[d][i]) for d, i in zip(doc.tolist(), line.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(doc)) for c in range(3)), pa.array(line), pa.array(text, pa.string())], names=[*PLACE, "text"])
+
+    texts = rows.select("did", "thash", "row", "text").mapInArrow(fetch, "did long, thash long, row long, line long, text string")
+    members = runs.join(need.select("id", "at.*").join(texts, PLACE).select("id", "text"), "id")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, list[tuple[int, list[int]]]]] = []  # (part, its runs) in order
@@ -313,7 +348,8 @@ def links(lines: DataFrame, rows: DataFrame, least: float) -> DataFrame:
         release()
 
     n = partitions(spark, runs.count(), 200_000)
-    return members.select("part", "run", "id", "text").repartition(n, "part").sortWithinPartitions("part", "run", "id").mapInArrow(verify, "a long, b long")
+    members = members.select("part", "run", "id", "text").repartition(n, "part").sortWithinPartitions("part", "run", "id")
+    return members.mapInArrow(verify, "a long, b long"), need
 
 
 def dedup(docs: DataFrame, least: float = 0.8, text: str = "text", key: str = "doc_id", counts: tuple[str, str] | None = None) -> DataFrame:
@@ -332,21 +368,27 @@ def dedup(docs: DataFrame, least: float = 0.8, text: str = "text", key: str = "d
     number = F.col(row)
     rows = docs.select(did.alias("did"), thash.alias("thash"), number.alias("row"), F.col(text).alias("text"))
     lines = checkpoint(first_lines(rows).withColumn("id", F.monotonically_increasing_id()))
-    roots = components(links(lines, rows, least)).select(F.col("node").alias("id"), "root")
-    found = lines.select("id", "at").join(roots, "id", "left")
-    kept = found.where("root is null").select("at").union(found.where("root is not null").groupBy("root").agg(F.min("at").alias("at")).select("at"))
-    d, t, r, of, hashed, owner, stay = unused(docs, "_did", "_thash", "_row", "_of", "_of_hash", "_of_row", "_stay")
-    numbers = kept.groupBy(F.col("at.did").alias(of), F.col("at.thash").alias(hashed), F.col("at.row").alias(owner)).agg(F.array_sort(F.collect_list(F.col("at.line").cast("int"))).alias(stay))
+    linked, need = links(lines, rows, least)
+    roots = components(linked).select(F.col("node").alias("id"), "root")
+    found = need.join(roots, "id")
+    first = found.groupBy("root").agg(F.min(F.struct("at", "id")).alias("first")).select(F.col("first.id").alias("id"))
+    lost = found.join(first, "id", "left_anti").select("at.*", F.lit(True).alias("goes"))
+    d, t, r, of, hashed, owner, stay, full = unused(docs, "_did", "_thash", "_row", "_of", "_of_hash", "_of_row", "_stay", "_full")
+    number_of = F.col("line").cast("int")
+    numbers = lines.select("at.*", F.lit(False).alias("goes")).union(lost).groupBy(F.col("did").alias(of), F.col("thash").alias(hashed), F.col("row").alias(owner)).agg(
+        F.collect_list(F.when(~F.col("goes"), number_of)).alias(stay), F.collect_list(F.when(F.col("goes"), number_of)).alias("out"), F.max("n").alias(full))
+    numbers = numbers.select(of, hashed, owner, full, F.array_sort(F.array_except(stay, "out")).alias(stay))
+    # the hash table has numbers alone; texts are not sorted
     joined = docs.withColumn(d, did).withColumn(t, thash).withColumn(r, number).join(
-        numbers, (F.col(d) == F.col(of)) & (F.col(t) == F.col(hashed)) & (F.col(r) == F.col(owner)), "left")
+        numbers.hint("shuffle_hash"), (F.col(d) == F.col(of)) & (F.col(t) == F.col(hashed)) & (F.col(r) == F.col(owner)), "left")
+    # a document without a first line of any group has no count
+    inked = r"[^ \t\n\r\x0B\f]"
     parts = F.split(F.col(text), "\n", -1)
     keep = F.coalesce(stay, F.array().cast("array<int>"))
-    # lines by their ends alone: if as many are kept, none is blank and none is lost
-    quick = F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1
-    exact = F.coalesce(F.size(F.filter(parts, lambda x: x.rlike(r"[^ \t\n\r\x0B\f]"))), F.lit(0))
-    size = F.when(quick == F.size(keep), quick).otherwise(exact)
+    size = F.coalesce(F.col(full), F.size(F.filter(parts, lambda x: x.rlike(inked))).cast("long"), F.lit(0))
     # a lambda's body is evaluated for each element: the text is split once, outside, and bound by a list of one
     rebuilt = F.get(F.transform(F.array(parts), lambda own: F.array_join(F.transform(keep, lambda i: F.get(own, i)), "\n")), F.lit(0))
-    new = F.when(quick == F.size(keep), F.col(text)).when((F.size(keep) == exact) | F.col(text).isNull(), F.col(text)).otherwise(rebuilt)
-    extra = [size.cast("long").alias(counts[0]), F.size(keep).cast("long").alias(counts[1])] if counts else []
+    new = (F.when(F.size(keep) == F.col(full), F.col(text)).when(F.size(keep) > 0, rebuilt)
+           .when(F.col(text).rlike(inked), F.lit("")).otherwise(F.col(text)))
+    extra = [size.alias(counts[0]), F.size(keep).cast("long").alias(counts[1])] if counts else []
     return joined.select(*[new.alias(c) if c == text else F.col(c) for c in columns], *extra)

@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from snapfeed.llm import lines
+from snapfeed.llm import common, lines
 
 SF = "/root/testdata/sf0.001"
 
@@ -123,3 +124,37 @@ def test_counts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = lines.dedup(docs, counts=("n", "k"))
     assert got.where("k > n").count() == 0 and got.where(F.col("k") < F.col("n")).count() > 10
+
+
+def test_rows_moved(spark, docs):
+    """Band keys are shuffled packed, not in a row each; at the end the lines are read once and texts are not sorted."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    bands = spark.createDataFrame([(i, lines.band_keys([chr(97 + i // 2) * 7])[0].tobytes()) for i in range(40)], "id long, bands binary")
+    runs = lines._runs(bands)
+    assert "keys#" in plan(runs) and "RepartitionByExpression [key#" not in plan(runs)
+    found = {}
+    for r in runs.collect():
+        found.setdefault(r.run, set()).add(r.id)
+    assert sorted(map(sorted, found.values())) == [[2 * i, 2 * i + 1] for i in range(20)]
+    got = lines.dedup(docs([(1, "one line\nanother"), (2, "one line\nthird")]), counts=("n", "k"))
+    assert sum("LogicalRDD" in x and "bands#" in x for x in plan(got).split("\n")) == 1
+    assert "strategy=shuffle_hash" in plan(got)
+
+
+def test_dealt_in_parts(monkeypatch, docs):
+    """Band keys of a task that are dealt at several times meet all the same."""
+    rng = random.Random(7)
+    rows = [(i, "\n".join(" ".join(f"w{rng.randrange(30)}" for _ in range(12)) for _ in range(20))) for i in range(30)]
+    rows += [(100 + i, t + " end") for i, t in rows]
+    expected = brute(rows)
+    monkeypatch.setattr(lines, "DEALT", 50)
+    assert {r.doc_id: r.text for r in lines.dedup(docs(rows)).collect()} == expected
+
+
+def test_hash_longs(spark):
+    """Places hash alike in Spark and in tasks."""
+    rows = [(0, 0), (1, -1), (-(2**63), 2**63 - 1), (123456789012345, 7)]
+    a, b = (np.array(c, np.int64) for c in zip(*rows, strict=True))
+    of = spark.createDataFrame(rows, "a long, b long").select(F.xxhash64("a", "b"), F.xxhash64("a")).collect()
+    assert common.hash_longs(a, b).view(np.int64).tolist() == [r[0] for r in of]
+    assert common.hash_longs(a).view(np.int64).tolist() == [r[1] for r in of]
