@@ -174,8 +174,7 @@ def _runs(lines: DataFrame) -> DataFrame:
             order = np.argsort(task)
             starts, sizes = runs_of(task[order])
             ends = (np.append(starts, len(keys)) * 8).astype(np.int32)
-            cut = pa.py_buffer(ends)
-            packed = [pa.Array.from_buffers(pa.binary(), len(starts), [None, cut, pa.py_buffer(x[order])]) for x in (keys, ids)]
+            packed = [pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(x[order])]) for x in (keys, ids)]
             return pa.RecordBatch.from_arrays([pa.array(task[order[starts]]), *packed], names=["task", "keys", "ids"])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +215,8 @@ def _runs(lines: DataFrame) -> DataFrame:
 
     lines = lines.select("id", "bands")
     in_sample = F.pmod(F.xxhash64(F.lit(7), F.col("id")), F.lit(64)) == 0
-    heavy = heavy_keys(lines.where(in_sample).mapInArrow(keyed({}), "key long, id long"), "key", "id", BLOCK)
+    few_tasks = max(1, partitions(lines.sparkSession, 0, 1) // 8)  # a sample is small beside what a task costs
+    heavy = heavy_keys(lines.where(in_sample).coalesce(few_tasks).mapInArrow(keyed({}), "key long, id long"), "key", "id", BLOCK)
     n = partitions(lines.sparkSession, lines.count() * BANDS, 1_500_000)
     return (lines.mapInArrow(dealt(heavy, n), "task int, keys binary, ids binary").repartitionById(n, "task")
             .mapInArrow(meet, "part long, run long, id long").distinct())
