@@ -148,6 +148,21 @@ def test_match_feeds_shuffles_no_pairs(spark, monkeypatch):
     assert not re.search(r"Aggregate \[[^]]*feed_id", plan)
 
 
+def test_match_feeds_judges_rows_as_sets(spark):
+    """Rows that share a key, or have none, are judged by their own texts, feeds may have any kind of id, and no pair is judged by a join."""
+    rows = [(1, "flood road", None), (1, "tide", "x" * 3000 + " bus"), (None, "road", None), (2, None, None), (3, "bus tide flood", "")]
+    items = spark.createDataFrame(rows, "id long, title string, summary string")
+    feeds = spark.createDataFrame([("a", "flood,tide"), ("b", "road,bus,-tide"), ("c", "-flood,except(tide)"), ("d", ""), (None, "bus")], "feed_id string, spec string")
+    df = K.match_feeds(items, feeds, "id")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and plan.count("Join ") == 1  # terms meet grams; feeds come by arrays
+    want = [("a", 1), ("b", 1), ("d", 1), ("a", 1), ("c", 1), ("d", 1), (None, 1), ("b", None), ("c", None), ("d", None), ("c", 2), ("d", 2),
+            ("a", 3), ("c", 3), ("d", 3), (None, 3)]
+    assert sorted(map(str, ((r["feed_id"], r["id"]) for r in df.collect()))) == sorted(map(str, want))
+    none = spark.createDataFrame([], "feed_id long, spec string")
+    assert K.match_feeds(items, none, "id").count() == 0
+
+
 def test_many_feeds_and_a_term_in_all_items(spark):
     """10,000 feeds, one term in every item, and a plan without Python."""
     items = spark.range(50).selectExpr("id", "concat('common word', id) AS title", "'' AS summary")
